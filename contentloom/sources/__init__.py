@@ -1,0 +1 @@
+"""Fetched payloads to raw rows, and table storage."""
