@@ -23,12 +23,26 @@ WHITESPACE_CODE_POINTS = (
     0x3000,
 )
 WHITESPACE_CHARS = "".join(map(chr, WHITESPACE_CODE_POINTS))
-WHITESPACE_CLASS = "".join(f"\\x{{{cp:04x}}}" for cp in WHITESPACE_CODE_POINTS)
 
-_NOT_LETTER_OR_SPACE = f"[^a-zA-Z{WHITESPACE_CLASS}]+"
-_LONG_WORD = f"[^{WHITESPACE_CLASS}]{{3,}}"
-_WORD = f"[^{WHITESPACE_CLASS}]+"
-_SPACE = f"[{WHITESPACE_CLASS}]"
+
+def _ranges_without(*code_points: int) -> str:
+    """Body of a regex class holding every code point but the given ones.
+
+    The JVM tests a class of ranges about ten times faster than the same class written as a
+    negation of single characters.
+    """
+    ranges, start = [], 0
+    for cut in [*sorted(code_points), 0x110000]:
+        if cut > start:
+            ranges.append(f"\\x{{{start:04x}}}-\\x{{{cut - 1:04x}}}")
+        start = cut + 1
+    return "".join(ranges)
+
+
+_LETTERS = (*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1))
+_SPACE = "[" + "".join(f"\\x{{{cp:04x}}}" for cp in WHITESPACE_CODE_POINTS) + "]"
+_NOT_SPACE = f"[{_ranges_without(*WHITESPACE_CODE_POINTS)}]"
+_NOT_LETTER_OR_SPACE = f"[{_ranges_without(*WHITESPACE_CODE_POINTS, *_LETTERS)}]"
 
 
 def strip(text: Column) -> Column:
@@ -38,7 +52,7 @@ def strip(text: Column) -> Column:
 
 def letters_only(text: Column) -> Column:
     """Delete everything but ASCII letters and white space."""
-    return F.regexp_replace(text, _NOT_LETTER_OR_SPACE, "")
+    return F.regexp_replace(text, f"{_NOT_LETTER_OR_SPACE}+", "")
 
 
 def clean_text(text: Column) -> Column:
@@ -46,10 +60,20 @@ def clean_text(text: Column) -> Column:
     return strip(F.lower(letters_only(text)))
 
 
+def _all_matches(text: Column, pattern: str) -> Column:
+    """Matches of a pattern, an empty array for NULL."""
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    return F.coalesce(found, F.array().cast("array<string>"))
+
+
 def tokenize(text: Column) -> Column:
     """White-space separated words of three or more characters; NULL gives an empty array."""
-    words = F.regexp_extract_all(text, F.lit(_LONG_WORD), F.lit(0))
-    return F.coalesce(words, F.array().cast("array<string>"))
+    return _all_matches(text, f"{_NOT_SPACE}{{3,}}")
+
+
+def clean_tokens(cleaned: Column) -> Column:
+    """``tokenize`` for the outcome of ``clean_text``, whose words are made of a to z alone."""
+    return _all_matches(cleaned, "[a-z]{3,}")
 
 
 def words(text: Column, keep_empty: bool = False) -> Column:
@@ -61,7 +85,7 @@ def words(text: Column, keep_empty: bool = False) -> Column:
     lowered = F.lower(letters_only(text))
     if keep_empty:
         return F.split(F.rtrim(lowered, F.lit(WHITESPACE_CHARS)), _SPACE)
-    return F.regexp_extract_all(lowered, F.lit(_WORD), F.lit(0))
+    return F.regexp_extract_all(lowered, F.lit("[a-z]+"), F.lit(0))
 
 
 def normalize_label(label: Column) -> Column:

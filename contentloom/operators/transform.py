@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contentloom.functions.rules import author_count, popularity_level
-from contentloom.functions.text import clean_text, normalize_label, tokenize
+from contentloom.functions.text import clean_text, clean_tokens, normalize_label
 
 
 def _stamps(sentiment: Column | None, stamp: Column | None) -> dict[str, Column]:
@@ -38,8 +38,8 @@ def transform_news(
         )
         .withColumns(
             {
-                "title_tokens": tokenize(F.col("clean_title")),
-                "content_tokens": tokenize(F.col("clean_content")),
+                "title_tokens": clean_tokens(F.col("clean_title")),
+                "content_tokens": clean_tokens(F.col("clean_content")),
                 "content_length": F.length("content"),
                 "source_normalized": normalize_label(F.col("source")),
                 "category_normalized": normalize_label(F.col("category")),
@@ -58,7 +58,7 @@ def transform_posts(
         .withColumn("clean_title", clean_text(F.col("title")))
         .withColumns(
             {
-                "title_tokens": tokenize(F.col("clean_title")),
+                "title_tokens": clean_tokens(F.col("clean_title")),
                 "subreddit_normalized": normalize_label(F.col("subreddit")),
                 "popularity_level": popularity_level(F.col("score")),
                 "created_date": F.to_date("created_utc"),
@@ -82,8 +82,8 @@ def transform_scholarly(
         )
         .withColumns(
             {
-                "title_tokens": tokenize(F.col("clean_title")),
-                "abstract_tokens": tokenize(F.col("clean_abstract")),
+                "title_tokens": clean_tokens(F.col("clean_title")),
+                "abstract_tokens": clean_tokens(F.col("clean_abstract")),
                 "abstract_length": F.length("abstract"),
                 "author_count": author_count(F.col("authors")),
                 "source_normalized": normalize_label(F.col("source")),

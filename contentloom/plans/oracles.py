@@ -177,16 +177,9 @@ def _absolute(link: str, prefix: str) -> str:
 
 
 def _decoded(x: str) -> str:
-    for entity, char in (
-        ("&lt;", "<"),
-        ("&gt;", ">"),
-        ("&quot;", '"'),
-        ("&copy;", "©"),
-        ("&middot;", "·"),
-        ("&nbsp;", " "),
-        ("&amp;", "&"),
-    ):
-        x = f"replace({x}, '{entity}', '{char}')"
+    """Entities as HTML reads them, the final semicolon being optional."""
+    for entity, char in (("lt", "<"), ("gt", ">"), ("copy", "©"), ("middot", "·"), ('quot', '"'), ("#x27", "''"), ("amp", "&")):
+        x = f"regexp_replace({x}, '&{entity};?', '{char}', 'g')"
     return x
 
 

@@ -81,7 +81,7 @@ def _unified(spark: SparkSession, folder: str, varied: bool = False) -> DataFram
 
 @query
 def clean_texts(spark, folder):
-    return given.table(spark, folder, "documents").select(
+    return given.text_table(spark, folder, "documents").select(
         "doc_id", clean_text(F.col("text")).alias("clean")
     )
 
@@ -90,7 +90,7 @@ def clean_texts(spark, folder):
 def tokenize_texts(spark, folder):
     tokens = tokenize(F.col("text"))
     return (
-        given.table(spark, folder, "conversations")
+        given.text_table(spark, folder, "conversations")
         .select("conv_id", "turn", tokens.alias("tokens"))
         .select(
             "conv_id",
@@ -103,7 +103,7 @@ def tokenize_texts(spark, folder):
 
 @query
 def truncate_texts(spark, folder):
-    return given.table(spark, folder, "documents").select(
+    return given.text_table(spark, folder, "documents").select(
         "doc_id",
         F.length("text").alias("chars"),
         truncate(strip(F.col("text")), 500).alias("preview"),
@@ -113,7 +113,7 @@ def truncate_texts(spark, folder):
 
 @query
 def rule_category(spark, folder):
-    return given.table(spark, folder, "documents").select(
+    return given.text_table(spark, folder, "documents").select(
         "doc_id", rules.guess_category(given.first_line(F.col("text"))).alias("category")
     )
 
@@ -133,7 +133,7 @@ def absolute_url(spark, folder):
         .when(F.col("page_id") % 4 == 2, F.concat(F.lit("p?id="), F.col("page_id").cast("string")))
         .otherwise(F.lit(""))
     )
-    return given.table(spark, folder, "pages").select(
+    return given.text_table(spark, folder, "pages").select(
         "page_id",
         rules.site_link(link, F.col("url")).alias("site_link"),
         rules.prefix_link(link, F.lit("")).alias("bare_link"),
@@ -200,7 +200,7 @@ def date_rules(spark, folder):
 
 @query
 def markup_text(spark, folder):
-    return given.table(spark, folder, "pages").select(
+    return given.text_table(spark, folder, "pages").select(
         "page_id", feeds.markup_to_text(F.col("html")).alias("text")
     )
 
@@ -251,7 +251,7 @@ def duplicate_unified_ids(spark, folder):
 @query
 def language_default(spark, folder):
     older = given.raw_scholarly(spark, folder).select("id", "title", "authors")
-    newer = given.table(spark, folder, "documents").select(
+    newer = given.text_table(spark, folder, "documents").select(
         F.col("doc_id").alias("id"),
         given.first_line(F.col("text")).alias("title"),
         F.col("lang").alias("language"),
