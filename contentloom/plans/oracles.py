@@ -178,7 +178,14 @@ def _absolute(link: str, prefix: str) -> str:
 
 def _decoded(x: str) -> str:
     """Entities as HTML reads them, the final semicolon being optional."""
-    for entity, char in (("lt", "<"), ("gt", ">"), ("copy", "©"), ("middot", "·"), ('quot', '"'), ("#x27", "''"), ("amp", "&")):
+    for entity, char in (
+        ("lt", "<"),
+        ("gt", ">"),
+        ("quot", '"'),
+        ("copy", "©"),
+        ("middot", "·"),
+        ("amp", "&"),
+    ):
         x = f"regexp_replace({x}, '&{entity};?', '{char}', 'g')"
     return x
 

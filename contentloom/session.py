@@ -21,18 +21,19 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local session, which has no other machine to share with, gets a folder of its own.
     """
-    folder = spark.conf.get(CHECKPOINT_SETTING, None)
+    context = spark.sparkContext
+    folder = spark.conf.get(CHECKPOINT_SETTING, None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="contentloom-")
-    spark.conf.set(CHECKPOINT_SETTING, folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="contentloom-"))
+    return context.getCheckpointDir()
 
 
 def use_checkpoints(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint`` usable."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(spark))
+    if spark.sparkContext.getCheckpointDir() is None:
+        folder = shared_folder(spark)
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(folder)

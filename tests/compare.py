@@ -18,16 +18,18 @@ from pyspark.sql import SparkSession
 import __spark_entry__ as contract
 
 
-def local_session(cores: int = 8) -> SparkSession:
-    spark = (
+def local_session(cores: int = 8, **settings: str) -> SparkSession:
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
     )
+    for name, value in settings.items():
+        builder = builder.config(name, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
