@@ -98,8 +98,9 @@ def store_rows(
             store.append(table, conform(number_rows(good_rows(checked), last), table))
         if counts.keys() - {"stored"}:
             _store_rejects(store, table, rejected_rows(checked))
-    if not failed.isEmpty():
-        _store_rejects(store, table, failed)
+    with staged(failed) as bad:
+        if not bad.isEmpty():
+            _store_rejects(store, table, bad)
     return counts
 
 

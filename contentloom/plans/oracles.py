@@ -201,12 +201,12 @@ def _guess(title: str) -> str:
 _ROOT = "nullif(regexp_extract(url, '^(https?://[^/]+)', 1), '')"
 
 ORACLES: dict[str, str] = {
-    "q_clean_texts": f"SELECT doc_id, {_clean('text')} AS clean FROM documents",
-    "q_tokenize_texts": f"""
+    "q_clean_text": f"SELECT doc_id, {_clean('text')} AS clean FROM documents",
+    "q_tokenize": f"""
 SELECT conv_id, turn, CAST(len(tokens) AS INTEGER) AS token_count,
        array_to_string(tokens, ' ') AS tokens
 FROM (SELECT conv_id, turn, {_tokens("text")} AS tokens FROM conversations)""",
-    "q_truncate_texts": f"""
+    "q_truncate": f"""
 SELECT doc_id, CAST(length(text) AS INTEGER) AS chars, left({_strip("text")}, 500) AS preview,
        left({_strip("text")}, 1000) AS abstract
 FROM documents""",
@@ -229,7 +229,7 @@ FROM links""",
 SELECT event_id, CAST(CASE WHEN event_id % 8 <= 2 THEN event_id
                            WHEN event_id % 8 = 3 THEN -event_id ELSE 0 END AS INTEGER) AS score
 FROM events""",
-    "q_date_rules": f"""
+    "q_dates": f"""
 WITH seconds AS (SELECT event_id, date_trunc('second', ts) AS t FROM events)
 SELECT event_id,
   {_clock(f'''CASE event_id % 7 WHEN 0 THEN t WHEN 1 THEN t + INTERVAL 5 HOUR
@@ -246,7 +246,7 @@ SELECT page_id, {_strip(_decoded(
     "regexp_replace(html, '(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->|<[^>]*>', '', 'g')"
 ))} AS text
 FROM pages""",
-    "q_transform_news_rows": f"""
+    "q_transform_news": f"""
 WITH {_RAW},
 cleaned AS (SELECT *, {_clean("title")} AS clean_title, {_clean("content")} AS clean_content
             FROM raw_news WHERE title <> '' AND content <> '')
@@ -256,7 +256,7 @@ SELECT *, array_to_string({_tokens("clean_title")}, ' ') AS title_tokens,
        {_label("source")} AS source_normalized, {_label("category")} AS category_normalized,
        published_date AS published_date_normalized, CAST(0.0 AS DOUBLE) AS sentiment_score
 FROM cleaned""",
-    "q_transform_post_rows": f"""
+    "q_transform_posts": f"""
 WITH {_RAW},
 cleaned AS (SELECT *, {_clean("title")} AS clean_title FROM raw_posts WHERE title <> '')
 SELECT *, array_to_string({_tokens("clean_title")}, ' ') AS title_tokens,
@@ -265,7 +265,7 @@ SELECT *, array_to_string({_tokens("clean_title")}, ' ') AS title_tokens,
          AS popularity_level,
        CAST(0.0 AS DOUBLE) AS sentiment_score
 FROM cleaned""",
-    "q_transform_scholarly_rows": f"""
+    "q_transform_scholarly": f"""
 WITH {_RAW},
 cleaned AS (SELECT *, {_clean("title")} AS clean_title, {_clean("abstract")} AS clean_abstract
             FROM raw_papers WHERE title <> '' AND abstract IS NOT NULL)
@@ -276,8 +276,8 @@ SELECT * EXCLUDE (published_date), array_to_string({_tokens("clean_title")}, ' '
        {_label("source")} AS source_normalized, {_label("category")} AS category_normalized,
        published_date AS published_date_normalized, CAST(0.0 AS DOUBLE) AS sentiment_score
 FROM cleaned""",
-    "q_unified": f"WITH {_unified()} SELECT * FROM unified",
-    "q_duplicate_unified_ids": f"""
+    "q_unify": f"WITH {_unified()} SELECT * FROM unified",
+    "q_duplicate_ids": f"""
 WITH {_unified()}
 SELECT unified_id, 2 * count(*) AS "rows" FROM unified GROUP BY unified_id""",
     "q_language_default": f"""
@@ -297,7 +297,7 @@ WITH {_unified(_VARIED)}
 SELECT unified_id, title, source, sentiment_score, content_type, url FROM unified
 WHERE content_type = 'academic' AND date_diff('day', published_date, DATE '{AS_OF}') <= 14
 ORDER BY sentiment_score DESC, published_date DESC, unified_id LIMIT 10""",
-    "q_ranked_insights": f"""
+    "q_insights": f"""
 WITH {_unified(_VARIED)}, top AS ({_TOP_TRENDING}), positive AS ({_POSITIVE})
 SELECT 'trending_topic' AS insight_type, category AS title,
        'This category has ' || "count" || ' recent articles with an average sentiment of '
@@ -309,6 +309,10 @@ UNION ALL
 SELECT 'positive_content', title, {_text(POSITIVE_DESCRIPTION)}, source, unified_id,
        sentiment_score, '{_GENERATED_AT}'
 FROM positive""",
+    "q_insight_ids": f"""
+WITH {_unified(_VARIED)}
+SELECT 'positive_content' AS insight_type, count(*) AS "rows",
+       count(DISTINCT unified_id) AS ids FROM unified""",
     "q_corpus_words": f"""
 WITH {_WORDS}
 SELECT unified_id, CAST(len(words) AS INTEGER) AS word_count,
@@ -318,6 +322,20 @@ SELECT unified_id, CAST(len(words) AS INTEGER) AS word_count,
 WITH {_TERMS}
 SELECT term, term_count, document_count FROM terms WHERE document_count >= 2
 ORDER BY term_count DESC, term LIMIT 1000""",
+    "q_count_vectors": f"""
+WITH {_TERMS},
+ranks AS (
+  SELECT term, row_number() OVER (ORDER BY term_count DESC, term) - 1 AS rank FROM terms
+  WHERE document_count >= 2 QUALIFY rank < 1000),
+occurrences AS (SELECT unified_id, unnest(words) AS term FROM corpus),
+counted AS (
+  SELECT unified_id, rank, count(*) AS n FROM occurrences JOIN ranks USING (term)
+  GROUP BY unified_id, rank),
+listed AS (
+  SELECT unified_id, string_agg(rank || ':' || n, ' ' ORDER BY rank) AS counts FROM counted
+  GROUP BY unified_id)
+SELECT unified_id, coalesce(counts, '') AS counts FROM corpus LEFT JOIN listed USING (unified_id)
+""",
     "q_digest": f"WITH {_INSIGHTS} SELECT {_SERVED} FROM stored WHERE {_TODAY} {_BEST} LIMIT 10",
     "q_latest": f"""
 WITH {_INSIGHTS} SELECT {_SERVED} FROM stored WHERE {_SINCE_YESTERDAY} {_BEST} LIMIT 5""",
@@ -378,7 +396,7 @@ SELECT 'http://example.com/feed/' || doc_id AS feed_url, CAST(i AS INTEGER) AS p
             ELSE 'http://example.com/doc/' || doc_id || '/' || i END AS url,
        {_feed_time(_MORNING)} AS published_date
 FROM lines WHERE {_FEED_OK}""",
-    "q_scholarly_feed_items": f"""
+    "q_feed_items": f"""
 WITH {_LINES}
 SELECT 'http://example.com/feed/' || doc_id AS feed_url, CAST(i AS INTEGER) AS position, source,
        'feeds' AS category, {_strip("line")} AS title,
@@ -390,7 +408,7 @@ SELECT 'http://example.com/feed/' || doc_id AS feed_url, CAST(i AS INTEGER) AS p
        'http://example.com/doc/' || doc_id || '/' || i AS url, lang AS language,
        {_feed_time(_FETCHED)} AS published_date
 FROM lines WHERE {_FEED_OK} AND {_strip("line")} <> '' AND (doc_id + i) % 11 <> 5""",
-    "q_feed_rejects": """
+    "q_rejects": """
 SELECT CASE WHEN doc_id % 17 = 2 THEN 'not fetched' WHEN doc_id % 13 = 4 THEN 'malformed'
             ELSE 'stored' END AS reject_reason, count(*) AS "rows"
 FROM documents GROUP BY 1""",

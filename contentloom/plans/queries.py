@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +23,7 @@ from contentloom.sources import feeds, pages, stories
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+COVERS: dict[str, str] = {}
 
 GENERATED_AT = "2024-01-30 12:00:00"
 
@@ -48,15 +50,19 @@ ARTICLE_PROFILE = pages.PageProfile(
 FORUM_PROFILE = pages.forum_profile("science")
 
 
-def query(function: Query) -> Query:
-    """Register under ``q_<name>`` and run in a pinned session."""
+def query(name: str, covers: str) -> Callable[[Query], Query]:
+    """Register a query that runs in a pinned session; ``covers`` lists the operators it shows."""
 
-    @wraps(function)
-    def pinned(spark: SparkSession, folder: str) -> DataFrame:
-        return function(pin_session(spark), folder)
+    def register(function: Query) -> Query:
+        @wraps(function)
+        def pinned(spark: SparkSession, folder: str) -> DataFrame:
+            return function(pin_session(spark), folder)
 
-    QUERIES[f"q_{function.__name__}"] = pinned
-    return pinned
+        QUERIES[name] = pinned
+        COVERS[name] = covers
+        return pinned
+
+    return register
 
 
 def _joined(*names: str) -> dict[str, Column]:
@@ -79,15 +85,15 @@ def _unified(spark: SparkSession, folder: str, varied: bool = False) -> DataFram
 # --- text functions --------------------------------------------------------------------------
 
 
-@query
-def clean_texts(spark, folder):
+@query("q_clean_text", "X1, D1")
+def _clean_text(spark, folder):
     return given.text_table(spark, folder, "documents").select(
         "doc_id", clean_text(F.col("text")).alias("clean")
     )
 
 
-@query
-def tokenize_texts(spark, folder):
+@query("q_tokenize", "X2, D2")
+def _tokenize(spark, folder):
     tokens = tokenize(F.col("text"))
     return (
         given.text_table(spark, folder, "conversations")
@@ -101,8 +107,8 @@ def tokenize_texts(spark, folder):
     )
 
 
-@query
-def truncate_texts(spark, folder):
+@query("q_truncate", "X3, X16, X17")
+def _truncate(spark, folder):
     return given.text_table(spark, folder, "documents").select(
         "doc_id",
         F.length("text").alias("chars"),
@@ -111,22 +117,22 @@ def truncate_texts(spark, folder):
     )
 
 
-@query
-def rule_category(spark, folder):
+@query("q_rule_category", "X11")
+def _rule_category(spark, folder):
     return given.text_table(spark, folder, "documents").select(
         "doc_id", rules.guess_category(given.first_line(F.col("text"))).alias("category")
     )
 
 
-@query
-def popularity(spark, folder):
+@query("q_popularity", "X6")
+def _popularity(spark, folder):
     return given.raw_posts(spark, folder).select(
         "id", "score", rules.popularity_level(F.col("score")).alias("popularity_level")
     )
 
 
-@query
-def absolute_url(spark, folder):
+@query("q_absolute_url", "X12 to X14")
+def _absolute_url(spark, folder):
     link = (
         F.when(F.col("page_id") % 4 == 0, F.col("url"))
         .when(F.col("page_id") % 4 == 1, F.concat(F.lit("/p/"), F.col("page_id").cast("string")))
@@ -142,8 +148,8 @@ def absolute_url(spark, folder):
     )
 
 
-@query
-def score_parse(spark, folder):
+@query("q_score_parse", "X15")
+def _score_parse(spark, folder):
     number = F.col("event_id").cast("string")
     kind = F.col("event_id") % 8
     text = (
@@ -161,8 +167,8 @@ def score_parse(spark, folder):
     )
 
 
-@query
-def date_rules(spark, folder):
+@query("q_dates", "X5, X19 to X21")
+def _dates(spark, folder):
     kind = F.col("event_id") % 7
     mail = F.date_format("ts", "EEE, dd MMM yyyy HH:mm:ss")
     text = (
@@ -198,8 +204,8 @@ def date_rules(spark, folder):
     )
 
 
-@query
-def markup_text(spark, folder):
+@query("q_markup_text", "X18")
+def _markup_text(spark, folder):
     return given.text_table(spark, folder, "pages").select(
         "page_id", feeds.markup_to_text(F.col("html")).alias("text")
     )
@@ -208,8 +214,8 @@ def markup_text(spark, folder):
 # --- transforms and the unified table --------------------------------------------------------
 
 
-@query
-def transform_news_rows(spark, folder):
+@query("q_transform_news", "B1, F1, F2, P1, X3 to X5")
+def _transform_news(spark, folder):
     return (
         transform_news(given.raw_news(spark, folder))
         .drop("transformation_date", "extracted_date")
@@ -218,8 +224,8 @@ def transform_news_rows(spark, folder):
     )
 
 
-@query
-def transform_post_rows(spark, folder):
+@query("q_transform_posts", "B2, F1, P2, X6")
+def _transform_posts(spark, folder):
     return (
         transform_posts(given.raw_posts(spark, folder))
         .drop("transformation_date", "extracted_date", "created_utc")
@@ -227,8 +233,8 @@ def transform_post_rows(spark, folder):
     )
 
 
-@query
-def transform_scholarly_rows(spark, folder):
+@query("q_transform_scholarly", "B3, F1, F3, P3, X7")
+def _transform_scholarly(spark, folder):
     return (
         transform_scholarly(given.raw_scholarly(spark, folder))
         .drop("transformation_date", "extracted_date", "published_date")
@@ -236,20 +242,20 @@ def transform_scholarly_rows(spark, folder):
     )
 
 
-@query
-def unified(spark, folder):
+@query("q_unify", "B4, S2, P4 to P7, P9, U1")
+def _unify(spark, folder):
     return _unified(spark, folder)
 
 
-@query
-def duplicate_unified_ids(spark, folder):
+@query("q_duplicate_ids", "P7, U1")
+def _duplicate_ids(spark, folder):
     """Every row twice, as two runs would store it."""
     rows = _unified(spark, folder)
     return duplicate_keys(rows.unionAll(rows))
 
 
-@query
-def language_default(spark, folder):
+@query("q_language_default", "K7, K8")
+def _language_default(spark, folder):
     older = given.raw_scholarly(spark, folder).select("id", "title", "authors")
     newer = given.text_table(spark, folder, "documents").select(
         F.col("doc_id").alias("id"),
@@ -264,38 +270,38 @@ def language_default(spark, folder):
 # --- rankings, insights, topics --------------------------------------------------------------
 
 
-@query
-def trending_topics(spark, folder):
+@query("q_trending_topics", "A1, F4, X8, T1")
+def _trending_topics(spark, folder):
     return ranking.trending_topics(_unified(spark, folder), AS_OF)
 
 
-@query
-def trending_by_sentiment(spark, folder):
+@query("q_trending_by_sentiment", "A1, T1 with a varied score")
+def _trending_by_sentiment(spark, folder):
     return ranking.trending_topics(_unified(spark, folder, varied=True), AS_OF).withColumn(
         "avg_sentiment", F.round("avg_sentiment", 6)
     )
 
 
-@query
-def category_counts(spark, folder):
+@query("q_category_counts", "A1")
+def _category_counts(spark, folder):
     """All categories of the whole period, before the cut."""
     return ranking.category_counts(_unified(spark, folder), AS_OF, days=36_500).select(
         "category", "count"
     )
 
 
-@query
-def positive_content(spark, folder):
+@query("q_positive_content", "F4, F5, T2, P10")
+def _positive_content(spark, folder):
     return ranking.positive_content(_unified(spark, folder, varied=True), AS_OF)
 
 
-@query
-def scholarly_recent(spark, folder):
+@query("q_scholarly_recent", "F4, F6, T3, I4")
+def _scholarly_recent(spark, folder):
     return ranking.recent_scholarly(_unified(spark, folder, varied=True), AS_OF)
 
 
-@query
-def ranked_insights(spark, folder):
+@query("q_insights", "I1, I2, I6, X25, K3")
+def _insights(spark, folder):
     rows = insights.ranked_insights(_unified(spark, folder, varied=True), AS_OF, GENERATED_AT)
     return rows.select(
         "insight_type",
@@ -308,14 +314,17 @@ def ranked_insights(spark, folder):
     )
 
 
-@query
-def insight_ids(spark, folder):
-    rows = insights.ranked_insights(_unified(spark, folder, varied=True), AS_OF, GENERATED_AT)
-    return rows.select("id", "insight_type", "title")
+@query("q_insight_ids", "I5")
+def _insight_ids(spark, folder):
+    """An insight of every row: as many ids as there are different insights."""
+    rows = insights.positive_insights(_unified(spark, folder, varied=True), GENERATED_AT)
+    return rows.groupBy("insight_type").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("id").alias("ids")
+    )
 
 
-@query
-def corpus_words(spark, folder):
+@query("q_corpus_words", "F7, X9, M1, M2")
+def _corpus_words(spark, folder):
     return topics.corpus_words(_unified(spark, folder)).select(
         "unified_id",
         F.size("words").alias("word_count"),
@@ -323,19 +332,37 @@ def corpus_words(spark, folder):
     )
 
 
-@query
-def term_counts(spark, folder):
+@query("q_term_counts", "A3")
+def _term_counts(spark, folder):
     """Counts of every word, before the cut."""
     return topics.term_counts(topics.corpus_words(_unified(spark, folder)))
 
 
-@query
-def vocabulary(spark, folder):
+@query("q_vocabulary", "A3")
+def _vocabulary(spark, folder):
     return topics.vocabulary(topics.corpus_words(_unified(spark, folder)))
 
 
-@query
-def discovered_topics(spark, folder):
+@query("q_count_vectors", "M3")
+def _count_vectors(spark, folder):
+    """Counts of the vocabulary's words in every row, as ``rank:count`` in vocabulary order."""
+    corpus = topics.corpus_words(_unified(spark, folder))
+    terms = [row.term for row in topics.vocabulary(corpus).collect()]
+    counts = vector_to_array("features")
+    ranked = F.filter(
+        F.transform(
+            counts,
+            lambda n, i: F.when(n > 0, F.concat_ws(":", i.cast("string"), n.cast("int").cast("string"))),
+        ),
+        lambda entry: entry.isNotNull(),
+    )
+    return topics.count_vectors(corpus, terms).select(
+        "unified_id", F.array_join(ranked, " ").alias("counts")
+    )
+
+
+@query("q_discovered_topics", "M3 to M5, J1, A2, W2, T8, T9, X26, I3")
+def _discovered_topics(spark, folder):
     found = topics.discover_topics(_unified(spark, folder), topics.TopicSettings(partitions=8))
     return insights.topic_insights(found, GENERATED_AT).select(
         "insight_type", "title", "description", F.round("score", 6).alias("score")
@@ -351,28 +378,28 @@ def _served(rows: DataFrame) -> DataFrame:
     )
 
 
-@query
-def digest(spark, folder):
+@query("q_digest", "Q1, F8, T4")
+def _digest(spark, folder):
     return _served(serving.digest(given.insight_table(spark, folder), AS_OF))
 
 
-@query
-def latest(spark, folder):
+@query("q_latest", "Q2, F9, T5")
+def _latest(spark, folder):
     return _served(serving.latest(given.insight_table(spark, folder), AS_OF))
 
 
-@query
-def trending_served(spark, folder):
+@query("q_trending_served", "Q3, F10, T6")
+def _trending_served(spark, folder):
     return _served(serving.trending(given.insight_table(spark, folder)))
 
 
-@query
-def briefing(spark, folder):
+@query("q_briefing", "Q4, F8, T7")
+def _briefing(spark, folder):
     return _served(serving.briefing(given.insight_table(spark, folder), AS_OF))
 
 
-@query
-def messages(spark, folder):
+@query("q_messages", "Q5, X24, T9")
+def _messages(spark, folder):
     stored = given.insight_table(spark, folder)
     digest_texts = serving.digest_messages(stored, AS_OF).select(
         F.lit("digest").alias("kind"), "id", "message"
@@ -384,8 +411,8 @@ def messages(spark, folder):
     )
 
 
-@query
-def list_messages(spark, folder):
+@query("q_list_messages", "Q6")
+def _list_messages(spark, folder):
     stored = given.insight_table(spark, folder)
     return (
         serving.trending_message(stored)
@@ -399,15 +426,15 @@ def list_messages(spark, folder):
 # --- extraction ------------------------------------------------------------------------------
 
 
-@query
-def story_items(spark, folder):
+@query("q_story_items", "S9, F12, X11, X21, X22, P11, W1")
+def _story_items(spark, folder):
     return stories.story_posts(given.story_payloads(spark, folder)).select(
         "story_id", "subreddit", "title", "author", "url", "score", _clock("created_utc")
     )
 
 
-@query
-def news_feed_items(spark, folder):
+@query("q_news_feed_items", "S7, P11, W1, X23")
+def _news_feed_items(spark, folder):
     return feeds.news_articles(given.feed_payloads(spark, folder)).select(
         "feed_url",
         "position",
@@ -420,8 +447,8 @@ def news_feed_items(spark, folder):
     )
 
 
-@query
-def scholarly_feed_items(spark, folder):
+@query("q_feed_items", "S8, F11, F14, F15, W1, X16 to X20, X23")
+def _feed_items(spark, folder):
     return feeds.scholarly_articles(given.feed_payloads(spark, folder)).select(
         "feed_url",
         "position",
@@ -436,22 +463,22 @@ def scholarly_feed_items(spark, folder):
     )
 
 
-@query
-def feed_rejects(spark, folder):
+@query("q_rejects", "K9, F11, A4")
+def _rejects(spark, folder):
     parsed = feeds.parse_feeds(given.feed_payloads(spark, folder))
     return reason_counts(with_reason(parsed, feeds.payload_rules()))
 
 
-@query
-def page_links(spark, folder):
+@query("q_page_links", "S11, S13, F13, F15, X12")
+def _page_links(spark, folder):
     payloads = given.page_payloads(spark, folder, LIST_PROFILE.name)
     return pages.news_articles(payloads, [LIST_PROFILE]).select(
         "page_url", "position", "source", "category", "title", "content", "url"
     )
 
 
-@query
-def page_articles(spark, folder):
+@query("q_page_articles", "S12, S13, X13, X27, X28")
+def _page_articles(spark, folder):
     payloads = given.page_payloads(spark, folder, ARTICLE_PROFILE.name)
     return pages.scholarly_articles(payloads, [ARTICLE_PROFILE]).select(
         "page_url",
@@ -466,8 +493,8 @@ def page_articles(spark, folder):
     )
 
 
-@query
-def forum_items(spark, folder):
+@query("q_forum_items", "S10, S13, X14, X15")
+def _forum_items(spark, folder):
     payloads = given.forum_payloads(spark, folder, FORUM_PROFILE.name)
     return pages.forum_posts(payloads, [FORUM_PROFILE]).select(
         "page_url", "position", "subreddit", "title", "author", "url", "score"

@@ -19,6 +19,11 @@ _RAW_SCHOLARLY = """
     url string, published_date timestamp, extracted_date timestamp, language string
 """
 
+_FEED_PAYLOADS = """
+    feed_url string, source_name string, category string, language string, status int,
+    body string, fetched_at timestamp
+"""
+
 _DDL = {
     "news_articles": _RAW_NEWS,
     "reddit_posts": _RAW_POSTS,
@@ -53,11 +58,10 @@ _DDL = {
     description string not null, sources array<string> not null,
     related_content_ids array<string>, score double not null, generated_at timestamp not null
     """,
-    "feed_payloads": """
-    feed_url string, source_name string, category string, language string, status int,
-    body string, fetched_at timestamp
-    """,
+    "news_feed_payloads": _FEED_PAYLOADS,
+    "scholarly_feed_payloads": _FEED_PAYLOADS,
     "story_payloads": "pos int, story_id bigint, body string, fetched_at timestamp",
+    "rejected_rows": "table_name string, reject_reason string, row string",
     "page_payloads": "url string, profile string, status int, html string, fetched_at timestamp",
 }
 
@@ -67,13 +71,14 @@ def schema(table: str) -> T.StructType:
     return T.StructType.fromDDL(_DDL[table])
 
 
-def table_names() -> list[str]:
-    return list(_DDL)
+def is_known(table: str) -> bool:
+    return table in _DDL
 
 
 def ensure_column(df: DataFrame, name: str, default: Column) -> DataFrame:
-    """Add a column that older rows lack; an existing column is left as it is."""
-    return df if name in df.columns else df.withColumn(name, default)
+    """A column added after rows were stored: those rows show the default."""
+    known = F.coalesce(F.col(name), default) if name in df.columns else default
+    return df.withColumn(name, known)
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from contentloom.schemas import schema
+from contentloom.schemas import is_known, schema
 from contentloom.session import shared_folder
 
 
@@ -59,12 +59,17 @@ def _partitioned(writer: DataFrameWriter, partition_by: tuple[str, ...]) -> Data
 
 @dataclass
 class FolderStore(TableStore):
-    """One sub-folder per table. ``merge_schema`` lets files of different age differ in columns."""
+    """One sub-folder per table.
+
+    Known tables are read with their declared columns, so no file has to be opened to plan, and
+    files written before a column existed show NULL in it. ``merge_schema`` instead looks into
+    every file and keeps columns the declaration does not have.
+    """
 
     spark: SparkSession
     root: str
     file_format: str = "parquet"
-    merge_schema: bool = True
+    merge_schema: bool = False
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
@@ -76,11 +81,12 @@ class FolderStore(TableStore):
         return files.exists(location)
 
     def read(self, table: str) -> DataFrame:
-        return (
-            self.spark.read.format(self.file_format)
-            .option("mergeSchema", str(self.merge_schema).lower())
-            .load(self.path(table))
-        )
+        reader = self.spark.read.format(self.file_format)
+        if self.merge_schema:
+            reader = reader.option("mergeSchema", "true")
+        elif is_known(table):
+            reader = reader.schema(schema(table))
+        return reader.load(self.path(table))
 
     def _save(self, table: str, writer: DataFrameWriter) -> None:
         writer.format(self.file_format).save(self.path(table))

@@ -73,7 +73,7 @@ def test_all_profiles_compile():
 def feed(spark, *bodies, status=200):
     return spark.createDataFrame(
         [(f"http://f/{i}", "NAME", "cat", "he", status, b, FETCHED) for i, b in enumerate(bodies)],
-        schema("feed_payloads"),
+        schema("news_feed_payloads"),
     )
 
 

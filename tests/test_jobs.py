@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from contentloom.operators.topics import TopicSettings
 from contentloom.plans import jobs
-from contentloom.schemas import schema
+from contentloom.schemas import ensure_column, schema
 from contentloom.sources import pages
 from contentloom.sources.storage import (
     CatalogStore,
@@ -53,9 +53,18 @@ def test_store(spark, tmp_path, kind):
 
 
 def test_files_of_different_age(store, spark):
+    table = "scholarly_articles"
+    store.append(table, spark.createDataFrame([(1, "x")], "id int, extra string"))
+    store.append(table, spark.createDataFrame([(2, "he")], "id bigint, language string"))
+    declared = store.read(table)
+    assert declared.columns == schema(table).fieldNames()
+    assert {(r.id, r.language) for r in declared.collect()} == {(1, None), (2, "he")}
+    filled = ensure_column(declared, "language", F.lit("en"))
+    assert {(r.id, r.language) for r in filled.collect()} == {(1, "en"), (2, "he")}
     store.append("t", spark.createDataFrame([(1,)], "id bigint"))
     store.append("t", spark.createDataFrame([(2, "he")], "id bigint, language string"))
-    assert {(r.id, r.language) for r in store.read("t").collect()} == {(1, None), (2, "he")}
+    merged = FolderStore(spark, store.root, merge_schema=True).read("t")
+    assert {(r.id, r.language) for r in merged.collect()} == {(1, None), (2, "he")}
 
 
 def test_jdbc_options(spark):

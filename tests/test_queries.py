@@ -6,10 +6,10 @@ import __spark_entry__ as contract
 from tests.compare import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
-WITHOUT_SQL = {"q_insight_ids", "q_discovered_topics"}
+WITHOUT_SQL = {"q_discovered_topics"}
 IN_PYTHON = {
     "q_markup_text",
-    "q_scholarly_feed_items",
+    "q_feed_items",
     "q_page_links",
     "q_page_articles",
     "q_forum_items",
