@@ -27,10 +27,10 @@ def text_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     tables below a fixed size are spread over the cores. Larger ones stay as scanned.
     """
     df = table(spark, folder, name)
+    cores = spark.sparkContext.defaultParallelism
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if int(str(size)) > SMALL_TABLE_BYTES:
-        return df
-    return df.repartition(spark.sparkContext.defaultParallelism)
+    small = int(str(size)) <= SMALL_TABLE_BYTES
+    return df.repartition(cores) if small and cores > 1 else df
 
 
 def first_line(text: Column) -> Column:
