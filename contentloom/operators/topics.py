@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import DataFrame
@@ -89,31 +90,42 @@ def vocabulary(corpus: DataFrame, settings: TopicSettings = TopicSettings()) ->
 
 def count_vectors(corpus: DataFrame, terms: list[str]) -> DataFrame:
     model = CountVectorizerModel.from_vocabulary(terms, inputCol="words", outputCol="features")
-    return model.transform(corpus).select("unified_id", "features")
+    return model.transform(corpus)
 
 
 def fit_topics(
     corpus: DataFrame, terms: list[str], settings: TopicSettings = TopicSettings()
 ) -> DataFrame:
-    """Topics as ``topic, termIndices, termWeights``. Runs the model's jobs."""
+    """Topics as ``topic, termIndices, termWeights``. Runs the model's jobs.
+
+    Vectors are placed by key and words, so rows that share a key or have none still spread. The
+    checkpoint is what a lost executor reloads; the cached copy saves reading it per iteration.
+    """
     spark = corpus.sparkSession
     if not terms:
         return spark.createDataFrame([], TOPIC_COLUMNS)
     use_checkpoints(spark)
     partitions = settings.partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    place = [F.col("unified_id"), F.col("words_hash")]
     vectors = (
         count_vectors(corpus, terms)
-        .repartition(partitions, "unified_id")
-        .sortWithinPartitions("unified_id")
+        .select("unified_id", F.xxhash64("words").alias("words_hash"), "features")
+        .repartition(partitions, *place)
+        .sortWithinPartitions(*place)
+        .select("features")
         .checkpoint()
+        .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    model = LDA(
-        k=settings.topics,
-        maxIter=settings.iterations,
-        optimizer="online",
-        seed=settings.seed,
-        featuresCol="features",
-    ).fit(vectors)
+    try:
+        model = LDA(
+            k=settings.topics,
+            maxIter=settings.iterations,
+            optimizer="online",
+            seed=settings.seed,
+            featuresCol="features",
+        ).fit(vectors)
+    finally:
+        vectors.unpersist()
     return model.describeTopics(settings.terms_per_topic)
 
 

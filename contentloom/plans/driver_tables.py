@@ -74,7 +74,7 @@ def raw_posts(spark: SparkSession, folder: str) -> DataFrame:
         F.concat_ws(" ", "event_type", "props").alias("title"),
         F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("author"),
         F.concat(F.lit("http://example.com/post/"), F.col("event_id").cast("string")).alias("url"),
-        F.floor(F.col("value") * 10).cast("int").alias("score"),
+        F.floor(F.col("value") * 10).try_cast("int").alias("score"),
         F.col("ts").cast("timestamp").alias("created_utc"),
         _fetched_at().alias("extracted_date"),
     )

@@ -109,7 +109,7 @@ def _unreadable_date() -> dict[str, Column]:
 
 
 def extract_news_feeds(store: TableStore) -> dict[str, int]:
-    payloads = store.read("news_feed_payloads")
+    payloads = feeds.with_details(store.read("news_feed_payloads"), feeds.news_feeds())
     return store_rows(
         store,
         "news_articles",
@@ -120,7 +120,9 @@ def extract_news_feeds(store: TableStore) -> dict[str, int]:
 
 
 def extract_scholarly_feeds(store: TableStore) -> dict[str, int]:
-    payloads = store.read("scholarly_feed_payloads")
+    payloads = feeds.with_details(
+        store.read("scholarly_feed_payloads"), feeds.scholarly_feeds()
+    )
     return store_rows(
         store,
         "scholarly_articles",
@@ -140,8 +142,12 @@ def extract_stories(store: TableStore) -> dict[str, int]:
     )
 
 
+def _page_payloads(store: TableStore, profiles: list[pages.PageProfile]) -> DataFrame:
+    return pages.with_profiles(store.read("page_payloads"), profiles)
+
+
 def extract_forum_pages(store: TableStore) -> dict[str, int]:
-    payloads = store.read("page_payloads")
+    payloads = _page_payloads(store, pages.forum_profiles())
     return store_rows(
         store,
         "reddit_posts",
@@ -151,7 +157,7 @@ def extract_forum_pages(store: TableStore) -> dict[str, int]:
 
 
 def extract_news_pages(store: TableStore) -> dict[str, int]:
-    payloads = store.read("page_payloads")
+    payloads = _page_payloads(store, pages.news_profiles())
     return store_rows(
         store,
         "news_articles",
@@ -161,7 +167,7 @@ def extract_news_pages(store: TableStore) -> dict[str, int]:
 
 
 def extract_scholarly_pages(store: TableStore) -> dict[str, int]:
-    payloads = store.read("page_payloads")
+    payloads = _page_payloads(store, pages.scholarly_profiles())
     return store_rows(
         store,
         "scholarly_articles",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Mapping
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -56,6 +56,32 @@ def readable() -> Column:
     return (F.col("status") == 200) & F.col("feed").isNotNull() & F.col("feed._malformed").isNull()
 
 
+def with_details(payloads: DataFrame, known: Iterable[Mapping[str, str]]) -> DataFrame:
+    """Fill in name, category and language of fetched feeds from the list of known feeds.
+
+    The list is a constant of a few entries, looked up by address without a join.
+    """
+    known = list(known)
+    filled = {}
+    for name in ("source_name", "category", "language"):
+        entries = [F.lit(text) for feed in known if name in feed for text in (feed["feed_url"], feed[name])]
+        found = F.try_element_at(F.create_map(*entries), F.col("feed_url")) if entries else F.lit(None)
+        given = [F.col(name)] if name in payloads.columns else []
+        filled[name] = F.coalesce(*given, found.cast("string"))
+    return payloads.withColumns(filled)
+
+
+def news_feeds() -> list[dict[str, str]]:
+    return [{"feed_url": url, "category": category} for category, url in catalog.NEWS_FEEDS]
+
+
+def scholarly_feeds() -> list[dict[str, str]]:
+    return [
+        {"feed_url": url, "source_name": name, "category": category, "language": language}
+        for name, url, category, language in catalog.SCHOLARLY_FEEDS
+    ]
+
+
 def payload_rules() -> dict[str, Column]:
     """Why a parsed payload gives no rows."""
     return {

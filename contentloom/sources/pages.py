@@ -47,6 +47,7 @@ class PageProfile:
     score: tuple[str, ...] = ()
     link_prefix: str = ""
     language: str = "en"
+    url: str = ""
     limit: int = catalog.ITEMS_PER_SOURCE
 
 
@@ -61,6 +62,7 @@ def forum_profile(section: str) -> PageProfile:
         link=(part["title"],),
         author=(part["author"],),
         score=(part["score"],),
+        url=catalog.FORUM_PAGE_URL.format(section=section),
     )
 
 
@@ -75,6 +77,7 @@ def news_profile(
         title=(title,) if title else (),
         link=(link,),
         summary=(catalog.NEWS_SUMMARY_SELECTOR,),
+        url=url,
     )
 
 
@@ -97,6 +100,7 @@ def scholarly_profile(site: Mapping[str, str]) -> PageProfile:
         posted=(catalog.DATE_SELECTOR, f'[class*="{catalog.DATE_CLASS_PART}" i]'),
         link_prefix=site["link_prefix"],
         language=site["language"],
+        url=site["url"],
     )
 
 
@@ -115,6 +119,14 @@ def scholarly_profiles() -> list[PageProfile]:
     return [scholarly_profile(site) for site in catalog.SCHOLARLY_SITES]
 
 
+def with_profiles(pages: DataFrame, profiles: Iterable[PageProfile]) -> DataFrame:
+    """Give pages without a profile the one made for their address."""
+    entries = [F.lit(text) for p in profiles if p.url for text in (p.url, p.name)]
+    found = F.try_element_at(F.create_map(*entries), F.col("url"))
+    given = [F.col("profile")] if "profile" in pages.columns else []
+    return pages.withColumn("profile", F.coalesce(*given, found))
+
+
 def _blocks(outline: Outline, profile: PageProfile) -> list[Element]:
     for selector in profile.block:
         found = list(outline.select(selector))

@@ -320,6 +320,33 @@ def test_failed_pages(spark):
     assert pages.forum_posts(page(spark, stranger, html)).count() == 0
 
 
+def test_feed_details_by_address(spark):
+    addresses = [("https://www.wired.com/feed/rss", None), ("http://other", "kept")]
+    df = spark.createDataFrame(addresses, "feed_url string, category string")
+    rows = feeds.with_details(df, feeds.news_feeds()).collect()
+    assert [(r.category, r.source_name, r.language) for r in rows] == [
+        ("technology", None, None),
+        ("kept", None, None),
+    ]
+    ieee = spark.createDataFrame([("https://spectrum.ieee.org/feeds/feed.rss",)], "feed_url string")
+    row = feeds.with_details(ieee, feeds.scholarly_feeds()).first()
+    assert (row.source_name, row.category, row.language) == ("IEEE Spectrum", "computing", "en")
+
+
+def test_profiles_by_address(spark):
+    profiles = pages.forum_profiles() + pages.news_profiles() + pages.scholarly_profiles()
+    assert len({p.url for p in profiles}) == len({p.name for p in profiles}) == len(profiles)
+    df = spark.createDataFrame(
+        [("https://old.reddit.com/r/news/hot/", None), ("https://techcrunch.com/", None), ("x", "own")],
+        "url string, profile string",
+    )
+    assert [r.profile for r in pages.with_profiles(df, profiles).collect()] == [
+        "forum:news",
+        "scholarly:TechCrunch",
+        "own",
+    ]
+
+
 def test_catalog_sizes():
     assert len(catalog.NEWS_FEEDS) == 10 and len(catalog.SCHOLARLY_FEEDS) == 4
     assert len(pages.forum_profiles()) == 8
