@@ -1 +1,10 @@
-"""Fetched payloads to raw rows, and table storage."""
+"""Fetched payloads to raw rows, and table storage.
+
+The functions that run in Python workers travel by value, so executors need no copy of the package.
+"""
+
+import sys
+
+from pyspark.cloudpickle import register_pickle_by_value
+
+register_pickle_by_value(sys.modules["contentloom"])

@@ -64,8 +64,9 @@ def with_details(payloads: DataFrame, known: Iterable[Mapping[str, str]]) -> Dat
     known = list(known)
     filled = {}
     for name in ("source_name", "category", "language"):
-        entries = [F.lit(text) for feed in known if name in feed for text in (feed["feed_url"], feed[name])]
-        found = F.try_element_at(F.create_map(*entries), F.col("feed_url")) if entries else F.lit(None)
+        values = {feed["feed_url"]: feed[name] for feed in known if name in feed}
+        listed = F.create_map(*[F.lit(text) for pair in values.items() for text in pair])
+        found = F.try_element_at(listed, F.col("feed_url")) if values else F.lit(None)
         given = [F.col(name)] if name in payloads.columns else []
         filled[name] = F.coalesce(*given, found.cast("string"))
     return payloads.withColumns(filled)
@@ -95,18 +96,18 @@ def failed_payloads(payloads: DataFrame) -> DataFrame:
     return rejected_rows(checked).select(F.col("feed_url").alias("origin"), REASON, "body")
 
 
-def _first_items(feeds: DataFrame, items: Column, limit: int) -> DataFrame:
-    """The first items of every feed, one per row, with their position."""
+def _one_per_row(feeds: DataFrame, items: Column) -> DataFrame:
+    """Items of every feed, one per row, with their position."""
     return feeds.select(
         *[c for c in feeds.columns if c not in ("feed", "body")],
         F.col("feed.channel.title").alias("channel_title"),
         F.col("feed.title").alias("feed_title"),
-        F.posexplode(F.slice(items, 1, limit)).alias("position", "item"),
+        F.posexplode(items).alias("position", "item"),
     )
 
 
-def _news_items() -> Column:
-    """RSS, RDF and Atom items in one shape."""
+def _news_items(limit: int) -> Column:
+    """The first RSS, RDF or Atom items of a feed in one shape."""
 
     def from_item(item: Column) -> Column:
         return F.struct(
@@ -131,9 +132,9 @@ def _news_items() -> Column:
         )
 
     return F.coalesce(
-        F.transform("feed.channel.item", from_item),
-        F.transform("feed.item", from_item),
-        F.transform("feed.entry", from_entry),
+        F.transform(F.slice("feed.channel.item", 1, limit), from_item),
+        F.transform(F.slice("feed.item", 1, limit), from_item),
+        F.transform(F.slice("feed.entry", 1, limit), from_entry),
     )
 
 
@@ -145,7 +146,7 @@ def news_articles(payloads: DataFrame, limit: int = catalog.ITEMS_PER_SOURCE) ->
     absent = catalog.FEED_DEFAULTS
     feeds = parse_feeds(payloads).filter(readable())
     published = strip(F.col("item.published"))
-    return _first_items(feeds, _news_items(), limit).select(
+    return _one_per_row(feeds, _news_items(limit)).select(
         F.coalesce("channel_title", "feed_title", F.lit(absent["source"])).alias("source"),
         "category",
         F.coalesce("item.title", F.lit(absent["title"])).alias("title"),
@@ -163,7 +164,7 @@ def news_articles(payloads: DataFrame, limit: int = catalog.ITEMS_PER_SOURCE) ->
 def scholarly_articles(payloads: DataFrame, limit: int = catalog.ITEMS_PER_SOURCE) -> DataFrame:
     """Raw scholarly rows of RSS and RDF feeds; items without title or link are skipped."""
     feeds = parse_feeds(payloads).filter(readable())
-    items = F.coalesce("feed.channel.item", "feed.item")
+    items = F.slice(F.coalesce("feed.channel.item", "feed.item"), 1, limit)
 
     def first_of(*names: str) -> Column:
         return strip(F.coalesce(*[F.col("item")[name] for name in names]))
@@ -174,7 +175,7 @@ def scholarly_articles(payloads: DataFrame, limit: int = catalog.ITEMS_PER_SOURC
     )
     published = first_of("pubDate", "dc:date", "published")
     return (
-        _first_items(feeds, items, limit)
+        _one_per_row(feeds, items)
         .filter((first_of("title") != "") & (first_of("link") != ""))
         .select(
             F.col("source_name").alias("source"),

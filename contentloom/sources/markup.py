@@ -8,7 +8,6 @@ comma lists.
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 from html.parser import HTMLParser
 
 # Elements without content, and elements whose text is not page text.
@@ -124,9 +123,14 @@ _SIMPLE = re.compile(
 _PIECE = re.compile(r"\s*(>)\s*|(\s+)|((?:\[[^\]]*\]|[^\s>\[])+)")
 
 
-@lru_cache(maxsize=1024)
+_COMPILED: dict[str, tuple] = {}
+
+
 def compile_selector(selector: str) -> tuple:
-    return tuple(_compile_steps(part) for part in selector.split(","))
+    """Alternatives of a selector; the few selectors of the profiles are compiled once a task."""
+    if selector not in _COMPILED:
+        _COMPILED[selector] = tuple(_compile_steps(part) for part in selector.split(","))
+    return _COMPILED[selector]
 
 
 def _compile_steps(part: str) -> tuple:

@@ -1,6 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from contentloom.schemas import schema
+from contentloom.sources.storage import FolderStore
 from tests.compare import local_session
 
 
@@ -25,3 +27,11 @@ def apply(spark):
         return [r.out for r in df.select("i", function(F.col("v")).alias("out")).orderBy("i").collect()]
 
     return run
+
+
+@pytest.fixture
+def store_with_posts(spark, tmp_path):
+    store = FolderStore(spark, str(tmp_path / "tables"))
+    row = (1, "Sub", "Title", "a", "u", 5, None, None)
+    store.append("reddit_posts", spark.createDataFrame([row], schema("reddit_posts")))
+    return store

@@ -351,3 +351,9 @@ def test_catalog_sizes():
     assert len(catalog.NEWS_FEEDS) == 10 and len(catalog.SCHOLARLY_FEEDS) == 4
     assert len(pages.forum_profiles()) == 8
     assert len(pages.news_profiles()) == 8 and len(pages.scholarly_profiles()) == 9
+
+
+def test_the_word_null_is_text(spark):
+    body = rss(item(title="null", link="l", description="null"))
+    row = feeds.scholarly_articles(feed(spark, body)).first()
+    assert (row.title, row.abstract) == ("null", "null")
