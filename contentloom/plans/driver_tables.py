@@ -159,7 +159,9 @@ def _feed_item(line: Column, i: Column) -> Column:
         "item",
         F.concat(
             _element("title", text),
-            F.when((number + i) % 11 == 5, F.lit("")).otherwise(_element("link", link)),
+            F.when((number + i) % 11 != 5, _element("link", link))
+            .when(i % 2 == 0, _element("guid", link))
+            .otherwise(F.concat(F.lit('<guid isPermaLink="false">'), link, F.lit("</guid>"))),
             _cases(i % 3, _element("author", F.lit(" A. Writer ")), _element("dc:creator", F.lit("C, D"))),
             _cases(
                 i % 4,

@@ -114,7 +114,7 @@ def extract_news_feeds(store: TableStore) -> dict[str, int]:
         store,
         "news_articles",
         feeds.news_articles(payloads),
-        feeds.failed_payloads(payloads),
+        feeds.failed_payloads(payloads, fetched_only=False),
         _unreadable_date(),
     )
 
@@ -127,7 +127,7 @@ def extract_scholarly_feeds(store: TableStore) -> dict[str, int]:
         store,
         "scholarly_articles",
         feeds.scholarly_articles(payloads),
-        feeds.failed_payloads(payloads),
+        feeds.failed_payloads(payloads, fetched_only=True),
         _unreadable_date(),
     )
 

@@ -157,16 +157,17 @@ lines AS (
          generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i
   FROM documents)
 """
-_FEED_OK = "doc_id % 17 <> 2 AND doc_id % 13 <> 4 AND i < 10"
+_READ = "doc_id % 13 <> 4 AND i < 10"
+_FETCHED_AND_READ = f"doc_id % 17 <> 2 AND {_READ}"
 _TRIMMED = r"regexp_replace(line, '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g')"
 _MORNING = "make_timestamp(2024, 1, i % 28 + 1, 10, 0, 0.0)"
 _FETCHED = f"TIMESTAMP '{FETCHED_AT}'"
 
 
-def _feed_time(zone_name: str) -> str:
+def _feed_time(dc_date: str, zone_name: str) -> str:
     return _clock(
         f"""CASE i % 5 WHEN 0 THEN {_MORNING} WHEN 1 THEN {_MORNING} + INTERVAL 5 HOUR
-            WHEN 2 THEN {_MORNING} WHEN 3 THEN {zone_name} ELSE {_FETCHED} END"""
+            WHEN 2 THEN {dc_date} WHEN 3 THEN {zone_name} ELSE {_FETCHED} END"""
     )
 
 
@@ -392,10 +393,10 @@ SELECT 'http://example.com/feed/' || doc_id AS feed_url, CAST(i AS INTEGER) AS p
                     || replace(replace(replace(line, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')
                     || '<br/> <i>more</i></p>'
                   WHEN 3 THEN 'No content' ELSE {_TRIMMED} END AS content,
-       CASE WHEN (doc_id + i) % 11 = 5 THEN 'No URL'
+       CASE WHEN (doc_id + i) % 11 = 5 AND i % 2 = 1 THEN 'No URL'
             ELSE 'http://example.com/doc/' || doc_id || '/' || i END AS url,
-       {_feed_time(_MORNING)} AS published_date
-FROM lines WHERE {_FEED_OK}""",
+       {_feed_time(_FETCHED, _MORNING)} AS published_date
+FROM lines WHERE {_READ}""",
     "q_feed_items": f"""
 WITH {_LINES}
 SELECT 'http://example.com/feed/' || doc_id AS feed_url, CAST(i AS INTEGER) AS position, source,
@@ -406,8 +407,8 @@ SELECT 'http://example.com/feed/' || doc_id AS feed_url, CAST(i AS INTEGER) AS p
                        WHEN 3 THEN 'No abstract available - ' || source
                        ELSE {_strip("line")} END, 1000) AS abstract,
        'http://example.com/doc/' || doc_id || '/' || i AS url, lang AS language,
-       {_feed_time(_FETCHED)} AS published_date
-FROM lines WHERE {_FEED_OK} AND {_strip("line")} <> '' AND (doc_id + i) % 11 <> 5""",
+       {_feed_time(_MORNING, _FETCHED)} AS published_date
+FROM lines WHERE {_FETCHED_AND_READ} AND {_strip("line")} <> '' AND (doc_id + i) % 11 <> 5""",
     "q_rejects": """
 SELECT CASE WHEN doc_id % 17 = 2 THEN 'not fetched' WHEN doc_id % 13 = 4 THEN 'malformed'
             ELSE 'stored' END AS reject_reason, count(*) AS "rows"

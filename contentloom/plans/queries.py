@@ -466,7 +466,7 @@ def _feed_items(spark, folder):
 @query("q_rejects", "K9, F11, A4")
 def _rejects(spark, folder):
     parsed = feeds.parse_feeds(given.feed_payloads(spark, folder))
-    return reason_counts(with_reason(parsed, feeds.payload_rules()))
+    return reason_counts(with_reason(parsed, feeds.payload_rules(fetched_only=True)))
 
 
 @query("q_page_links", "S11, S13, F13, F15, X12")

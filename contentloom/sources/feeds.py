@@ -18,7 +18,7 @@ from contentloom.sources.markup import page_text
 _ITEM = """struct<
     title: string, link: string, author: string, `dc:creator`: string, description: string,
     `content:encoded`: string, summary: string, pubDate: string, `dc:date`: string,
-    published: string>"""
+    published: string, guid: struct<_VALUE: string, _isPermaLink: string>>"""
 _ENTRY = """struct<
     title: string, link: array<struct<_href: string, _rel: string>>, summary: string,
     content: string, published: string>"""
@@ -51,9 +51,8 @@ def parse_feeds(payloads: DataFrame) -> DataFrame:
     return payloads.select("*", F.explode(F.array(parsed)).alias("feed"))
 
 
-def readable() -> Column:
-    """Fetched successfully and well formed."""
-    return (F.col("status") == 200) & F.col("feed").isNotNull() & F.col("feed._malformed").isNull()
+def well_formed() -> Column:
+    return F.col("feed").isNotNull() & F.col("feed._malformed").isNull()
 
 
 def with_details(payloads: DataFrame, known: Iterable[Mapping[str, str]]) -> DataFrame:
@@ -83,16 +82,14 @@ def scholarly_feeds() -> list[dict[str, str]]:
     ]
 
 
-def payload_rules() -> dict[str, Column]:
-    """Why a parsed payload gives no rows."""
-    return {
-        "not fetched": F.coalesce(F.col("status") != 200, F.lit(True)),
-        "malformed": F.col("feed").isNull() | F.col("feed._malformed").isNotNull(),
-    }
+def payload_rules(fetched_only: bool) -> dict[str, Column]:
+    """Why a parsed payload gives no rows. News feeds are read whatever their status."""
+    rules = {"not fetched": F.coalesce(F.col("status") != 200, F.lit(True))} if fetched_only else {}
+    return {**rules, "malformed": ~well_formed()}
 
 
-def failed_payloads(payloads: DataFrame) -> DataFrame:
-    checked = with_reason(parse_feeds(payloads), payload_rules())
+def failed_payloads(payloads: DataFrame, fetched_only: bool) -> DataFrame:
+    checked = with_reason(parse_feeds(payloads), payload_rules(fetched_only))
     return rejected_rows(checked).select(F.col("feed_url").alias("origin"), REASON, "body")
 
 
@@ -107,16 +104,21 @@ def _one_per_row(feeds: DataFrame, items: Column) -> DataFrame:
 
 
 def _news_items(limit: int) -> Column:
-    """The first RSS, RDF or Atom items of a feed in one shape."""
+    """The first RSS, RDF or Atom items of a feed in one shape.
+
+    The unique id of an RSS item doubles as its link unless it is marked as no permanent link.
+    """
 
     def from_item(item: Column) -> Column:
+        guid = item["guid"]
+        is_link = F.coalesce(guid["_isPermaLink"], F.lit("true")) == "true"
         return F.struct(
             item["title"].alias("title"),
-            item["link"].alias("link"),
+            F.coalesce(item["link"], F.when(is_link, guid["_VALUE"])).alias("link"),
             F.coalesce(item["description"], item["content:encoded"], item["summary"]).alias(
                 "content"
             ),
-            F.coalesce(item["pubDate"], item["dc:date"], item["published"]).alias("published"),
+            F.coalesce(item["pubDate"], item["published"]).alias("published"),
         )
 
     def from_entry(entry: Column) -> Column:
@@ -144,7 +146,7 @@ def news_articles(payloads: DataFrame, limit: int = catalog.ITEMS_PER_SOURCE) ->
     ``published_date`` is NULL where a date is given that cannot be read.
     """
     absent = catalog.FEED_DEFAULTS
-    feeds = parse_feeds(payloads).filter(readable())
+    feeds = parse_feeds(payloads).filter(well_formed())
     published = strip(F.col("item.published"))
     return _one_per_row(feeds, _news_items(limit)).select(
         F.coalesce("channel_title", "feed_title", F.lit(absent["source"])).alias("source"),
@@ -163,7 +165,7 @@ def news_articles(payloads: DataFrame, limit: int = catalog.ITEMS_PER_SOURCE) ->
 
 def scholarly_articles(payloads: DataFrame, limit: int = catalog.ITEMS_PER_SOURCE) -> DataFrame:
     """Raw scholarly rows of RSS and RDF feeds; items without title or link are skipped."""
-    feeds = parse_feeds(payloads).filter(readable())
+    feeds = parse_feeds(payloads.filter("status = 200")).filter(well_formed())
     items = F.slice(F.coalesce("feed.channel.item", "feed.item"), 1, limit)
 
     def first_of(*names: str) -> Column:

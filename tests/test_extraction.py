@@ -92,14 +92,16 @@ def test_news_feed(spark):
     body = rss(
         item(title="A &amp; b", description="D", link="http://l", pubDate="Mon, 02 Jan 2023 10:00:00 GMT"),
         item(),
-        item(title="", summary="S", dc__date="2023-01-02T01:00:00Z"),
-        item(title="bad", pubDate="yesterday"),
+        item(title="", summary="S", published="2023-01-02T01:00:00Z", guid="http://g"),
+        item(title="bad", pubDate="yesterday").replace(
+            "</item>", '<guid isPermaLink="false">7</guid></item>'
+        ),
     )
     rows = feeds.news_articles(feed(spark, body)).orderBy("position").collect()
     assert [(r.source, r.title, r.content, r.url) for r in rows] == [
         ("T", "A & b", "D", "http://l"),
         ("T", "No title", "No content", "No URL"),
-        ("T", "", "S", "No URL"),
+        ("T", "", "S", "http://g"),
         ("T", "bad", "No content", "No URL"),
     ]
     assert [r.published_date for r in rows] == [
@@ -169,11 +171,14 @@ def test_failed_feeds(spark):
     good = rss(item(title="t", link="l"))
     payloads = feed(spark, good, good[:-6], "<html><body>x", "", None)
     assert feeds.news_articles(payloads).count() == 1
-    failed = feeds.failed_payloads(payloads).collect()
+    failed = feeds.failed_payloads(payloads, fetched_only=False).collect()
     assert {(r.origin[-1], r.reject_reason) for r in failed} == {(str(i), "malformed") for i in (1, 2, 3, 4)}
     refused = feed(spark, good, status=503)
     assert feeds.scholarly_articles(refused).count() == 0
-    assert [r.reject_reason for r in feeds.failed_payloads(refused).collect()] == ["not fetched"]
+    failed = feeds.failed_payloads(refused, fetched_only=True).collect()
+    assert [r.reject_reason for r in failed] == ["not fetched"]
+    assert feeds.news_articles(refused).count() == 1
+    assert feeds.failed_payloads(refused, fetched_only=False).count() == 0
 
 
 def test_feed_is_parsed_once(spark):
