@@ -32,18 +32,33 @@ class Element:
         self.text_to = text_from
 
 
+class _Enough(Exception):
+    """The wanted elements are complete."""
+
+
 class Outline(HTMLParser):
-    """Elements in document order; the descendants of one are a contiguous range."""
+    """Elements in document order; the descendants of one are a contiguous range.
+
+    With ``first=(selector, count)`` reading ends as soon as the first ``count`` matches are
+    complete, so the rest of a long page costs nothing. A page with fewer is read to its end.
+    """
 
-    def __init__(self, html: str):
+    def __init__(self, html: str, first: tuple[str, int] | None = None):
         super().__init__(convert_charrefs=True)
+        self._wanted = compile_selector(first[0]) if first else ()
+        self._missing = first[1] if first else 0
+        self._incomplete: set[int] = set()
         self.elements: list[Element] = []
         self._texts: list[str] = []
         self._open: list[Element] = []
         self._open_tags: dict[str, int] = {}
         self._silent = 0
-        self.feed(html)
-        self.close()
+        try:
+            self.feed(html)
+            self.close()
+        except _Enough:
+            pass
+        self._incomplete.clear()
         while self._open:
             self._finish()
 
@@ -55,6 +70,9 @@ class Outline(HTMLParser):
         element = Element(tag, named, parent, len(self.elements), len(self._texts))
         self.elements.append(element)
         self._open.append(element)
+        if self._missing and any(_matches(element, steps) for steps in self._wanted):
+            self._missing -= 1
+            self._incomplete.add(element.number)
         self._open_tags[tag] = self._open_tags.get(tag, 0) + 1
         self._silent += tag in SILENT_TAGS
         if tag in VOID_TAGS:
@@ -84,6 +102,10 @@ class Outline(HTMLParser):
         element.text_to = len(self._texts)
         self._open_tags[element.tag] -= 1
         self._silent -= element.tag in SILENT_TAGS
+        if element.number in self._incomplete:
+            self._incomplete.remove(element.number)
+            if not self._missing and not self._incomplete:
+                raise _Enough
         return element.tag
 
     def text(self, element: Element | None = None) -> str:

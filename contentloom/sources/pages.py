@@ -149,7 +149,7 @@ def _link(outline: Outline, block: Element, title: Element, profile: PageProfile
 
 def read_page(html: str, profile: PageProfile) -> Iterator[tuple]:
     """Bare fields of every item of a page, None where a part is absent."""
-    outline = Outline(html)
+    outline = Outline(html, first=(profile.block[0], profile.limit))
 
     def text(selectors: tuple[str, ...], block: Element) -> str | None:
         holder = outline.first(selectors, block)

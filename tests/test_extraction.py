@@ -63,6 +63,32 @@ def test_unsupported_selectors_are_refused(selector):
         compile_selector(selector)
 
 
+def test_reading_ends_after_the_first_matches():
+    html = '<div class="p"><b>1</b><div class="p"><b>2</b></div>x</div><br><div class="p">3</div><i>'
+    for count in range(5):
+        whole, part = Outline(html), Outline(html, first=("div.p", count))
+        expected = [whole.text(e) for e in whole.select("div.p")][:count]
+        assert [part.text(e) for e in part.select("div.p")][:count] == expected
+    assert [e.tag for e in Outline(html, first=("div.p", 2)).elements] == ["div", "b", "div", "b"]
+    assert Outline(html, first=("br", 1)).elements[-1].tag == "br"
+    assert Outline(html, first=("u", 1)).elements[-1].tag == "i"
+    unclosed = Outline("<div><p>a<p>b", first=("p", 2))
+    assert [unclosed.text(e) for e in unclosed.select("p")] == ["ab", "b"]
+
+
+def test_early_end_changes_no_row(monkeypatch):
+    page = "<ul>" + "".join(
+        f'<li class="thing item"><a class="title" href="/{i}">Title number {i}</a><p>t<p>u'
+        for i in range(30)
+    )
+    own = pages.PageProfile(name="own", source="s", category="c", block=("li",), title=("a",))
+    profiles = [own] + pages.forum_profiles()[:1] + pages.news_profiles() + pages.scholarly_profiles()
+    early = [list(pages.read_page(page, p)) for p in profiles]
+    monkeypatch.setattr(pages, "Outline", lambda html, first: Outline(html))
+    assert early == [list(pages.read_page(page, p)) for p in profiles]
+    assert sum(map(len, early)) > 0
+
+
 def test_all_profiles_compile():
     for profile in pages.forum_profiles() + pages.news_profiles() + pages.scholarly_profiles():
         for part in ("block", "title", "link", "author", "summary", "posted", "score"):
