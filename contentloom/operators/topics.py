@@ -28,7 +28,8 @@ class TopicSettings:
     """Size and seed of the model.
 
     Online LDA samples each partition, so equal topics need an equal ``seed`` and an equal
-    ``partitions``; the latter defaults to ``spark.sql.shuffle.partitions``.
+    ``partitions``; the latter defaults to ``spark.sql.shuffle.partitions``. Weights may still
+    differ in their last digits, since partial sums meet in the order tasks end.
     """
 
     vocabulary_size: int = 1000

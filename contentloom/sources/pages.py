@@ -184,16 +184,13 @@ def page_blocks(pages: DataFrame, profiles: Iterable[PageProfile]) -> DataFrame:
             rows = [
                 (page.url, page.profile, page.fetched_at, *block)
                 for page in batch.itertuples(index=False)
+                if page.html is not None
                 for block in read_page(page.html, known[page.profile])
             ]
             yield pd.DataFrame(rows, columns=names)
 
     return (
-        pages.filter(
-            (F.col("status") == 200)
-            & F.col("html").isNotNull()
-            & F.col("profile").isin(*known)
-        )
+        pages.filter((F.col("status") == 200) & F.col("profile").isin(*known))
         .select("url", "profile", "html", "fetched_at")
         .mapInPandas(read, columns)
     )

@@ -344,6 +344,9 @@ def test_scholarly_block_fallbacks(spark):
 def test_failed_pages(spark):
     profile = pages.forum_profile("news")
     html = '<div class="thing"><a class="title">t</a></div>'
+    assert pages.forum_posts(page(spark, profile, html, None)).count() == 1
+    missing = pages.failed_payloads(page(spark, profile, html, None), [profile]).collect()
+    assert [r.reject_reason for r in missing] == ["not fetched"]
     refused = page(spark, profile, html, status=404)
     assert pages.forum_posts(refused).count() == 0
     assert pages.failed_payloads(refused, [profile]).first().reject_reason == "not fetched"
