@@ -8,7 +8,7 @@ from __future__ import annotations
 import argparse
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from contentloom.operators.insights import build_insights
@@ -56,11 +56,17 @@ def merge_all(store: TableStore) -> None:
 
 def insights(
     store: TableStore, as_of=None, settings: TopicSettings = TopicSettings(), generated_at=None
-) -> None:
+) -> dict[str, int]:
+    """Append the insights of one run; the number of rows is counted while they are written."""
     unified = store.register("unified_content")
     store.create_if_absent("content_insights")
     rows = build_insights(unified, as_of, generated_at, settings)
-    store.append("content_insights", conform(rows, "content_insights"))
+    counted = Observation()
+    store.append(
+        "content_insights",
+        conform(rows, "content_insights").observe(counted, F.count(F.lit(1)).alias("stored")),
+    )
+    return counted.get
 
 
 def digest(store: TableStore, as_of=None) -> DataFrame:
@@ -88,7 +94,9 @@ def store_rows(
 ) -> dict[str, int]:
     """Append extracted rows to a raw table; bad rows and failed payloads go to the rejects.
 
-    Returns the number of rows by outcome. An empty batch writes nothing.
+    Returns the number of rows by outcome. An empty batch writes nothing. Jobs that append to the
+    same table must run one after another: ids continue from the last one stored, and file
+    appends to one folder must not overlap.
     """
     with staged(with_reason(rows, rules or {})) as checked:
         counts = {row[REASON]: row["rows"] for row in reason_counts(checked).collect()}

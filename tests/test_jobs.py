@@ -175,8 +175,9 @@ def test_pipeline(store, spark):
     assert "PartitionFilters: [isnotnull(content_type" in academic._jdf.queryExecution().toString()
 
     settings = TopicSettings(topics=2, iterations=2, partitions=2)
-    jobs.insights(store, AS_OF, settings, generated_at="2024-01-30 12:00:00")
+    outcome = jobs.insights(store, AS_OF, settings, generated_at="2024-01-30 12:00:00")
     first = store.read("content_insights").count()
+    assert outcome == {"stored": first}
     kinds = {r.insight_type for r in store.read("content_insights").collect()}
     assert kinds == {"trending_topic", "discovered_topic"}
     jobs.insights(store, AS_OF, settings, generated_at="2024-01-30 12:00:00")
