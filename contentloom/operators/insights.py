@@ -106,9 +106,15 @@ def topic_insights(topics: DataFrame, generated_at=None) -> DataFrame:
     )
 
 
-def ranked_insights(unified: DataFrame, as_of=None, generated_at=None) -> DataFrame:
-    """Trending and positive insights, a plan without any job."""
-    return trending_insights(trending_topics(unified, as_of), generated_at).unionByName(
+def ranked_insights(
+    unified: DataFrame, as_of=None, generated_at=None, trending: DataFrame | None = None
+) -> DataFrame:
+    """Trending and positive insights, a plan without any job.
+
+    ``trending`` may hold the ranked categories when they have been computed before.
+    """
+    categories = trending_topics(unified, as_of) if trending is None else trending
+    return trending_insights(categories, generated_at).unionByName(
         positive_insights(positive_content(unified, as_of), generated_at)
     )
 
@@ -118,8 +124,9 @@ def build_insights(
     as_of=None,
     generated_at=None,
     settings: TopicSettings = TopicSettings(),
+    trending: DataFrame | None = None,
 ) -> DataFrame:
     """All insight rows of one run, to be appended with a single write."""
-    return ranked_insights(unified, as_of, generated_at).unionByName(
+    return ranked_insights(unified, as_of, generated_at, trending).unionByName(
         topic_insights(discover_topics(unified, settings), generated_at)
     )

@@ -19,6 +19,7 @@ from contentloom.operators.quality import (
     rejected_rows,
     with_reason,
 )
+from contentloom.operators.ranking import trending_topics
 from contentloom.operators.serving import digest_messages
 from contentloom.operators.topics import TopicSettings
 from contentloom.operators.transform import transform_news, transform_posts, transform_scholarly
@@ -57,16 +58,25 @@ def merge_all(store: TableStore) -> None:
 def insights(
     store: TableStore, as_of=None, settings: TopicSettings = TopicSettings(), generated_at=None
 ) -> dict[str, int]:
-    """Append the insights of one run; the number of rows is counted while they are written."""
+    """Append the insights of one run; returns the number of rows by outcome.
+
+    Rows are counted while they are written. A trending category without a name cannot become an
+    insight and goes to the rejects.
+    """
     unified = store.register("unified_content")
     store.create_if_absent("content_insights")
-    rows = build_insights(unified, as_of, generated_at, settings)
-    counted = Observation()
-    store.append(
-        "content_insights",
-        conform(rows, "content_insights").observe(counted, F.count(F.lit(1)).alias("stored")),
-    )
-    return counted.get
+    with staged(trending_topics(unified, as_of)) as trending:
+        rows = build_insights(unified, as_of, generated_at, settings, trending)
+        counted = Observation()
+        store.append(
+            "content_insights",
+            conform(rows, "content_insights").observe(counted, F.count(F.lit(1)).alias("stored")),
+        )
+        checked = with_reason(trending, {"unnamed category": F.col("category").isNull()})
+        unnamed = rejected_rows(checked).count()
+        if unnamed:
+            _store_rejects(store, "content_insights", rejected_rows(checked))
+    return {**counted.get, **({"unnamed category": unnamed} if unnamed else {})}
 
 
 def digest(store: TableStore, as_of=None) -> DataFrame:

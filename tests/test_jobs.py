@@ -187,6 +187,20 @@ def test_pipeline(store, spark):
     assert messages and all("Relevance Score: " in r.message for r in messages)
 
 
+def test_unnamed_category_is_rejected(store, spark):
+    rows = [
+        (i, "s", category, "t", None, "u", dt.date(2024, 1, 30), 0.0, "news", f"news_{i}", FETCHED)
+        for i, category in enumerate([None, None, "named"])
+    ]
+    unified = spark.createDataFrame(rows, schema("unified_content"))
+    store.overwrite("unified_content", unified, partition_by=("content_type",))
+    assert jobs.run("insights", store, as_of=AS_OF) == {"stored": 1, "unnamed category": 1}
+    assert [r.title for r in store.read("content_insights").collect()] == ["named"]
+    reject = store.read(jobs.REJECTS).first()
+    assert (reject.table_name, reject.reject_reason) == ("content_insights", "unnamed category")
+    assert json.loads(reject.row)["count"] == 2
+
+
 def test_scholarly_table_without_language(store, spark):
     old = spark.createDataFrame(
         [(1, "S", "C", "T", "a", "abs", "u", FETCHED, FETCHED)],
