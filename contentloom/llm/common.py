@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,13 +50,54 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+class Shared:
+    """A value of the package's own types, broadcast by value; its size must be bounded."""
+
+    def __init__(self, spark: SparkSession, value: object):
+        self._sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def load(self) -> object:
+        """The value in a task; once a task is enough."""
+        return cloudpickle.loads(self._sent.value)
+
+
 def remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; NULL for a NULL id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % modulus
 
 
-def mean_rows(rows: int, per_part: int) -> int:
-    """Parts of about ``per_part`` rows, one at least."""
+def set_aside(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, rest): every other column goes into the struct ``rest``, named by position.
+
+    So no name of ``docs`` can clash with an operator's own, whatever its case.
+    """
+    names = docs.columns
+    placed = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    others = [F.col(f"c{i}") for i, name in enumerate(names) if name not in ("doc_id", "text")]
+    return placed.select(
+        F.col(f"c{names.index('doc_id')}").alias("doc_id"),
+        F.col(f"c{names.index('text')}").alias("text"),
+        F.struct(*others, F.lit(0).alias("end")).alias("rest"),
+    )
+
+
+def restored(df: DataFrame, names: list[str], **changed: Column) -> DataFrame:
+    """The columns that ``set_aside`` took apart, in their order; ``changed`` replaces some."""
+    own = ("doc_id", "text")
+    columns = [
+        changed.get(name, F.col(name) if name in own else F.col(f"rest.c{i}")).alias(f"c{i}")
+        for i, name in enumerate(names)
+    ]
+    return df.select(*columns).toDF(*names)
+
+
+def keyed_only(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) alone."""
+    return set_aside(docs).select("doc_id", "text")
+
+
+def parts_of(rows: int, per_part: int) -> int:
+    """How many parts of about ``per_part`` rows there are, one at least."""
     return max(1, -(-rows // per_part))
 
 

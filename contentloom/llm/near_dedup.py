@@ -24,6 +24,7 @@ from .common import (
     Words,
     binaries,
     cut_lineage,
+    keyed_only,
     mixed,
     shingle_sets,
     text_batches,
@@ -301,7 +302,7 @@ def near_duplicates(docs: DataFrame, settings: ForestSettings = ForestSettings()
     the components of crowded groups with few confirmations. The second proposes every likely
     pair whose documents are still in different components, so no likely link is left out.
     """
-    docs = docs.select("doc_id", "text")
+    docs = keyed_only(docs)
     marked = cut_lineage(signatures(docs, settings))
     classes = cut_lineage(
         marked.where("node IS NOT NULL AND doc_id IS NOT NULL")

@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
+from .decontaminate import find_contamination
+from .line_dedup import dedup_lines
 from .near_dedup import ForestSettings, near_duplicates
+from .packing import pack
+from .tokens import Vocabulary
+
+VOCABULARY = Vocabulary(
+    public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+)
 
 
 def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -13,5 +23,36 @@ def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), ForestSettings(words=3, percent=85))
 
 
-QUERIES = {"op1_minhash_near_dedup": op1_minhash_near_dedup}
+def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in sequences of 2048 tokens."""
+    return pack(table(spark, folder, "documents"), VOCABULARY)
+
+
+def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of 40 characters or more that five documents or more share."""
+    return dedup_lines(table(spark, folder, "documents")).select(
+        "doc_id",
+        "n_lines",
+        "n_dropped",
+        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark passages of 13 words in documents."""
+    found = find_contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_minhash_near_dedup, op3_packing, op9_line_dedup, op10_decontamination)
+}
 ORACLES: dict[str, str] = {}
