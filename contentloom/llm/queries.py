@@ -11,6 +11,7 @@ from .decontaminate import find_contamination
 from .line_dedup import dedup_lines
 from .near_dedup import ForestSettings, near_duplicates
 from .packing import pack
+from .sharding import shard
 from .tokens import Vocabulary
 
 VOCABULARY = Vocabulary(
@@ -28,6 +29,20 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"), VOCABULARY)
 
 
+def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in 16 shards of nearly equal sizes."""
+    return shard(table(spark, folder, "documents")).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "tokens",
+    )
+
+
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Lines of 40 characters or more that five documents or more share."""
     return dedup_lines(table(spark, folder, "documents")).select(
@@ -53,6 +68,12 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_minhash_near_dedup, op3_packing, op9_line_dedup, op10_decontamination)
+    for f in (
+        op1_minhash_near_dedup,
+        op3_packing,
+        op8_sharding,
+        op9_line_dedup,
+        op10_decontamination,
+    )
 }
 ORACLES: dict[str, str] = {}
