@@ -197,19 +197,24 @@ class Words:
         else:
             self.starts = self.ends = np.empty(0, np.int64)
         self.first = np.searchsorted(self.starts, texts.bounds)
-        self.hashes = self._hashed(texts.data, _LOWER_VALUES if lower else _BYTE_VALUES)
+        self.data, self.values = texts.data, _LOWER_VALUES if lower else _BYTE_VALUES
+        self.hashes = self._hashed(self.ends)
 
-    def _hashed(self, data: np.ndarray, values: np.ndarray) -> np.ndarray:
+    def beginnings(self, size: int) -> np.ndarray:
+        """Hashes of the first ``size`` bytes of each word, or of all of a shorter one."""
+        return self._hashed(np.minimum(self.ends, self.starts + size))
+
+    def _hashed(self, ends: np.ndarray) -> np.ndarray:
         out = np.empty(len(self.starts), np.uint64)
         i = 0
         while i < len(out):
             low = self.starts[i]
-            j = max(i + 1, int(np.searchsorted(self.ends, low + HASH_BYTES, "right")))
-            high = self.ends[j - 1]
+            j = max(i + 1, int(np.searchsorted(ends, low + HASH_BYTES, "right")))
+            high = ends[j - 1]
             up, down = _Powers.to(int(high - low) + 1)
             sums = np.zeros(high - low + 1, np.uint64)
-            np.cumsum(values[data[low:high]] * up[: high - low], out=sums[1:])
-            s, e = self.starts[i:j] - low, self.ends[i:j] - low
+            np.cumsum(self.values[self.data[low:high]] * up[: high - low], out=sums[1:])
+            s, e = self.starts[i:j] - low, ends[i:j] - low
             out[i:j] = mixed((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64))
             i = j
         return out
