@@ -3,7 +3,8 @@
 The forest keeps one sorted signature order per tree. Documents that share a prefix of an order
 form a region; a region that holds too many documents goes deeper, hash by hash, until it is
 small enough, so depth adapts to how crowded that part of the order is. Inside a region the
-estimated similarities propose links, and every proposed link is confirmed on full shingle sets.
+estimated similarities propose links, likeliest first, and every proposed link between documents
+that are not connected yet is confirmed on full shingle sets.
 
 Copies are one class from the start: documents with equal sets share a node of the link graph.
 """
@@ -12,6 +13,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -37,18 +40,17 @@ class ForestSettings:
     """``percent``: 100 times the least similarity of linked documents.
 
     Two documents of similarity s share a region of one tree with probability s ** first_depth,
-    so 14 trees of depth 4 miss a pair at 0.85 once in 30,000 times and one at 0.9 once in 3
-    million. ``crowd`` is the most documents a region may hold before it goes deeper; it bounds
+    so 12 trees of depth 4 miss a pair at 0.85 once in 7,000 times and one at 0.9 once in 400,000. ``crowd`` is the most documents a region may hold before it goes deeper; it bounds
     the work per region and drops nobody (see ``_regions``). ``slack`` is how far, in standard
     deviations, an estimate may fall below the threshold and still be confirmed.
     """
 
     words: int = 5
     percent: int = 80
-    trees: int = 14
+    trees: int = 12
     first_depth: int = 4
     last_depth: int = 8
-    crowd: int = 256
+    crowd: int = 200
     slack: float = 4.0
     seed: int = 11
 
@@ -69,15 +71,15 @@ def _factors(settings: ForestSettings) -> np.ndarray:
 
 
 def _signature(shingles: np.ndarray, factors: np.ndarray) -> np.ndarray:
-    """The least of each hash over the set, as big-endian 32-bit numbers: prefixes sort as bytes."""
+    """16 bits of the least of each hash over the set."""
     least = np.full(len(factors), np.iinfo(np.uint64).max, np.uint64)
     for i in range(0, len(shingles), 512):
         part = shingles[i : i + 512, None] * factors
         np.minimum(least, part.min(axis=0), out=least)
-    return (least >> np.uint64(32)).astype(">u4")
+    return (mixed(least) >> np.uint64(48)).astype(np.uint16)
 
 
-def _node(shingles: np.ndarray) -> np.ndarray:
+def _name(shingles: np.ndarray) -> np.ndarray:
     """128 bits that two sets share only if they are equal."""
     a = mixed(shingles + np.uint64(0x51)).sum(dtype=np.uint64)
     b = mixed(shingles ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64)
@@ -85,41 +87,43 @@ def _node(shingles: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, settings: ForestSettings) -> DataFrame:
-    """(doc_id, n_shingles, node, sig) per row of ``docs``; node and sig are NULL for empty sets."""
+    """(doc_id, text_hash, n_shingles, set, sig) per row; set and sig are NULL for empty sets.
+
+    ``set`` names the shingle set by 128 bits.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors = _factors(settings)
+        null = pa.scalar(None, pa.binary())
         for batch, texts in text_batches(batches, "text"):
             sets = list(shingle_sets(Words(texts, SPACED), settings.words))
-            sizes = np.array([len(s) for s in sets], np.int64)
-            empty = pa.array(sizes == 0)
-            nodes = np.array([_node(s) for s in sets], np.uint64)
-            sigs = np.array([_signature(s, factors) for s in sets], ">u4")
-            null = pa.scalar(None, pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array(sizes),
-                    pc.if_else(empty, null, binaries(nodes)),
-                    pc.if_else(empty, null, binaries(sigs)),
-                ],
-                ["doc_id", "n_shingles", "node", "sig"],
+            empty = pa.array([not len(s) for s in sets])
+            names = binaries(np.array([_name(s) for s in sets], np.uint64))
+            sigs = binaries(np.array([_signature(s, factors) for s in sets], np.uint16))
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "doc_id": batch.column("doc_id"),
+                    "text_hash": batch.column("text_hash"),
+                    "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
+                    "set": pc.if_else(empty, null, names),
+                    "sig": pc.if_else(empty, null, sigs),
+                }
             )
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, n_shingles long, node binary, sig binary"
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(
+        run, f"doc_id {kind}, text_hash long, n_shingles long, set binary, sig binary"
     )
 
 
 def _key(tree: Column, depth: int, settings: ForestSettings) -> Column:
     """Names the prefix of ``depth`` hashes in the order of a tree."""
-    prefix = F.substring(F.col("sig"), tree * (4 * settings.last_depth) + 1, F.lit(4 * depth))
+    prefix = F.substring(F.col("sig"), tree * (2 * settings.last_depth) + 1, F.lit(2 * depth))
     return F.xxhash64(tree, F.lit(depth), prefix)
 
 
 def _regions(classes: DataFrame, settings: ForestSettings) -> DataFrame:
-    """(region, node) for all regions of two to ``crowd`` nodes, over all trees.
+    """(region, node) for all regions of two to ``crowd`` nodes or so, over all trees.
 
     Every node starts in the region of its first ``first_depth`` hashes. Regions above ``crowd``
     split by the next hash; what the split leaves alone stays together as the region's rest. A
@@ -130,161 +134,125 @@ def _regions(classes: DataFrame, settings: ForestSettings) -> DataFrame:
     s = settings
     tree = F.explode(F.sequence(F.lit(0), F.lit(s.trees - 1)))
     rows = classes.select("node", "sig", tree.alias("tree")).select(
-        "node", "sig", "tree", _key(F.col("tree"), s.first_depth, s).alias("region")
+        "node", "tree", _key(F.col("tree"), s.first_depth, s).alias("region")
     )
     found = None
     for depth in range(s.first_depth, s.last_depth + 1):
-        last = depth == s.last_depth
         size = rows.groupBy("region").agg(F.count("*").alias("n")).where("n > 1")
-        # Signatures stay out of the shuffle: a region's members are looked up again where needed.
-        members = cut_lineage(rows.select("region", "tree", "node").join(size, "region"))
+        members = cut_lineage(rows.join(size, "region"))
         small = members.where(F.col("n") <= s.crowd).select("region", "node")
         found = small if found is None else found.unionByName(small)
         crowded = members.where(F.col("n") > s.crowd)
         if crowded.isEmpty():
             break
-        crowded = crowded.join(classes.select("node", "sig"), "node")
-        if last:
-            parts = F.ceil(F.col("n") / (s.crowd // 2)).cast("int")
-            part = F.pmod(F.xxhash64("node"), parts)
-            cut = crowded.select(F.xxhash64("region", part).alias("region"), "node")
+        if depth == s.last_depth:
+            parts = F.ceil(F.col("n") / (s.crowd // 2))
+            cut = crowded.select(
+                F.xxhash64("region", F.pmod(F.xxhash64("node"), parts)).alias("region"), "node"
+            )
             anchors = crowded.groupBy("region", "n").agg(F.min("node").alias("node"))
             anchors = anchors.select(
-                "node", "region", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part")
-            ).select(F.xxhash64("region", F.col("part").cast("bigint")).alias("region"), "node")
+                "node", "region", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)).alias("part")
+            ).select(F.xxhash64("region", "part").alias("region"), "node")
             found = found.unionByName(cut.unionByName(anchors).distinct())
-        else:
-            deeper = crowded.select(
-                "node", "sig", "tree", "region", _key(F.col("tree"), depth + 1, s).alias("next")
-            )
-            alone = deeper.groupBy("next").agg(F.count("*").alias("same")).where("same = 1")
-            rows = deeper.join(alone, "next", "left").select(
-                "node",
-                "sig",
-                "tree",
-                F.when(F.col("same").isNull(), F.col("next"))
-                .otherwise(F.xxhash64("region", F.lit("rest")))
-                .alias("region"),
-            )
+            break
+        deeper = crowded.join(classes.select("node", "sig"), "node").select(
+            "node", "tree", "region", _key(F.col("tree"), depth + 1, s).alias("next")
+        )
+        together = deeper.groupBy("next").agg(F.count("*").alias("n")).where("n > 1").select(
+            "next", F.lit(True).alias("together")
+        )
+        rest = F.xxhash64("region", F.lit("rest"))
+        rows = deeper.join(together, "next", "left").select(
+            "node", "tree", F.when(F.col("together"), F.col("next")).otherwise(rest).alias("region")
+        )
     return found
 
 
 def _groups(classes: DataFrame, settings: ForestSettings) -> DataFrame:
-    """(group, members) for the distinct member lists of all regions, each of bounded length."""
-    return (
+    """(group, node) for the distinct member lists of all regions, each of bounded length."""
+    lists = (
         _regions(classes, settings)
         .groupBy("region")
         .agg(F.array_sort(F.collect_list("node")).alias("members"))
         .where(F.size("members") > 1)
         .select("members")
         .distinct()
-        .select(F.md5(F.array_join(F.transform("members", F.hex), "")).alias("group"), "members")
     )
+    numbered = cut_lineage(lists.withColumn("group", F.monotonically_increasing_id()))
+    return numbered.select("group", F.explode("members").alias("node"))
 
 
-def _estimates(sigs: np.ndarray, i: int) -> np.ndarray:
-    """Equal hashes of row i and each row."""
-    return (sigs == sigs[i]).sum(axis=1)
-
-
-def _spanning(sigs: np.ndarray, labels: np.ndarray, least: int) -> Iterator[tuple[int, int]]:
-    """A forest of the likeliest links that connects all rows whose estimates allow it."""
-    n = len(sigs)
-    best = np.full(n, -1)
-    via = np.zeros(n, int)
-    out = np.ones(n, bool)
-    for _ in range(n):
-        i = int(np.argmax(np.where(out, best, -2)))
-        if best[i] >= least:
-            yield int(via[i]), i
-        out[i] = False
-        equal = _estimates(sigs, i)
-        closer = out & (equal > best)
-        best[closer], via[closer] = equal[closer], i
-
-
-def _remaining(sigs: np.ndarray, labels: np.ndarray, least: int) -> Iterator[tuple[int, int]]:
-    """All likely links between rows of different components."""
-    for i in range(len(sigs) - 1):
-        likely = (_estimates(sigs, i) >= least) & (labels != labels[i])
-        likely[: i + 1] = False
-        for j in np.flatnonzero(likely):
-            yield i, int(j)
-
-
-def _proposed(groups: DataFrame, choose, settings: ForestSettings) -> DataFrame:
-    """Links (a, b) proposed inside groups of (node, sig, label) structs."""
-    least, width = settings.least_equal, settings.hashes
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = [], []
-            for row in batch.column("rows"):
-                rows = row.as_py()
-                nodes = [r["node"] for r in rows]
-                sigs = np.frombuffer(b"".join(r["sig"] for r in rows), ">u4").reshape(-1, width)
-                labels = np.array([r["label"] for r in rows], object)
-                for i, j in choose(sigs, labels, least):
-                    a, b = sorted((nodes[i], nodes[j]))
-                    left.append(a)
-                    right.append(b)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["a", "b"]
-            )
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, text) for a table of (node, doc_id, text_hash).
 
-    return groups.select("rows").mapInArrow(run, "a binary, b binary").distinct()
-
-
-def _confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, settings: ForestSettings) -> DataFrame:
-    """The pairs whose full shingle sets are similar enough.
-
-    Only documents of proposed pairs move. The table of their ids goes to every task while it has
-    at most a million rows; beyond that Spark joins by shuffle.
+    Only the wanted texts move. The table goes to every task while it has at most a million rows;
+    beyond that Spark joins by shuffle.
+    """
+    wanted = cut_lineage(wanted)
+    small = wanted.count() <= 1_000_000
+    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    found = hashed.join(F.broadcast(wanted) if small else wanted, ["doc_id", "text_hash"])
+    return found.select("node", "text").dropDuplicates(["node"])
+
+
+def _connecting(
+    nodes: list[int], sigs: np.ndarray, sets: list[np.ndarray], settings: ForestSettings
+) -> Iterator[tuple[int, int]]:
+    """Confirmed links that connect whatever confirmed links between these nodes can connect."""
+    n = len(nodes)
+    left, right, equal = [], [], []
+    for i in range(n - 1):
+        same = (sigs[i + 1 :] == sigs[i]).sum(axis=1)
+        likely = np.flatnonzero(same >= settings.least_equal)
+        left += [i] * len(likely)
+        right += (likely + i + 1).tolist()
+        equal += same[likely].tolist()
+    root = list(range(n))
+
+    def top(i: int) -> int:
+        while root[i] != i:
+            root[i] = i = root[root[i]]
+        return i
+
+    for k in sorted(range(len(equal)), key=lambda k: -equal[k]):
+        i, j = left[k], right[k]
+        if top(i) != top(j) and _similar(sets[i], sets[j], settings.percent):
+            root[top(i)] = top(j)
+            yield nodes[i], nodes[j]
+
+
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    shared = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * shared >= percent * (len(x) + len(y) - shared)
+
+
+def _links(members: DataFrame, settings: ForestSettings) -> DataFrame:
+    """(a, b) from (group, node, sig, text): links that settle the components inside each group.
+
+    Rows of a group arrive together, so a task holds one group at a time.
     """
-    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
-    wanted = cut_lineage(classes.join(ends.distinct(), "node", "left_semi").select("node", "doc_id"))
-    ids = wanted.select("doc_id").distinct()
-    if wanted.count() <= 1_000_000:
-        ids = F.broadcast(ids)
-    kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch, texts in text_batches(batches, "text"):
-            found = list(shingle_sets(Words(texts, SPACED), settings.words))
-            nodes = [None if not len(s) else _node(s).tobytes() for s in found]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array(nodes, pa.binary()),
-                    pa.array([s.tobytes() for s in found], pa.binary()),
-                ],
-                ["doc_id", "node", "shingles"],
-            )
-
-    full = (
-        docs.join(ids, "doc_id", "left_semi")
-        .select("doc_id", "text")
-        .mapInArrow(sets, f"doc_id {kind}, node binary, shingles binary")
-        .join(wanted, ["node", "doc_id"], "left_semi")
-        .dropDuplicates(["node"])
-        .select("node", "shingles")
-    )
-    full = cut_lineage(full)
-    both = pairs.join(full.select(F.col("node").alias("a"), F.col("shingles").alias("left")), "a").join(
-        full.select(F.col("node").alias("b"), F.col("shingles").alias("right")), "b"
-    )
+            sets = shingle_sets(Words(texts, SPACED), settings.words)
+            columns = (batch.column(c).to_pylist() for c in ("group", "node", "sig"))
+            yield from zip(*columns, sets)
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("left"), batch.column("right")):
-                x = np.frombuffer(x.as_buffer(), np.uint64)
-                y = np.frombuffer(y.as_buffer(), np.uint64)
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * shared >= settings.percent * (len(x) + len(y) - shared))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[tuple[int, int]] = []
+        for _, group in groupby(rows(batches), itemgetter(0)):
+            _, nodes, sigs, sets = zip(*group)
+            sigs = np.frombuffer(b"".join(sigs), np.uint16).reshape(len(nodes), -1)
+            found += _connecting(nodes, sigs, sets, settings)
+        ends = np.array(found, np.int64).reshape(-1, 2)
+        yield pa.RecordBatch.from_pydict({"a": pa.array(ends[:, 0]), "b": pa.array(ends[:, 1])})
 
-    return both.select("a", "b", "left", "right").mapInArrow(compare, "a binary, b binary")
+    return (
+        members.repartition("group").sortWithinPartitions("group").mapInArrow(run, "a long, b long")
+    )
 
 
 def near_duplicates(docs: DataFrame, settings: ForestSettings = ForestSettings()) -> DataFrame:
@@ -297,56 +265,30 @@ def near_duplicates(docs: DataFrame, settings: ForestSettings = ForestSettings()
     texts among them, have no shingles and stand alone. Rows with a NULL doc_id have a NULL
     component and are kept. Rows that repeat a doc_id are judged each by its own text. Other
     columns are ignored, an empty table gives no rows.
-
-    Proposing takes two rounds. The first proposes a spanning forest per region, which settles
-    the components of crowded groups with few confirmations. The second proposes every likely
-    pair whose documents are still in different components, so no likely link is left out.
     """
     docs = keyed_only(docs)
     marked = cut_lineage(signatures(docs, settings))
-    classes = cut_lineage(
-        marked.where("node IS NOT NULL AND doc_id IS NOT NULL")
-        .groupBy("node")
-        .agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig"))
-    )
-    groups = cut_lineage(_groups(classes, settings))
-    members = groups.select("group", F.explode("members").alias("node"))
-
-    def gathered(rows: DataFrame) -> DataFrame:
-        return (
-            rows.join(classes.select("node", "sig"), "node")
-            .groupBy("group")
-            .agg(F.collect_list(F.struct("node", "sig", "label")).alias("rows"))
-        )
-
-    first = cut_lineage(
-        _proposed(gathered(members.withColumn("label", F.lit(0))), _spanning, settings)
-    )
-    links = cut_lineage(_confirmed(docs, classes, first, settings))
-    roots = components(links)
-    labelled = members.join(roots, "node", "left").select(
-        "group", "node", F.coalesce("root", "node").alias("label")
-    )
-    split = (
-        labelled.groupBy("group")
-        .agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        .where("low != high")
-        .select("group")
+    classes = (
+        marked.where("set IS NOT NULL AND doc_id IS NOT NULL")
+        .groupBy("set")
+        .agg(F.min(F.struct("doc_id", "text_hash")).alias("first"), F.first("sig").alias("sig"))
+        .select("set", "first.*", "sig", F.monotonically_increasing_id().alias("node"))
     )
-    second = _proposed(gathered(labelled.join(split, "group", "left_semi")), _remaining, settings)
-    second = cut_lineage(second.join(first, ["a", "b"], "left_anti"))
-    if not second.isEmpty():
-        links = links.unionByName(_confirmed(docs, classes, second, settings))
-        roots = components(links)
-
-    named = classes.select("node", "doc_id").join(roots, "node", "left")
-    named = named.select("node", "doc_id", F.coalesce("root", "node").alias("root"))
+    classes = cut_lineage(classes)
+    members = _groups(classes, settings)
+    signed = members.join(classes.select("node", "sig"), "node")
+    named = classes.select("node", "doc_id", "text_hash")
+    texts = _texts(docs, named.join(members.select("node").distinct(), "node", "left_semi"))
+    roots = components(_links(signed.join(texts, "node"), settings))
+
+    named = classes.select("set", "node", "doc_id").join(roots, "node", "left")
+    named = named.select("set", "doc_id", F.coalesce("root", "node").alias("root"))
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    placed = named.join(least, "root").select("node", "component_id")
+    placed = named.join(least, "root").select("set", "component_id")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return (
-        marked.select("doc_id", "n_shingles", "node")
-        .join(placed, "node", "left")
+        marked.select("doc_id", "n_shingles", "set")
+        .join(placed, "set", "left")
         .select("doc_id", "n_shingles", own.alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
