@@ -8,11 +8,15 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .decontaminate import find_contamination
+from .language import identify_language
 from .line_dedup import dedup_lines
 from .near_dedup import ForestSettings, near_duplicates
 from .packing import pack
+from .quality import quality
+from .quality_rules import quality_rules
 from .sharding import shard
 from .tokens import Vocabulary
+from .toxicity import toxicity
 
 VOCABULARY = Vocabulary(
     public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -24,11 +28,31 @@ def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), ForestSettings(words=3, percent=85))
 
 
+def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality scores of all documents."""
+    return quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in sequences of 2048 tokens."""
     return pack(table(spark, folder, "documents"), VOCABULARY)
 
 
+def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Base counts and divergence verdicts of all documents."""
+    return quality_rules(table(spark, folder, "documents"))
+
+
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document."""
+    return identify_language(table(spark, folder, "documents"))
+
+
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity scores of all documents."""
+    return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in 16 shards of nearly equal sizes."""
     return shard(table(spark, folder, "documents")).select(
@@ -70,7 +94,11 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_minhash_near_dedup,
+        op2_quality_classifier,
         op3_packing,
+        op4_quality_rules,
+        op5_language_id,
+        op6_toxicity,
         op8_sharding,
         op9_line_dedup,
         op10_decontamination,
