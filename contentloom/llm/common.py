@@ -31,22 +31,31 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """``checkpoint()`` in the folder that ``spark.checkpoint.dir`` names.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names, shared by all executors.
 
-    The files survive lost executors. Spark deletes them with the last frame that reads them if
-    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set. Where no folder is named, a local
-    session gets one of its own, deleted at exit; any other session is refused.
+    Where none is named, a local session gets one of its own, deleted at exit; any other session
+    is refused.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get(CHECKPOINT_SETTING, None)
+        folder = spark.conf.get(CHECKPOINT_SETTING, None)
         if folder is None:
             if not context.master.startswith("local["):
                 raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="contentloom-llm-")
             atexit.register(shutil.rmtree, folder, ignore_errors=True)
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """``checkpoint()`` in the shared folder, which survives lost executors.
+
+    Spark deletes the files with the last frame that reads them if
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set.
+    """
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

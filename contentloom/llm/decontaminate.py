@@ -15,7 +15,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LETTERED, Shared, Texts, Words, cut_lineage, parts_of, set_aside, text_batches
+from .common import (
+    LETTERED,
+    Shared,
+    Texts,
+    Words,
+    cut_lineage,
+    parts_of,
+    restored,
+    set_aside,
+    text_batches,
+)
 
 
 @dataclass(frozen=True)
@@ -250,3 +260,15 @@ def _cut(texts: Texts, words: Words, i: int, spans: list[list[int]]) -> str:
         at = int(words.ends[words.first[i] + b - 1])
     left.append(texts.data[at : texts.bounds[i + 1]])
     return b"".join(x.tobytes() for x in left).decode()
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """``docs`` without the contaminated rows, all columns as they were."""
+    found = find_contamination(docs, benchmark, limits)
+    return restored(found.where(~F.col("contaminated")), docs.columns)
+
+
+def without_spans(docs: DataFrame, benchmark: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """``docs`` without the contaminated rows and with the other rows' hit spans cut out."""
+    found = find_contamination(docs, benchmark, limits).where(~F.col("contaminated"))
+    return restored(found, docs.columns, text=F.coalesce("cleaned", "text"))

@@ -29,6 +29,8 @@ from .common import (
     cut_lineage,
     keyed_only,
     mixed,
+    restored,
+    set_aside,
     shingle_sets,
     text_batches,
 )
@@ -255,18 +257,8 @@ def _links(members: DataFrame, settings: ForestSettings) -> DataFrame:
     )
 
 
-def near_duplicates(docs: DataFrame, settings: ForestSettings = ForestSettings()) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text, more): its set's size, its component, the verdict.
-
-    Columns: doc_id, n_shingles, component_id (the least doc_id linked directly or through
-    others, itself included) and kept (doc_id = component_id).
-
-    Words are runs of anything but ASCII white space, A-Z lowered. Texts without words, NULL
-    texts among them, have no shingles and stand alone. Rows with a NULL doc_id have a NULL
-    component and are kept. Rows that repeat a doc_id are judged each by its own text. Other
-    columns are ignored, an empty table gives no rows.
-    """
-    docs = keyed_only(docs)
+def _judged(docs: DataFrame, settings: ForestSettings) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, component_id) per row."""
     marked = cut_lineage(signatures(docs, settings))
     classes = (
         marked.where("set IS NOT NULL AND doc_id IS NOT NULL")
@@ -287,8 +279,44 @@ def near_duplicates(docs: DataFrame, settings: ForestSettings = ForestSettings()
     placed = named.join(least, "root").select("set", "component_id")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return (
-        marked.select("doc_id", "n_shingles", "set")
+        marked.select("doc_id", "text_hash", "n_shingles", "set")
         .join(placed, "set", "left")
-        .select("doc_id", "n_shingles", own.alias("component_id"))
-        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+        .select("doc_id", "text_hash", "n_shingles", own.alias("component_id"))
     )
+
+
+def near_duplicates(docs: DataFrame, settings: ForestSettings = ForestSettings()) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text, more): its set's size, its component, the verdict.
+
+    Columns: doc_id, n_shingles, component_id (the least doc_id linked directly or through
+    others, itself included) and kept (doc_id = component_id).
+
+    Words are runs of anything but ASCII white space, A-Z lowered. Texts without words, NULL
+    texts among them, have no shingles and stand alone. Rows with a NULL doc_id have a NULL
+    component and are kept. Rows that repeat a doc_id are judged each by its own text. Other
+    columns are ignored, an empty table gives no rows.
+    """
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
+    return _judged(keyed_only(docs), settings).select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+
+
+def one_of_each(docs: DataFrame, settings: ForestSettings = ForestSettings()) -> DataFrame:
+    """``docs`` with one row of each component, that of the least doc_id; all columns as they were.
+
+    Rows with a NULL doc_id and texts without words all stay. Where rows share the least doc_id
+    and have words, one of them stays. The ids to drop go to every task while there are at most a
+    million; beyond that Spark joins by shuffle.
+    """
+    judged = cut_lineage(_judged(keyed_only(docs), settings).where("doc_id IS NOT NULL AND n_shingles > 0"))
+    gone = cut_lineage(judged.where("doc_id != component_id").select("doc_id", "text_hash").distinct())
+    gone = F.broadcast(gone) if gone.count() <= 1_000_000 else gone
+    repeated = judged.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1")
+    repeated = cut_lineage(repeated.select("doc_id"))
+    whole = set_aside(docs).withColumn("text_hash", F.xxhash64("text"))
+    left = whole.join(gone, ["doc_id", "text_hash"], "left_anti")
+    if not repeated.isEmpty():
+        words = F.length(F.btrim(F.coalesce("text", F.lit("")), F.lit(" \t\n\x0b\x0c\r"))) > 0
+        twice = left.where(words).join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        once = left.where(words).join(repeated, "doc_id", "left_anti").unionByName(left.where(~words))
+        left = once.unionByName(twice)
+    return restored(left, docs.columns)

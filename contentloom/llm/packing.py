@@ -55,11 +55,18 @@ def _pieces(docs: DataFrame, vocabulary: Vocabulary, settings: PackSettings, wit
                 "piece": pa.array(np.arange(number, number + len(row)), pa.int64()),
             }
             if with_ids:
-                columns["ids"] = pa.array(parts, pa.binary())
+                columns["ids"] = pa.array([narrow(p) for p in parts], pa.binary())
             number += len(row)
             yield pa.RecordBatch.from_pydict(columns)
 
     ids = ", ids binary" if with_ids else ""
+
+    def narrow(part: bytes) -> bytes:
+        """Two bytes an id while the piece is moved, if they all fit."""
+        found = np.frombuffer(part, np.uint32)
+        small = found.max() < 1 << 16
+        return (b"\x02" if small else b"\x04") + found.astype(np.uint16 if small else np.uint32).tobytes()
+
     return docs.mapInArrow(
         run,
         f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, piece long{ids}",
@@ -117,7 +124,7 @@ def pack(
     into random groups, and each group is packed by itself, so a group's sequences are its own;
     sequence ids are distinct over all groups but not gapless. Offsets are gapless from 0 in a
     sequence; a sequence's rest up to ``length`` is padding. ids_crc32 is the checksum of the
-    piece's ids as little-endian unsigned 32-bit numbers; ``with_ids`` adds these bytes as ``ids``.
+    piece's ids as little-endian unsigned 32-bit numbers; ``with_ids`` adds the ids themselves.
 
     Every row is packed, also one with a NULL or a repeated doc_id. Other columns are ignored; an
     empty table gives no rows. Groups depend on a piece's place in its partition alone, so a task
@@ -135,11 +142,18 @@ def pack(
         rows = rows.sort_by([("part", "ascending"), ("piece", "ascending")])
         bins, offsets = first_fit_decreasing(np.asarray(rows.column("length")), settings.length)
         out = rows.drop_columns(["part", "piece", "group"])
+        if with_ids:
+            at = out.column_names.index("ids")
+            out = out.set_column(at, "ids", pa.array(map(widened, out.column("ids")), pa.list_(pa.int32())))
         out = out.append_column("sequence_id", pa.array((key[0].as_py() << 32) + bins))
         return out.append_column("offset", pa.array(offsets))
 
+    def widened(part: pa.Scalar) -> np.ndarray:
+        part = part.as_py()
+        return np.frombuffer(part[1:], np.uint16 if part[0] == 2 else np.uint32).astype(np.int32)
+
     kind = docs.schema["doc_id"].dataType.simpleString()
-    ids = "ids binary, " if with_ids else ""
+    ids = "ids array<int>, " if with_ids else ""
     return dealt.groupBy("group").applyInArrow(
         run,
         f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, {ids}"

@@ -12,6 +12,7 @@ from .language import identify_language
 from .line_dedup import dedup_lines
 from .near_dedup import ForestSettings, near_duplicates
 from .packing import pack
+from .pii import replace_entities
 from .quality import quality
 from .quality_rules import quality_rules
 from .sharding import shard
@@ -53,6 +54,11 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op7_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents with surrogates for personal data."""
+    return replace_entities(table(spark, folder, "documents")).select("doc_id", "text", "n_entities")
+
+
 def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in 16 shards of nearly equal sizes."""
     return shard(table(spark, folder, "documents")).select(
@@ -99,6 +105,7 @@ QUERIES = {
         op4_quality_rules,
         op5_language_id,
         op6_toxicity,
+        op7_pii_surrogates,
         op8_sharding,
         op9_line_dedup,
         op10_decontamination,
