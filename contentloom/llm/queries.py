@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import oracles
 from .common import table
 from .decontaminate import find_contamination
 from .language import identify_language
@@ -41,7 +42,7 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Base counts and divergence verdicts of all documents."""
-    return quality_rules(table(spark, folder, "documents"))
+    return quality_rules(table(spark, folder, "documents")).drop("class_distance", "word_distance")
 
 
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
@@ -111,4 +112,9 @@ QUERIES = {
         op10_decontamination,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op1_minhash_near_dedup": oracles.OP1,
+    "op4_quality_rules": oracles.OP4,
+    "op9_line_dedup": oracles.OP9,
+    "op10_decontamination": oracles.OP10,
+}
