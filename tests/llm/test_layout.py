@@ -1,0 +1,242 @@
+"""Packing, sharding, quality rules, surrogates and the pipeline."""
+
+import collections
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from contentloom.llm.packing import PackSettings, first_fit_decreasing, pack
+from contentloom.llm.pii import SurrogateSettings, replace_entities, without_entities
+from contentloom.llm.quality_rules import RuleSettings, quality_rules
+from contentloom.llm.queries import VOCABULARY
+from contentloom.llm.sharding import ShardSettings, place, shard
+from tests.llm.conftest import SMALL
+
+
+def plain_first_fit(sizes, room):
+    left, bins = [], [0] * len(sizes)
+    for i in sorted(range(len(sizes)), key=lambda i: -sizes[i]):
+        for b, space in enumerate(left):
+            if space >= sizes[i]:
+                break
+        else:
+            b = len(left)
+            left.append(room)
+        left[b] -= sizes[i]
+        bins[i] = b
+    return bins
+
+
+def test_tournament_tree_is_first_fit():
+    pick = random.Random(1)
+    for n in (0, 1, 2, 3, 200, 513):
+        sizes = np.array([pick.randrange(1, 101) for _ in range(n)], np.int64)
+        bins, offsets = first_fit_decreasing(sizes, 100)
+        assert bins.tolist() == plain_first_fit(sizes.tolist(), 100)
+        for b in set(bins.tolist()):
+            parts = sorted(zip(offsets[bins == b].tolist(), sizes[bins == b].tolist()))
+            assert [o for o, _ in parts] == np.r_[0, np.cumsum([s for _, s in parts])[:-1]].tolist()
+
+
+@pytest.mark.parametrize("group", [8192, 16])
+def test_packing_keeps_every_token(tables, group):
+    docs = tables("documents")
+    found = pack(docs, VOCABULARY, PackSettings(group=group), with_ids=True).collect()
+    library = Tokenizer.from_file(VOCABULARY.path)
+    by_doc, by_sequence = collections.defaultdict(list), collections.defaultdict(list)
+    for r in found:
+        by_doc[r.doc_id].append(r)
+        by_sequence[r.sequence_id].append(r)
+    for doc in docs.collect():
+        ids = library.encode(doc.text or "", add_special_tokens=False).ids + [1]
+        pieces = sorted(by_doc[doc.doc_id], key=lambda r: r.start)
+        assert [x for p in pieces for x in p.ids] == ids
+        for p in pieces:
+            assert p.length == len(p.ids) <= 2048 and p.doc_tokens == len(ids)
+            assert p.ids_crc32 == zlib.crc32(np.array(p.ids, "<u4").tobytes())
+    for pieces in by_sequence.values():
+        pieces.sort(key=lambda r: r.offset)
+        assert [p.offset for p in pieces] == np.r_[0, np.cumsum([p.length for p in pieces])[:-1]].tolist()
+        assert sum(p.length for p in pieces) <= 2048
+    if group == 8192:
+        assert sum(r.length for r in found) > 0.97 * 2048 * len(by_sequence)
+
+
+def test_packing_odd_rows(odd_docs, no_docs):
+    found = pack(odd_docs, VOCABULARY).collect()
+    assert {r.doc_tokens for r in found if r.doc_id in (2, 3)} == {1}
+    assert sum(r.length for r in found if r.doc_id == 1) == 2 * next(r.doc_tokens for r in found if r.doc_id == 1)
+    assert {r.doc_id for r in found} == {r.doc_id for r in odd_docs.collect()}
+    assert pack(no_docs, VOCABULARY).count() == 0
+
+
+def test_groups_go_where_the_dot_product_is_highest():
+    vectors = np.array([[4.0, 1, 1], [1, 4, 1], [3, 1, 1], [1, 3, 1], [2, 2, 2]])
+    residual, expected = np.ones((2, 3)), {}
+    scaled = vectors * 2 / vectors.sum(axis=0)
+    for i in sorted(range(5), key=lambda i: (-scaled[i].max(), i)):
+        b = max(range(2), key=lambda s: (residual[s] @ scaled[i], -s))
+        residual[b] -= scaled[i]
+        expected[i] = b
+    assert place(vectors, 2, 0).tolist() == [expected[i] for i in range(5)]
+
+
+@pytest.mark.parametrize("settings", [ShardSettings(), ShardSettings(per_task=40, per_block=30)])
+def test_shards_are_balanced(spark, settings):
+    pick = random.Random(3)
+    rows = [(i, "a hot text of some words") for i in range(300)]
+    rows += [(300 + i, " ".join(["w"] * pick.randrange(1, 60)) + str(i % 450)) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    found = shard(docs, settings).collect()
+    assert sorted(r.doc_id for r in found) == list(range(1200))
+    texts = dict(rows)
+    slots = collections.defaultdict(list)
+    for r in found:
+        slots[r.shard].append(r)
+        assert r.size == len(texts[r.doc_id].encode()) + 1
+        assert r.text_crc32 == zlib.crc32(texts[r.doc_id].encode())
+    assert sorted(slots) == list(range(16))
+    for own in slots.values():
+        assert sorted(r.slot for r in own) == list(range(len(own)))
+    for measure in (lambda r: r.size, lambda r: r.tokens, lambda r: 1):
+        sums = [sum(map(measure, own)) for own in slots.values()]
+        assert max(sums) < 1.12 * sum(sums) / 16
+    if settings.per_task > 1000:
+        homes = collections.defaultdict(set)
+        for r in found:
+            homes[texts[r.doc_id]].add(r.shard)
+        assert sum(len(h) > 1 for h in homes.values()) <= 3
+
+
+def test_sharding_odd_rows(odd_docs, no_docs):
+    found = shard(odd_docs).collect()
+    assert len(found) == odd_docs.count()
+    assert {r.size for r in found if r.doc_id in (2, 3)} == {1}
+    assert shard(no_docs).count() == 0
+
+
+def base_counts(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    windows = collections.Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
+    hit = {j for i in range(len(words) - 7) if windows[tuple(words[i : i + 8])] > 1 for j in range(i, i + 8)}
+    symbols = sum(c in "#*$%&|<>" for c in text or "")
+    return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(hit)
+
+
+def test_base_rules(spark, odd_docs):
+    pick = random.Random(8)
+    texts = {i: " ".join(pick.choices("abcd", k=pick.randrange(90))) for i in range(60)}
+    texts |= {100 + i: "\n".join(pick.choices(["x y", " ", "x  y", "*|", "é ß"], k=12)) for i in range(20)}
+    texts |= {200: None, 201: "", 202: "a " * 8, 203: "a " * 9, 204: "w " * 30000}
+    docs = spark.createDataFrame([(i, t, "en") for i, t in texts.items()], "doc_id long, text string, lang string")
+    for r in quality_rules(docs).collect():
+        found = (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words)
+        assert found == base_counts(texts[r.doc_id]), r.doc_id
+        assert r.base_failed == (r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words)
+        assert not (r.base_failed and r.kept)
+    assert quality_rules(odd_docs).count() == odd_docs.count()
+    assert quality_rules(odd_docs.limit(0)).count() == 0
+
+
+def test_distances_find_other_text(spark):
+    pick = random.Random(6)
+    common = "the of and to in a is that for it with as was on be at".split()
+
+    def text(share):
+        words = [pick.choice(common) if pick.random() < share else f"word{chr(97 + pick.randrange(26))}" for _ in range(400)]
+        return " ".join(words)
+
+    rows = [(i, text(0.4), "en") for i in range(40)]
+    rows += [(100, text(0), "en"), (101, "#|%".join(text(0.4).upper().split()) + " x" * 30, "en"), (102, text(0), None)]
+    rows += [(103, " ".join(text(0).split()[:60]), "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r.doc_id: r.kept for r in quality_rules(docs).collect()}
+    assert all(kept[i] for i in range(40))
+    assert not kept[100] and kept[102] and kept[103]
+    assert all(r.kept for r in quality_rules(docs.where("doc_id < 40"), RuleSettings(common={})).collect())
+
+
+ENTITIES = [
+    (1, "Mr. John Smith met Mrs Smith. Mail a.b@Corp.com or A.B@CORP.COM, call +1 (017) 555-7713 or +1 017 555 7713."),
+    (2, 'token = "b44e15e09fd311c3aa6a79e73fc4cbfc2098878e" and TOKEN = "B44E15E09FD311C3AA6A79E73FC4CBFC2098878E"'),
+    (3, "4111 1111 1111 1111, 4111111111111111; 10.1.2.3 and 97.51.17.173; 123-45-6789; DE89 3704 0044 0532 0130 00"),
+    (4, None),
+    (5, ""),
+    (6, "Version 3.0 of 2024, no entity: 12:30, a@b, mrs smith, 1.2.3, word = x"),
+    (7, "госпожа Анна Иванова и г-н Иванов"),
+    (None, "x@y.org"),
+    (1, "x@y.org"),
+]
+
+
+@pytest.fixture(scope="module")
+def replaced(spark):
+    docs = spark.createDataFrame([(*r, "kept") for r in ENTITIES], "doc_id long, text string, n_entities string")
+    return {(r.doc_id, r.n): r.text for r in replace_entities(docs).select("doc_id", F.col("n_entities").alias("n"), "text").collect()}
+
+
+def test_surrogates_keep_type_form_and_reference(replaced):
+    one = replaced[1, 6]
+    m = re.fullmatch(
+        r"Mr\. (\w+) (\w+) met Mrs (\w+)\. Mail (\S+) or (\S+), call (\+\d \(\d{3}\) \d{3}-\d{4}) or (\+\d \d{3} \d{3} \d{4})\.", one
+    )
+    assert m and m[2] == m[3] and m[4].upper() == m[5] and m[4].endswith(".example")
+    assert re.sub(r"\D", "", m[6]) == re.sub(r"\D", "", m[7]) != "10175557713"
+    two = re.findall(r"[0-9a-fA-F]{40}", replaced[2, 2])
+    assert two[0] == two[1].lower() and two[1] == two[0].upper() and two[0][:8] != "b44e15e0"
+    cards = re.findall(r"\d[\d ]{14,17}\d", replaced[3, 6])
+    digits = cards[0].replace(" ", "")
+    assert digits == cards[1] and digits[0] == "4" and digits != "4" + "1" * 15
+    assert sum(sum(divmod(int(c) * (2 if i % 2 else 1), 10)) for i, c in enumerate(reversed(digits))) % 10 == 0
+    assert re.search(r"[А-Я][а-я]+на [А-Я][а-я]+сен и г-н [А-Я][а-я]+сен$", replaced[7, 2])
+    assert replaced[6, 0] == ENTITIES[5][1] and replaced[5, 0] == "" and replaced[4, 0] is None
+    assert replaced[None, 1] == replaced[1, 1] != "x@y.org"
+
+
+def test_surrogates_stay_distinct(spark):
+    ips = [f"10.0.{a}.{b}" for a in range(40) for b in range(50)]
+    names = [f"Frau {chr(65 + a)}{chr(97 + b)}{chr(97 + c)}er" for a in range(26) for b in range(10) for c in range(4)]
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate(ips + names)], "doc_id long, text string")
+    found = [r.text for r in replace_entities(docs).collect()]
+    assert len(set(found)) == len(ips) + len(names) and not set(found) & set(ips + names)
+
+
+def test_the_key_decides(spark, odd_docs, no_docs):
+    docs = spark.createDataFrame(ENTITIES, "doc_id long, text string")
+    texts = [sorted(str(r.text) for r in replace_entities(docs, SurrogateSettings(key=k)).collect()) for k in "aab"]
+    assert texts[0] == texts[1] != texts[2]
+    assert without_entities(odd_docs).columns == odd_docs.columns
+    assert without_entities(no_docs).count() == 0
+
+
+def test_pipeline_stages(spark, tmp_path):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    names = [name for name, _ in corpus_pipeline.STAGES]
+    assert names == ["toxicity", "line_dedup", "near_dedup", "decontamination", "packing"]
+    counts = [docs.count()]
+    for name, stage in corpus_pipeline.STAGES:
+        columns = docs.columns
+        stage(spark, docs, SMALL).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        if name != "packing":
+            assert docs.columns == columns
+            assert name != "line_dedup" or docs.count() == counts[-1]
+            counts.append(docs.count())
+    assert counts == sorted(counts, reverse=True) and counts[-1] < counts[0]
+    whole = corpus_pipeline.run(spark, SMALL)
+    key = ("doc_id", "start", "length", "ids_crc32", "doc_tokens")
+    assert sorted(whole.select(*key).collect()) == sorted(docs.select(*key).collect())
+
+
+def test_pipeline_of_no_documents(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SMALL)
+        assert docs.count() == 0
