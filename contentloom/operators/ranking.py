@@ -1,7 +1,7 @@
 """Ranked reports over the unified content table.
 
-The reference order leaves ties open; every ranking here ends with a unique key so that the
-cut is the same whatever the partitioning.
+Score and date alone leave ties open; every ranking here ends with a unique key so that the cut is
+the same whatever the partitioning.
 """
 
 from __future__ import annotations
@@ -11,15 +11,23 @@ from pyspark.sql import functions as F
 
 from contentloom.functions.dates import as_date, recent
 
+# How far back each report looks, how long it is, and the score it asks for.
 TRENDING_DAYS, TRENDING_ROWS = 3, 10
 POSITIVE_DAYS, POSITIVE_ROWS, POSITIVE_ABOVE = 5, 15, 0.7
 SCHOLARLY_DAYS, SCHOLARLY_ROWS = 14, 10
 
 
-def category_counts(unified: DataFrame, as_of=None, days: int = TRENDING_DAYS) -> DataFrame:
-    """Rows and average sentiment of each category, NULL being a category of its own."""
+def category_counts(
+    unified: DataFrame, as_of=None, days: int | None = TRENDING_DAYS
+) -> DataFrame:
+    """Rows and average sentiment of each category, NULL being a category of its own.
+
+    Rows without a date never count; ``days=None`` counts all others.
+    """
+    date = F.col("published_date")
+    dated = date.isNotNull() if days is None else recent(date, as_date(as_of), days)
     return (
-        unified.filter(recent(F.col("published_date"), as_date(as_of), days))
+        unified.filter(dated)
         .groupBy("category")
         .agg(F.count(F.lit(1)).alias("count"), F.avg("sentiment_score").alias("avg_sentiment"))
     )

@@ -1,9 +1,9 @@
 """Topic discovery: vocabulary, count vectors and an online LDA model.
 
 Only the vocabulary (at most ``vocabulary_size`` words) and the topics pass through the driver.
-The corpus itself is counted with a map-side combine, vectorized in place, spread over a fixed
-number of partitions and checkpointed, so that the iterations read small vectors instead of
-repeating the text work and survive a lost executor.
+The corpus itself is counted with a map-side combine, vectorized in place, spread over partitions
+whose number follows the rows, and cached, so that the iterations read small vectors instead of
+repeating the text work. Placement is a hash and a sort, so a lost partition comes back the same.
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from contentloom.catalog import ENGLISH_STOP_WORDS
 from contentloom.functions.text import words
-from contentloom.session import use_checkpoints
 
 TOPIC_COLUMNS = "topic int, termIndices array<int>, termWeights array<double>"
 
@@ -27,8 +26,9 @@ TOPIC_COLUMNS = "topic int, termIndices array<int>, termWeights array<double>"
 class TopicSettings:
     """Size and seed of the model.
 
-    Online LDA samples each partition, so equal topics need an equal ``seed`` and an equal
-    ``partitions``; the latter defaults to ``spark.sql.shuffle.partitions``. Weights may still
+    Online LDA looks at a random share ``sampling`` of the rows in each iteration, as MLlib does by
+    default. It samples each partition, so equal topics need an equal ``seed`` and an equal number
+    of partitions: ``partitions``, or else one for ``rows_per_partition`` rows. Weights may still
     differ in their last digits, since partial sums meet in the order tasks end.
     """
 
@@ -38,7 +38,9 @@ class TopicSettings:
     iterations: int = 10
     terms_per_topic: int = 10
     seed: int = 42
+    sampling: float = 0.05
     partitions: int | None = None
+    rows_per_partition: int = 100_000
     keep_empty_words: bool = False
     stop_words: tuple[str, ...] = ENGLISH_STOP_WORDS
 
@@ -99,14 +101,13 @@ def fit_topics(
 ) -> DataFrame:
     """Topics as ``topic, termIndices, termWeights``. Runs the model's jobs.
 
-    Vectors are placed by key and words, so rows that share a key or have none still spread. The
-    checkpoint is what a lost executor reloads; the cached copy saves reading it per iteration.
+    Vectors are placed by key and words, so rows that share a key or have none still spread. They
+    are cached for the iterations and leave nothing behind.
     """
     spark = corpus.sparkSession
     if not terms:
         return spark.createDataFrame([], TOPIC_COLUMNS)
-    use_checkpoints(spark)
-    partitions = settings.partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = settings.partitions or max(1, -(-corpus.count() // settings.rows_per_partition))
     place = [F.col("unified_id"), F.col("words_hash")]
     vectors = (
         count_vectors(corpus, terms)
@@ -114,7 +115,6 @@ def fit_topics(
         .repartition(partitions, *place)
         .sortWithinPartitions(*place)
         .select("features")
-        .checkpoint()
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     try:
@@ -122,6 +122,7 @@ def fit_topics(
             k=settings.topics,
             maxIter=settings.iterations,
             optimizer="online",
+            subsamplingRate=settings.sampling,
             seed=settings.seed,
             featuresCol="features",
         ).fit(vectors)

@@ -13,26 +13,10 @@ AS_OF = "2024-01-30"
 FETCHED_AT = "2024-01-30 06:00:00"
 
 
-SMALL_TABLE_BYTES = 256 * 2**20
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def text_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table whose rows carry text and so cost far more to work on than to move.
-
-    A small file holds a single row group, which would leave all that work to one task, so
-    tables below a fixed size are spread over the cores. Larger ones stay as scanned.
-    """
-    df = table(spark, folder, name)
-    cores = spark.sparkContext.defaultParallelism
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    small = int(str(size)) <= SMALL_TABLE_BYTES
-    return df.repartition(cores) if small and cores > 1 else df
-
-
 def first_line(text: Column) -> Column:
     return F.substring_index(text, "\n", 1)
 
@@ -54,7 +38,7 @@ def varied_score(number: Column) -> Column:
 
 def raw_news(spark: SparkSession, folder: str) -> DataFrame:
     """News articles from documents."""
-    return text_table(spark, folder, "documents").select(
+    return table(spark, folder, "documents").select(
         F.col("doc_id").alias("id"),
         F.concat(F.lit("  "), F.upper("source"), F.lit(" ")).alias("source"),
         F.upper("lang").alias("category"),
@@ -83,7 +67,7 @@ def raw_posts(spark: SparkSession, folder: str) -> DataFrame:
 def raw_scholarly(spark: SparkSession, folder: str) -> DataFrame:
     """Scholarly articles from conversation turns; the text before the first stop holds commas."""
     number = F.col("conv_id") * 1000 + F.col("turn")
-    return text_table(spark, folder, "conversations").select(
+    return table(spark, folder, "conversations").select(
         number.alias("id"),
         F.concat(F.lit(" Journal of "), F.col("role"), F.lit("  ")).alias("source"),
         F.initcap("role").alias("category"),
@@ -155,6 +139,8 @@ def _feed_item(line: Column, i: Column) -> Column:
         F.lit("/"),
         i.cast("string"),
     )
+    writer = _element("author", F.lit(" A. Writer "))
+    creator = _element("dc:creator", F.lit("C, D"))
     return _element(
         "item",
         F.concat(
@@ -162,7 +148,7 @@ def _feed_item(line: Column, i: Column) -> Column:
             F.when((number + i) % 11 != 5, _element("link", link))
             .when(i % 2 == 0, _element("guid", link))
             .otherwise(F.concat(F.lit('<guid isPermaLink="false">'), link, F.lit("</guid>"))),
-            _cases(i % 3, _element("author", F.lit(" A. Writer ")), _element("dc:creator", F.lit("C, D"))),
+            _cases(i % 5, writer, creator, F.lit(""), F.concat(writer, creator), F.concat(creator, writer)),
             _cases(
                 i % 4,
                 _element("description", text),
@@ -199,7 +185,7 @@ def feed_payloads(spark: SparkSession, folder: str) -> DataFrame:
             F.lit("</channel></rss>")
         ),
     )
-    return text_table(spark, folder, "documents").select(
+    return table(spark, folder, "documents").select(
         F.concat(F.lit("http://example.com/feed/"), F.col("doc_id").cast("string")).alias("feed_url"),
         F.col("source").alias("source_name"),
         F.lit("feeds").alias("category"),
@@ -220,9 +206,9 @@ def story_payloads(spark: SparkSession, folder: str) -> DataFrame:
         ).alias("url"),
         F.when(number % 6 != 3, F.col("n_chars").cast("int")).alias("score"),
         F.when(number % 7 != 4, F.lit(1704067200) + number * 60).alias("time"),
-        F.when(number % 10 != 0, first_line(F.col("text"))).alias("title"),
+        F.when(number % 10 != 0, F.col("text")).alias("title"),
     )
-    return text_table(spark, folder, "documents").select(
+    return table(spark, folder, "documents").select(
         (number % 60).cast("int").alias("pos"),
         number.alias("story_id"),
         F.to_json(story).alias("body"),
@@ -232,7 +218,7 @@ def story_payloads(spark: SparkSession, folder: str) -> DataFrame:
 
 def page_payloads(spark: SparkSession, folder: str, profile: str) -> DataFrame:
     """The web pages, all read with one profile."""
-    return text_table(spark, folder, "pages").select(
+    return table(spark, folder, "pages").select(
         "url",
         F.lit(profile).alias("profile"),
         F.lit(200).alias("status"),
@@ -268,7 +254,7 @@ def forum_payloads(spark: SparkSession, folder: str, profile: str) -> DataFrame:
         F.array_join(F.transform(_lines(), post), "\n"),
         F.lit("</div></body></html>"),
     )
-    return text_table(spark, folder, "documents").select(
+    return table(spark, folder, "documents").select(
         F.concat(F.lit("http://forum.example.com/"), F.col("doc_id").cast("string")).alias("url"),
         F.lit(profile).alias("profile"),
         F.lit(200).alias("status"),

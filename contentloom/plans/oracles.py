@@ -211,7 +211,7 @@ FROM (SELECT conv_id, turn, {_tokens("text")} AS tokens FROM conversations)""",
 SELECT doc_id, CAST(length(text) AS INTEGER) AS chars, left({_strip("text")}, 500) AS preview,
        left({_strip("text")}, 1000) AS abstract
 FROM documents""",
-    "q_rule_category": f"SELECT doc_id, {_guess(_first_line('text'))} AS category FROM documents",
+    "q_rule_category": f"SELECT doc_id, {_guess('text')} AS category FROM documents",
     "q_popularity": f"""
 WITH {_RAW}
 SELECT id, score, CASE WHEN score > 1000 THEN 'high' WHEN score > 100 THEN 'medium' ELSE 'low' END
@@ -284,7 +284,7 @@ SELECT unified_id, 2 * count(*) AS "rows" FROM unified GROUP BY unified_id""",
     "q_language_default": f"""
 WITH {_RAW}
 SELECT id, title, authors, 'en' AS language FROM raw_papers
-UNION ALL SELECT doc_id, {_first_line("text")}, NULL, lang FROM documents""",
+UNION ALL SELECT doc_id, text, NULL, lang FROM documents""",
     "q_trending_topics": f"WITH {_unified()} {_TOP_TRENDING}",
     "q_trending_by_sentiment": f"""
 WITH {_unified(_VARIED)}, top AS ({_TOP_TRENDING})
@@ -376,8 +376,7 @@ SELECT 'briefing',
        || {_text(BRIEFING_CLOSING)}
 FROM day""",
     "q_story_items": f"""
-SELECT doc_id AS story_id, {_guess(_first_line("text"))} AS subreddit,
-       {_first_line("text")} AS title,
+SELECT doc_id AS story_id, {_guess("text")} AS subreddit, text AS title,
        CASE WHEN doc_id % 4 = 1 THEN 'anonymous' ELSE source END AS author,
        CASE WHEN doc_id % 5 = 2 THEN '{STORY_LINK_PREFIX}' || doc_id
             ELSE 'http://example.com/story/' || doc_id END AS url,
@@ -401,8 +400,8 @@ FROM lines WHERE {_READ}""",
 WITH {_LINES}
 SELECT 'http://example.com/feed/' || doc_id AS feed_url, CAST(i AS INTEGER) AS position, source,
        'feeds' AS category, {_strip("line")} AS title,
-       CASE i % 3 WHEN 0 THEN 'A. Writer' WHEN 1 THEN 'C, D'
-                  ELSE 'Unknown author - ' || source END AS authors,
+       CASE i % 5 WHEN 2 THEN 'Unknown author - ' || source WHEN 0 THEN 'A. Writer'
+                  WHEN 3 THEN 'A. Writer' ELSE 'C, D' END AS authors,
        left(CASE i % 4 WHEN 1 THEN {_strip("line || ' more'")}
                        WHEN 3 THEN 'No abstract available - ' || source
                        ELSE {_strip("line")} END, 1000) AS abstract,

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,7 +86,7 @@ def _unified(spark: SparkSession, folder: str, varied: bool = False) -> DataFram
 
 @query("q_clean_text", "X1, D1")
 def _clean_text(spark, folder):
-    return given.text_table(spark, folder, "documents").select(
+    return given.table(spark, folder, "documents").select(
         "doc_id", clean_text(F.col("text")).alias("clean")
     )
 
@@ -96,7 +95,7 @@ def _clean_text(spark, folder):
 def _tokenize(spark, folder):
     tokens = tokenize(F.col("text"))
     return (
-        given.text_table(spark, folder, "conversations")
+        given.table(spark, folder, "conversations")
         .select("conv_id", "turn", tokens.alias("tokens"))
         .select(
             "conv_id",
@@ -109,7 +108,7 @@ def _tokenize(spark, folder):
 
 @query("q_truncate", "X3, X16, X17")
 def _truncate(spark, folder):
-    return given.text_table(spark, folder, "documents").select(
+    return given.table(spark, folder, "documents").select(
         "doc_id",
         F.length("text").alias("chars"),
         truncate(strip(F.col("text")), 500).alias("preview"),
@@ -119,8 +118,8 @@ def _truncate(spark, folder):
 
 @query("q_rule_category", "X11")
 def _rule_category(spark, folder):
-    return given.text_table(spark, folder, "documents").select(
-        "doc_id", rules.guess_category(given.first_line(F.col("text"))).alias("category")
+    return given.table(spark, folder, "documents").select(
+        "doc_id", rules.guess_category(F.col("text")).alias("category")
     )
 
 
@@ -139,7 +138,7 @@ def _absolute_url(spark, folder):
         .when(F.col("page_id") % 4 == 2, F.concat(F.lit("p?id="), F.col("page_id").cast("string")))
         .otherwise(F.lit(""))
     )
-    return given.text_table(spark, folder, "pages").select(
+    return given.table(spark, folder, "pages").select(
         "page_id",
         rules.site_link(link, F.col("url")).alias("site_link"),
         rules.prefix_link(link, F.lit("")).alias("bare_link"),
@@ -206,7 +205,7 @@ def _dates(spark, folder):
 
 @query("q_markup_text", "X18")
 def _markup_text(spark, folder):
-    return given.text_table(spark, folder, "pages").select(
+    return given.table(spark, folder, "pages").select(
         "page_id", feeds.markup_to_text(F.col("html")).alias("text")
     )
 
@@ -257,9 +256,9 @@ def _duplicate_ids(spark, folder):
 @query("q_language_default", "K7, K8")
 def _language_default(spark, folder):
     older = given.raw_scholarly(spark, folder).select("id", "title", "authors")
-    newer = given.text_table(spark, folder, "documents").select(
+    newer = given.table(spark, folder, "documents").select(
         F.col("doc_id").alias("id"),
-        given.first_line(F.col("text")).alias("title"),
+        F.col("text").alias("title"),
         F.col("lang").alias("language"),
     )
     return ensure_column(older, "language", F.lit("en")).unionByName(
@@ -284,8 +283,8 @@ def _trending_by_sentiment(spark, folder):
 
 @query("q_category_counts", "A1")
 def _category_counts(spark, folder):
-    """All categories of the whole period, before the cut."""
-    return ranking.category_counts(_unified(spark, folder), AS_OF, days=36_500).select(
+    """All categories of all dates, before the cut."""
+    return ranking.category_counts(_unified(spark, folder), AS_OF, days=None).select(
         "category", "count"
     )
 
@@ -348,13 +347,11 @@ def _count_vectors(spark, folder):
     """Counts of the vocabulary's words in every row, as ``rank:count`` in vocabulary order."""
     corpus = topics.corpus_words(_unified(spark, folder))
     terms = [row.term for row in topics.vocabulary(corpus).collect()]
-    counts = vector_to_array("features")
-    ranked = F.filter(
-        F.transform(
-            counts,
-            lambda n, i: F.when(n > 0, F.concat_ws(":", i.cast("string"), n.cast("int").cast("string"))),
-        ),
-        lambda entry: entry.isNotNull(),
+    sparse = F.unwrap_udt("features")
+    ranked = F.zip_with(
+        sparse["indices"],
+        sparse["values"],
+        lambda i, n: F.concat_ws(":", i.cast("string"), n.cast("int").cast("string")),
     )
     return topics.count_vectors(corpus, terms).select(
         "unified_id", F.array_join(ranked, " ").alias("counts")

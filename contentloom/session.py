@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
@@ -17,23 +15,8 @@ def pin_session(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, as named by the cluster in ``spark.checkpoint.dir``.
-
-    Only a local session, which has no other machine to share with, gets a folder of its own.
-    """
-    context = spark.sparkContext
-    folder = spark.conf.get(CHECKPOINT_SETTING, None) or context.getCheckpointDir()
-    if folder:
-        return folder
-    if not context.master.startswith("local"):
+    """The folder all executors share, as named by the cluster in ``spark.checkpoint.dir``."""
+    folder = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
         raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="contentloom-"))
-    return context.getCheckpointDir()
-
-
-def use_checkpoints(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint`` usable."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        folder = shared_folder(spark)
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(folder)
+    return folder

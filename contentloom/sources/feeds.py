@@ -45,8 +45,11 @@ def parse_feeds(payloads: DataFrame) -> DataFrame:
     """Feed payloads with the parsed document in ``feed``.
 
     A body that is no well-formed XML has its text in ``feed._malformed``. Exploding an array of
-    one keeps later filters from being pushed below the parser, which would parse twice.
+    one keeps later filters from being pushed below the parser, which would parse twice. A parsed
+    frame passes as it is.
     """
+    if "feed" in payloads.columns:
+        return payloads
     parsed = F.from_xml(F.col("body"), _FEED, _OPTIONS)
     return payloads.select("*", F.explode(F.array(parsed)).alias("feed"))
 
@@ -163,28 +166,51 @@ def news_articles(payloads: DataFrame, limit: int = catalog.ITEMS_PER_SOURCE) ->
     )
 
 
+def _raw_items(body: Column) -> Column:
+    """The source text of every item, without what only looks like a tag."""
+    bare = F.regexp_replace(body, r"(?s)<!\[CDATA\[.*?\]\]>|<!--.*?-->", "")
+    return F.regexp_extract_all(bare, F.lit(r"(?s)<item[\s>].*?</item\s*>"), F.lit(0))
+
+
+def _first_tag(*names: str) -> Column:
+    """The text of whichever of the tags comes first in the item, NULL if it has none."""
+    pattern = "<(" + "|".join(names) + r")[\s/>]"
+    found = F.regexp_extract("raw_item", pattern, 1)
+    chosen = F.lit(None).cast("string")
+    for name in names:
+        own = F.col("item")[name]
+        chosen = F.when(found == name, F.coalesce(own, F.lit(""))).otherwise(chosen)
+    return strip(chosen)
+
+
 def scholarly_articles(payloads: DataFrame, limit: int = catalog.ITEMS_PER_SOURCE) -> DataFrame:
-    """Raw scholarly rows of RSS and RDF feeds; items without title or link are skipped."""
+    """Raw scholarly rows of RSS and RDF feeds; items without title or link are skipped.
+
+    Of tags that stand for the same field the first in the item counts.
+    """
     feeds = parse_feeds(payloads.filter("status = 200")).filter(well_formed())
+    # Exploded for the same reason as the parsed document.
+    feeds = feeds.select("*", F.explode(F.array(_raw_items(F.col("body")))).alias("raw_items"))
     items = F.slice(F.coalesce("feed.channel.item", "feed.item"), 1, limit)
 
     def first_of(*names: str) -> Column:
         return strip(F.coalesce(*[F.col("item")[name] for name in names]))
 
     abstract = F.coalesce(
-        first_of("description", "content:encoded", "summary"),
+        _first_tag("description", "content:encoded", "summary"),
         F.concat(F.lit(catalog.NO_ABSTRACT_PREFIX), F.col("source_name")),
     )
-    published = first_of("pubDate", "dc:date", "published")
+    published = _first_tag("pubDate", "dc:date", "published")
     return (
         _one_per_row(feeds, items)
+        .withColumn("raw_item", F.get("raw_items", F.col("position")))
         .filter((first_of("title") != "") & (first_of("link") != ""))
         .select(
             F.col("source_name").alias("source"),
             "category",
             first_of("title").alias("title"),
             F.coalesce(
-                first_of("author", "dc:creator"),
+                _first_tag("author", "dc:creator"),
                 F.concat(F.lit(catalog.UNKNOWN_AUTHOR_PREFIX), F.col("source_name")),
             ).alias("authors"),
             abstract.alias("abstract"),

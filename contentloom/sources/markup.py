@@ -96,6 +96,14 @@ class Outline(HTMLParser):
         if data.upper().startswith("CDATA["):
             self.handle_data(data[6:])
 
+    def parse_marked_section(self, i, report=1):
+        """A section of an unknown kind counts as a comment that ends at the next ``>``."""
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:
+            end = self.rawdata.find(">", i)
+            return end + 1 if end >= 0 else -1
+
     def _finish(self) -> str:
         element = self._open.pop()
         element.last = len(self.elements) - 1
@@ -214,5 +222,11 @@ def _matches(element: Element, steps: tuple) -> bool:
 
 
 def page_text(html: str) -> str:
-    """All text of a page or fragment, without script, style and comment content."""
-    return Outline(html).text()
+    """All text of a page or fragment, without script, style and comment content.
+
+    What the reader cannot take stays as it is, so that one odd text costs no other row.
+    """
+    try:
+        return Outline(html).text()
+    except (AssertionError, ValueError, RecursionError):
+        return html

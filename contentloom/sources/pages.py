@@ -23,7 +23,7 @@ from contentloom.sources.markup import Element, Outline
 
 _BLOCK_COLUMNS = """
     page_url string, profile string, fetched_at timestamp, position int, title string,
-    link string, author string, summary string, posted string, score string
+    link string, author string, summary string, posted string, score string, error string
 """
 
 
@@ -170,38 +170,72 @@ def read_page(html: str, profile: PageProfile) -> Iterator[tuple]:
 
 
 def page_blocks(pages: DataFrame, profiles: Iterable[PageProfile]) -> DataFrame:
-    """Items of all fetched pages whose profile is known.
+    """Items of all fetched pages whose profile is known; a frame of items passes as it is.
 
-    Pages are independent, so they stay where the scan put them. The profiles are a few
-    constants per site and travel with the function.
+    A page that the reader cannot take gives one row without a position and with its ``error``.
+    Pages are independent, so they stay where the scan put them. The profiles are a few constants
+    per site and travel with the function.
     """
+    if "position" in pages.columns:
+        return pages
     known = {profile.name: profile for profile in profiles}
     columns = _BLOCK_COLUMNS.replace("\n", " ")
     names = [part.split()[0] for part in columns.split(",")]
 
+    def rows_of(page) -> Iterator[tuple]:
+        start = (page.url, page.profile, page.fetched_at)
+        try:
+            blocks = list(read_page(page.html, known[page.profile]))
+        except Exception as problem:  # whatever one page raises must not fail the others
+            yield (*start, *[None] * 7, f"{type(problem).__name__}: {problem}"[:200])
+        else:
+            for block in blocks:
+                yield (*start, *block, None)
+
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [
-                (page.url, page.profile, page.fetched_at, *block)
-                for page in batch.itertuples(index=False)
-                if page.html is not None
-                for block in read_page(page.html, known[page.profile])
-            ]
-            yield pd.DataFrame(rows, columns=names)
+            rows = [row for page in batch.itertuples(index=False) for row in rows_of(page)]
+            found = pd.DataFrame(rows, columns=names)
+            yield found.astype({"position": "Int32"})
 
     return (
-        pages.filter((F.col("status") == 200) & F.col("profile").isin(*known))
+        pages.filter(
+            (F.col("status") == 200) & F.col("profile").isin(*known) & F.col("html").isNotNull()
+        )
         .select("url", "profile", "html", "fetched_at")
         .mapInPandas(read, columns)
     )
 
 
-def failed_payloads(pages: DataFrame, profiles: Iterable[PageProfile]) -> DataFrame:
-    """Pages of the given profiles that were not fetched."""
+def _items(pages: DataFrame, profiles: Iterable[PageProfile]) -> DataFrame:
+    return page_blocks(pages, profiles).filter(F.col("error").isNull())
+
+
+def unreadable_pages(blocks: DataFrame) -> DataFrame:
+    """The pages of ``page_blocks`` that could not be read."""
+    return blocks.filter(F.col("error").isNotNull()).select(
+        F.col("page_url").alias("origin"),
+        F.lit("unreadable page").alias(REASON),
+        F.col("error").alias("body"),
+    )
+
+
+def failed_payloads(
+    pages: DataFrame, profiles: Iterable[PageProfile], all_profiles: Iterable[PageProfile] = ()
+) -> DataFrame:
+    """Pages of the given profiles that were not fetched.
+
+    With ``all_profiles`` pages that none of these read are failed too, for want of a profile.
+    """
+    own, known = [p.name for p in profiles], [p.name for p in all_profiles]
     fetched = (F.col("status") == 200) & F.col("html").isNotNull()
-    wanted = pages.filter(F.col("profile").isin(*[p.name for p in profiles]))
-    checked = with_reason(wanted, {"not fetched": ~F.coalesce(fetched, F.lit(False))})
-    return rejected_rows(checked).select(
+    rules = {"not fetched": ~F.coalesce(fetched, F.lit(False))}
+    wanted = F.col("profile").isin(*own)
+    if known:
+        unknown = ~F.coalesce(F.col("profile").isin(*known), F.lit(False))
+        rules = {"unknown profile": unknown, **rules}
+        wanted = wanted | unknown
+    return rejected_rows(with_reason(pages.filter(wanted), rules)).select(
         F.col("url").alias("origin"), REASON, F.col("html").alias("body")
     )
 
@@ -216,7 +250,7 @@ def forum_posts(pages: DataFrame, profiles: Iterable[PageProfile] | None = None)
     """Raw post rows of forum listing pages."""
     profiles = list(profiles or forum_profiles())
     absent = catalog.FORUM_DEFAULTS
-    return page_blocks(pages, profiles).select(
+    return _items(pages, profiles).select(
         _profile_value(profiles, "source").alias("subreddit"),
         F.coalesce("title", F.lit(absent["title"])).alias("title"),
         F.coalesce("author", F.lit(absent["author"])).alias("author"),
@@ -234,7 +268,7 @@ def news_articles(pages: DataFrame, profiles: Iterable[PageProfile] | None = Non
     profiles = list(profiles or news_profiles())
     title = strip(F.col("title"))
     return (
-        page_blocks(pages, profiles)
+        _items(pages, profiles)
         .withColumns({"title": title, "source": _profile_value(profiles, "source")})
         .filter(
             (F.length("title") >= catalog.NEWS_TITLE_MIN_CHARS)
@@ -265,7 +299,7 @@ def scholarly_articles(
     """Raw scholarly rows of technology and science sites."""
     profiles = list(profiles or scholarly_profiles())
     return (
-        page_blocks(pages, profiles)
+        _items(pages, profiles)
         .withColumns(
             {
                 "title": strip(F.col("title")),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contentloom import catalog
@@ -10,25 +10,38 @@ from contentloom.functions.dates import epoch_timestamp
 from contentloom.functions.rules import guess_category
 from contentloom.operators.quality import REASON, rejected_rows, with_reason
 
-STORY = "by string, url string, score int, time bigint, title string"
+STORY = "by string, url string, score int, time bigint, title string, _malformed string"
+_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed"}
 
 
 def parse_stories(payloads: DataFrame, limit: int = catalog.STORIES_PER_LIST) -> DataFrame:
     """The first stories of every fetched list with the parsed object in ``story``.
 
-    Exploding an array of one makes every later use share one parse.
+    Exploding an array of one makes every later use share one parse; a parsed frame passes as it
+    is. An object that is broken, or holds a value of another type, is in ``story._malformed``.
     """
-    parsed = F.from_json("body", STORY)
+    if "story" in payloads.columns:
+        return payloads
+    parsed = F.from_json("body", STORY, _OPTIONS)
     return payloads.filter(F.col("pos") < limit).select(
         "*", F.explode(F.array(parsed)).alias("story")
     )
 
 
+def _malformed() -> Column:
+    return F.col("story").isNull() | F.col("story._malformed").isNotNull()
+
+
+def payload_rules() -> dict[str, Column]:
+    """Why a parsed object gives no row."""
+    return {"malformed": _malformed(), "no title": F.col("story.title").isNull()}
+
+
 def story_posts(payloads: DataFrame, limit: int = catalog.STORIES_PER_LIST) -> DataFrame:
     """Raw post rows; objects without a title are no stories."""
     return (
         parse_stories(payloads, limit)
-        .filter(F.col("story.title").isNotNull())
+        .filter(~_malformed() & F.col("story.title").isNotNull())
         .select(
             guess_category(F.col("story.title")).alias("subreddit"),
             F.col("story.title").alias("title"),
@@ -46,9 +59,7 @@ def story_posts(payloads: DataFrame, limit: int = catalog.STORIES_PER_LIST) -> D
 
 
 def failed_payloads(payloads: DataFrame, limit: int = catalog.STORIES_PER_LIST) -> DataFrame:
-    checked = with_reason(
-        parse_stories(payloads, limit), {"no title": F.col("story.title").isNull()}
-    )
+    checked = with_reason(parse_stories(payloads, limit), payload_rules())
     return rejected_rows(checked).select(
         F.col("story_id").cast("string").alias("origin"), REASON, "body"
     )

@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as contract
+from contentloom.plans.oracles import ORACLES
+from contentloom.plans.queries import QUERIES
 from tests.compare import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
@@ -32,21 +34,21 @@ def connection():
 
 
 def test_every_query_has_sql_or_a_reason():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == WITHOUT_SQL
+    assert set(QUERIES) - set(ORACLES) == WITHOUT_SQL
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, connection, name):
     good, note, _ = compare(spark, connection, FOLDER, name)
     assert good or (good is None and name in WITHOUT_SQL), note
 
 
 def plan(spark, name):
-    return contract.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    return QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
 
 
 def test_python_only_where_pages_are_parsed(spark):
-    for name in set(contract.queries()) - WITHOUT_SQL:
+    for name in set(QUERIES) - WITHOUT_SQL:
         text = plan(spark, name)
         assert "BatchEvalPython" not in text, name
         assert any(p in text for p in ("ArrowEvalPython", "MapInPandas")) == (name in IN_PYTHON), name
@@ -59,7 +61,7 @@ def test_top_k_is_not_a_full_sort(spark):
 
 
 def test_filters_and_columns_reach_the_scan(spark):
-    text = contract.queries()["q_trending_topics"](spark, FOLDER)._jdf.queryExecution().toString()
+    text = QUERIES["q_trending_topics"](spark, FOLDER)._jdf.queryExecution().toString()
     assert "GreaterThanOrEqual(ts" in text
     assert "value" not in text.split("ReadSchema: struct<ts")[1].split("\n")[0]
 
@@ -75,5 +77,5 @@ def test_entry(spark):
 
 
 def test_no_joins_and_no_cartesian_products(spark):
-    for name in set(contract.queries()) - WITHOUT_SQL:
+    for name in set(QUERIES) - WITHOUT_SQL:
         assert "Join" not in plan(spark, name) and "Cartesian" not in plan(spark, name)

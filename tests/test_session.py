@@ -33,6 +33,9 @@ def test_a_cluster_without_a_folder_is_refused():
         shared_folder(session("yarn"))
 
 
-def test_a_local_session_gets_one_folder():
+def test_a_local_session_needs_a_folder_too():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(session("local[2]"))
     local = session("local[2]")
-    assert shared_folder(local) == shared_folder(local) == local.sparkContext.folder
+    local.sparkContext.setCheckpointDir("/shared")
+    assert shared_folder(local) == "/shared"
