@@ -79,13 +79,15 @@ def clean_tokens(cleaned: Column) -> Column:
     return _all_matches(cleaned, "[a-z]{3,}")
 
 
-def words(text: Column, keep_empty: bool = False) -> Column:
+def words(text: Column, keep_empty: bool = False, cleaned: bool = False) -> Column:
     """Lower-case words of a topic-model document.
 
+    ``cleaned`` says that ``text`` comes from ``clean_text`` and need not be cleaned again.
+
     ``keep_empty`` splits at every single white-space character instead of at runs, so that
     neighbouring separators produce empty words.
     """
-    lowered = F.lower(letters_only(text))
+    lowered = text if cleaned else F.lower(letters_only(text))
     if keep_empty:
         return F.split(F.rtrim(lowered, F.lit(WHITESPACE_CHARS)), _SPACE)
     return F.regexp_extract_all(lowered, F.lit("[a-z]+"), F.lit(0))

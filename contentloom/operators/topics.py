@@ -29,7 +29,8 @@ class TopicSettings:
     Online LDA looks at a random share ``sampling`` of the rows in each iteration, as MLlib does by
     default. It samples each partition, so equal topics need an equal ``seed`` and an equal number
     of partitions: ``partitions``, or else one for ``rows_per_partition`` rows. Weights may still
-    differ in their last digits, since partial sums meet in the order tasks end.
+    differ in their last digits, since partial sums meet in the order tasks end. ``cleaned`` says
+    that the content went through ``clean_text``, as in the unified table.
     """
 
     vocabulary_size: int = 1000
@@ -42,13 +43,14 @@ class TopicSettings:
     partitions: int | None = None
     rows_per_partition: int = 100_000
     keep_empty_words: bool = False
+    cleaned: bool = False
     stop_words: tuple[str, ...] = ENGLISH_STOP_WORDS
 
 
 def corpus_words(unified: DataFrame, settings: TopicSettings = TopicSettings()) -> DataFrame:
     """Words of every row that has content, stop words removed."""
     kept = F.filter(
-        words(F.col("content"), settings.keep_empty_words),
+        words(F.col("content"), settings.keep_empty_words, settings.cleaned),
         lambda word: ~word.isin(*settings.stop_words),
     )
     return unified.filter(F.col("content").isNotNull()).select("unified_id", kept.alias("words"))

@@ -36,14 +36,19 @@ def varied_score(number: Column) -> Column:
     return ((number * 37) % 101) / F.lit(100.0)
 
 
+def _with_gaps(number: Column, modulus: int, value: Column) -> Column:
+    """``value``, empty on some rows and NULL on some, so that the rules for such rows show."""
+    return F.when(number % modulus == 7, "").when(number % modulus != 8, value)
+
+
 def raw_news(spark: SparkSession, folder: str) -> DataFrame:
     """News articles from documents."""
     return table(spark, folder, "documents").select(
         F.col("doc_id").alias("id"),
         F.concat(F.lit("  "), F.upper("source"), F.lit(" ")).alias("source"),
-        F.upper("lang").alias("category"),
-        first_line(F.col("text")).alias("title"),
-        F.col("text").alias("content"),
+        F.when(F.col("doc_id") % 37 != 5, F.upper("lang")).alias("category"),
+        _with_gaps(F.col("doc_id"), 41, first_line(F.col("text"))).alias("title"),
+        _with_gaps(F.col("doc_id"), 43, F.col("text")).alias("content"),
         F.concat(F.lit("http://example.com/doc/"), F.col("doc_id").cast("string")).alias("url"),
         _days_ago(F.col("doc_id")).alias("published_date"),
         _fetched_at().alias("extracted_date"),
@@ -55,7 +60,7 @@ def raw_posts(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").select(
         F.col("event_id").alias("id"),
         F.concat(F.lit(" "), F.initcap("event_type")).alias("subreddit"),
-        F.concat_ws(" ", "event_type", "props").alias("title"),
+        _with_gaps(F.col("event_id"), 41, F.concat_ws(" ", "event_type", "props")).alias("title"),
         F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("author"),
         F.concat(F.lit("http://example.com/post/"), F.col("event_id").cast("string")).alias("url"),
         F.floor(F.col("value") * 10).try_cast("int").alias("score"),
@@ -71,9 +76,9 @@ def raw_scholarly(spark: SparkSession, folder: str) -> DataFrame:
         number.alias("id"),
         F.concat(F.lit(" Journal of "), F.col("role"), F.lit("  ")).alias("source"),
         F.initcap("role").alias("category"),
-        first_line(F.col("text")).alias("title"),
-        F.substring_index("text", ".", 1).alias("authors"),
-        F.col("text").alias("abstract"),
+        _with_gaps(number, 41, first_line(F.col("text"))).alias("title"),
+        F.when(number % 37 != 5, F.substring_index("text", ".", 1)).alias("authors"),
+        _with_gaps(number, 43, F.col("text")).alias("abstract"),
         F.concat(F.lit("http://example.com/paper/"), number.cast("string")).alias("url"),
         _days_ago(number).alias("published_date"),
         _fetched_at().alias("extracted_date"),
@@ -196,8 +201,19 @@ def feed_payloads(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def story_payloads(spark: SparkSession, folder: str) -> DataFrame:
-    """One story object per document, in lists of sixty; absent fields depend on the id."""
+def _broken(number: Column, body: Column) -> Column:
+    return (
+        F.when(number % 19 == 3, F.substr(body, F.lit(1), F.char_length(body) - 1))
+        .when(number % 19 == 5, F.lit('{"title": "t", "score": 5.5}'))
+        .otherwise(body)
+    )
+
+
+def story_payloads(spark: SparkSession, folder: str, broken: bool = False) -> DataFrame:
+    """One story object per document, in lists of sixty; absent fields depend on the id.
+
+    With ``broken`` some objects are cut short and some have a score that is no integer.
+    """
     number = F.col("doc_id")
     story = F.struct(
         F.when(number % 4 != 1, F.col("source")).alias("by"),
@@ -211,18 +227,27 @@ def story_payloads(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents").select(
         (number % 60).cast("int").alias("pos"),
         number.alias("story_id"),
-        F.to_json(story).alias("body"),
+        (_broken(number, F.to_json(story)) if broken else F.to_json(story)).alias("body"),
         _fetched_at().alias("fetched_at"),
     )
 
 
-def page_payloads(spark: SparkSession, folder: str, profile: str) -> DataFrame:
-    """The web pages, all read with one profile."""
+def page_payloads(spark: SparkSession, folder: str, profile: str, odd: bool = False) -> DataFrame:
+    """The web pages, all read with one profile; some begin with a marked section of no known kind.
+
+    With ``odd`` some pages were not fetched and some have a profile nobody knows.
+    """
+    number = F.col("page_id")
+    name, status = F.lit(profile), F.lit(200)
+    if odd:
+        name = F.when(number % 7 == 1, F.lit("nobody")).when(number % 7 != 2, name)
+        status = F.when(number % 5 == 0, 404).otherwise(status)
+    section = F.when(number % 9 == 4, F.lit("<![word[odd]>")).otherwise("")
     return table(spark, folder, "pages").select(
         "url",
-        F.lit(profile).alias("profile"),
-        F.lit(200).alias("status"),
-        "html",
+        name.alias("profile"),
+        status.alias("status"),
+        F.concat(section, F.col("html")).alias("html"),
         _fetched_at().alias("fetched_at"),
     )
 

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +28,15 @@ from contentloom.operators.unify import unify
 from contentloom.schemas import conform, ensure_column
 from contentloom.session import pin_session
 from contentloom.sources import feeds, pages, stories
-from contentloom.sources.storage import FolderStore, TableStore, last_id, number_rows, staged
+from contentloom.sources.storage import (
+    CatalogStore,
+    FolderStore,
+    TableStore,
+    next_id,
+    number_rows,
+    record_ids,
+    staged,
+)
 
 REJECTS = "rejected_rows"
 
@@ -46,17 +55,22 @@ def scholarly_articles(store: TableStore) -> None:
 
 
 def merge_all(store: TableStore) -> None:
-    """Unified rows by content type: each input writes its own folder, so no shuffle is needed."""
+    """Unified rows by content type and, inside, by day.
+
+    Reports read the last days of the table, so rows of a day belong together; a rebalance moves
+    them there and splits days that are too large for one file.
+    """
     unified = unify(
         store.read("transformed_news_articles"),
         store.read("transformed_reddit_posts"),
         store.read("transformed_scholarly_articles"),
     )
-    store.overwrite("unified_content", unified, partition_by=("content_type",))
+    by_day = unified.hint("rebalance", F.col("content_type"), F.col("published_date"))
+    store.overwrite("unified_content", by_day, partition_by=("content_type",))
 
 
 def insights(
-    store: TableStore, as_of=None, settings: TopicSettings = TopicSettings(), generated_at=None
+    store: TableStore, as_of=None, settings: TopicSettings = TopicSettings(cleaned=True), generated_at=None
 ) -> dict[str, int]:
     """Append the insights of one run; returns the number of rows by outcome.
 
@@ -65,7 +79,7 @@ def insights(
     """
     unified = store.register("unified_content")
     store.create_if_absent("content_insights")
-    with staged(trending_topics(unified, as_of)) as trending:
+    with staged(trending_topics(unified, as_of), store.staging_folder()) as trending:
         rows = build_insights(unified, as_of, generated_at, settings, trending)
         counted = Observation()
         store.append(
@@ -95,102 +109,140 @@ def _store_rejects(store: TableStore, table: str, bad: DataFrame) -> None:
     )
 
 
+@dataclass(frozen=True)
+class Batch:
+    """Which payloads a run takes, by ``fetched_at`` (``since`` included, ``until`` not), and ids.
+
+    ``first_id`` starts the range of ids that the caller has set aside for this run; runs with
+    ranges of their own may append to one table side by side. Without it ids follow those of the
+    recorded appends, and runs that append to one table must not overlap.
+    """
+
+    since: str | None = None
+    until: str | None = None
+    first_id: int | None = None
+
+    def payloads(self, store: TableStore, table: str) -> DataFrame:
+        found = store.read(table)
+        if self.since is not None:
+            found = found.filter(F.col("fetched_at") >= F.lit(self.since).cast("timestamp"))
+        if self.until is not None:
+            found = found.filter(F.col("fetched_at") < F.lit(self.until).cast("timestamp"))
+        return found
+
+
+EVERYTHING = Batch()
+
+
 def store_rows(
     store: TableStore,
     table: str,
     rows: DataFrame,
     failed: DataFrame,
     rules: Mapping[str, Column] | None = None,
+    first_id: int | None = None,
 ) -> dict[str, int]:
     """Append extracted rows to a raw table; bad rows and failed payloads go to the rejects.
 
-    Returns the number of rows by outcome. An empty batch writes nothing. Jobs that append to the
-    same table must run one after another: ids continue from the last one stored, and file
-    appends to one folder must not overlap.
+    Returns the number of rows, and of failed payloads, by outcome. An empty batch writes nothing.
     """
-    with staged(with_reason(rows, rules or {})) as checked:
+    folder = store.staging_folder()
+    with staged(with_reason(rows, rules or {}), folder) as checked:
         counts = {row[REASON]: row["rows"] for row in reason_counts(checked).collect()}
-        if counts.get("stored"):
+        if stored := counts.get("stored"):
             store.create_if_absent(table)
-            last = last_id(store.read(table))
-            store.append(table, conform(number_rows(good_rows(checked), last), table))
+            first = next_id(store, table) if first_id is None else first_id
+            store.append(table, conform(number_rows(good_rows(checked), first), table))
+            record_ids(store, table, first, stored)
         if counts.keys() - {"stored"}:
             _store_rejects(store, table, rejected_rows(checked))
-    with staged(failed) as bad:
-        if not bad.isEmpty():
+    with staged(failed, folder) as bad:
+        lost = {row[REASON]: row["rows"] for row in reason_counts(bad).collect()}
+        if lost:
             _store_rejects(store, table, bad)
-    return counts
+    return {reason: counts.get(reason, 0) + lost.get(reason, 0) for reason in counts | lost}
 
 
 def _unreadable_date() -> dict[str, Column]:
     return {"unreadable date": F.col("published_date").isNull()}
 
 
-def extract_news_feeds(store: TableStore) -> dict[str, int]:
-    payloads = feeds.with_details(store.read("news_feed_payloads"), feeds.news_feeds())
-    return store_rows(
-        store,
-        "news_articles",
-        feeds.news_articles(payloads),
-        feeds.failed_payloads(payloads, fetched_only=False),
-        _unreadable_date(),
-    )
+def extract_news_feeds(store: TableStore, batch: Batch = EVERYTHING) -> dict[str, int]:
+    payloads = feeds.with_details(batch.payloads(store, "news_feed_payloads"), feeds.news_feeds())
+    with staged(feeds.parse_feeds(payloads), store.staging_folder()) as parsed:
+        return store_rows(
+            store,
+            "news_articles",
+            feeds.news_articles(parsed),
+            feeds.failed_payloads(parsed, fetched_only=False),
+            _unreadable_date(),
+            batch.first_id,
+        )
 
 
-def extract_scholarly_feeds(store: TableStore) -> dict[str, int]:
+def extract_scholarly_feeds(store: TableStore, batch: Batch = EVERYTHING) -> dict[str, int]:
     payloads = feeds.with_details(
-        store.read("scholarly_feed_payloads"), feeds.scholarly_feeds()
-    )
-    return store_rows(
-        store,
-        "scholarly_articles",
-        feeds.scholarly_articles(payloads),
-        feeds.failed_payloads(payloads, fetched_only=True),
-        _unreadable_date(),
+        batch.payloads(store, "scholarly_feed_payloads"), feeds.scholarly_feeds()
     )
+    with staged(feeds.parse_feeds(payloads), store.staging_folder()) as parsed:
+        return store_rows(
+            store,
+            "scholarly_articles",
+            feeds.scholarly_articles(parsed),
+            feeds.failed_payloads(parsed, fetched_only=True),
+            _unreadable_date(),
+            batch.first_id,
+        )
 
 
-def extract_stories(store: TableStore) -> dict[str, int]:
-    payloads = store.read("story_payloads")
-    return store_rows(
-        store,
-        "reddit_posts",
-        stories.story_posts(payloads),
-        stories.failed_payloads(payloads),
-    )
+def extract_stories(store: TableStore, batch: Batch = EVERYTHING) -> dict[str, int]:
+    payloads = batch.payloads(store, "story_payloads")
+    with staged(stories.parse_stories(payloads), store.staging_folder()) as parsed:
+        return store_rows(
+            store,
+            "reddit_posts",
+            stories.story_posts(parsed),
+            stories.failed_payloads(parsed),
+            first_id=batch.first_id,
+        )
 
 
-def _page_payloads(store: TableStore, profiles: list[pages.PageProfile]) -> DataFrame:
-    return pages.with_profiles(store.read("page_payloads"), profiles)
+def _extract_pages(
+    store: TableStore,
+    batch: Batch,
+    table: str,
+    profiles: list[pages.PageProfile],
+    rows: Callable[[DataFrame], DataFrame],
+    rules: Mapping[str, Column] | None = None,
+    strays: bool = False,
+) -> dict[str, int]:
+    """Read the pages of some profiles once; ``strays`` also rejects pages that no profile reads."""
+    everyone = [*pages.forum_profiles(), *pages.news_profiles(), *pages.scholarly_profiles()]
+    payloads = pages.with_profiles(batch.payloads(store, "page_payloads"), everyone)
+    with staged(pages.page_blocks(payloads, profiles), store.staging_folder()) as blocks:
+        failed = pages.failed_payloads(payloads, profiles, everyone if strays else ())
+        failed = failed.unionByName(pages.unreadable_pages(blocks))
+        return store_rows(store, table, rows(blocks), failed, rules, batch.first_id)
 
 
-def extract_forum_pages(store: TableStore) -> dict[str, int]:
-    payloads = _page_payloads(store, pages.forum_profiles())
-    return store_rows(
-        store,
-        "reddit_posts",
-        pages.forum_posts(payloads),
-        pages.failed_payloads(payloads, pages.forum_profiles()),
-    )
+def extract_forum_pages(store: TableStore, batch: Batch = EVERYTHING) -> dict[str, int]:
+    return _extract_pages(store, batch, "reddit_posts", pages.forum_profiles(), pages.forum_posts)
 
 
-def extract_news_pages(store: TableStore) -> dict[str, int]:
-    payloads = _page_payloads(store, pages.news_profiles())
-    return store_rows(
-        store,
-        "news_articles",
-        pages.news_articles(payloads),
-        pages.failed_payloads(payloads, pages.news_profiles()),
+def extract_news_pages(store: TableStore, batch: Batch = EVERYTHING) -> dict[str, int]:
+    """Also rejects pages whose address and profile nobody knows."""
+    return _extract_pages(
+        store, batch, "news_articles", pages.news_profiles(), pages.news_articles, strays=True
     )
 
 
-def extract_scholarly_pages(store: TableStore) -> dict[str, int]:
-    payloads = _page_payloads(store, pages.scholarly_profiles())
-    return store_rows(
+def extract_scholarly_pages(store: TableStore, batch: Batch = EVERYTHING) -> dict[str, int]:
+    return _extract_pages(
         store,
+        batch,
         "scholarly_articles",
-        pages.scholarly_articles(payloads),
-        pages.failed_payloads(payloads, pages.scholarly_profiles()),
+        pages.scholarly_profiles(),
+        pages.scholarly_articles,
         _unreadable_date(),
     )
 
@@ -212,27 +264,50 @@ JOBS: dict[str, Callable] = {
         digest,
     )
 }
-DATED_JOBS = frozenset((insights, digest))
+EXTRACTIONS = frozenset(job for job in JOBS if job.startswith("extract_"))
 
 
-def run(verb: str, store: TableStore, as_of=None):
-    """Run the job of that name; raises ``ValueError`` for an unknown one."""
+def run(
+    verb: str,
+    store: TableStore,
+    as_of=None,
+    generated_at=None,
+    batch: Batch = EVERYTHING,
+):
+    """Run the job of that name; raises ``ValueError`` for an unknown one.
+
+    ``generated_at`` stamps insights; a run that repeats a failed one gives the same time, so that
+    its insights get the same ids.
+    """
     if verb not in JOBS:
         raise ValueError(f"unknown job {verb!r}, expected one of {', '.join(JOBS)}")
     pin_session(store.spark)
     job = JOBS[verb]
-    return job(store, as_of=as_of) if job in DATED_JOBS else job(store)
+    if verb == "insights":
+        return job(store, as_of=as_of, generated_at=generated_at)
+    if verb == "digest":
+        return job(store, as_of=as_of)
+    return job(store, batch) if verb in EXTRACTIONS else job(store)
 
 
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Run one content job")
     parser.add_argument("verb", choices=JOBS)
-    parser.add_argument("--root", required=True, help="folder that holds the tables")
+    parser.add_argument("--root", help="folder that holds the tables")
+    parser.add_argument("--database", help="catalog database that holds the tables instead")
     parser.add_argument("--as-of", help="day the reports refer to, YYYY-MM-DD; default today")
+    parser.add_argument("--generated-at", help="time stamp of insights; default now")
+    parser.add_argument("--since", help="first fetch time of the payloads to extract")
+    parser.add_argument("--until", help="fetch time at which the payloads to extract end")
+    parser.add_argument("--first-id", type=int, help="start of this run's range of ids")
     given = parser.parse_args(arguments)
+    if bool(given.root) == bool(given.database):
+        parser.error("give either --root or --database")
     spark = SparkSession.builder.appName(f"contentloom {given.verb}").getOrCreate()
     try:
-        outcome = run(given.verb, FolderStore(spark, given.root), given.as_of)
+        store = FolderStore(spark, given.root) if given.root else CatalogStore(spark, given.database)
+        batch = Batch(given.since, given.until, given.first_id)
+        outcome = run(given.verb, store, given.as_of, given.generated_at, batch)
         if isinstance(outcome, DataFrame):
             for row in outcome.select("message").collect():
                 print(row.message)

@@ -6,22 +6,36 @@ tables directly, without building or parsing any XML, JSON or HTML listing.
 
 from __future__ import annotations
 
-from contentloom.catalog import (
-    CATEGORY_RULES,
-    DEFAULT_CATEGORY,
-    ENGLISH_STOP_WORDS,
-    FORUM_LINK_PREFIX,
-    NEWS_CONTENT_DEFAULT,
-    POSITIVE_DESCRIPTION,
-    STORY_LINK_PREFIX,
+# Fixed values, written out here so that a wrong constant of the package shows.
+AS_OF = "2024-01-30"
+FETCHED_AT = "2024-01-30 06:00:00"
+CATEGORY_RULES = (
+    ("programming", ("code", "programming", "developer", "software", "git")),
+    ("technology", ("ai", "tech", "computer", "app", "digital")),
+    ("science", ("science", "research", "study", "physics", "biology")),
+    ("business", ("startup", "business", "money", "finance", "market")),
 )
-from contentloom.operators.serving import (
-    BRIEFING_CLOSING,
-    BRIEFING_HEADING,
-    TRENDING_HEADING,
-)
-from contentloom.plans.driver_tables import AS_OF, FETCHED_AT
-
+DEFAULT_CATEGORY = "general"
+FORUM_LINK_PREFIX = "https://reddit.com"
+NEWS_CONTENT_DEFAULT = "No content preview available"
+POSITIVE_DESCRIPTION = "This content has a very positive sentiment score"
+STORY_LINK_PREFIX = "https://news.ycombinator.com/item?id="
+BRIEFING_CLOSING = "\nAsk me for more details on any topic!"
+BRIEFING_HEADING = "*DAILY BRIEFING*\n\nHere's your summary of today's most relevant content:\n\n"
+TRENDING_HEADING = "📊 *TRENDING TOPICS* 📊\n\nHere's what's generating buzz across platforms:\n\n"
+ENGLISH_STOP_WORDS = """
+i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she
+her hers herself it its itself they them their theirs themselves what which who whom this that
+these those am is are was were be been being have has had having do does did doing a an the and
+but if or because as until while of at by for with about against between into through during
+before after above below to from up down in out on off over under again further then once here
+there when where why how all any both each few more most other some such no nor not only own
+same so than too very s t can will just don should now i'll you'll he'll she'll we'll they'll
+i'd you'd he'd she'd we'd they'd i'm you're he's she's it's we're they're i've we've you've
+they've isn't aren't wasn't weren't haven't hasn't hadn't don't doesn't didn't won't wouldn't
+shan't shouldn't mustn't can't couldn't cannot could here's how's let's ought that's there's
+what's when's where's who's why's would
+""".split()
 _GENERATED_AT = "2024-01-30 12:00:00"
 _W = (
     r"\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}"
@@ -62,25 +76,33 @@ def _label(x: str) -> str:
     return f"lower(trim({x}, ' '))"
 
 
+def _gaps(number: str, modulus: int, x: str) -> str:
+    return f"CASE ({number}) % {modulus} WHEN 7 THEN '' WHEN 8 THEN NULL ELSE {x} END"
+
+
 _VARIED = "((id * 37) % 101) / 100.0"
 _PAPER = "conv_id * 1000 + turn"
 
 _RAW = f"""
 raw_news AS (
-  SELECT doc_id AS id, '  ' || upper(source) || ' ' AS source, upper(lang) AS category,
-         {_first_line("text")} AS title, text AS content,
+  SELECT doc_id AS id, '  ' || upper(source) || ' ' AS source,
+         CASE WHEN doc_id % 37 <> 5 THEN upper(lang) END AS category,
+         {_gaps("doc_id", 41, _first_line("text"))} AS title,
+         {_gaps("doc_id", 43, "text")} AS content,
          'http://example.com/doc/' || doc_id AS url, {_days_ago("doc_id")} AS published_date
   FROM documents),
 raw_posts AS (
   SELECT event_id AS id, ' ' || upper(event_type[1]) || event_type[2:] AS subreddit,
-         event_type || ' ' || props AS title, 'user' || user_id AS author,
+         {_gaps("event_id", 41, "event_type || ' ' || props")} AS title, 'user' || user_id AS author,
          'http://example.com/post/' || event_id AS url,
          CAST(floor(value * 10) AS INTEGER) AS score, CAST(ts AS DATE) AS created_date
   FROM events),
 raw_papers AS (
   SELECT {_PAPER} AS id, ' Journal of ' || role || '  ' AS source,
-         upper(role[1]) || role[2:] AS category, {_first_line("text")} AS title,
-         string_split(text, '.')[1] AS authors, text AS abstract,
+         upper(role[1]) || role[2:] AS category,
+         {_gaps(_PAPER, 41, _first_line("text"))} AS title,
+         CASE WHEN ({_PAPER}) % 37 <> 5 THEN string_split(text, '.')[1] END AS authors,
+         {_gaps(_PAPER, 43, "text")} AS abstract,
          'http://example.com/paper/' || ({_PAPER}) AS url,
          {_days_ago("(" + _PAPER + ")")} AS published_date
   FROM conversations)
@@ -305,7 +327,7 @@ SELECT 'trending_topic' AS insight_type, category AS title,
          || printf('%.2f', avg_sentiment) AS description,
        'multiple sources' AS sources, '' AS related_content_ids,
        CAST("count" AS DOUBLE) AS score, '{_GENERATED_AT}' AS generated_at
-FROM top
+FROM top WHERE category IS NOT NULL
 UNION ALL
 SELECT 'positive_content', title, {_text(POSITIVE_DESCRIPTION)}, source, unified_id,
        sentiment_score, '{_GENERATED_AT}'
@@ -337,6 +359,29 @@ listed AS (
   GROUP BY unified_id)
 SELECT unified_id, coalesce(counts, '') AS counts FROM corpus LEFT JOIN listed USING (unified_id)
 """,
+    "q_topic_insights": f"""
+WITH {_WORDS},
+counted AS (
+  SELECT category, term, count(*) AS n
+  FROM (SELECT category, unnest(words) AS term FROM corpus JOIN unified USING (unified_id))
+  GROUP BY category, term),
+ranked AS (
+  SELECT category, term, n / sum(n) OVER (PARTITION BY category) AS share,
+         row_number() OVER (PARTITION BY category ORDER BY n DESC, term) AS rank FROM counted),
+listed AS (
+  SELECT dense_rank() OVER (ORDER BY category NULLS FIRST) AS number,
+         list(term ORDER BY rank) AS terms, list(share ORDER BY rank) AS shares
+  FROM ranked WHERE rank <= 10 GROUP BY category)
+SELECT 'discovered_topic' AS insight_type,
+       'Topic ' || number || ': ' || array_to_string(terms[1:3], ', ') AS title,
+       'Discovered topic with key terms: ' || array_to_string(terms, ', ') AS description,
+       'topic modeling' AS sources, 0 AS related,
+       round(list_sum(shares[1:5]), 6) AS score, '{_GENERATED_AT}' AS generated_at
+FROM listed""",
+    "q_topic_properties": """
+SELECT CAST(i AS INTEGER) AS topic, 10 AS distinct_terms, 10 AS known_terms, true AS falling,
+       true AS shares
+FROM range(5) t(i)""",
     "q_digest": f"WITH {_INSIGHTS} SELECT {_SERVED} FROM stored WHERE {_TODAY} {_BEST} LIMIT 10",
     "q_latest": f"""
 WITH {_INSIGHTS} SELECT {_SERVED} FROM stored WHERE {_SINCE_YESTERDAY} {_BEST} LIMIT 5""",
@@ -409,9 +454,18 @@ SELECT 'http://example.com/feed/' || doc_id AS feed_url, CAST(i AS INTEGER) AS p
        {_feed_time(_MORNING, _FETCHED)} AS published_date
 FROM lines WHERE {_FETCHED_AND_READ} AND {_strip("line")} <> '' AND (doc_id + i) % 11 <> 5""",
     "q_rejects": """
-SELECT CASE WHEN doc_id % 17 = 2 THEN 'not fetched' WHEN doc_id % 13 = 4 THEN 'malformed'
-            ELSE 'stored' END AS reject_reason, count(*) AS "rows"
-FROM documents GROUP BY 1""",
+SELECT 'feeds' AS kind, CASE WHEN doc_id % 17 = 2 THEN 'not fetched'
+         WHEN doc_id % 13 = 4 THEN 'malformed' ELSE 'stored' END AS reject_reason,
+       count(*) AS "rows"
+FROM documents GROUP BY ALL
+UNION ALL
+SELECT 'stories', CASE WHEN doc_id % 19 IN (3, 5) THEN 'malformed'
+         WHEN doc_id % 10 = 0 THEN 'no title' ELSE 'stored' END, count(*)
+FROM documents WHERE doc_id % 60 < 50 GROUP BY ALL
+UNION ALL
+SELECT 'pages', CASE WHEN page_id % 7 IN (1, 2) THEN 'unknown profile' ELSE 'not fetched' END,
+       count(*)
+FROM pages WHERE page_id % 7 IN (1, 2) OR page_id % 5 = 0 GROUP BY ALL""",
     "q_page_links": f"""
 WITH found AS (SELECT url, regexp_extract_all(html, '(?s)<li>.*?</li>')[1:10] AS items FROM pages),
 items AS (SELECT url, unnest(items) AS item, generate_subscripts(items, 1) - 1 AS i FROM found),

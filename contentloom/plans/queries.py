@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from contentloom.functions import dates, rules
@@ -24,6 +24,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 COVERS: dict[str, str] = {}
 
+CLEANED = topics.TopicSettings(cleaned=True)
 GENERATED_AT = "2024-01-30 12:00:00"
 
 LIST_PROFILE = pages.PageProfile(
@@ -324,7 +325,7 @@ def _insight_ids(spark, folder):
 
 @query("q_corpus_words", "F7, X9, M1, M2")
 def _corpus_words(spark, folder):
-    return topics.corpus_words(_unified(spark, folder)).select(
+    return topics.corpus_words(_unified(spark, folder), CLEANED).select(
         "unified_id",
         F.size("words").alias("word_count"),
         F.array_join("words", " ").alias("words"),
@@ -334,18 +335,18 @@ def _corpus_words(spark, folder):
 @query("q_term_counts", "A3")
 def _term_counts(spark, folder):
     """Counts of every word, before the cut."""
-    return topics.term_counts(topics.corpus_words(_unified(spark, folder)))
+    return topics.term_counts(topics.corpus_words(_unified(spark, folder), CLEANED))
 
 
 @query("q_vocabulary", "A3")
 def _vocabulary(spark, folder):
-    return topics.vocabulary(topics.corpus_words(_unified(spark, folder)))
+    return topics.vocabulary(topics.corpus_words(_unified(spark, folder), CLEANED))
 
 
 @query("q_count_vectors", "M3")
 def _count_vectors(spark, folder):
     """Counts of the vocabulary's words in every row, as ``rank:count`` in vocabulary order."""
-    corpus = topics.corpus_words(_unified(spark, folder))
+    corpus = topics.corpus_words(_unified(spark, folder), CLEANED)
     terms = [row.term for row in topics.vocabulary(corpus).collect()]
     sparse = F.unwrap_udt("features")
     ranked = F.zip_with(
@@ -360,12 +361,83 @@ def _count_vectors(spark, folder):
 
 @query("q_discovered_topics", "M3 to M5, J1, A2, W2, T8, T9, X26, I3")
 def _discovered_topics(spark, folder):
-    found = topics.discover_topics(_unified(spark, folder), topics.TopicSettings(partitions=8))
+    found = topics.discover_topics(_unified(spark, folder), topics.TopicSettings(partitions=8, cleaned=True))
     return insights.topic_insights(found, GENERATED_AT).select(
         "insight_type", "title", "description", F.round("score", 6).alias("score")
     )
 
 
+def _category_topics(spark: SparkSession, folder: str) -> DataFrame:
+    """A topic per category: its ten most frequent words with their shares of its words.
+
+    Topics are numbered by category; the indices point into the vocabulary of all words found.
+    """
+    unified = _unified(spark, folder)
+    categories = unified.select("unified_id", "category")
+    words = topics.corpus_words(unified, CLEANED).join(categories, "unified_id")
+    counted = words.select("category", F.explode("words").alias("term")).groupBy("category", "term").count()
+    own = Window.partitionBy("category")
+    ranked = counted.withColumns(
+        {
+            "rank": F.row_number().over(own.orderBy(F.desc("count"), "term")),
+            "share": F.col("count") / F.sum("count").over(own),
+        }
+    ).filter("rank <= 10")
+    # At most ten words per category are left.
+    return (
+        ranked.groupBy("category")
+        .agg(F.sort_array(F.collect_list(F.struct("rank", "term", "share"))).alias("top"))
+        .withColumn("topic", F.rank().over(Window.orderBy("category")) - 1)
+        .select("topic", F.col("top.term").alias("terms"), F.col("top.share").alias("weights"))
+    )
+
+
+@query("q_topic_insights", "J1, A2, W2, T9, X26, I3")
+def _topic_insights(spark, folder):
+    """Topics by category through the steps that follow a fitted model."""
+    found = _category_topics(spark, folder)
+    names = sorted({t for row in found.select("terms").collect() for t in row.terms})
+    places = {name: i for i, name in enumerate(names)}
+    listed = F.create_map(*[F.lit(x) for pair in places.items() for x in pair])
+    indexed = found.select(
+        "topic",
+        F.transform("terms", lambda t: F.element_at(listed, t)).alias("termIndices"),
+        F.col("weights").alias("termWeights"),
+    )
+    rows = insights.topic_insights(topics.name_terms(indexed, names), GENERATED_AT)
+    return rows.select(
+        "insight_type",
+        "title",
+        "description",
+        F.array_join("sources", "|").alias("sources"),
+        F.size("related_content_ids").alias("related"),
+        F.round("score", 6).alias("score"),
+        _clock("generated_at"),
+    )
+
+
+@query("q_topic_properties", "M4, M5, T8")
+def _topic_properties(spark, folder):
+    """What holds for every fitted model, whatever its topics are."""
+    unified = _unified(spark, folder)
+    found = topics.discover_topics(unified, topics.TopicSettings(partitions=8, cleaned=True))
+    known = topics.vocabulary(topics.corpus_words(unified, CLEANED))
+    listed = found.select("topic", F.explode("terms").alias("term")).join(known, "term")
+    in_vocabulary = listed.groupBy("topic").agg(F.count_distinct("term").alias("known"))
+    falling = F.forall(
+        F.sequence(F.lit(1), F.size("weights") - 1),
+        lambda i: F.get("weights", i) <= F.get("weights", i - 1),
+    )
+    total = F.aggregate("weights", F.lit(0.0), lambda a, w: a + w)
+    return found.join(in_vocabulary, "topic", "left").select(
+        "topic",
+        F.size(F.array_distinct("terms")).alias("distinct_terms"),
+        F.coalesce("known", F.lit(0)).alias("known_terms"),
+        falling.alias("falling"),
+        ((total > 0) & (total <= 1 + 1e-9)).alias("shares"),
+    )
+
+
 # --- serving ---------------------------------------------------------------------------------
 
 
@@ -462,8 +534,21 @@ def _feed_items(spark, folder):
 
 @query("q_rejects", "K9, F11, A4")
 def _rejects(spark, folder):
+    """Outcomes of feeds, stories and pages."""
     parsed = feeds.parse_feeds(given.feed_payloads(spark, folder))
-    return reason_counts(with_reason(parsed, feeds.payload_rules(fetched_only=True)))
+    read = stories.parse_stories(given.story_payloads(spark, folder, broken=True))
+    fetched = given.page_payloads(spark, folder, LIST_PROFILE.name, odd=True)
+    failed = pages.failed_payloads(fetched, [LIST_PROFILE], [LIST_PROFILE])
+    unread = pages.unreadable_pages(pages.page_blocks(fetched, [LIST_PROFILE]))
+    found = {
+        "feeds": with_reason(parsed, feeds.payload_rules(fetched_only=True)),
+        "stories": with_reason(read, stories.payload_rules()),
+        "pages": failed.unionByName(unread),
+    }
+    counts = [
+        reason_counts(checked).select(F.lit(kind).alias("kind"), "*") for kind, checked in found.items()
+    ]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
 @query("q_page_links", "S11, S13, F13, F15, X12")

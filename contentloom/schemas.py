@@ -53,6 +53,7 @@ _DDL = {
     published_date date, sentiment_score double, content_type string, unified_id string,
     processed_timestamp timestamp
     """,
+    "id_ranges": "table_name string, first_id bigint, rows bigint",
     "content_insights": """
     id bigint not null, insight_type string not null, title string not null,
     description string not null, sources array<string> not null,

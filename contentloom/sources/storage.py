@@ -12,7 +12,7 @@ from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,6 +34,10 @@ class TableStore(ABC):
     @abstractmethod
     def _save(self, table: str, writer: DataFrameWriter) -> None: ...
 
+    def staging_folder(self) -> str | None:
+        """Where intermediate tables go; None leaves it to the session's shared folder."""
+        return None
+
     def overwrite(self, table: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
         self._save(table, _partitioned(df.write.mode("overwrite"), partition_by))
 
@@ -74,6 +78,10 @@ class FolderStore(TableStore):
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
+    def staging_folder(self) -> str:
+        """A folder beside the tables, which all executors reach."""
+        return self.path("_staging")
+
     def exists(self, table: str) -> bool:
         jvm = self.spark._jvm
         location = jvm.org.apache.hadoop.fs.Path(self.path(table))
@@ -170,14 +178,14 @@ class JdbcStore(TableStore):
 
 
 @contextmanager
-def staged(df: DataFrame) -> Iterator[DataFrame]:
-    """``df`` as a table written once to the shared folder, for results used more than once.
+def staged(df: DataFrame, folder: str | None = None) -> Iterator[DataFrame]:
+    """``df`` as a table written once to a shared folder, for results used more than once.
 
     Readers start from the files, so losing an executor repeats no earlier work. The files go
-    when the block ends.
+    when the block ends. Without ``folder`` the session has to name one.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/contentloom-staged-{uuid.uuid4().hex}"
+    path = f"{folder or shared_folder(spark)}/contentloom-staged-{uuid.uuid4().hex}"
     df.write.parquet(path)
     try:
         yield spark.read.schema(df.schema).parquet(path)
@@ -187,15 +195,49 @@ def staged(df: DataFrame) -> Iterator[DataFrame]:
         location.getFileSystem(configuration).delete(location, True)
 
 
-def number_rows(df: DataFrame, after: int = 0, name: str = "id") -> DataFrame:
-    """Unique ids above ``after`` for rows about to be appended, without a shuffle.
+def number_rows(df: DataFrame, first: int = 1, name: str = "id") -> DataFrame:
+    """Contiguous ids from ``first`` for the rows of a table in Parquet files, such as a staged one.
 
-    The ids have gaps, and each belongs to the task that wrote it, so they are final only in the
-    written table.
+    A row's place is its file and its position there. Rows are ranked inside their file, so a task
+    handles what one task wrote, and the files' sizes, a row each, give the offsets.
     """
-    return df.withColumn(name, F.lit(after + 1) + F.monotonically_increasing_id())
+    placed = df.select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")
+    )
+    sizes = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_file", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
+    rank = F.row_number().over(Window.partitionBy("_file").orderBy("_row")) - 1
+    return (
+        placed.withColumn("_rank", rank)
+        .join(offsets, "_file")
+        .withColumn(name, F.lit(first) + F.col("_before") + F.col("_rank"))
+        .drop("_file", "_row", "_rank", "_before")
+    )
 
 
 def last_id(df: DataFrame, name: str = "id") -> int:
-    """Greatest id in use, 0 for an empty table. Parquet answers this from file footers."""
+    """Greatest id in use, 0 for an empty table. Reads the whole column."""
     return df.agg(F.max(name)).first()[0] or 0
+
+
+ID_RANGES = "id_ranges"
+
+
+def next_id(store: TableStore, table: str) -> int:
+    """The first id that no recorded append has used.
+
+    The record has one row per append. A table without any, filled by other means, is looked
+    through once.
+    """
+    if store.exists(ID_RANGES):
+        ends = store.read(ID_RANGES).filter(F.col("table_name") == table)
+        end = ends.agg(F.max(F.col("first_id") + F.col("rows"))).first()[0]
+        if end is not None:
+            return end
+    return last_id(store.read(table)) + 1
+
+
+def record_ids(store: TableStore, table: str, first: int, rows: int) -> None:
+    kept = schema(ID_RANGES)
+    store.append(ID_RANGES, store.spark.createDataFrame([(table, first, rows)], kept))

@@ -1,5 +1,6 @@
 """Storage and jobs, from payloads to the digest."""
 
+import dataclasses
 import datetime as dt
 import json
 
@@ -85,8 +86,10 @@ def test_jdbc_options(spark):
 
 def test_numbering(spark):
     df = spark.range(1000, numPartitions=7).select(F.col("id").alias("x"))
-    ids = [r.id for r in number_rows(df, after=50).collect()]
-    assert len(set(ids)) == 1000 and min(ids) == 51
+    with staged(df) as rows:
+        odd = number_rows(rows.filter("x % 3 = 0"), first=51).collect()
+    assert sorted(r.id for r in odd) == list(range(51, 51 + 334))
+    assert {r.x for r in odd} == set(range(0, 1000, 3))
     assert last_id(spark.createDataFrame([], "id bigint")) == 0
 
 
@@ -144,10 +147,10 @@ def test_pipeline(store, spark):
     fill_payloads(store, spark)
     outcome = {verb: jobs.run(verb, store) for verb in jobs.JOBS if verb.startswith("extract")}
     assert outcome == {
-        "extract_news_feeds": {"stored": 1, "unreadable date": 1},
+        "extract_news_feeds": {"stored": 1, "unreadable date": 1, "malformed": 1},
         "extract_scholarly_feeds": {"stored": 1},
-        "extract_stories": {"stored": 1},
-        "extract_forum_pages": {"stored": 1},
+        "extract_stories": {"stored": 1, "no title": 1},
+        "extract_forum_pages": {"stored": 1, "not fetched": 1},
         "extract_news_pages": {"stored": 1},
         "extract_scholarly_pages": {"stored": 1},
     }
@@ -217,6 +220,77 @@ def test_empty_batch_writes_nothing(store, spark):
     assert not store.exists("reddit_posts") and not store.exists(jobs.REJECTS)
 
 
+def stories_of(spark, *bodies, at=FETCHED):
+    rows = [(i, 100 + i, body, at) for i, body in enumerate(bodies)]
+    return spark.createDataFrame(rows, schema("story_payloads"))
+
+
+def titles(*names):
+    return [json.dumps({"title": name}) for name in names]
+
+
+def test_a_window_takes_each_payload_once(store, spark):
+    store.append("story_payloads", stories_of(spark, *titles("a", "b"), at=dt.datetime(2024, 1, 1)))
+    store.append("story_payloads", stories_of(spark, *titles("c"), at=dt.datetime(2024, 1, 2)))
+    days = [jobs.Batch("2024-01-01", "2024-01-02"), jobs.Batch("2024-01-02", "2024-01-03")]
+    assert [jobs.run("extract_stories", store, batch=day) for day in days] == [{"stored": 2}, {"stored": 1}]
+    found = {r.id: r.title for r in store.read("reddit_posts").collect()}
+    assert sorted(found) == [1, 2, 3] and found[3] == "c"
+    window = days[0].payloads(store, "story_payloads")._jdf.queryExecution().toString()
+    assert "PushedFilters: [IsNotNull(fetched_at), GreaterThanOrEqual(fetched_at" in window
+
+
+def test_ranges_keep_jobs_apart(store, spark):
+    store.append("story_payloads", stories_of(spark, *titles(*"abcde")).repartition(3))
+    for first in (1000, 5000):
+        assert jobs.run("extract_stories", store, batch=jobs.Batch(first_id=first)) == {"stored": 5}
+    ids = sorted(r.id for r in store.read("reddit_posts").collect())
+    assert ids == [*range(1000, 1005), *range(5000, 5005)]
+    jobs.run("extract_stories", store)
+    assert max(r.id for r in store.read("reddit_posts").collect()) == 5009
+
+
+def test_ids_follow_a_table_filled_by_other_means(store, spark):
+    row = (41, "Sub", "Title", "a", "u", 5, None, None)
+    store.append("reddit_posts", spark.createDataFrame([row], schema("reddit_posts")))
+    store.append("story_payloads", stories_of(spark, *titles("a")))
+    jobs.run("extract_stories", store)
+    assert sorted(r.id for r in store.read("reddit_posts").collect()) == [41, 42]
+
+
+def test_broken_stories_are_malformed(store, spark):
+    bodies = [*titles("good"), '{"title": "cut', '{"title": "x", "score": 5.5}', '{"title": "y", "score": 99999999999}', "{}"]
+    store.append("story_payloads", stories_of(spark, *bodies))
+    assert jobs.run("extract_stories", store) == {"stored": 1, "malformed": 3, "no title": 1}
+
+
+def test_one_odd_page_costs_no_other(store, spark, monkeypatch):
+    good = '<div class="thing"><a class="title" href="/r/a">Post</a></div>'
+    forum, broken = pages.forum_profile("science"), pages.forum_profile("technology")
+    store.append("page_payloads", page(spark, forum, good))
+    store.append("page_payloads", page(spark, forum, "<![word[ x ]>" + good.replace("Post", "Odd")))
+    store.append("page_payloads", page(spark, broken, good))
+    stray = page(spark, forum, good).withColumns({"profile": F.lit(None).cast("string"), "url": F.lit("http://nobody")})
+    store.append("page_payloads", stray)
+    unreadable = dataclasses.replace(broken, block=("a:hover",))
+    monkeypatch.setattr(pages, "forum_profiles", lambda: [forum, unreadable])
+    assert jobs.run("extract_forum_pages", store) == {"stored": 2, "unreadable page": 1}
+    assert {r.title for r in store.read("reddit_posts").collect()} == {"Post", "Odd"}
+    assert jobs.run("extract_news_pages", store) == {"unknown profile": 1}
+    rejects = {(r.reject_reason, json.loads(r.row)["origin"]) for r in store.read(jobs.REJECTS).collect()}
+    assert rejects == {("unreadable page", "https://a.com/list"), ("unknown profile", "http://nobody")}
+
+
+def test_unified_rows_are_clustered_by_day(store, spark):
+    fill_payloads(store, spark)
+    for verb in jobs.JOBS:
+        if verb not in ("insights", "digest"):
+            jobs.run(verb, store)
+    rows = store.read("unified_content").hint("rebalance", F.col("content_type"), F.col("published_date"))
+    assert "REBALANCE" in rows._jdf.queryExecution().executedPlan().toString()
+    assert not [t for t in store.spark._jvm.java.io.File(store.path("_staging")).list() or []]
+
+
 def test_unknown_verb(store):
     with pytest.raises(ValueError, match="unknown job"):
         jobs.run("nonsense", store)
