@@ -19,17 +19,20 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, most: int,
 
     Rows with a NULL id or label, or whose id has remainder 0, are left out. Each of the two
     labels gives about half of the sample, chosen by a hash of the id, or all its rows if there
-    are fewer; so the table of chosen ids is bounded by ``most`` and is broadcast.
+    are fewer; so the table of chosen ids is bounded by ``most`` and is broadcast. An id counts
+    once for each of its labels, however often either table repeats it.
     """
     known = labels.select("doc_id", F.col(target).cast("int").alias("label")).where(
         F.col("label").isin(0, 1) & (remainder(F.col("doc_id"), FOLDS) != 0)
     )
+    known = known.distinct()
     counts = {r.label: r["count"] for r in known.groupBy("label").count().collect()}
     share = F.lit(0.0)
     for label, n in counts.items():
         share = F.when(F.col("label") == label, min(1.0, most / 2 / n)).otherwise(share)
     draw = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 20)) / float(1 << 20)
-    return docs.join(F.broadcast(known.where(draw < share)), "doc_id")
+    chosen = docs.join(F.broadcast(known.where(draw < share)), "doc_id")
+    return chosen.dropDuplicates(["doc_id", "label"])
 
 
 def gathered(features: DataFrame, *columns: str) -> list[list]:

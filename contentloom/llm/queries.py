@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,9 +19,12 @@ from .sharding import shard
 from .tokens import Vocabulary
 from .toxicity import toxicity
 
-VOCABULARY = Vocabulary(
-    public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
-)
+
+def public_vocabulary() -> Vocabulary:
+    """The byte-level vocabulary of 50,257 tokens, from the installed package of tokenizer files."""
+    from public_tokenizers import path
+
+    return Vocabulary(path("byte_bpe_50k.json"), path("byte_bpe_50k.tiktoken"))
 
 
 def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -37,7 +39,7 @@ def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in sequences of 2048 tokens."""
-    return pack(table(spark, folder, "documents"), VOCABULARY)
+    return pack(table(spark, folder, "documents"), public_vocabulary())
 
 
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:

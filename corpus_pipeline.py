@@ -14,7 +14,7 @@ from contentloom.llm.decontaminate import without_contaminated
 from contentloom.llm.line_dedup import without_repeats
 from contentloom.llm.near_dedup import one_of_each
 from contentloom.llm.packing import pack
-from contentloom.llm.queries import VOCABULARY
+from contentloom.llm.queries import public_vocabulary
 from contentloom.llm.toxicity import without_toxic
 
 
@@ -40,7 +40,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of 2048 tokens, with their ids."""
-    return pack(docs, VOCABULARY, with_ids=True)
+    return pack(docs, public_vocabulary(), with_ids=True)
 
 
 STAGES = [

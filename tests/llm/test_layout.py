@@ -14,10 +14,12 @@ import corpus_pipeline
 from contentloom.llm.packing import PackSettings, first_fit_decreasing, pack
 from contentloom.llm.pii import SurrogateSettings, replace_entities, without_entities
 from contentloom.llm.quality_rules import RuleSettings, quality_rules
-from contentloom.llm.queries import VOCABULARY
+from contentloom.llm.queries import public_vocabulary
 from contentloom.llm.sharding import ShardSettings, place, shard
 from tests.llm.conftest import SMALL
 
+VOCABULARY = public_vocabulary()
+
 
 def plain_first_fit(sizes, room):
     left, bins = [], [0] * len(sizes)
