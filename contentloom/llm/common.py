@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
+#: Rows with texts that travel to a Python worker at a time.
+BATCH_ROWS = 1000
 #: Bytes of text that a worker turns into arrays at a time; a longer text is a batch of its own.
 BATCH_BYTES = 2 << 20
 #: Bytes of words hashed at a time.
@@ -41,7 +43,7 @@ def shared_folder(spark: SparkSession) -> str:
     if context.getCheckpointDir() is None:
         folder = spark.conf.get(CHECKPOINT_SETTING, None)
         if folder is None:
-            if not context.master.startswith("local["):
+            if context.master != "local" and not context.master.startswith("local["):
                 raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="contentloom-llm-")
             atexit.register(shutil.rmtree, folder, ignore_errors=True)
@@ -78,8 +80,12 @@ def remainder(doc_id: Column, modulus: int) -> Column:
 def set_aside(docs: DataFrame) -> DataFrame:
     """(doc_id, text, rest): every other column goes into the struct ``rest``, named by position.
 
-    So no name of ``docs`` can clash with an operator's own, whatever its case.
+    So no name of ``docs`` can clash with an operator's own, whatever its case. The session sends
+    at most ``BATCH_ROWS`` rows at a time to Python from here on, which bounds what a task holds.
     """
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(docs.sparkSession.conf.get(setting)) <= BATCH_ROWS:
+        docs.sparkSession.conf.set(setting, BATCH_ROWS)
     names = docs.columns
     placed = docs.toDF(*[f"c{i}" for i in range(len(names))])
     others = [F.col(f"c{i}") for i, name in enumerate(names) if name not in ("doc_id", "text")]

@@ -44,11 +44,13 @@ def _classes() -> np.ndarray:
 class Vocabulary:
     """``path``: the tokenizer's JSON file. ``ranks``: the same vocabulary as base64 ranks.
 
-    Both must be readable where tasks run; nothing of them is kept in the package.
+    Both must be readable where tasks run; nothing of them is kept in the package. ``special``:
+    strings that the JSON file lists as tokens of their own.
     """
 
     path: str
     ranks: str
+    special: tuple[str, ...] = ("<|endoftext|>",)
 
     def encoder(self) -> Encoder:
         return Encoder(self)
@@ -61,25 +63,32 @@ class Encoder:
     in its slot, so memory is bounded whatever the corpus holds.
     """
 
-    def __init__(self, vocabulary: Vocabulary, slots: int = 1 << 20):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    def __init__(self, vocabulary: Vocabulary, slots: int = 1 << 19):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.whole = Tokenizer.from_file(vocabulary.path)
+        self.path, self.library = vocabulary.path, None
         with open(vocabulary.ranks, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.words = tiktoken.Encoding(
             "words", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
-        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        self.special = vocabulary.special
         self.classes = _classes()
         self.values = mixed(np.arange(1, _KNOWN + 2, dtype=np.uint64))
         self.slots = slots
         self._forget()
 
+    def whole(self, text: str) -> list[int]:
+        """The ids of a text that the library takes whole; it is loaded with the first one."""
+        if self.library is None:
+            import os
+
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            from tokenizers import Tokenizer
+
+            self.library = Tokenizer.from_file(self.path)
+        return self.library.encode(text, add_special_tokens=False).ids
+
     def _forget(self) -> None:
         self.keys = np.zeros(self.slots, np.uint64)
         self.at = np.zeros(self.slots, np.int32)
@@ -91,7 +100,7 @@ class Encoder:
         self, batches: Iterator[pa.RecordBatch], column: str, end: int
     ) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
         """Each batch with the ids of its rows, one after the other, and the bounds of each row."""
-        for batch, texts in text_batches(batches, column, 1 << 20):
+        for batch, texts in text_batches(batches, column, 1 << 18):
             rows = [texts.data[a:b].tobytes().decode() for a, b in zip(texts.bounds[:-1], texts.bounds[1:])]
             ids, bounds = self._encode(rows, end)
             yield batch, ids, bounds
@@ -114,7 +123,7 @@ class Encoder:
         ids, counts = self._tokens(text, capped, starts, ends)
 
         sizes = np.bincount(row, counts, len(rows)).astype(np.int64)
-        slow = {int(i): self.whole.encode(rows[i], add_special_tokens=False).ids for i in np.flatnonzero(whole)}
+        slow = {int(i): self.whole(rows[i]) for i in np.flatnonzero(whole)}
         for i, found in slow.items():
             sizes[i] = len(found)
         bounds = np.r_[0, np.cumsum(sizes + 1)]
@@ -133,7 +142,7 @@ class Encoder:
         """The ids of all words in a row, and how many each has; ``capped``: code points up to a bound."""
         if not len(starts):
             return np.empty(0, np.uint32), np.empty(0, np.int64)
-        if self.used > 8 << 20:
+        if self.used > 4 << 20:
             self._forget()
         keys = self._word_keys(capped, starts, ends)
         slot = (keys & np.uint64(self.slots - 1)).astype(np.int64)
