@@ -43,6 +43,10 @@ SEGMENT = 1 << 16
 """Bytes of a filter that are merged at a time."""
 
 
+SALTS = 32
+"""Parts into which the documents that hold one key are dealt."""
+
+
 def _key(line: bytes) -> bytes:
     """The line without white space at its ends, A-Z lowered."""
     return line.strip(_SPACE).lower()
@@ -177,15 +181,17 @@ def _drops(docs: DataFrame, settings: LineSettings) -> DataFrame:
                 ["doc_id", "key"],
             )
 
-    rows = marked.mapInArrow(suspects, f"doc_id {kind}, key binary")
+    # A key that a third of all documents hold is joined in as many parts as there are salts.
+    salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
+    rows = marked.mapInArrow(suspects, f"doc_id {kind}, key binary").withColumn("salt", salt)
     common = (
         rows.groupBy("key")
         .agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper"))
         .where(F.col("n") >= settings.least_docs)
-        .select("key", "keeper")
+        .select("key", "keeper", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     )
     return (
-        rows.join(common, "key")
+        rows.join(common, ["key", "salt"])
         .where("doc_id != keeper")
         .groupBy("doc_id")
         .agg(F.array_join(F.collect_set(F.hex("key")), "").alias("drop"))
@@ -206,7 +212,8 @@ def dedup_lines(docs: DataFrame, settings: LineSettings = LineSettings()) -> Dat
     an empty table gives no rows.
     """
     whole = set_aside(docs)
-    drops = _drops(whole.select("doc_id", "text"), settings)
+    # Read from files, so that adaptive execution can split the rows of a much repeated doc_id.
+    drops = cut_lineage(_drops(whole.select("doc_id", "text"), settings))
     rest = whole.schema["rest"].dataType.simpleString()
     kind = whole.schema["doc_id"].dataType.simpleString()
 
