@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Shared, Texts, remainder, set_aside, text_batches
+from .common import Shared, Texts, cut_lineage, remainder, set_aside, text_batches
 
 FOLDS = 4
 HELD_OUT = 2
@@ -105,7 +105,7 @@ def language_profiles(docs: DataFrame, settings: LanguageSettings = LanguageSett
     """The ranked n-gram places of every value of ``lang``.
 
     Learned from at most about ``most_rows`` documents of each language, chosen by a hash of the
-    id, none of them NULL in id, lang or text or held out.
+    id, none of them NULL in id, lang or text or held out; a repeated id counts once.
     """
     frame = set_aside(docs)
     lang = F.col(f"rest.c{docs.columns.index('lang')}").cast("string").alias("lang")
@@ -114,10 +114,13 @@ def language_profiles(docs: DataFrame, settings: LanguageSettings = LanguageSett
         & F.col("text").isNotNull()
         & (remainder(F.col("doc_id"), FOLDS) != HELD_OUT)
     )
-    sizes = known.groupBy("lang").count()
+    sizes = cut_lineage(known.groupBy("lang").count())
+    # A table of languages is small; of anything else in that column it goes by shuffle.
+    sizes = F.broadcast(sizes) if sizes.count() <= 100_000 else sizes
     share = F.least(F.lit(1.0), F.lit(float(settings.most_rows)) / F.col("count"))
     draw = F.pmod(F.xxhash64("doc_id", F.lit(settings.seed)), F.lit(1 << 20)) / float(1 << 20)
-    sample = known.join(sizes, "lang").where(draw < share).select("lang", "text")
+    sample = known.join(sizes, "lang").where(draw < share).dropDuplicates(["doc_id", "lang"])
+    sample = sample.select("lang", "text")
 
     def run(key: tuple[pa.Scalar], rows: pa.Table) -> pa.Table:
         counts = np.zeros(settings.places, np.int64)
