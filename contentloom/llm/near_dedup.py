@@ -6,6 +6,9 @@ small enough, so depth adapts to how crowded that part of the order is. Inside a
 estimated similarities propose links, likeliest first, and every proposed link between documents
 that are not connected yet is confirmed on full shingle sets.
 
+Going deeper only finds most links early. Pairs that it separates, and that are not connected by
+then, are compared block by block (see ``_separated``), so crowding loses no candidates.
+
 Copies are one class from the start: documents with equal sets share a node of the link graph.
 """
 
@@ -43,7 +46,8 @@ class ForestSettings:
 
     Two documents of similarity s share a region of one tree with probability s ** first_depth,
     so 12 trees of depth 4 miss a pair at 0.85 once in 7,000 times and one at 0.9 once in 400,000. ``crowd`` is the most documents a region may hold before it goes deeper; it bounds
-    the work per region and drops nobody (see ``_regions``). ``slack`` is how far, in standard
+    the work per region and drops nobody (see ``_regions``). ``block`` is about how many of the nodes
+    that this separates a task compares with as many others. ``slack`` is how far, in standard
     deviations, an estimate may fall below the threshold and still be confirmed.
     """
 
@@ -53,6 +57,7 @@ class ForestSettings:
     first_depth: int = 4
     last_depth: int = 8
     crowd: int = 200
+    block: int = 1000
     slack: float = 4.0
     seed: int = 11
 
@@ -124,21 +129,24 @@ def _key(tree: Column, depth: int, settings: ForestSettings) -> Column:
     return F.xxhash64(tree, F.lit(depth), prefix)
 
 
-def _regions(classes: DataFrame, settings: ForestSettings) -> DataFrame:
+def _regions(classes: DataFrame, settings: ForestSettings) -> tuple[DataFrame, DataFrame | None]:
     """(region, node) for all regions of two to ``crowd`` nodes or so, over all trees.
 
+    The second table has (region, tree, node) of the first regions above ``crowd``, if any: what
+    follows keeps only some of their pairs together.
+
     Every node starts in the region of its first ``first_depth`` hashes. Regions above ``crowd``
     split by the next hash; what the split leaves alone stays together as the region's rest. A
     region still above ``crowd`` at the last depth holds near-equal sets: it is cut into parts of
-    about half of ``crowd``, and each part also gets the region's least node, through which all
-    parts stay linked.
+    about half of ``crowd``, and each part also gets the region's least node, through which parts
+    of copies of one text are linked.
     """
     s = settings
     tree = F.explode(F.sequence(F.lit(0), F.lit(s.trees - 1)))
     rows = classes.select("node", "sig", tree.alias("tree")).select(
         "node", "tree", _key(F.col("tree"), s.first_depth, s).alias("region")
     )
-    found = None
+    found = wide = None
     for depth in range(s.first_depth, s.last_depth + 1):
         size = rows.groupBy("region").agg(F.count("*").alias("n")).where("n > 1")
         members = cut_lineage(rows.join(size, "region"))
@@ -147,6 +155,7 @@ def _regions(classes: DataFrame, settings: ForestSettings) -> DataFrame:
         crowded = members.where(F.col("n") > s.crowd)
         if crowded.isEmpty():
             break
+        wide = crowded.select("region", "tree", "node") if wide is None else wide
         if depth == s.last_depth:
             parts = F.ceil(F.col("n") / (s.crowd // 2))
             cut = crowded.select(
@@ -168,14 +177,13 @@ def _regions(classes: DataFrame, settings: ForestSettings) -> DataFrame:
         rows = deeper.join(together, "next", "left").select(
             "node", "tree", F.when(F.col("together"), F.col("next")).otherwise(rest).alias("region")
         )
-    return found
+    return found, wide
 
 
-def _groups(classes: DataFrame, settings: ForestSettings) -> DataFrame:
+def _groups(regions: DataFrame) -> DataFrame:
     """(group, node) for the distinct member lists of all regions, each of bounded length."""
     lists = (
-        _regions(classes, settings)
-        .groupBy("region")
+        regions.groupBy("region")
         .agg(F.array_sort(F.collect_list("node")).alias("members"))
         .where(F.size("members") > 1)
         .select("members")
@@ -257,21 +265,207 @@ def _links(members: DataFrame, settings: ForestSettings) -> DataFrame:
     )
 
 
+#: Shingles of a block, for blocks of long texts.
+_BLOCK_SHINGLES = 1_000_000
+
+
+def _blocks(wide: DataFrame, roots: DataFrame, classes: DataFrame, settings: ForestSettings) -> DataFrame:
+    """(region, p, q, side, tree, node, root, sig): the two blocks of nodes that a task compares.
+
+    In each region the nodes of its most frequent root are settled among themselves, all others
+    are open. Both are dealt to blocks of bounded size, and every pair of blocks of which one is
+    open is a task; ``side`` tells the blocks apart. A region of one root makes no task.
+    """
+
+    def parts(nodes: Column, shingles: Column) -> Column:
+        return F.greatest(F.ceil(nodes / settings.block), F.ceil(shingles / _BLOCK_SHINGLES))
+
+    known = classes.select("node", "sig", "n_shingles").join(roots, "node", "left")
+    known = known.withColumn("root", F.coalesce("root", "node"))
+    placed = cut_lineage(wide.join(known, "node"))
+    sizes = placed.groupBy("region", "root").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("w"))
+    split = (
+        sizes.groupBy("region")
+        .agg(F.max(F.struct("n", "root", "w")).alias("most"), F.sum("n").alias("n"), F.sum("w").alias("w"))
+        .where("n > most.n")
+        .select(
+            "region",
+            F.col("most.root").alias("settled"),
+            parts(F.col("n") - F.col("most.n"), F.col("w") - F.col("most.w")).alias("opens"),
+            parts(F.col("most.n"), F.col("most.w")).alias("others"),
+        )
+    )
+    is_open = F.col("root") != F.col("settled")
+    dealt = F.xxhash64("node", F.lit("block"))
+    block = F.when(is_open, F.pmod(dealt, F.col("opens"))).otherwise(F.col("opens") + F.pmod(dealt, F.col("others")))
+    last = F.when(is_open, F.col("opens") + F.col("others")).otherwise(F.col("opens")) - 1
+    facing = F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("facing")
+    p = F.least("block", "facing")
+    return (
+        placed.join(split, "region")
+        .select("region", "tree", "node", "root", "sig", block.alias("block"), facing)
+        .select(
+            "region",
+            p.alias("p"),
+            F.greatest("block", "facing").alias("q"),
+            (F.col("block") != p).cast("int").alias("side"),
+            "tree",
+            "node",
+            "root",
+            "sig",
+        )
+    )
+
+
+def _likely(
+    tree: int, sides: np.ndarray, roots: np.ndarray, sigs: np.ndarray, settings: ForestSettings
+) -> dict[int, np.ndarray]:
+    """By node index, the later nodes to compare it with: not connected, of the other block if
+    there are two, similar by estimate, and not together in the first region of an earlier tree.
+    """
+    out = {}
+    two = sides.any()
+    firsts = sigs.reshape(len(sigs), settings.trees, -1)[:, :tree, : settings.first_depth]
+    for i in range(len(sigs) - 1):
+        equal = (sigs[i + 1 :] == sigs[i]).sum(axis=1)
+        likely = (equal >= settings.least_equal) & (roots[i + 1 :] != roots[i])
+        if two:
+            likely &= sides[i + 1 :] != sides[i]
+        found = np.flatnonzero(likely) + i + 1
+        if len(found):
+            found = found[~(firsts[found] == firsts[i]).all(axis=2).any(axis=1)]
+        if len(found):
+            out[i] = found
+    return out
+
+
+def _joining(
+    likely: dict[int, np.ndarray], roots: np.ndarray, sets: list[np.ndarray], percent: int
+) -> Iterator[tuple[int, int]]:
+    """Pairs of roots that confirmed links between these nodes connect.
+
+    Nodes of many likely pairs come first: the base of many variants connects them all at once.
+    """
+    n = len(sets)
+    facing: list[list[int]] = [[] for _ in range(n)]
+    for i, found in likely.items():
+        facing[i] += found.tolist()
+        for j in found.tolist():
+            facing[j].append(i)
+    sizes = np.array([len(s) for s in sets])
+    starts = np.r_[0, np.cumsum(sizes)]
+    names, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    marked = np.zeros(len(names), bool)
+    root = {r: r for r in roots.tolist()}
+
+    def top(r: int) -> int:
+        while root[r] != r:
+            root[r] = r = root[root[r]]
+        return r
+
+    for i in sorted(range(n), key=lambda k: -len(facing[k])):
+        others = [j for j in facing[i] if top(roots[j]) != top(roots[i])]
+        if not others:
+            continue
+        own = flat[starts[i] : starts[i + 1]]
+        marked[own] = True
+        if 16 * len(others) > n:
+            shared = np.add.reduceat(marked[flat], starts[:-1], dtype=np.int64)[others]
+        else:
+            shared = np.array([marked[flat[starts[j] : starts[j + 1]]].sum() for j in others])
+        marked[own] = False
+        alike = 100 * shared >= percent * (sizes[i] + sizes[others] - shared)
+        for j in np.array(others)[alike].tolist():
+            a, b = top(roots[i]), top(roots[j])
+            if a != b:
+                root[a] = b
+                yield int(roots[i]), int(roots[j])
+
+
+def _separated(
+    docs: DataFrame, wide: DataFrame, roots: DataFrame, classes: DataFrame, settings: ForestSettings
+) -> DataFrame:
+    """(a, b): links between roots, from all pairs of first regions above ``crowd``.
+
+    Signatures are compared first. Texts move only for nodes with a likely partner that is not
+    connected yet, once for each block that has one; links are confirmed on full sets.
+    """
+    task = ["region", "p", "q"]
+    columns = [*task, "side", "tree", "node", "root", "sig"]
+    kinds = "region long, p long, q long, side int, tree int, node long, root long, sig binary"
+
+    def arrays(group: list[tuple]) -> tuple:
+        _, _, _, sides, trees, nodes, own, sigs = zip(*group)
+        sigs = np.frombuffer(b"".join(sigs), np.uint16).reshape(len(nodes), -1)
+        return trees[0], np.array(sides), np.array(own, np.int64), sigs
+
+    def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in columns)))
+        for _, group in groupby(rows, itemgetter(0, 1, 2)):
+            group = list(group)
+            likely = _likely(*arrays(group), settings)
+            if likely:
+                wanted = np.unique(np.concatenate([[i, *js] for i, js in likely.items()])).tolist()
+                values = zip(*(group[i] for i in wanted))
+                fields = zip(("long", "long", "long", "int", "int", "long", "long", "binary"), values)
+                types = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+                yield pa.RecordBatch.from_arrays([pa.array(v, types[k]) for k, v in fields], columns)
+
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            for batch, texts in text_batches(batches, "text"):
+                sets = shingle_sets(Words(texts, SPACED), settings.words)
+                yield from zip(zip(*(batch.column(c).to_pylist() for c in columns)), sets)
+
+        found: list[tuple[int, int]] = []
+        for _, group in groupby(rows(), lambda row: row[0][:3]):
+            group, sets = zip(*group)
+            tree, sides, own, sigs = arrays(group)
+            likely = _likely(tree, sides, own, sigs, settings)
+            found += _joining(likely, own, list(sets), settings.percent)
+        ends = np.array(found, np.int64).reshape(-1, 2)
+        yield pa.RecordBatch.from_pydict({"a": pa.array(ends[:, 0]), "b": pa.array(ends[:, 1])})
+
+    blocks = _blocks(wide, roots, classes, settings).select(*columns)
+    proposed = cut_lineage(blocks.repartition(*task).sortWithinPartitions(*task).mapInArrow(propose, kinds))
+    named = classes.select("node", "doc_id", "text_hash")
+    texts = _texts(docs, named.join(proposed.select("node").distinct(), "node", "left_semi"))
+    members = proposed.join(texts, "node").select(*columns, "text")
+    return members.repartition(*task).sortWithinPartitions(*task).mapInArrow(confirm, "a long, b long")
+
+
+def _rooted(
+    docs: DataFrame, roots: DataFrame, wide: DataFrame, classes: DataFrame, settings: ForestSettings
+) -> DataFrame:
+    """``roots`` (node, root) with the links of ``_separated`` as well."""
+    roots = cut_lineage(roots)
+    joined = components(_separated(docs, wide, roots, classes, settings))
+    joined = cut_lineage(joined.select(F.col("node").alias("old"), F.col("root").alias("new")))
+    moved = roots.join(joined, F.col("root") == F.col("old"), "left").select(
+        "node", F.coalesce("new", "root").alias("root")
+    )
+    alone = joined.select(F.col("old").alias("node"), F.col("new").alias("root"))
+    return moved.unionByName(alone.join(roots, "node", "left_anti"))
+
+
 def _judged(docs: DataFrame, settings: ForestSettings) -> DataFrame:
     """(doc_id, text_hash, n_shingles, component_id) per row."""
     marked = cut_lineage(signatures(docs, settings))
     classes = (
         marked.where("set IS NOT NULL AND doc_id IS NOT NULL")
         .groupBy("set")
-        .agg(F.min(F.struct("doc_id", "text_hash")).alias("first"), F.first("sig").alias("sig"))
-        .select("set", "first.*", "sig", F.monotonically_increasing_id().alias("node"))
+        .agg(F.min(F.struct("doc_id", "text_hash")).alias("first"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles"))
+        .select("set", "first.*", "sig", "n_shingles", F.monotonically_increasing_id().alias("node"))
     )
     classes = cut_lineage(classes)
-    members = _groups(classes, settings)
+    regions, wide = _regions(classes, settings)
+    members = _groups(regions)
     signed = members.join(classes.select("node", "sig"), "node")
     named = classes.select("node", "doc_id", "text_hash")
     texts = _texts(docs, named.join(members.select("node").distinct(), "node", "left_semi"))
     roots = components(_links(signed.join(texts, "node"), settings))
+    if wide is not None:
+        roots = _rooted(docs, roots, wide, classes, settings)
 
     named = classes.select("set", "node", "doc_id").join(roots, "node", "left")
     named = named.select("set", "doc_id", F.coalesce("root", "node").alias("root"))

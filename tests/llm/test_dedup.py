@@ -69,6 +69,22 @@ def test_components_of_varied_families(spark, crowd):
     assert len({c for _, c in expected.values()}) < len(texts) / 2
 
 
+def test_variants_linked_only_through_their_base(spark):
+    pick = random.Random(3)
+    base = [f"v{n}" for n in range(300)]
+    texts = {0: " ".join(base)}
+    for i in range(1, 1301):
+        text = list(base)
+        for k in pick.sample(range(300), 8):
+            text[k] = f"x{i}y{k}"
+        texts[i] = " ".join(text)
+    sets = {i: shingles(t, 3) for i, t in texts.items()}
+    assert all(100 * len(s & sets[0]) >= 85 * len(s | sets[0]) for s in sets.values())
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    found = near_duplicates(docs, ForestSettings(words=3, percent=85)).collect()
+    assert {r.component_id for r in found} == {0} and len(found) == 1301
+
+
 def test_near_duplicates_of_odd_rows(odd_docs, no_docs):
     found = near_duplicates(odd_docs, ForestSettings(words=3, percent=85)).collect()
     by_id = collections.defaultdict(list)
