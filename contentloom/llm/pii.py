@@ -9,6 +9,7 @@ surrogates are checked against each other and against all real entities before a
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,7 +58,8 @@ ENDINGS = {
 class SurrogateSettings:
     """``key`` keeps surrogates from being worked out without it; production reads it from a vault.
 
-    ``rounds`` bounds the attempts at a surrogate that no other entity has.
+    ``rounds`` bounds the attempts at a surrogate of the entity's own length that no other entity
+    has; whoever has none by then gets a longer one.
     """
 
     key: str = "contentloom"
@@ -122,7 +124,7 @@ def _byte(seed: Column, i: Column) -> Column:
 
 
 def _mapped(text: Column, seed: Column) -> Column:
-    """Letters become letters of their script and digits digits; all else stays."""
+    """Letters become letters of their script and numerals digits; all else stays."""
 
     def sign(c: Column, i: Column) -> Column:
         b = _byte(seed, i)
@@ -133,7 +135,7 @@ def _mapped(text: Column, seed: Column) -> Column:
         )
         letter = F.when(c != F.lower(c), F.upper(letter)).otherwise(letter)
         digit = (b % 10).cast("string")
-        return F.when(c.rlike("[0-9]"), digit).when(c.rlike(r"\p{L}"), letter).otherwise(c)
+        return F.when(c.rlike(r"\p{N}"), digit).when(c.rlike(r"\p{L}"), letter).otherwise(c)
 
     return F.array_join(F.transform(_signs(text), sign), "")
 
@@ -148,14 +150,17 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(F.transform(_signs(F.reverse(digits)), worth), F.lit(0), lambda a, x: a + x) % 10
 
 
-def _surrogate(kind: Column, canon: Column, attempt: int, settings: SurrogateSettings) -> Column:
-    """The canonical form of an attempt's surrogate, of the entity's own kind and shape."""
+def _surrogate(kind: Column, canon: Column, attempt: int, longer: int, settings: SurrogateSettings) -> Column:
+    """The canonical form of an attempt's surrogate, of the entity's own kind and shape.
+
+    Numbers and codes get ``longer`` more digits than the entity has.
+    """
 
     def seeded(*parts: Column) -> Column:
         return F.concat_ws("\x1f", F.lit(settings.key), *parts, F.lit(str(attempt)), F.lit(""))
 
     seed = seeded(kind, canon)
-    mapped = _mapped(canon, seed)
+    mapped = _mapped(F.concat(canon, F.lit("0" * longer)), seed)
     hexed = F.transform(_signs(canon), lambda c, i: F.substr(F.lit("0123456789abcdef"), _byte(seed, i) % 16 + 1, F.lit(1)))
     domain = F.sha2(seeded(F.lit("domain"), F.substring_index(canon, "@", -1)).cast("binary"), 256)
     email = F.concat(
@@ -195,13 +200,18 @@ def _surrogates(entities: DataFrame, settings: SurrogateSettings) -> DataFrame:
     """(kind, canon, surrogate) with distinct surrogates per kind, none of them a real entity.
 
     Each round proposes a surrogate for every entity that has none. Of entities that propose the
-    same one the least keeps it; whoever proposes a taken one or a real entity tries again.
+    same one the least keeps it; whoever proposes a taken one or a real entity tries again. After
+    ``rounds`` rounds, or three in which nobody got one, all short forms may be in use: from then on
+    each round adds a digit, so there is room for every entity.
     """
-    entities = cut_lineage(entities.distinct())
+    entities = cut_lineage(entities.where(F.col("canon") != "").distinct())
     real = entities.select("kind", F.col("canon").alias("surrogate"))
     pending, done = entities, None
-    for attempt in range(settings.rounds):
-        proposed = pending.withColumn("surrogate", _surrogate(F.col("kind"), F.col("canon"), attempt, settings))
+    left, idle, longer = entities.count(), 0, 0
+    for attempt in count():
+        longer += attempt >= settings.rounds or idle >= 3
+        surrogate = _surrogate(F.col("kind"), F.col("canon"), attempt, longer, settings)
+        proposed = pending.withColumn("surrogate", surrogate)
         taken = real if done is None else real.unionByName(done.select("kind", "surrogate"))
         fair = (
             proposed.groupBy("kind", "surrogate")
@@ -212,13 +222,17 @@ def _surrogates(entities: DataFrame, settings: SurrogateSettings) -> DataFrame:
         fair = cut_lineage(fair)
         done = fair if done is None else done.unionByName(fair)
         pending = cut_lineage(pending.join(fair, ["kind", "canon"], "left_anti"))
-        if pending.isEmpty():
+        before, left = left, pending.count()
+        if not left:
             return done
-    raise RuntimeError(f"no free surrogates after {settings.rounds} rounds")
+        idle = idle + 1 if left == before else 0
 
 
 def _dressed(kind: Column, raw: Column, surrogate: Column) -> Column:
-    """The surrogate in the form of the mention: its punctuation and its upper case."""
+    """The surrogate in the form of the mention: its punctuation and its upper case.
+
+    What a surrogate has beyond the mention's length follows at the end.
+    """
 
     def cased(whole: Column, like: Column) -> Column:
         return F.when((like == F.upper(like)) & (like != F.lower(like)), F.upper(whole)).otherwise(whole)
@@ -229,7 +243,8 @@ def _dressed(kind: Column, raw: Column, surrogate: Column) -> Column:
         new = F.when(c != F.lower(c), F.upper(new)).otherwise(new)
         return F.when(c.rlike(r"[\p{L}\p{N}]"), new).otherwise(c)
 
-    shaped = F.array_join(F.transform(_signs(raw), sign), "")
+    own = F.char_length(F.regexp_replace(raw, r"[^\p{L}\p{N}]", ""))
+    shaped = F.concat(F.array_join(F.transform(_signs(raw), sign), ""), F.substr(surrogate, own + 1))
     name = F.when(raw == F.upper(raw), F.upper(surrogate)).otherwise(F.initcap(surrogate))
     return (
         F.when(kind.isin("email", "ipv6", "hex"), cased(surrogate, raw))
@@ -247,6 +262,9 @@ def replace_entities(docs: DataFrame, settings: SurrogateSettings = SurrogateSet
     numbers, and valid check digits of cards; mail domains become names under ``.example``. Equal canonical forms get equal surrogates in the whole table, different
     ones different surrogates, and no surrogate is an entity of the table.
 
+    A surrogate is longer only where all of the entity's own length may be in use. Secrets without a
+    letter or digit are masks and stay; they are no entities.
+
     A text without entities is as it was, a NULL text stays NULL, and both count 0 entities. Rows
     with NULL or repeated ids are rows like others. ``rest`` holds the other columns (see
     ``common.set_aside``); an empty table gives no rows. Only texts with entities are shuffled.
@@ -265,16 +283,13 @@ def replace_entities(docs: DataFrame, settings: SurrogateSettings = SurrogateSet
     )
     mentions = cut_lineage(mentions)
     surrogates = _surrogates(mentions.select("kind", "canon"), settings)
+    dressed = F.coalesce(_dressed(F.col("kind"), F.col("raw"), F.col("surrogate")), "raw")
+    entity = (F.col("part") == 0) & (F.col("canon") != "")
     replaced = (
-        mentions.join(surrogates, ["kind", "canon"])
-        .select(
-            "key",
-            "place",
-            "part",
-            F.concat("before", _dressed(F.col("kind"), F.col("raw"), F.col("surrogate"))).alias("new"),
-        )
+        mentions.join(surrogates, ["kind", "canon"], "left")
+        .select("key", "place", "part", F.concat("before", dressed).alias("new"), entity.alias("entity"))
         .groupBy("key")
-        .agg(F.collect_list(F.struct("place", "part", "new")).alias("news"), F.max("place").alias("last"))
+        .agg(F.collect_list(F.struct("place", "part", "new")).alias("news"), F.count_if("entity").alias("n_entities"))
     )
     replaced = cut_lineage(replaced)
     between = F.transform(
@@ -286,7 +301,7 @@ def replace_entities(docs: DataFrame, settings: SurrogateSettings = SurrogateSet
         "doc_id",
         F.array_join(F.transform(pieces, lambda p: p["new"]), "").alias("text"),
         "rest",
-        (F.col("last") + 1).cast("bigint").alias("n_entities"),
+        "n_entities",
     )
     return plain.unionByName(changed)
 

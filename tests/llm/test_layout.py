@@ -210,6 +210,20 @@ def test_surrogates_stay_distinct(spark):
     assert len(set(found)) == len(ips) + len(names) and not set(found) & set(ips + names)
 
 
+def test_masks_stay_and_full_forms_grow(spark):
+    masks = ["password: ********", "token=______", "pwd = \U0001f511\U0001f511\U0001f511\U0001f511\U0001f511\U0001f511"]
+    short = [f"password: {n}*****" for n in range(10)]
+    mixed = "password: ******** and secret=²²²²²² of x@y.org"
+    docs = spark.createDataFrame(list(enumerate([*masks, *short, mixed])), "doc_id long, text string")
+    found = {r.doc_id: (r.text, r.n_entities) for r in replace_entities(docs).collect()}
+    assert [found[i] for i in range(3)] == [(m, 0) for m in masks]
+    new = [found[3 + i][0] for i in range(10)]
+    assert len(set(new)) == 10 and not set(new) & set(short)
+    assert all(re.fullmatch(r"password: \d\*{5}\d+", t) and found[3 + i][1] == 1 for i, t in enumerate(new))
+    m = re.fullmatch(r"password: \*{8} and secret=(\d{6}) of \w@\w+\.example", found[13][0])
+    assert m and found[13][1] == 2
+
+
 def test_the_key_decides(spark, odd_docs, no_docs):
     docs = spark.createDataFrame(ENTITIES, "doc_id long, text string")
     texts = [sorted(str(r.text) for r in replace_entities(docs, SurrogateSettings(key=k)).collect()) for k in "aab"]
