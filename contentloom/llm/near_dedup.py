@@ -17,6 +17,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import groupby
+from math import ceil, log
 from operator import itemgetter
 
 import numpy as np
@@ -44,16 +45,18 @@ from .graph import components
 class ForestSettings:
     """``percent``: 100 times the least similarity of linked documents.
 
-    Two documents of similarity s share a region of one tree with probability s ** first_depth,
-    so 12 trees of depth 4 miss a pair at 0.85 once in 7,000 times and one at 0.9 once in 400,000. ``crowd`` is the most documents a region may hold before it goes deeper; it bounds
-    the work per region and drops nobody (see ``_regions``). ``block`` is about how many of the nodes
+    Two documents of similarity s share the first region of a tree with probability
+    s ** first_depth. There are as many trees as it takes to miss a pair at the threshold once in
+    ``missed`` times, 17 for 80 and 12 for 85 percent; going deeper does not add to that. ``crowd``
+    is the most documents a region may hold before it goes deeper; it bounds the work per region and
+    drops nobody (see ``_regions`` and ``_separated``). ``block`` is about how many of the nodes
     that this separates a task compares with as many others. ``slack`` is how far, in standard
     deviations, an estimate may fall below the threshold and still be confirmed.
     """
 
     words: int = 5
     percent: int = 80
-    trees: int = 12
+    missed: int = 7000
     first_depth: int = 4
     last_depth: int = 8
     crowd: int = 200
@@ -61,6 +64,11 @@ class ForestSettings:
     slack: float = 4.0
     seed: int = 11
 
+    @property
+    def trees(self) -> int:
+        apart = 1 - (self.percent / 100) ** self.first_depth
+        return ceil(log(self.missed) / -log(apart)) if apart > 0 else 1
+
     @property
     def hashes(self) -> int:
         return self.trees * self.last_depth
@@ -155,7 +163,10 @@ def _regions(classes: DataFrame, settings: ForestSettings) -> tuple[DataFrame, D
         crowded = members.where(F.col("n") > s.crowd)
         if crowded.isEmpty():
             break
-        wide = crowded.select("region", "tree", "node") if wide is None else wide
+        if wide is None:
+            wide = crowded.select("region", "tree", "node")
+            order = F.substring(F.col("sig"), F.col("tree") * (2 * s.last_depth) + 1, F.lit(2 * s.last_depth))
+            crowded = crowded.join(classes.select("node", "sig"), "node").withColumn("order", order).drop("sig")
         if depth == s.last_depth:
             parts = F.ceil(F.col("n") / (s.crowd // 2))
             cut = crowded.select(
@@ -167,15 +178,16 @@ def _regions(classes: DataFrame, settings: ForestSettings) -> tuple[DataFrame, D
             ).select(F.xxhash64("region", "part").alias("region"), "node")
             found = found.unionByName(cut.unionByName(anchors).distinct())
             break
-        deeper = crowded.join(classes.select("node", "sig"), "node").select(
-            "node", "tree", "region", _key(F.col("tree"), depth + 1, s).alias("next")
+        prefix = F.substring("order", 1, 2 * (depth + 1))
+        deeper = crowded.select(
+            "node", "tree", "region", "order", F.xxhash64("tree", F.lit(depth + 1), prefix).alias("next")
         )
         together = deeper.groupBy("next").agg(F.count("*").alias("n")).where("n > 1").select(
             "next", F.lit(True).alias("together")
         )
         rest = F.xxhash64("region", F.lit("rest"))
         rows = deeper.join(together, "next", "left").select(
-            "node", "tree", F.when(F.col("together"), F.col("next")).otherwise(rest).alias("region")
+            "node", "tree", F.when(F.col("together"), F.col("next")).otherwise(rest).alias("region"), "order"
         )
     return found, wide
 

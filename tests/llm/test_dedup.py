@@ -85,6 +85,29 @@ def test_variants_linked_only_through_their_base(spark):
     assert {r.component_id for r in found} == {0} and len(found) == 1301
 
 
+def test_trees_follow_the_threshold():
+    for percent in range(50, 101):
+        s = ForestSettings(percent=percent)
+        assert (1 - (percent / 100) ** s.first_depth) ** s.trees <= 1 / s.missed
+    assert ForestSettings(percent=85).trees == 12 and ForestSettings().trees == 17
+
+
+def test_pairs_near_the_threshold_in_crowded_regions(spark):
+    passage = [f"p{n}" for n in range(120)]
+    texts = {}
+    for i in range(400):
+        text = passage + [f"d{i}w{n}" for n in range(80)]
+        texts[2 * i] = " ".join(text)
+        for k in range(125, 195, 10):
+            text[k] = f"x{i}y{k}"
+        texts[2 * i + 1] = " ".join(text)
+    a, b = (shingles(texts[i], 3) for i in (0, 1))
+    assert 0.8 <= len(a & b) / len(a | b) < 0.81
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    found = near_duplicates(docs, ForestSettings(words=3, crowd=20)).collect()
+    assert {r.doc_id: r.component_id for r in found} == {i: i - i % 2 for i in texts}
+
+
 def test_near_duplicates_of_odd_rows(odd_docs, no_docs):
     found = near_duplicates(odd_docs, ForestSettings(words=3, percent=85)).collect()
     by_id = collections.defaultdict(list)
