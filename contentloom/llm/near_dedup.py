@@ -1,8 +1,9 @@
 """Near-duplicate documents by an LSH forest over MinHash signatures.
 
-The forest keeps one sorted signature order per tree. Documents that share a prefix of an order
-form a region; a region that holds too many documents goes deeper, hash by hash, until it is
-small enough, so depth adapts to how crowded that part of the order is. Inside a region the
+Documents whose signatures share a prefix in a tree form a region, a hash bucket of that prefix; no
+order is sorted and no neighbours by longest common prefix are taken. Documents that share fewer
+than the first hashes of every tree are no candidates. A region that holds too many documents goes
+deeper, hash by hash, until it is small enough. Inside a region the
 estimated similarities propose links, likeliest first, and every proposed link between documents
 that are not connected yet is confirmed on full shingle sets.
 
