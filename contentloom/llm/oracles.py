@@ -157,3 +157,80 @@ SELECT base.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        AND NOT (n_words >= 100 AND coalesce(y.distance, 0) > 0.1 + 2.8 / sqrt(n_words)) AS kept
 FROM base LEFT JOIN class_distances x USING (doc_id) LEFT JOIN word_distances y USING (doc_id)
 """
+
+OP12 = rf"""
+WITH texts AS (
+  SELECT coalesce(lang, 'und') AS lang, {_LOWER} AS text FROM documents
+), pieces AS (
+  SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM texts
+), split AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), places AS (
+  SELECT lang, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i
+  FROM split, (VALUES (1), (2), (3)) sizes(k) WHERE len(w) >= k
+), counts AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f FROM places GROUP BY ALL
+), totals AS (
+  SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE k = 1 GROUP BY lang
+), candidates AS (
+  SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE k >= 2 AND f >= 10
+), cuts AS (
+  SELECT lang, k, phrase, a, w, unnest(generate_series(1, k - 1)) AS cut FROM candidates
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, p.f AS l, r.f AS r, cut,
+         ((1000000::HUGEINT * c.a * c.a) // (p.f::HUGEINT * r.f))::BIGINT AS score
+  FROM cuts c
+  JOIN counts p ON p.lang = c.lang AND p.phrase = array_to_string(c.w[1:cut], ' ')
+  JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[cut + 1:], ' ')
+), lowest AS (
+  SELECT * FROM scored
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), covers AS (
+  SELECT lang, a AS f, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase
+  FROM candidates WHERE k = 3
+), whole AS (
+  SELECT * FROM lowest x
+  WHERE NOT EXISTS (
+    SELECT 1 FROM covers y WHERE y.lang = x.lang AND y.phrase = x.phrase AND 100 * y.f >= 50 * x.a
+  )
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM whole
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+OP13 = r"""
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size
+  FROM documents
+), sums AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS no
+  FROM sized GROUP BY source
+), weighed AS (
+  SELECT *, 1 + no % 3 AS weight, 3 * source_size AS cap FROM sums
+), tested AS (
+  SELECT *, cap * sum(weight) OVER onward
+            <= (sum(source_size) OVER () - coalesce(sum(cap) OVER before, 0)) * weight AS capped
+  FROM weighed
+  WINDOW before AS (ORDER BY cap / weight, no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+         onward AS (ORDER BY cap / weight, no ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+), aimed AS (
+  SELECT source, source_size,
+         CASE WHEN capped THEN cap::DOUBLE
+              ELSE ((sum(source_size) OVER () - coalesce(sum(cap) FILTER (capped) OVER (), 0)) * weight)::DOUBLE
+                   / nullif(sum(weight) FILTER (NOT capped) OVER (), 0)::DOUBLE END AS target
+  FROM tested
+), lined AS (
+  SELECT doc_id, size, source, coalesce(sum(size) OVER (
+           PARTITION BY source ORDER BY md5(coalesce(doc_id::VARCHAR, '')), doc_id, size
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM sized
+), placed AS (
+  SELECT doc_id, size, l.source, source_size, target, start,
+         least(round(target)::BIGINT, 3 * source_size) AS words, greatest(source_size, 1) AS line
+  FROM lined l JOIN aimed a ON l.source IS NOT DISTINCT FROM a.source
+)
+SELECT doc_id, size, source, source_size, target,
+       (words // line * size + greatest(0, least(start + size, words % line) - start))::BIGINT AS taken
+FROM placed
+"""

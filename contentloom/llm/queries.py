@@ -10,14 +10,17 @@ from .common import table
 from .decontaminate import find_contamination
 from .language import identify_language
 from .line_dedup import dedup_lines
+from .mixing import Mix
 from .near_dedup import ForestSettings, near_duplicates
 from .packing import pack
+from .phrases import collocations
 from .pii import replace_entities
 from .quality import quality
 from .quality_rules import quality_rules
 from .sharding import shard
 from .tokens import Vocabulary
 from .toxicity import toxicity
+from .whitening import whiten
 
 
 def public_vocabulary() -> Vocabulary:
@@ -99,6 +102,21 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """All embeddings on the 32 strongest components of their covariance, with unit variance."""
+    return whiten(table(spark, folder, "embeddings"))
+
+
+def op12_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The 2000 best phrases of two or three words of each language."""
+    return collocations(table(spark, folder, "documents"))
+
+
+def op13_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """How many words of each document a mix with source weights 1, 2 and 3 takes."""
+    return Mix(table(spark, folder, "documents")).counts()
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -112,6 +130,9 @@ QUERIES = {
         op8_sharding,
         op9_line_dedup,
         op10_decontamination,
+        op11_embedding_whitening,
+        op12_phrase_collocations,
+        op13_source_mixing,
     )
 }
 ORACLES = {
@@ -119,4 +140,6 @@ ORACLES = {
     "op4_quality_rules": oracles.OP4,
     "op9_line_dedup": oracles.OP9,
     "op10_decontamination": oracles.OP10,
+    "op12_phrase_collocations": oracles.OP12,
+    "op13_source_mixing": oracles.OP13,
 }
