@@ -1,14 +1,15 @@
 """Collocations from count streams in prefix and suffix order, merged in lockstep.
 
-Every task counts the phrases of its texts; one shuffle adds the counts up, and only phrases frequent
-enough go on, for no phrase is more frequent than a part of it. What is left is one stream of
-records, the number of all words (the empty phrase), single words and longer phrases together.
+Every task counts the phrases of its texts, a shuffle adds the counts up, and only phrases frequent
+enough go on. No phrase is more frequent than a part of it, so longer ones are counted where both
+parts may be frequent. What is left is one stream of records, the number of all words (the empty
+phrase), single words and longer phrases together.
 
 In prefix order, a phrase stands right after its own beginnings, so one pass that remembers the last
 record of each length knows the count of every beginning, and the greatest count among the phrases
 that go on with one more word. In suffix order, with the words of each phrase reversed, the same
-pass gives the counts of the endings and of the phrases with one word more in front. Nothing is looked
-up by hash. The order is cut by ranges wherever rows are many, also inside the phrases of one frequent word;
+pass gives the counts of the endings and of the phrases with one word more in front. No count is
+looked up by hash. The order is cut by ranges wherever rows are many, also inside the phrases of one frequent word;
 what a cut separates goes over it as one record for each length.
 """
 
@@ -20,16 +21,20 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Texts, cut_lineage, parts_of, set_aside, text_batches
+from .common import Shared, Texts, cut_lineage, mixed, parts_of, set_aside, text_batches
 
 #: Words whose phrases are counted together, and bytes of phrases that are cut out at a time.
 CHUNK_WORDS = 1 << 20
 TEXT_BYTES = 8 << 20
 CUT_BYTES = 1 << 22
+#: Bytes of a part of a filter that one row carries.
+SEGMENT = 1 << 13
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 _LOWER = np.array([b + 32 if 0x41 <= b <= 0x5A else b for b in range(256)], np.uint8)
 _ENDS = np.isin(np.arange(256), list(b".,;:!?\x0a\x0b\x0c\x0d"))
@@ -40,7 +45,8 @@ _WORD = ~_ENDS & ~np.isin(np.arange(256), list(b"\x20\x09"))
 class PhraseSettings:
     """Phrases of 2 to ``most_words`` words that occur ``least`` times or more; of each language the
     first ``top``. A phrase goes if one longer by some words has ``inside_percent`` of its count.
-    ``per_part``: records of one task; ``per_merge``: tasks whose best phrases meet first.
+    ``per_part``: records of one task; ``per_merge``: tasks whose best phrases meet first;
+    ``filter_bytes``: size of a filter at most, a power of two.
     """
 
     most_words: int = 3
@@ -50,6 +56,7 @@ class PhraseSettings:
     scale: int = 1_000_000
     per_part: int = 200_000
     per_merge: int = 64
+    filter_bytes: int = 1 << 25
 
 
 def _spans(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -82,67 +89,194 @@ def _binaries(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
 
 
-def counted(texts: Texts, most_words: int) -> Iterator[tuple[pa.Array, np.ndarray]]:
-    """(phrases, counts) of the texts, a blank behind each word; the empty phrase counts all words.
+class Chunk:
+    """Some words of a batch, ``own`` of them and those that phrases of the last ones need."""
 
-    A phrase may come several times, for texts of very many words are counted in parts.
-    """
-    if not len(texts.data):
-        return
-    starts, ends, together = _spans(texts)
-    for first in range(0, len(starts), CHUNK_WORDS):
-        own = min(CHUNK_WORDS, len(starts) - first)
+    def __init__(self, texts: Texts, spans: tuple, first: int, own: int, most_words: int):
+        starts, ends, together = spans
         chunk = slice(first, first + own + most_words - 1)
         begin, sizes = starts[chunk], (ends - starts)[chunk]
         # The words of the chunk in one row, each with a blank behind it.
-        row = np.full(int(sizes.sum()) + len(sizes), 0x20, np.uint8)
-        at = np.r_[0, np.cumsum(sizes + 1)]
-        blank = np.zeros(len(row), bool)
-        blank[at[1:] - 1] = True
-        row[~blank] = _LOWER[_taken(texts.data, begin, sizes)]
-        words = _binaries(row, sizes + 1).dictionary_encode()
-        codes = np.asarray(words.indices).astype(np.int64)
-        count = np.bincount(codes[:own], minlength=len(words.dictionary))
-        known = np.flatnonzero(count)
-        yield pa.array([b""], pa.binary()), np.array([own])
-        yield words.dictionary.take(pa.array(known)), count[known]
-        joined = np.r_[together[chunk.start : chunk.stop - 1], False][: len(codes)]
-        places, ids = np.arange(own), codes[:own]
-        for k in range(2, most_words + 1):
-            on = places + k - 1 < len(codes)
-            on[on] = joined[places[on] + k - 2]
-            places, ids = places[on], ids[on]
-            if not len(places):
-                break
-            keys = ids * len(words.dictionary) + codes[places + k - 1]
-            _, index, ids, count = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
-            found = places[index]
-            length = at[found + k] - at[found]
-            yield _binaries(_taken(row, at[found], length), length), count
+        self.row = np.full(int(sizes.sum()) + len(sizes), 0x20, np.uint8)
+        self.at = np.r_[0, np.cumsum(sizes + 1)]
+        blank = np.zeros(len(self.row), bool)
+        blank[self.at[1:] - 1] = True
+        self.row[~blank] = _LOWER[_taken(texts.data, begin, sizes)]
+        words = _binaries(self.row, sizes + 1).dictionary_encode()
+        self.own, self.words = own, words.dictionary
+        self.codes = np.asarray(words.indices).astype(np.int64)
+        self.joined = np.r_[together[chunk.start : chunk.stop - 1], False][: len(sizes)]
+
+    def longer(self, places: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places of phrases of k words, from those of one word less, and a number for each phrase."""
+        on = places + k - 1 < len(self.codes)
+        on[on] = self.joined[places[on] + k - 2]
+        places = places[on]
+        return places, ids[on] * len(self.words) + self.codes[places + k - 1]
+
+    def phrases(self, places: np.ndarray, k: int) -> pa.Array:
+        length = self.at[places + k] - self.at[places]
+        return _binaries(_taken(self.row, self.at[places], length), length)
+
+
+def chunks(texts: Texts, most_words: int) -> Iterator[Chunk]:
+    spans = _spans(texts) if len(texts.data) else [()]
+    for first in range(0, len(spans[0]), CHUNK_WORDS):
+        yield Chunk(texts, spans, first, min(CHUNK_WORDS, len(spans[0]) - first), most_words)
+
+
+def short_counts(chunk: Chunk) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """(phrases, counts) of up to two words; the empty phrase counts all words."""
+    own = chunk.codes[: chunk.own]
+    yield pa.array([b""], pa.binary()), np.array([chunk.own])
+    count = np.bincount(own, minlength=len(chunk.words))
+    known = np.flatnonzero(count)
+    yield chunk.words.take(pa.array(known)), count[known]
+    places, keys = chunk.longer(np.arange(chunk.own), own, 2)
+    _, index, count = np.unique(keys, return_index=True, return_counts=True)
+    yield chunk.phrases(places[index], 2), count
+
+
+def long_counts(chunk: Chunk, k: int, known: Filter) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """(phrases, counts) of k words whose first and last k - 1 words may both be frequent."""
+    places, ids = np.arange(len(chunk.codes)), chunk.codes
+    hashes = hashed_words(chunk.words.to_pylist())
+    sums = hashes[ids]
+    for length in range(2, k):
+        places, keys = chunk.longer(places, ids, length)
+        _, index, ids = np.unique(keys, return_index=True, return_inverse=True)
+        ends = hashes[chunk.codes[places + length - 1]]
+        sums[places] = chained_on(sums[places], ends)
+    may = np.zeros(len(chunk.codes) + 1, bool)
+    may[places] = known.may_have(sums[places[index]])[ids]
+    both = may[places] & may[places + 1] & (places < chunk.own)
+    places, keys = chunk.longer(places[both], ids[both], k)
+    _, index, count = np.unique(keys, return_index=True, return_counts=True)
+    yield chunk.phrases(places[index], k), count
+
+
+def hashed_words(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
+def chained_on(hashes: np.ndarray, following: np.ndarray) -> np.ndarray:
+    """Hashes of phrases with one more word behind."""
+    return mixed(hashes * _FACTOR + following)
+
+
+class Filter:
+    """A Bloom filter of the frequent phrases of one length. What is not in it cannot be part of a
+    frequent longer phrase and is not counted; what is wrongly taken for one is counted and then found
+    rare. Its size is bounded, so a full one spares less and changes no result."""
+
+    def __init__(self, bits: np.ndarray):
+        self.bits = bits
+
+    @staticmethod
+    def places(hashes: np.ndarray, size: int) -> list[np.ndarray]:
+        step = (hashes >> np.uint64(32)) | np.uint64(1)
+        return [((hashes + np.uint64(i) * step) & np.uint64(8 * size - 1)).astype(np.int64) for i in range(4)]
+
+    def may_have(self, hashes: np.ndarray) -> np.ndarray:
+        found = np.ones(len(hashes), bool)
+        for at in self.places(hashes, len(self.bits)):
+            found &= (self.bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+        return found
+
+    @classmethod
+    def of(cls, counts: DataFrame, k: int, settings: PhraseSettings) -> Filter:
+        """The filter of the phrases of k words; tasks set bits in segments, which meet by segment."""
+        rows = counts.count()
+        size = min(settings.filter_bytes, 1 << max(13, (2 * rows - 1).bit_length()))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            bits = np.zeros(size, np.uint8)
+            for batch in batches:
+                split = [p.split(b" ") for p in batch.column("phrase").to_pylist() if p.count(b" ") == k]
+                if not split:
+                    continue
+                columns = [hashed_words([w + b" " for w in column]) for column in list(zip(*split))[:k]]
+                sums = columns[0]
+                for column in columns[1:]:
+                    sums = chained_on(sums, column)
+                for at in cls.places(sums, size):
+                    np.bitwise_or.at(bits, at >> 3, np.uint8(1) << (at & 7).astype(np.uint8))
+            parts = bits.reshape(-1, SEGMENT)
+            used = np.flatnonzero(parts.any(axis=1))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(used, pa.int32()), pa.array([parts[i].tobytes() for i in used], pa.binary())],
+                ["segment", "bits"],
+            )
+
+        def union(table: pa.Table) -> pa.Table:
+            whole = np.zeros(SEGMENT, np.uint8)
+            for part in table.column("bits"):
+                whole |= np.frombuffer(part.as_py(), np.uint8)
+            return pa.table({"segment": table.column("segment")[:1], "bits": pa.array([whole.tobytes()], pa.binary())})
+
+        form = "segment int, bits binary"
+        bits = np.zeros(size, np.uint8)
+        # ``size`` bytes at most.
+        for row in counts.mapInArrow(run, form).groupBy("segment").applyInArrow(union, form).collect():
+            bits[row.segment * SEGMENT : (row.segment + 1) * SEGMENT] = np.frombuffer(row.bits, np.uint8)
+        return cls(bits)
+
+
+def _joined_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches put together until they have ``TEXT_BYTES`` of text or more."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.column("text").nbytes
+        if size >= TEXT_BYTES:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
+def _summed(texts: DataFrame, settings: PhraseSettings, counted) -> DataFrame:
+    """(lang, phrase, n): what ``counted`` gives for all chunks, added up, if frequent enough.
+
+    Chunks have added up their own equal phrases and those of different chunks seldom meet in one
+    task, so the rows go to their places first and are added up there.
+    """
+    most = settings.most_words
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in _joined_batches(batches):
+            for own in pc.unique(whole.column("lang")):
+                rows = whole.filter(pc.equal(whole.column("lang"), own))
+                for _, found in text_batches([rows], "text", 2 * TEXT_BYTES):
+                    for chunk in chunks(found, most):
+                        for phrases, n in counted(chunk):
+                            columns = [pa.repeat(own, len(n)), phrases, pa.array(n, pa.int64())]
+                            yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "n"])
+
+    parts = texts.mapInArrow(run, "lang string, phrase binary, n long").repartition("lang", "phrase")
+    sums = parts.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    return cut_lineage(sums.where((F.col("n") >= settings.least) | (F.length("phrase") == 0)))
 
 
 def phrase_counts(docs: DataFrame, settings: PhraseSettings) -> DataFrame:
     """(lang, phrase, n): phrases of up to ``most_words`` words that are frequent enough, and the
-    empty phrase with the number of all words."""
+    empty phrase with the number of all words.
+
+    Words and pairs are counted in one pass over the texts. Each longer length has a pass of its own,
+    which counts only phrases whose parts passed the filter of the length before.
+    """
     s = settings
     lang = F.lit(None).cast("string")
     if "lang" in docs.columns:
         lang = F.col(f"rest.c{docs.columns.index('lang')}").cast("string")
     texts = set_aside(docs).where("text IS NOT NULL")
     texts = texts.select(F.coalesce(lang, F.lit("und")).alias("lang"), "text")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for own in pc.unique(whole.column("lang")):
-                rows = whole.filter(pc.equal(whole.column("lang"), own))
-                for _, found in text_batches([rows], "text", TEXT_BYTES):
-                    for phrases, n in counted(found, s.most_words):
-                        columns = [pa.repeat(own, len(n)), phrases, pa.array(n, pa.int64())]
-                        yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "n"])
-
-    parts = texts.mapInArrow(run, "lang string, phrase binary, n long")
-    sums = parts.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
-    return sums.where((F.col("n") >= s.least) | (F.length("phrase") == 0))
+    counts = last = _summed(texts, s, short_counts)
+    for k in range(3, s.most_words + 1):
+        known = Shared(docs.sparkSession, Filter.of(last, k - 1, s))
+        last = _summed(texts, s, lambda chunk, k=k, known=known: long_counts(chunk, k, known.load()))
+        counts = counts.unionByName(last)
+    return counts
 
 
 # --- the lockstep pass ------------------------------------------------------------------------
@@ -268,7 +402,7 @@ def collocations(docs: DataFrame, settings: PhraseSettings = PhraseSettings()) -
     frequent phrases, or an empty table, gives no rows.
     """
     s = settings
-    counts = cut_lineage(phrase_counts(docs, s).select("lang", F.col("phrase").alias("key"), "n"))
+    counts = phrase_counts(docs, s).select("lang", F.col("phrase").alias("key"), "n")
     rows = counts.count()
     names = ["lang", "key", "n", "begins", "longer"]
 

@@ -99,6 +99,26 @@ def test_scores_are_exact_beyond_64_bits():
     assert longer.tolist()[:3] == [10**13, 10**13 - 1, 10**12]
 
 
+def test_a_full_filter_changes_nothing(spark, monkeypatch):
+    rows = texts(5)
+    small = PhraseSettings(most_words=4, least=4, filter_bytes=phrases.SEGMENT)
+    monkeypatch.setattr(phrases.Filter, "may_have", lambda self, hashes: hashes == hashes)
+    assert sorted(map(tuple, collocations(frame(spark, rows), small).collect())) == plain(rows, 4, 4)
+
+
+def test_a_filter_has_all_that_went_in(spark):
+    words = [(b"w%d x%d " % (i, i % 7),) for i in range(3000)]
+    counts = spark.createDataFrame([*words, (b"single ",), (b"",)], "phrase binary").repartition(5)
+    known = phrases.Filter.of(counts, 2, PhraseSettings())
+
+    def sums(pairs):
+        first, second = zip(*[[w + b" " for w in p.split()] for p in pairs])
+        return phrases.chained_on(phrases.hashed_words(first), phrases.hashed_words(second))
+
+    assert known.may_have(sums([w for w, in words])).all()
+    assert known.may_have(sums([b"y%d x " % i for i in range(3000)])).mean() < 0.1
+
+
 @pytest.mark.parametrize("cuts", [[], [1], [2, 3, 4], [5, 9], list(range(1, 12))])
 def test_cuts_change_nothing(cuts):
     length = np.array([0, 1, 2, 3, 3, 2, 3, 1, 2, 0, 1, 2])
