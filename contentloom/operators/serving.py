@@ -18,7 +18,9 @@ BRIEFING_CLOSING = "\nAsk me for more details on any topic!"
 
 
 def _since(insights: DataFrame, day: Column) -> DataFrame:
-    return insights.filter(F.col("generated_at") >= day.cast("timestamp"))
+    """Insights from the beginning of a day on; those kept by day are read from that day's folders on."""
+    found = insights.filter(F.col("generated_at") >= day.cast("timestamp"))
+    return found.filter(F.col("generated_day") >= day) if "generated_day" in insights.columns else found
 
 
 def _best(insights: DataFrame, rows: int) -> DataFrame:

@@ -25,18 +25,11 @@ from contentloom.operators.serving import digest_messages
 from contentloom.operators.topics import TopicSettings
 from contentloom.operators.transform import transform_news, transform_posts, transform_scholarly
 from contentloom.operators.unify import unify
-from contentloom.schemas import conform, ensure_column
+from contentloom.schemas import conform, declared_rules, ensure_column, schema
 from contentloom.session import pin_session
 from contentloom.sources import feeds, pages, stories
-from contentloom.sources.storage import (
-    CatalogStore,
-    FolderStore,
-    TableStore,
-    next_id,
-    number_rows,
-    record_ids,
-    staged,
-)
+from contentloom.sources.ledger import Ledger, not_yet_stored
+from contentloom.sources.storage import CatalogStore, FolderStore, TableStore, number_rows, staged
 
 REJECTS = "rejected_rows"
 
@@ -72,55 +65,67 @@ def merge_all(store: TableStore) -> None:
 def insights(
     store: TableStore, as_of=None, settings: TopicSettings = TopicSettings(cleaned=True), generated_at=None
 ) -> dict[str, int]:
-    """Append the insights of one run; returns the number of rows by outcome.
+    """Store the insights of one run; returns the number of rows by outcome.
 
-    Rows are counted while they are written. A trending category without a name cannot become an
-    insight and goes to the rejects.
+    Insights are kept by day and run. A run that repeats one, that is with the same
+    ``generated_at``, replaces its rows and leaves those of all others. Rows are counted while they
+    are written. A trending category without a name cannot become an insight and goes to the rejects.
     """
     unified = store.register("unified_content")
     store.create_if_absent("content_insights")
     with staged(trending_topics(unified, as_of), store.staging_folder()) as trending:
         rows = build_insights(unified, as_of, generated_at, settings, trending)
         counted = Observation()
-        store.append(
+        store.replace_parts(
             "content_insights",
             conform(rows, "content_insights").observe(counted, F.count(F.lit(1)).alias("stored")),
         )
         checked = with_reason(trending, {"unnamed category": F.col("category").isNull()})
         unnamed = rejected_rows(checked).count()
         if unnamed:
-            _store_rejects(store, "content_insights", rejected_rows(checked))
+            run = None if generated_at is None else f"insights {generated_at}"
+            _store_rejects(store, "content_insights", rejected_rows(checked), run)
     return {**counted.get, **({"unnamed category": unnamed} if unnamed else {})}
 
 
 def digest(store: TableStore, as_of=None) -> DataFrame:
-    return digest_messages(store.read("content_insights"), as_of)
+    """Messages of the day's best insights, read from the folders of that day alone."""
+    return digest_messages(store.read_laid_out("content_insights"), as_of)
 
 
-def _store_rejects(store: TableStore, table: str, bad: DataFrame) -> None:
+def _store_rejects(store: TableStore, table: str, bad: DataFrame, batch_id: str | None = None) -> None:
+    """Append rows with their reasons; a batch that is repeated stores only those it did not store."""
     fields = [c for c in bad.columns if c != REASON]
-    store.append(
-        REJECTS,
-        bad.select(
-            F.lit(table).alias("table_name"),
-            REASON,
-            F.to_json(F.struct(*fields)).alias("row"),
-        ),
+    rows = bad.select(
+        F.lit(table).alias("table_name"),
+        REASON,
+        F.to_json(F.struct(*fields)).alias("row"),
+        F.lit(batch_id).cast("string").alias("batch_id"),
     )
+    if batch_id is None or not store.exists(REJECTS):
+        store.append(REJECTS, rows)
+        return
+    same = (F.col("table_name") == table) & (F.col("batch_id") == batch_id)
+    fresh = not_yet_stored(rows, store.read(REJECTS).filter(same), ["table_name", REASON, "row"])
+    with staged(fresh, store.staging_folder()) as left:
+        if not left.isEmpty():
+            store.append(REJECTS, left)
 
 
 @dataclass(frozen=True)
 class Batch:
     """Which payloads a run takes, by ``fetched_at`` (``since`` included, ``until`` not), and ids.
 
-    ``first_id`` starts the range of ids that the caller has set aside for this run; runs with
-    ranges of their own may append to one table side by side. Without it ids follow those of the
-    recorded appends, and runs that append to one table must not overlap.
+    ``first_id`` starts the range of ids that the caller has set aside for this run; without it ids
+    follow all that are reserved. ``batch_id`` names what the run takes, so that a run that repeats it
+    stores nothing twice; by default that is a window with both ends. Runs without a name always
+    store all they take.
     """
 
     since: str | None = None
     until: str | None = None
     first_id: int | None = None
+    batch_id: str | None = None
 
     def payloads(self, store: TableStore, table: str) -> DataFrame:
         found = store.read(table)
@@ -130,8 +135,31 @@ class Batch:
             found = found.filter(F.col("fetched_at") < F.lit(self.until).cast("timestamp"))
         return found
 
+    def name(self, verb: str) -> str | None:
+        if self.batch_id is not None:
+            return f"{verb} {self.batch_id}"
+        if self.since is None or self.until is None:
+            return None
+        return f"{verb} {self.since} to {self.until}"
+
 
 EVERYTHING = Batch()
+#: Outcome of rows that an earlier run of the same batch has stored.
+BEFORE = "stored before"
+
+
+def _append_numbered(
+    store: TableStore, table: str, good: DataFrame, rows: int, batch_id: str | None, first_id: int | None
+) -> None:
+    """Reserve ids, append the rows of a staged table with them, close the reservation.
+
+    A run that dies on the way leaves the reservation open: its ids are never given again, and what
+    it has stored is found by them.
+    """
+    ledger = Ledger(store, table)
+    kept = ledger.reserve(rows, batch_id, first_id)
+    store.append(table, conform(number_rows(good, kept.first), table))
+    ledger.close(kept)
 
 
 def store_rows(
@@ -141,25 +169,39 @@ def store_rows(
     failed: DataFrame,
     rules: Mapping[str, Column] | None = None,
     first_id: int | None = None,
+    batch_id: str | None = None,
 ) -> dict[str, int]:
     """Append extracted rows to a raw table; bad rows and failed payloads go to the rejects.
 
+    Bad are rows that break one of ``rules`` or the table's declared widths and required columns.
     Returns the number of rows, and of failed payloads, by outcome. An empty batch writes nothing.
+    Of a batch with a name, rows that an earlier run of it has stored are left out and counted.
     """
     folder = store.staging_folder()
-    with staged(with_reason(rows, rules or {}), folder) as checked:
+    checks = {**(rules or {}), **declared_rules(rows, table)}
+    with staged(with_reason(rows, checks), folder) as checked:
         counts = {row[REASON]: row["rows"] for row in reason_counts(checked).collect()}
         if stored := counts.get("stored"):
             store.create_if_absent(table)
-            first = next_id(store, table) if first_id is None else first_id
-            store.append(table, conform(number_rows(good_rows(checked), first), table))
-            record_ids(store, table, first, stored)
-        if counts.keys() - {"stored"}:
-            _store_rejects(store, table, rejected_rows(checked))
+            store.add_missing_columns(table)
+            good = good_rows(checked)
+            there = Ledger(store, table).stored(batch_id) if batch_id is not None else None
+            if there is None:
+                _append_numbered(store, table, good, stored, batch_id, first_id)
+            else:
+                names = [f.name for f in schema(table).fields if f.name in good.columns and f.name != "id"]
+                typed = conform(good, table).select(*names)
+                with staged(not_yet_stored(typed, there, names), folder) as fresh:
+                    left = fresh.count()
+                    if left:
+                        _append_numbered(store, table, fresh, left, batch_id, first_id)
+                counts |= {"stored": left, BEFORE: stored - left}
+        if counts.keys() - {"stored", BEFORE}:
+            _store_rejects(store, table, rejected_rows(checked), batch_id)
     with staged(failed, folder) as bad:
         lost = {row[REASON]: row["rows"] for row in reason_counts(bad).collect()}
         if lost:
-            _store_rejects(store, table, bad)
+            _store_rejects(store, table, bad, batch_id)
     return {reason: counts.get(reason, 0) + lost.get(reason, 0) for reason in counts | lost}
 
 
@@ -177,6 +219,7 @@ def extract_news_feeds(store: TableStore, batch: Batch = EVERYTHING) -> dict[str
             feeds.failed_payloads(parsed, fetched_only=False),
             _unreadable_date(),
             batch.first_id,
+            batch.name("extract_news_feeds"),
         )
 
 
@@ -192,6 +235,7 @@ def extract_scholarly_feeds(store: TableStore, batch: Batch = EVERYTHING) -> dic
             feeds.failed_payloads(parsed, fetched_only=True),
             _unreadable_date(),
             batch.first_id,
+            batch.name("extract_scholarly_feeds"),
         )
 
 
@@ -204,12 +248,14 @@ def extract_stories(store: TableStore, batch: Batch = EVERYTHING) -> dict[str, i
             stories.story_posts(parsed),
             stories.failed_payloads(parsed),
             first_id=batch.first_id,
+            batch_id=batch.name("extract_stories"),
         )
 
 
 def _extract_pages(
     store: TableStore,
     batch: Batch,
+    verb: str,
     table: str,
     profiles: list[pages.PageProfile],
     rows: Callable[[DataFrame], DataFrame],
@@ -222,17 +268,25 @@ def _extract_pages(
     with staged(pages.page_blocks(payloads, profiles), store.staging_folder()) as blocks:
         failed = pages.failed_payloads(payloads, profiles, everyone if strays else ())
         failed = failed.unionByName(pages.unreadable_pages(blocks))
-        return store_rows(store, table, rows(blocks), failed, rules, batch.first_id)
+        return store_rows(store, table, rows(blocks), failed, rules, batch.first_id, batch.name(verb))
 
 
 def extract_forum_pages(store: TableStore, batch: Batch = EVERYTHING) -> dict[str, int]:
-    return _extract_pages(store, batch, "reddit_posts", pages.forum_profiles(), pages.forum_posts)
+    return _extract_pages(
+        store, batch, "extract_forum_pages", "reddit_posts", pages.forum_profiles(), pages.forum_posts
+    )
 
 
 def extract_news_pages(store: TableStore, batch: Batch = EVERYTHING) -> dict[str, int]:
     """Also rejects pages whose address and profile nobody knows."""
     return _extract_pages(
-        store, batch, "news_articles", pages.news_profiles(), pages.news_articles, strays=True
+        store,
+        batch,
+        "extract_news_pages",
+        "news_articles",
+        pages.news_profiles(),
+        pages.news_articles,
+        strays=True,
     )
 
 
@@ -240,6 +294,7 @@ def extract_scholarly_pages(store: TableStore, batch: Batch = EVERYTHING) -> dic
     return _extract_pages(
         store,
         batch,
+        "extract_scholarly_pages",
         "scholarly_articles",
         pages.scholarly_profiles(),
         pages.scholarly_articles,
@@ -300,13 +355,14 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--since", help="first fetch time of the payloads to extract")
     parser.add_argument("--until", help="fetch time at which the payloads to extract end")
     parser.add_argument("--first-id", type=int, help="start of this run's range of ids")
+    parser.add_argument("--batch-id", help="name of what is extracted, if not a window with both ends")
     given = parser.parse_args(arguments)
     if bool(given.root) == bool(given.database):
         parser.error("give either --root or --database")
     spark = SparkSession.builder.appName(f"contentloom {given.verb}").getOrCreate()
     try:
         store = FolderStore(spark, given.root) if given.root else CatalogStore(spark, given.database)
-        batch = Batch(given.since, given.until, given.first_id)
+        batch = Batch(given.since, given.until, given.first_id, given.batch_id)
         outcome = run(given.verb, store, given.as_of, given.generated_at, batch)
         if isinstance(outcome, DataFrame):
             for row in outcome.select("message").collect():

@@ -53,7 +53,10 @@ _DDL = {
     published_date date, sentiment_score double, content_type string, unified_id string,
     processed_timestamp timestamp
     """,
-    "id_ranges": "table_name string, first_id bigint, rows bigint",
+    "id_ranges": """
+    table_name string, first_id bigint, rows bigint, batch_id string, state string, token string,
+    recorded_at timestamp
+    """,
     "content_insights": """
     id bigint not null, insight_type string not null, title string not null,
     description string not null, sources array<string> not null,
@@ -62,11 +65,47 @@ _DDL = {
     "news_feed_payloads": _FEED_PAYLOADS,
     "scholarly_feed_payloads": _FEED_PAYLOADS,
     "story_payloads": "pos int, story_id bigint, body string, fetched_at timestamp",
-    "rejected_rows": "table_name string, reject_reason string, row string",
+    "rejected_rows": "table_name string, reject_reason string, row string, batch_id string",
     "page_payloads": "url string, profile string, status int, html string, fetched_at timestamp",
 }
 
 
+#: Columns by which stored tables are laid out in folders: their types and what they are made of. Each
+#: run of the insights job has a folder of its own inside its day.
+LAYOUT: dict[str, dict[str, tuple[str, str]]] = {
+    "content_insights": {
+        "generated_day": ("date", "to_date(generated_at)"),
+        "generated_run": ("string", "date_format(generated_at, 'yyyyMMddHHmmssSSSSSS')"),
+    }
+}
+
+# The declared widths of text columns, and the default of the column added later.
+WIDTHS: dict[str, dict[str, int]] = {
+    "news_articles": {"source": 255, "category": 255},
+    "reddit_posts": {"subreddit": 255, "author": 255},
+    "scholarly_articles": {"source": 255, "category": 255, "language": 10},
+    "transformed_news_articles": {"source_normalized": 255, "category_normalized": 255},
+    "transformed_reddit_posts": {
+        "subreddit": 255,
+        "subreddit_normalized": 255,
+        "author": 255,
+        "popularity_level": 50,
+    },
+    "transformed_scholarly_articles": {
+        "source": 255,
+        "source_normalized": 255,
+        "category": 255,
+        "category_normalized": 255,
+    },
+    "unified_content": {"source": 255, "category": 255, "content_type": 50, "unified_id": 100},
+    "content_insights": {"insight_type": 50},
+}
+_DEFAULTS = {
+    "scholarly_articles": {"language": "'en'"},
+    "transformed_scholarly_articles": {"language": "'en'"},
+}
+
+
 def schema(table: str) -> T.StructType:
     """The columns of a table; raises ``KeyError`` for an unknown name."""
     return T.StructType.fromDDL(_DDL[table])
@@ -76,6 +115,55 @@ def is_known(table: str) -> bool:
     return table in _DDL
 
 
+def defaults(table: str) -> dict[str, str]:
+    """SQL literals that stand for columns a stored row does not have."""
+    return _DEFAULTS.get(table, {})
+
+
+def read_schema(table: str) -> T.StructType:
+    """``schema`` for readers of files, with the layout's columns; files written before a column existed
+    show its default."""
+    kept = {
+        name: {"CURRENT_DEFAULT": value, "EXISTS_DEFAULT": value} for name, value in defaults(table).items()
+    }
+    fields = [T.StructField(f.name, f.dataType, f.nullable, kept.get(f.name)) for f in schema(table).fields]
+    return T.StructType(fields + _layout_fields(table))
+
+
+def _layout_fields(table: str) -> list[T.StructField]:
+    kinds = ", ".join(f"{name} {kind}" for name, (kind, _) in LAYOUT.get(table, {}).items())
+    return T.StructType.fromDDL(kinds).fields if kinds else []
+
+
+def laid_out(df: DataFrame, table: str) -> DataFrame:
+    """``df`` with the columns by which the table is laid out."""
+    return df.withColumns({name: F.expr(made) for name, (_, made) in LAYOUT.get(table, {}).items()})
+
+
+def table_ddl(table: str) -> str:
+    """Column definitions for a catalog: declared widths, required columns and defaults."""
+    widths, known = WIDTHS.get(table, {}), defaults(table)
+
+    def column(field: T.StructField) -> str:
+        kind = f"VARCHAR({widths[field.name]})" if field.name in widths else field.dataType.simpleString()
+        required = "" if field.nullable else " NOT NULL"
+        default = f" DEFAULT {known[field.name]}" if field.name in known else ""
+        return f"{field.name} {kind}{required}{default}"
+
+    return ", ".join(column(f) for f in [*schema(table).fields, *_layout_fields(table)])
+
+
+def declared_rules(df: DataFrame, table: str) -> dict[str, Column]:
+    """Rules a row must keep to be stored: text columns within their width, required ones present."""
+    rules = {
+        f"{name} is longer than {width}": F.char_length(name) > width
+        for name, width in WIDTHS.get(table, {}).items()
+        if name in df.columns
+    }
+    required = [f.name for f in schema(table).fields if not f.nullable and f.name in df.columns]
+    return rules | {f"{name} is missing": F.col(name).isNull() for name in required}
+
+
 def ensure_column(df: DataFrame, name: str, default: Column) -> DataFrame:
     """A column added after rows were stored: those rows show the default."""
     known = F.coalesce(F.col(name), default) if name in df.columns else default
@@ -83,11 +171,13 @@ def ensure_column(df: DataFrame, name: str, default: Column) -> DataFrame:
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
-    """Columns of ``df`` in the order and types of a table, absent ones as NULL."""
-    present = set(df.columns)
+    """Columns of ``df`` in the order and types of a table, absent ones as their default or NULL."""
+    present, known = set(df.columns), defaults(table)
     return df.select(
         *[
-            (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
+            (F.col(f.name) if f.name in present else F.expr(known.get(f.name, "NULL")))
+            .cast(f.dataType)
+            .alias(f.name)
             for f in schema(table).fields
         ]
     )

@@ -2,6 +2,10 @@
 
 Writers keep the parallelism of the plan. A refresh to JDBC limits its connections with
 ``write_connections`` instead of pulling everything through one task.
+
+A refresh of a folder or catalog table writes a new version beside the old one and then switches in
+one step. Until then, and if the refresh dies, readers find the old rows; the version before stays
+for readers that have begun with it, until the refresh after the next one.
 """
 
 from __future__ import annotations
@@ -16,8 +20,9 @@ from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from contentloom.schemas import is_known, schema
+from contentloom.schemas import LAYOUT, defaults, is_known, laid_out, read_schema, schema, table_ddl
 from contentloom.session import shared_folder
+from contentloom.sources.files import SharedFiles
 
 
 class TableStore(ABC):
@@ -31,6 +36,10 @@ class TableStore(ABC):
     @abstractmethod
     def read(self, table: str) -> DataFrame: ...
 
+    def read_laid_out(self, table: str) -> DataFrame:
+        """The table with the columns it is laid out by, whose filters choose folders."""
+        return laid_out(self.read(table), table)
+
     @abstractmethod
     def _save(self, table: str, writer: DataFrameWriter) -> None: ...
 
@@ -39,17 +48,33 @@ class TableStore(ABC):
         return None
 
     def overwrite(self, table: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
+        """Replace the whole table; its columns become those of ``df``."""
         self._save(table, _partitioned(df.write.mode("overwrite"), partition_by))
 
     def append(self, table: str, df: DataFrame) -> None:
         self._save(table, df.write.mode("append"))
 
+    def replace_parts(self, table: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
+        """Replace those partitions of the table that ``df`` has rows in; the others stay as they are.
+
+        By default the partitions are those of the table's layout. A table that does not exist yet is
+        created.
+        """
+        raise NotImplementedError(f"{type(self).__name__} has no partitions")
+
     def create_if_absent(self, table: str, columns: T.StructType | None = None) -> None:
         """An empty table of the given columns, by default those the package knows."""
         if not self.exists(table):
             empty = self.spark.createDataFrame([], columns or schema(table))
             self.append(table, empty)
 
+    def add_missing_columns(self, table: str) -> list[str]:
+        """Give a stored table the declared columns it lacks; returns their names.
+
+        Rows stored before show the declared default, without being rewritten.
+        """
+        return []
+
     def register(self, table: str) -> DataFrame:
         """Make the table known to SQL text of this session under its own name."""
         df = self.read(table)
@@ -61,13 +86,20 @@ def _partitioned(writer: DataFrameWriter, partition_by: tuple[str, ...]) -> Data
     return writer.partitionBy(*partition_by) if partition_by else writer
 
 
+def _layout(table: str) -> tuple[str, ...]:
+    return tuple(LAYOUT.get(table, ()))
+
+
 @dataclass
 class FolderStore(TableStore):
     """One sub-folder per table.
 
     Known tables are read with their declared columns, so no file has to be opened to plan, and
-    files written before a column existed show NULL in it. ``merge_schema`` instead looks into
-    every file and keeps columns the declaration does not have.
+    files written before a column existed show its declared default, or NULL. ``merge_schema``
+    instead looks into every file and keeps columns the declaration does not have.
+
+    Tables that were refreshed live in ``_versions``; a file in ``_current`` names the version that
+    counts and the one before, and replacing that file is the switch.
     """
 
     spark: SparkSession
@@ -75,47 +107,163 @@ class FolderStore(TableStore):
     file_format: str = "parquet"
     merge_schema: bool = False
 
+    def _below(self, name: str) -> str:
+        return f"{self.root.rstrip('/')}/{name}"
+
+    def _versions(self, table: str) -> list[str]:
+        """The version that counts and the one before, as paths below the root."""
+        return (SharedFiles(self.spark).read(self._below(f"_current/{table}")) or "").split()
+
     def path(self, table: str) -> str:
-        return f"{self.root.rstrip('/')}/{table}"
+        """Where the rows of the table are now."""
+        return self._below((self._versions(table) or [table])[0])
 
     def staging_folder(self) -> str:
         """A folder beside the tables, which all executors reach."""
-        return self.path("_staging")
+        return self._below("_staging")
 
     def exists(self, table: str) -> bool:
-        jvm = self.spark._jvm
-        location = jvm.org.apache.hadoop.fs.Path(self.path(table))
-        files = location.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
-        return files.exists(location)
+        return SharedFiles(self.spark).exists(self.path(table))
 
     def read(self, table: str) -> DataFrame:
+        return self.read_laid_out(table).drop(*_layout(table))
+
+    def read_laid_out(self, table: str) -> DataFrame:
         reader = self.spark.read.format(self.file_format)
         if self.merge_schema:
             reader = reader.option("mergeSchema", "true")
         elif is_known(table):
-            reader = reader.schema(schema(table))
+            reader = reader.schema(read_schema(table))
         return reader.load(self.path(table))
 
+    def append(self, table: str, df: DataFrame) -> None:
+        self._save(table, _partitioned(laid_out(df, table).write.mode("append"), _layout(table)))
+
+    def overwrite(self, table: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
+        files = SharedFiles(self.spark)
+        before = self._versions(table)
+        if not before and files.exists(self._below(table)):
+            before = [table]
+        version = f"_versions/{table}/{uuid.uuid4().hex}"
+        try:
+            writer = _partitioned(df.write.mode("errorifexists"), partition_by)
+            writer.format(self.file_format).save(self._below(version))
+        except BaseException:
+            files.delete(self._below(version))
+            raise
+        files.replace(self._below(f"_current/{table}"), " ".join([version, *before[:1]]))
+        for old in before[1:]:
+            files.delete(self._below(old))
+
+    def replace_parts(self, table: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
+        writer = laid_out(df, table).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        self._save(table, writer.partitionBy(*(partition_by or _layout(table))))
+
     def _save(self, table: str, writer: DataFrameWriter) -> None:
         writer.format(self.file_format).save(self.path(table))
 
 
+#: Properties of a view that stands for the versions of a catalog table.
+CURRENT, PREVIOUS = "contentloom.current", "contentloom.previous"
+
+
 @dataclass
 class CatalogStore(TableStore):
-    """Tables of a catalog database."""
+    """Tables of a catalog database.
+
+    A refreshed table is a view on its newest version, a table of its own; replacing the view is the
+    switch. A table that was made by other means is renamed when it is refreshed for the first time, and
+    for that moment readers find nothing.
+    Known tables are created with the declared widths and defaults of their columns.
+    """
 
     spark: SparkSession
     database: str = "default"
     file_format: str = "parquet"
 
+    def _named(self, table: str) -> str:
+        return f"{self.database}.{table}"
+
+    def _property(self, table: str, key: str) -> str | None:
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self._named(table)}").collect()
+        return {row[0]: row[1] for row in rows}.get(key)
+
+    def _stored(self, table: str) -> str:
+        """The table that holds the rows: itself, or the version that its view shows."""
+        return self._property(table, CURRENT) or table if self.exists(table) else table
+
     def exists(self, table: str) -> bool:
-        return self.spark.catalog.tableExists(f"{self.database}.{table}")
+        return self.spark.catalog.tableExists(self._named(table))
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.table(f"{self.database}.{table}")
+        return self.read_laid_out(table).drop(*_layout(table))
+
+    def read_laid_out(self, table: str) -> DataFrame:
+        return self.spark.table(self._named(table))
+
+    def append(self, table: str, df: DataFrame) -> None:
+        self._save(table, _partitioned(laid_out(df, table).write.mode("append"), _layout(table)))
+
+    def create_if_absent(self, table: str, columns: T.StructType | None = None) -> None:
+        if columns is not None or not is_known(table):
+            super().create_if_absent(table, columns)
+            return
+        parts = f" PARTITIONED BY ({', '.join(_layout(table))})" if table in LAYOUT else ""
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self._named(table)} ({table_ddl(table)}) USING {self.file_format}{parts}"
+        )
+
+    def add_missing_columns(self, table: str) -> list[str]:
+        name = self._named(self._stored(table))
+        present = set(self.spark.table(name).columns)
+        known = defaults(table)
+        missing = [f for f in schema(table).fields if f.name not in present]
+        if missing:
+            ddl = ", ".join(
+                f"{f.name} {f.dataType.simpleString()}" + (f" DEFAULT {known[f.name]}" if f.name in known else "")
+                for f in missing
+            )
+            self.spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({ddl})")
+        return [f.name for f in missing]
+
+    def overwrite(self, table: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
+        version = f"{table}__{uuid.uuid4().hex}"
+        writer = _partitioned(df.write.mode("errorifexists"), partition_by)
+        try:
+            writer.format(self.file_format).saveAsTable(self._named(version))
+        except BaseException:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._named(version)}")
+            raise
+        before, old = "", None
+        if self.exists(table):
+            before, old = self._property(table, CURRENT), self._property(table, PREVIOUS)
+            if before is None:
+                before = f"{table}__{uuid.uuid4().hex}"
+                self.spark.sql(f"ALTER TABLE {self._named(table)} RENAME TO {self._named(before)}")
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW {self._named(table)} "
+            f"TBLPROPERTIES ('{CURRENT}' = '{version}', '{PREVIOUS}' = '{before}') "
+            f"AS SELECT * FROM {self._named(version)}"
+        )
+        if old:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._named(old)}")
+
+    def replace_parts(self, table: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
+        rows = laid_out(df, table)
+        if not self.exists(table):
+            self._save(table, rows.write.partitionBy(*(partition_by or _layout(table))))
+            return
+        name = self._named(self._stored(table))
+        setting = "spark.sql.sources.partitionOverwriteMode"
+        before = self.spark.conf.get(setting)
+        self.spark.conf.set(setting, "dynamic")
+        try:
+            rows.select(*self.spark.table(name).columns).write.insertInto(name, overwrite=True)
+        finally:
+            self.spark.conf.set(setting, before)
 
     def _save(self, table: str, writer: DataFrameWriter) -> None:
-        writer.format(self.file_format).saveAsTable(f"{self.database}.{table}")
+        writer.format(self.file_format).saveAsTable(self._named(self._stored(table)))
 
 
 @dataclass
@@ -190,9 +338,7 @@ def staged(df: DataFrame, folder: str | None = None) -> Iterator[DataFrame]:
     try:
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        location = spark._jvm.org.apache.hadoop.fs.Path(path)
-        configuration = spark._jsparkSession.sessionState().newHadoopConf()
-        location.getFileSystem(configuration).delete(location, True)
+        SharedFiles(spark).delete(path)
 
 
 def number_rows(df: DataFrame, first: int = 1, name: str = "id") -> DataFrame:
@@ -219,25 +365,3 @@ def number_rows(df: DataFrame, first: int = 1, name: str = "id") -> DataFrame:
 def last_id(df: DataFrame, name: str = "id") -> int:
     """Greatest id in use, 0 for an empty table. Reads the whole column."""
     return df.agg(F.max(name)).first()[0] or 0
-
-
-ID_RANGES = "id_ranges"
-
-
-def next_id(store: TableStore, table: str) -> int:
-    """The first id that no recorded append has used.
-
-    The record has one row per append. A table without any, filled by other means, is looked
-    through once.
-    """
-    if store.exists(ID_RANGES):
-        ends = store.read(ID_RANGES).filter(F.col("table_name") == table)
-        end = ends.agg(F.max(F.col("first_id") + F.col("rows"))).first()[0]
-        if end is not None:
-            return end
-    return last_id(store.read(table)) + 1
-
-
-def record_ids(store: TableStore, table: str, first: int, rows: int) -> None:
-    kept = schema(ID_RANGES)
-    store.append(ID_RANGES, store.spark.createDataFrame([(table, first, rows)], kept))

@@ -59,7 +59,7 @@ def test_files_of_different_age(store, spark):
     store.append(table, spark.createDataFrame([(2, "he")], "id bigint, language string"))
     declared = store.read(table)
     assert declared.columns == schema(table).fieldNames()
-    assert {(r.id, r.language) for r in declared.collect()} == {(1, None), (2, "he")}
+    assert {(r.id, r.language) for r in declared.collect()} == {(1, "en"), (2, "he")}
     filled = ensure_column(declared, "language", F.lit("en"))
     assert {(r.id, r.language) for r in filled.collect()} == {(1, "en"), (2, "he")}
     store.append("t", spark.createDataFrame([(1,)], "id bigint"))
@@ -185,7 +185,9 @@ def test_pipeline(store, spark):
     assert kinds == {"trending_topic", "discovered_topic"}
     jobs.insights(store, AS_OF, settings, generated_at="2024-01-30 12:00:00")
     again = store.read("content_insights")
-    assert again.count() == 2 * first and again.select("id").distinct().count() == first
+    assert again.count() == first and again.select("id").distinct().count() == first
+    jobs.insights(store, AS_OF, settings, generated_at="2024-01-30 18:00:00")
+    assert store.read("content_insights").count() == 2 * first
     messages = jobs.run("digest", store, as_of=AS_OF).collect()
     assert messages and all("Relevance Score: " in r.message for r in messages)
 
