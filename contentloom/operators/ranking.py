@@ -33,6 +33,40 @@ def category_counts(
     )
 
 
+def daily_categories(unified: DataFrame) -> DataFrame:
+    """Counts of each category by type and day, which add up to those of any other period."""
+    score = F.col("sentiment_score")
+    return unified.groupBy("content_type", "published_date", "category").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count(score).alias("scored"),
+        F.sum(score).alias("sentiment_sum"),
+    )
+
+
+def category_counts_of_days(
+    days_counted: DataFrame, as_of=None, days: int | None = TRENDING_DAYS
+) -> DataFrame:
+    """``category_counts`` from ``daily_categories``, in any number of partial rows."""
+    date = F.col("published_date")
+    dated = date.isNotNull() if days is None else recent(date, as_date(as_of), days)
+    scored = F.sum("scored")
+    return (
+        days_counted.filter(dated)
+        .groupBy("category")
+        .agg(
+            F.sum("rows").alias("count"),
+            F.when(scored > 0, F.sum("sentiment_sum") / scored).alias("avg_sentiment"),
+        )
+    )
+
+
+def trending_topics_of_days(
+    days_counted: DataFrame, as_of=None, days: int = TRENDING_DAYS, rows: int = TRENDING_ROWS
+) -> DataFrame:
+    """``trending_topics`` without a look at the content table."""
+    return top_categories(category_counts_of_days(days_counted, as_of, days), rows)
+
+
 def top_categories(counts: DataFrame, rows: int = TRENDING_ROWS) -> DataFrame:
     return counts.orderBy(F.desc("count"), F.desc("avg_sentiment"), F.asc("category")).limit(rows)
 

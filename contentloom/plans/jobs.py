@@ -20,11 +20,12 @@ from contentloom.operators.quality import (
     rejected_rows,
     with_reason,
 )
-from contentloom.operators.ranking import trending_topics
+from contentloom.operators.ranking import trending_topics, trending_topics_of_days
 from contentloom.operators.serving import digest_messages
 from contentloom.operators.topics import TopicSettings
 from contentloom.operators.transform import transform_news, transform_posts, transform_scholarly
 from contentloom.operators.unify import unify
+from contentloom.plans import refresh
 from contentloom.schemas import conform, declared_rules, ensure_column, schema
 from contentloom.session import pin_session
 from contentloom.sources import feeds, pages, stories
@@ -34,32 +35,86 @@ from contentloom.sources.storage import CatalogStore, FolderStore, TableStore, n
 REJECTS = "rejected_rows"
 
 
-def news_articles(store: TableStore) -> None:
-    store.overwrite("transformed_news_articles", transform_news(store.read("news_articles")))
+@dataclass(frozen=True)
+class Batch:
+    """Which payloads a run takes, by ``fetched_at`` (``since`` included, ``until`` not), and ids.
+
+    ``first_id`` starts the range of ids that the caller has set aside for this run; without it ids
+    follow all that are reserved. ``batch_id`` names what the run takes, so that a run that repeats it
+    stores nothing twice; by default that is a window with both ends. Runs without a name always
+    store all they take.
+    """
+
+    since: str | None = None
+    until: str | None = None
+    first_id: int | None = None
+    batch_id: str | None = None
+
+    def payloads(self, store: TableStore, table: str) -> DataFrame:
+        found = store.read(table)
+        if self.since is not None:
+            found = found.filter(F.col("fetched_at") >= F.lit(self.since).cast("timestamp"))
+        if self.until is not None:
+            found = found.filter(F.col("fetched_at") < F.lit(self.until).cast("timestamp"))
+        return found
+
+    @property
+    def windowed(self) -> bool:
+        return self.since is not None and self.until is not None
+
+    def name(self, verb: str) -> str | None:
+        if self.batch_id is not None:
+            return f"{verb} {self.batch_id}"
+        if not self.windowed:
+            return None
+        return f"{verb} {self.since} to {self.until}"
+
+
+EVERYTHING = Batch()
 
 
-def reddit_posts(store: TableStore) -> None:
-    store.overwrite("transformed_reddit_posts", transform_posts(store.read("reddit_posts")))
+def _transform(
+    store: TableStore,
+    raw: DataFrame,
+    table: str,
+    transform: Callable[[DataFrame], DataFrame],
+    batch: Batch,
+) -> None:
+    """All rows anew, or those of a window with both ends behind the ones that are there."""
+    if batch.windowed and store.exists(table):
+        refresh.append_transformed(store, raw, table, transform, batch.since, batch.until)
+    else:
+        store.overwrite(table, transform(raw))
 
 
-def scholarly_articles(store: TableStore) -> None:
+def news_articles(store: TableStore, batch: Batch = EVERYTHING) -> None:
+    _transform(store, store.read("news_articles"), "transformed_news_articles", transform_news, batch)
+
+
+def reddit_posts(store: TableStore, batch: Batch = EVERYTHING) -> None:
+    _transform(store, store.read("reddit_posts"), "transformed_reddit_posts", transform_posts, batch)
+
+
+def scholarly_articles(store: TableStore, batch: Batch = EVERYTHING) -> None:
     raw = ensure_column(store.read("scholarly_articles"), "language", F.lit("en"))
-    store.overwrite("transformed_scholarly_articles", transform_scholarly(raw))
+    _transform(store, raw, "transformed_scholarly_articles", transform_scholarly, batch)
 
 
-def merge_all(store: TableStore) -> None:
-    """Unified rows by content type and, inside, by day.
+def merge_all(store: TableStore, batch: Batch = EVERYTHING) -> dict[str, int] | None:
+    """Unified rows in a folder for each content type and day, and the counts of each day.
 
-    Reports read the last days of the table, so rows of a day belong together; a rebalance moves
-    them there and splits days that are too large for one file.
+    Reports read the last days of the table. With a window, only the folders that its rows fall into
+    are written again.
     """
+    if batch.windowed and store.exists(refresh.UNIFIED) and store.exists(refresh.DAYS):
+        return refresh.refresh_unified(store, batch.since, batch.until)
     unified = unify(
         store.read("transformed_news_articles"),
         store.read("transformed_reddit_posts"),
         store.read("transformed_scholarly_articles"),
     )
-    by_day = unified.hint("rebalance", F.col("content_type"), F.col("published_date"))
-    store.overwrite("unified_content", by_day, partition_by=("content_type",))
+    refresh.write_unified(store, unified)
+    return None
 
 
 def insights(
@@ -70,10 +125,15 @@ def insights(
     Insights are kept by day and run. A run that repeats one, that is with the same
     ``generated_at``, replaces its rows and leaves those of all others. Rows are counted while they
     are written. A trending category without a name cannot become an insight and goes to the rejects.
+    Categories are ranked by the counts that ``merge_all`` keeps of each day, where there are any.
     """
     unified = store.register("unified_content")
     store.create_if_absent("content_insights")
-    with staged(trending_topics(unified, as_of), store.staging_folder()) as trending:
+    if store.exists(refresh.DAYS):
+        ranked = trending_topics_of_days(store.read(refresh.DAYS), as_of)
+    else:
+        ranked = trending_topics(unified, as_of)
+    with staged(ranked, store.staging_folder()) as trending:
         rows = build_insights(unified, as_of, generated_at, settings, trending)
         counted = Observation()
         store.replace_parts(
@@ -112,38 +172,6 @@ def _store_rejects(store: TableStore, table: str, bad: DataFrame, batch_id: str
             store.append(REJECTS, left)
 
 
-@dataclass(frozen=True)
-class Batch:
-    """Which payloads a run takes, by ``fetched_at`` (``since`` included, ``until`` not), and ids.
-
-    ``first_id`` starts the range of ids that the caller has set aside for this run; without it ids
-    follow all that are reserved. ``batch_id`` names what the run takes, so that a run that repeats it
-    stores nothing twice; by default that is a window with both ends. Runs without a name always
-    store all they take.
-    """
-
-    since: str | None = None
-    until: str | None = None
-    first_id: int | None = None
-    batch_id: str | None = None
-
-    def payloads(self, store: TableStore, table: str) -> DataFrame:
-        found = store.read(table)
-        if self.since is not None:
-            found = found.filter(F.col("fetched_at") >= F.lit(self.since).cast("timestamp"))
-        if self.until is not None:
-            found = found.filter(F.col("fetched_at") < F.lit(self.until).cast("timestamp"))
-        return found
-
-    def name(self, verb: str) -> str | None:
-        if self.batch_id is not None:
-            return f"{verb} {self.batch_id}"
-        if self.since is None or self.until is None:
-            return None
-        return f"{verb} {self.since} to {self.until}"
-
-
-EVERYTHING = Batch()
 #: Outcome of rows that an earlier run of the same batch has stored.
 BEFORE = "stored before"
 
@@ -319,7 +347,8 @@ JOBS: dict[str, Callable] = {
         digest,
     )
 }
-EXTRACTIONS = frozenset(job for job in JOBS if job.startswith("extract_"))
+#: Jobs that take a batch.
+BY_BATCH = frozenset(job for job in JOBS if job not in ("insights", "digest"))
 
 
 def run(
@@ -342,7 +371,7 @@ def run(
         return job(store, as_of=as_of, generated_at=generated_at)
     if verb == "digest":
         return job(store, as_of=as_of)
-    return job(store, batch) if verb in EXTRACTIONS else job(store)
+    return job(store, batch) if verb in BY_BATCH else job(store)
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -352,8 +381,8 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--database", help="catalog database that holds the tables instead")
     parser.add_argument("--as-of", help="day the reports refer to, YYYY-MM-DD; default today")
     parser.add_argument("--generated-at", help="time stamp of insights; default now")
-    parser.add_argument("--since", help="first fetch time of the payloads to extract")
-    parser.add_argument("--until", help="fetch time at which the payloads to extract end")
+    parser.add_argument("--since", help="first fetch time of what a job takes in")
+    parser.add_argument("--until", help="fetch time at which that ends")
     parser.add_argument("--first-id", type=int, help="start of this run's range of ids")
     parser.add_argument("--batch-id", help="name of what is extracted, if not a window with both ends")
     given = parser.parse_args(arguments)

@@ -223,6 +223,16 @@ def _guess(title: str) -> str:
 
 _ROOT = "nullif(regexp_extract(url, '^(https?://[^/]+)', 1), '')"
 
+_STORIES = f"""
+SELECT doc_id AS story_id, {_guess("text")} AS subreddit, text AS title,
+       CASE WHEN doc_id % 4 = 1 THEN 'anonymous' ELSE source END AS author,
+       CASE WHEN doc_id % 5 = 2 THEN '{STORY_LINK_PREFIX}' || doc_id
+            ELSE 'http://example.com/story/' || doc_id END AS url,
+       CAST(CASE WHEN doc_id % 6 = 3 THEN 0 ELSE n_chars END AS INTEGER) AS score,
+       {_clock('''CASE WHEN doc_id % 7 = 4 THEN TIMESTAMP '1970-01-01'
+         ELSE TIMESTAMP '2024-01-01' + to_minutes(doc_id) END''')} AS created_utc
+FROM documents WHERE doc_id % 60 < 50 AND doc_id % 10 <> 0"""
+
 ORACLES: dict[str, str] = {
     "q_clean_text": f"SELECT doc_id, {_clean('text')} AS clean FROM documents",
     "q_tokenize": f"""
@@ -307,6 +317,11 @@ SELECT unified_id, 2 * count(*) AS "rows" FROM unified GROUP BY unified_id""",
 WITH {_RAW}
 SELECT id, title, authors, 'en' AS language FROM raw_papers
 UNION ALL SELECT doc_id, text, NULL, lang FROM documents""",
+    "q_stored_language": f"""
+WITH {_RAW}
+SELECT id, title, CASE id % 3 WHEN 0 THEN 'en' WHEN 1 THEN 'he' END AS language FROM raw_papers""",
+    "q_window_refresh": f"WITH {_unified()} SELECT * FROM unified",
+    "q_trending_of_days": f"WITH {_unified()} {_TOP_TRENDING}",
     "q_trending_topics": f"WITH {_unified()} {_TOP_TRENDING}",
     "q_trending_by_sentiment": f"""
 WITH {_unified(_VARIED)}, top AS ({_TOP_TRENDING})
@@ -383,6 +398,9 @@ SELECT CAST(i AS INTEGER) AS topic, 10 AS distinct_terms, 10 AS known_terms, tru
        true AS shares
 FROM range(5) t(i)""",
     "q_digest": f"WITH {_INSIGHTS} SELECT {_SERVED} FROM stored WHERE {_TODAY} {_BEST} LIMIT 10",
+    "q_digest_by_day": f"""
+WITH {_INSIGHTS}, daily AS (SELECT * REPLACE (date_trunc('day', generated_at) AS generated_at) FROM stored)
+SELECT {_SERVED} FROM daily WHERE {_TODAY} {_BEST} LIMIT 10""",
     "q_latest": f"""
 WITH {_INSIGHTS} SELECT {_SERVED} FROM stored WHERE {_SINCE_YESTERDAY} {_BEST} LIMIT 5""",
     "q_trending_served": f"""
@@ -420,15 +438,12 @@ SELECT 'briefing',
          '• *' || title || '*: ' || description || chr(10) || chr(10), '' {_BEST})
        || {_text(BRIEFING_CLOSING)}
 FROM day""",
-    "q_story_items": f"""
-SELECT doc_id AS story_id, {_guess("text")} AS subreddit, text AS title,
-       CASE WHEN doc_id % 4 = 1 THEN 'anonymous' ELSE source END AS author,
-       CASE WHEN doc_id % 5 = 2 THEN '{STORY_LINK_PREFIX}' || doc_id
-            ELSE 'http://example.com/story/' || doc_id END AS url,
-       CAST(CASE WHEN doc_id % 6 = 3 THEN 0 ELSE n_chars END AS INTEGER) AS score,
-       {_clock('''CASE WHEN doc_id % 7 = 4 THEN TIMESTAMP '1970-01-01'
-         ELSE TIMESTAMP '2024-01-01' + to_minutes(doc_id) END''')} AS created_utc
-FROM documents WHERE doc_id % 60 < 50 AND doc_id % 10 <> 0""",
+    "q_story_items": _STORIES,
+    "q_repeated_windows": f"""
+WITH stories AS ({_STORIES})
+SELECT url, subreddit, author, score, md5(title) AS title_md5, created_utc, count(*) AS rows, count(*) AS ids,
+       true AS beyond_reserved
+FROM stories GROUP BY ALL""",
     "q_news_feed_items": f"""
 WITH {_LINES}
 SELECT 'http://example.com/feed/' || doc_id AS feed_url, CAST(i AS INTEGER) AS position,

@@ -15,10 +15,13 @@ from contentloom.operators.quality import duplicate_keys, reason_counts, with_re
 from contentloom.operators.transform import transform_news, transform_posts, transform_scholarly
 from contentloom.operators.unify import unify
 from contentloom.plans import driver_tables as given
+from contentloom.plans import jobs, refresh
 from contentloom.plans.driver_tables import AS_OF, FETCHED_AT
-from contentloom.schemas import ensure_column
-from contentloom.session import pin_session
+from contentloom.schemas import conform, ensure_column
+from contentloom.session import pin_session, scratch_folder
 from contentloom.sources import feeds, pages, stories
+from contentloom.sources.ledger import Ledger
+from contentloom.sources.storage import FolderStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -267,6 +270,107 @@ def _language_default(spark, folder):
     )
 
 
+# --- stored tables ---------------------------------------------------------------------------
+
+
+def _scratch(spark: SparkSession) -> FolderStore:
+    return FolderStore(spark, scratch_folder(spark))
+
+
+#: The two windows into which rows of the stored tables are dealt.
+WINDOWS = (jobs.Batch("2024-01-29", "2024-01-30"), jobs.Batch("2024-01-30", "2024-01-31"))
+
+
+def _window_of(number: Column) -> Column:
+    """A time in one of the windows, by turns."""
+    return F.when(number % 3 == 0, F.lit("2024-01-30 06:00:00")).otherwise(F.lit("2024-01-29 06:00:00")).cast(
+        "timestamp"
+    )
+
+
+@query("q_repeated_windows", "K5, K9, K10, A4, S9, B7")
+def _repeated_windows(spark, folder):
+    """Stories of two windows, the first taken twice, after a run that died with its ids reserved."""
+    store = _scratch(spark)
+    payloads = given.story_payloads(spark, folder).withColumn("fetched_at", _window_of(F.col("story_id")))
+    store.append("story_payloads", conform(payloads, "story_payloads"))
+    store.create_if_absent("reddit_posts")
+    Ledger(store, "reddit_posts").reserve(1000, WINDOWS[0].name("extract_stories"))
+    for window in (WINDOWS[0], WINDOWS[0], WINDOWS[1]):
+        jobs.run("extract_stories", store, batch=window)
+    columns = ("url", "subreddit", "author", "score", F.md5("title").alias("title_md5"))
+    return (
+        store.read("reddit_posts")
+        .groupBy(*columns, _clock("created_utc"))
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count_distinct("id").alias("ids"),
+            (F.min("id") > 1000).alias("beyond_reserved"),
+        )
+    )
+
+
+@query("q_window_refresh", "B1 to B4, K1, U1, P7 by windows")
+def _window_refresh(spark, folder):
+    """The unified table after a full refresh and two by windows, one of them late."""
+    store = _scratch(spark)
+    raw = {
+        "news_articles": given.raw_news(spark, folder),
+        "reddit_posts": given.raw_posts(spark, folder),
+        "scholarly_articles": given.raw_scholarly(spark, folder),
+    }
+    verbs = (*raw, "merge_all")
+    late = F.col("id") % 5 == 1
+    steps = (
+        (jobs.EVERYTHING, lambda at: (at < WINDOWS[0].until) & ~late),
+        (WINDOWS[1], lambda at: (at >= WINDOWS[0].until) & ~late),
+        (WINDOWS[0], lambda at: (at < WINDOWS[0].until) & late),
+        (WINDOWS[1], lambda at: (at >= WINDOWS[0].until) & late),
+    )
+    for batch, taken in steps:
+        for table, rows in raw.items():
+            dated = rows.withColumn("extracted_date", _window_of(F.col("id")))
+            store.append(table, conform(dated.filter(taken(F.col("extracted_date"))), table))
+        for verb in verbs:
+            jobs.run(verb, store, batch=batch)
+    return store.read(refresh.UNIFIED).drop("processed_timestamp")
+
+
+@query("q_trending_of_days", "A1, F4, X8, T1 from stored counts")
+def _trending_of_days(spark, folder):
+    """Trending topics from counts of each day, stored in three parts; the content is not read again."""
+    store = _scratch(spark)
+    unified = _unified(spark, folder)
+    for part in range(3):
+        own = unified.filter(F.pmod("id", F.lit(3)) == part)
+        store.append(refresh.DAYS, ranking.daily_categories(own))
+    return ranking.trending_topics_of_days(store.read(refresh.DAYS), AS_OF)
+
+
+@query("q_digest_by_day", "Q1, F8, T4, K3, S14 from insights kept by day")
+def _digest_by_day(spark, folder):
+    """The day's best of a stored table whose last runs were repeated with other scores before."""
+    store = _scratch(spark)
+    daily = given.insight_table(spark, folder).withColumn("generated_at", F.date_trunc("day", "generated_at"))
+    rows = conform(daily, "content_insights").hint("rebalance", F.col("generated_at"))
+    store.create_if_absent("content_insights")
+    wrong = rows.filter(F.col("generated_at") >= F.lit("2024-01-28").cast("timestamp"))
+    store.replace_parts("content_insights", wrong.withColumn("score", F.col("score") + 1000))
+    store.replace_parts("content_insights", rows)
+    return _served(serving.digest(store.read_laid_out("content_insights"), AS_OF))
+
+
+@query("q_stored_language", "K7, K8 in stored files")
+def _stored_language(spark, folder):
+    """Papers in files from before the language column, and from after it."""
+    store = _scratch(spark)
+    papers = given.raw_scholarly(spark, folder).withColumn("id", F.col("id").cast("bigint"))
+    store.append("scholarly_articles", papers.filter("id % 3 = 0").drop("language"))
+    named = papers.filter("id % 3 <> 0").withColumn("language", F.when(F.col("id") % 3 == 1, F.lit("he")))
+    store.append("scholarly_articles", conform(named, "scholarly_articles"))
+    return store.read("scholarly_articles").select("id", "title", "language")
+
+
 # --- rankings, insights, topics --------------------------------------------------------------
 
 

@@ -53,6 +53,10 @@ _DDL = {
     published_date date, sentiment_score double, content_type string, unified_id string,
     processed_timestamp timestamp
     """,
+    "category_days": """
+    category string, rows bigint, scored bigint, sentiment_sum double, content_type string,
+    published_date date
+    """,
     "id_ranges": """
     table_name string, first_id bigint, rows bigint, batch_id string, state string, token string,
     recorded_at timestamp

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
@@ -20,3 +25,16 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
     return folder
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder for tables that show a job's result: below the shared one, or, for a session on this
+    machine alone that names none, a folder of its own that goes when the process ends."""
+    try:
+        base = shared_folder(spark)
+    except RuntimeError:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise
+        base = tempfile.mkdtemp(prefix="contentloom-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
+    return f"{base.rstrip('/')}/tables-{uuid.uuid4().hex}"

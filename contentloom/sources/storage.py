@@ -62,6 +62,37 @@ class TableStore(ABC):
         """
         raise NotImplementedError(f"{type(self).__name__} has no partitions")
 
+    def _swap_folder(self) -> str:
+        return self.staging_folder() or shared_folder(self.spark)
+
+    def swap_parts(self, table: str, df: DataFrame, partition_by: tuple[str, ...]) -> None:
+        """``replace_parts`` by rows that are written beside the table first, so ``df`` may read it.
+
+        A note tells where they are until all partitions are in place. If a run dies before, the table
+        lacks no row that ``finish_swap`` does not bring back.
+        """
+        self.finish_swap(table)
+        folder = f"{self._swap_folder()}/swap-{table}-{uuid.uuid4().hex}"
+        files, note = SharedFiles(self.spark), f"{self._swap_folder()}/swap-{table}"
+        try:
+            df.write.parquet(folder)
+        except BaseException:
+            files.delete(folder)
+            raise
+        files.replace(note, f"{folder}\n{' '.join(partition_by)}")
+        self.finish_swap(table)
+
+    def finish_swap(self, table: str) -> None:
+        """Put those partitions in place that a note is left of; without one there is nothing to do."""
+        files, note = SharedFiles(self.spark), f"{self._swap_folder()}/swap-{table}"
+        found = files.read(note)
+        if found is None:
+            return
+        folder, names = found.split("\n")
+        self.replace_parts(table, self.spark.read.parquet(folder), tuple(names.split()))
+        files.delete(note)
+        files.delete(folder)
+
     def create_if_absent(self, table: str, columns: T.StructType | None = None) -> None:
         """An empty table of the given columns, by default those the package knows."""
         if not self.exists(table):
@@ -126,7 +157,10 @@ class FolderStore(TableStore):
         return SharedFiles(self.spark).exists(self.path(table))
 
     def read(self, table: str) -> DataFrame:
-        return self.read_laid_out(table).drop(*_layout(table))
+        found = self.read_laid_out(table)
+        if self.merge_schema or not is_known(table):
+            return found.drop(*_layout(table))
+        return found.select(*schema(table).fieldNames())
 
     def read_laid_out(self, table: str) -> DataFrame:
         reader = self.spark.read.format(self.file_format)
@@ -318,6 +352,10 @@ class JdbcStore(TableStore):
         """File layout does not apply, so ``partition_by`` is not passed on."""
         super().overwrite(table, df)
 
+    def replace_parts(self, table: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
+        """A database has no partitions to replace: rows are appended, a repeated run's as well."""
+        self.append(table, df)
+
     def read(self, table: str) -> DataFrame:
         return self.spark.read.format("jdbc").options(**self.read_options(table)).load()
 
