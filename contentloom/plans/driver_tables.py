@@ -177,8 +177,15 @@ def _feed_item(line: Column, i: Column) -> Column:
 
 
 def feed_payloads(spark: SparkSession, folder: str) -> DataFrame:
-    """One feed per document, one item per line; some are cut short, some were not fetched."""
-    items = F.array_join(F.transform(_lines(), _feed_item), "")
+    """One feed per document, one item per line; some are cut short, some were not fetched.
+
+    Some feeds begin with an empty item, in either form, some have comments between their items.
+    """
+    kind = F.col("doc_id") % 6
+    between = F.when(kind == 3, "<!-- <item><author>nobody</author></item> -->").otherwise("")
+    empty = F.when(kind == 1, "<item/>").when(kind == 2, '<item note="a > b" />').otherwise("")
+    items = F.transform(_lines(), lambda line, i: F.concat(_feed_item(line, i), between))
+    items = F.concat(empty, F.array_join(items, ""))
     body = F.concat(
         F.lit(
             '<rss version="2.0" xmlns:dc="urn:dc" xmlns:content="urn:content"><channel><title>Feed '

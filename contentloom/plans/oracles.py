@@ -179,7 +179,8 @@ lines AS (
          generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i
   FROM documents)
 """
-_READ = "doc_id % 13 <> 4 AND i < 10"
+_EMPTY_FIRST = "CASE WHEN doc_id % 6 IN (1, 2) THEN 1 ELSE 0 END"
+_READ = f"doc_id % 13 <> 4 AND i + {_EMPTY_FIRST} < 10"
 _FETCHED_AND_READ = f"doc_id % 17 <> 2 AND {_READ}"
 _TRIMMED = r"regexp_replace(line, '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g')"
 _MORNING = "make_timestamp(2024, 1, i % 28 + 1, 10, 0, 0.0)"
@@ -446,7 +447,7 @@ SELECT url, subreddit, author, score, md5(title) AS title_md5, created_utc, coun
 FROM stories GROUP BY ALL""",
     "q_news_feed_items": f"""
 WITH {_LINES}
-SELECT 'http://example.com/feed/' || doc_id AS feed_url, CAST(i AS INTEGER) AS position,
+SELECT 'http://example.com/feed/' || doc_id AS feed_url, CAST(i + {_EMPTY_FIRST} AS INTEGER) AS position,
        'Feed ' || source AS source, 'feeds' AS category, {_TRIMMED} AS title,
        CASE i % 4 WHEN 1 THEN '<p class=''x''>'
                     || replace(replace(replace(line, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')
@@ -455,10 +456,14 @@ SELECT 'http://example.com/feed/' || doc_id AS feed_url, CAST(i AS INTEGER) AS p
        CASE WHEN (doc_id + i) % 11 = 5 AND i % 2 = 1 THEN 'No URL'
             ELSE 'http://example.com/doc/' || doc_id || '/' || i END AS url,
        {_feed_time(_FETCHED, _MORNING)} AS published_date
-FROM lines WHERE {_READ}""",
+FROM lines WHERE {_READ}
+UNION ALL
+SELECT 'http://example.com/feed/' || doc_id, 0, 'Feed ' || source, 'feeds', 'No title', 'No content', 'No URL',
+       {_clock(_FETCHED)}
+FROM documents WHERE doc_id % 13 <> 4 AND doc_id % 6 IN (1, 2)""",
     "q_feed_items": f"""
 WITH {_LINES}
-SELECT 'http://example.com/feed/' || doc_id AS feed_url, CAST(i AS INTEGER) AS position, source,
+SELECT 'http://example.com/feed/' || doc_id AS feed_url, CAST(i + {_EMPTY_FIRST} AS INTEGER) AS position, source,
        'feeds' AS category, {_strip("line")} AS title,
        CASE i % 5 WHEN 2 THEN 'Unknown author - ' || source WHEN 0 THEN 'A. Writer'
                   WHEN 3 THEN 'A. Writer' ELSE 'C, D' END AS authors,

@@ -15,10 +15,14 @@ from contentloom.functions.text import looks_like_markup, strip, truncate
 from contentloom.operators.quality import REASON, rejected_rows, with_reason
 from contentloom.sources.markup import page_text
 
-_ITEM = """struct<
-    title: string, link: string, author: string, `dc:creator`: string, description: string,
-    `content:encoded`: string, summary: string, pubDate: string, `dc:date`: string,
-    published: string, guid: struct<_VALUE: string, _isPermaLink: string>>"""
+#: Tags of which each may stand for a field; what an item has of them is read in full.
+_AUTHORS = ("author", "dc:creator")
+_ABSTRACTS = ("description", "content:encoded", "summary")
+_PUBLISHED = ("pubDate", "dc:date", "published")
+_ITEM = f"""struct<
+    title: string, link: string,
+    {", ".join(f"`{name}`: array<string>" for name in (*_AUTHORS, *_ABSTRACTS, *_PUBLISHED))},
+    guid: struct<_VALUE: string, _isPermaLink: string>>"""
 _ENTRY = """struct<
     title: string, link: array<struct<_href: string, _rel: string>>, summary: string,
     content: string, published: string>"""
@@ -99,13 +103,17 @@ def failed_payloads(payloads: DataFrame, fetched_only: bool) -> DataFrame:
 def _one_per_row(feeds: DataFrame, items: Column) -> DataFrame:
     """Items of every feed, one per row, with their position."""
     return feeds.select(
-        *[c for c in feeds.columns if c not in ("feed", "body")],
+        *[c for c in feeds.columns if c not in ("feed", "body", "structure")],
         F.col("feed.channel.title").alias("channel_title"),
         F.col("feed.title").alias("feed_title"),
         F.posexplode(items).alias("position", "item"),
     )
 
 
+def _last(values: Column) -> Column:
+    return F.try_element_at(values, F.lit(-1))
+
+
 def _news_items(limit: int) -> Column:
     """The first RSS, RDF or Atom items of a feed in one shape.
 
@@ -118,10 +126,8 @@ def _news_items(limit: int) -> Column:
         return F.struct(
             item["title"].alias("title"),
             F.coalesce(item["link"], F.when(is_link, guid["_VALUE"])).alias("link"),
-            F.coalesce(item["description"], item["content:encoded"], item["summary"]).alias(
-                "content"
-            ),
-            F.coalesce(item["pubDate"], item["published"]).alias("published"),
+            F.coalesce(*[_last(item[name]) for name in _ABSTRACTS]).alias("content"),
+            F.coalesce(_last(item["pubDate"]), _last(item["published"])).alias("published"),
         )
 
     def from_entry(entry: Column) -> Column:
@@ -166,51 +172,70 @@ def news_articles(payloads: DataFrame, limit: int = catalog.ITEMS_PER_SOURCE) ->
     )
 
 
-def _raw_items(body: Column) -> Column:
-    """The source text of every item, without what only looks like a tag."""
-    bare = F.regexp_replace(body, r"(?s)<!\[CDATA\[.*?\]\]>|<!--.*?-->", "")
-    return F.regexp_extract_all(bare, F.lit(r"(?s)<item[\s>].*?</item\s*>"), F.lit(0))
+#: A document of which only the structure is wanted: each item is its own source, without text that
+#: could look like a tag.
+_ORDER = "channel struct<item: array<string>>, item array<string>, _malformed string"
+_TAG_LIKE = r"(?s)<!\[CDATA\[.*?\]\]>|&(?:lt|#0*60|#[xX]0*3[cC]);"
+
+
+def _several(*names: str) -> Column:
+    """Whether two of the tags or more stand in a feed, so that their order may matter."""
+    return sum(F.col("body").contains(f"<{name}").cast("int") for name in names) > 1
+
+
+def _structure() -> Column:
+    """The items of a feed as source, by the same parser and so in the same places; NULL where no two
+    tags stand for one field."""
+    matters = _several(*_AUTHORS) | _several(*_ABSTRACTS) | _several(*_PUBLISHED)
+    return F.when(matters, F.from_xml(F.regexp_replace("body", _TAG_LIKE, ""), _ORDER, _OPTIONS))
 
 
 def _first_tag(*names: str) -> Column:
     """The text of whichever of the tags comes first in the item, NULL if it has none."""
-    pattern = "<(" + "|".join(names) + r")[\s/>]"
-    found = F.regexp_extract("raw_item", pattern, 1)
-    chosen = F.lit(None).cast("string")
-    for name in names:
-        own = F.col("item")[name]
-        chosen = F.when(found == name, F.coalesce(own, F.lit(""))).otherwise(chosen)
+    found = F.regexp_extract("source", "<(" + "|".join(names) + r")[\s/>]", 1)
+    texts = {name: F.get(F.col("item")[name], F.lit(0)) for name in names}
+    chosen = F.coalesce(*texts.values())
+    for name, text in texts.items():
+        chosen = F.when(found == name, F.coalesce(text, F.lit(""))).otherwise(chosen)
     return strip(chosen)
 
 
+def _items_with_source(limit: int) -> Column:
+    """The first items of a feed, each with its own source."""
+    items = F.slice(F.coalesce("feed.channel.item", "feed.item"), 1, limit)
+    sources = F.slice(F.coalesce("structure.channel.item", "structure.item"), 1, limit)
+    return F.transform(items, lambda item, i: F.struct(item.alias("item"), F.get(sources, i).alias("source")))
+
+
 def scholarly_articles(payloads: DataFrame, limit: int = catalog.ITEMS_PER_SOURCE) -> DataFrame:
     """Raw scholarly rows of RSS and RDF feeds; items without title or link are skipped.
 
-    Of tags that stand for the same field the first in the item counts.
+    Of tags that stand for the same field the first in the item counts, and of equal ones the first.
     """
     feeds = parse_feeds(payloads.filter("status = 200")).filter(well_formed())
     # Exploded for the same reason as the parsed document.
-    feeds = feeds.select("*", F.explode(F.array(_raw_items(F.col("body")))).alias("raw_items"))
-    items = F.slice(F.coalesce("feed.channel.item", "feed.item"), 1, limit)
+    feeds = feeds.select("*", F.explode(F.array(_structure())).alias("structure"))
 
     def first_of(*names: str) -> Column:
         return strip(F.coalesce(*[F.col("item")[name] for name in names]))
 
     abstract = F.coalesce(
-        _first_tag("description", "content:encoded", "summary"),
+        _first_tag(*_ABSTRACTS),
         F.concat(F.lit(catalog.NO_ABSTRACT_PREFIX), F.col("source_name")),
     )
-    published = _first_tag("pubDate", "dc:date", "published")
+    published = _first_tag(*_PUBLISHED)
     return (
-        _one_per_row(feeds, items)
-        .withColumn("raw_item", F.get("raw_items", F.col("position")))
+        _one_per_row(feeds, _items_with_source(limit))
+        .select("*", F.col("item.source").alias("source"), F.col("item.item").alias("entry"))
+        .drop("item")
+        .withColumnRenamed("entry", "item")
         .filter((first_of("title") != "") & (first_of("link") != ""))
         .select(
             F.col("source_name").alias("source"),
             "category",
             first_of("title").alias("title"),
             F.coalesce(
-                _first_tag("author", "dc:creator"),
+                _first_tag(*_AUTHORS),
                 F.concat(F.lit(catalog.UNKNOWN_AUTHOR_PREFIX), F.col("source_name")),
             ).alias("authors"),
             abstract.alias("abstract"),

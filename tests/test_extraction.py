@@ -209,7 +209,9 @@ def test_failed_feeds(spark):
 
 def test_feed_is_parsed_once(spark):
     df = feeds.scholarly_articles(feed(spark, rss(item(title="t", link="l"))))
-    assert df._jdf.queryExecution().executedPlan().toString().count("from_xml(") == 1
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    # Once for the values and, only where several tags stand for one field, once for their order.
+    assert plan.count("from_xml(") == 2 and plan.count("THEN from_xml(") == 1
 
 
 def test_plain_text_does_not_go_to_python(spark):
@@ -391,3 +393,31 @@ def test_the_word_null_is_text(spark):
     body = rss(item(title="null", link="l", description="null"))
     row = feeds.scholarly_articles(feed(spark, body)).first()
     assert (row.title, row.abstract) == ("null", "null")
+
+
+def _authors(spark, body):
+    rows = feeds.scholarly_articles(feed(spark, body)).orderBy("position").collect()
+    return [(r.title, r.authors, r.abstract) for r in rows]
+
+
+@pytest.mark.parametrize(
+    "between",
+    ["<item/>", '<item a="1>2" />', "<item></item>", "<!-- <item><dc:creator>no</dc:creator></item> -->", "<image><item/></image>"],
+)
+def test_first_tag_of_an_item_after_odd_ones(spark, between):
+    one = "<item><title>One</title><link>l</link><author>A1</author><dc:creator>C1</dc:creator><summary>s</summary></item>"
+    two = (
+        "<item><title>Two &lt;author&gt;</title><link>l</link><!-- <author>no</author> -->"
+        "<description><![CDATA[<author>x</author>]]></description><dc:creator>C2</dc:creator><dc:creator>C3</dc:creator>"
+        "<author>A2</author><summary>t</summary></item>"
+    )
+    none = "<item><title>None</title><link>l</link><summary>z</summary><description>y</description></item>"
+    body = f'<rss xmlns:dc="d"><channel>{between}{one}{between}{two}{between}{none}</channel></rss>'
+    found = _authors(spark, body)
+    assert [a for _, a, _ in found][:2] == ["A1", "C2"] and found[2][1].startswith("Unknown author")
+    assert [x[2] for x in found][0] == "s" and found[2][2] == "z"
+
+
+def test_order_of_tags_is_read_where_it_matters(spark):
+    only = _authors(spark, "<rss><channel><item><title>T</title><link>l</link><author/><description>d</description></item></channel></rss>")
+    assert only == [("T", "", "d")]
