@@ -205,18 +205,28 @@ def measures(docs: DataFrame, settings: RuleSettings) -> DataFrame:
     )
 
 
-def references(measured: DataFrame, settings: RuleSettings) -> DataFrame:
-    """One row per language: both histograms summed over all documents that pass the base rules.
-
-    A NULL language stands for all languages together.
-    """
-    sums = [
+def _sums(settings: RuleSettings) -> list[Column]:
+    """Both histograms of many documents; NULL in place of counts where there are none."""
+    return [
         F.array(*[F.sum(F.get(column, F.lit(i))) for i in range(size)]).alias(f"all_{column}")
         for column, size in (("classes", 8), ("common", settings.bins))
     ]
-    return measured.where(~F.col("base_failed")).rollup("lang").agg(F.grouping("lang").alias("total"), *sums).where(
-        "lang IS NOT NULL OR total = 1"
-    )
+
+
+def references(measured: DataFrame, settings: RuleSettings) -> DataFrame:
+    """One row per language: both histograms summed over all documents that pass the base rules."""
+    passed = measured.where(~F.col("base_failed") & F.col("lang").isNotNull())
+    return passed.groupBy("lang").agg(*_sums(settings))
+
+
+def overall_classes(measured: DataFrame, settings: RuleSettings) -> Column:
+    """The class histogram of all documents that pass the base rules, eight counts as a constant; NULL
+    if none passes."""
+    classes = _sums(settings)[0]
+    found = measured.where(~F.col("base_failed")).agg(classes).first()[0]
+    if found[0] is None:
+        return F.lit(None).cast("array<bigint>")
+    return F.array(*map(F.lit, found)).cast("array<bigint>")
 
 
 def distance(own: Column, reference: Column) -> Column:
@@ -255,16 +265,13 @@ def quality_rules(docs: DataFrame, settings: RuleSettings = RuleSettings()) -> D
     table, or in no document that passes the base rules, the classes are compared with those of
     all documents; words are only compared where the language has a list.
 
-    A NULL or empty text has no words and so fails. Rows with NULL or repeated ids are rows like
+    Where no document passes the base rules there is nothing to compare with, and all are rows with
+    distances of 0. A NULL or empty text has no words and so fails. Rows with NULL or repeated ids are rows like
     others; other columns are ignored. An empty table gives no rows.
     """
     s = settings
     measured = cut_lineage(measures(docs, s))
-    refs = references(measured, s)
-    overall = refs.where("total = 1").select(F.col("all_classes").alias("any_classes"))
-    by_lang = refs.where("total = 0").drop("total")
-    # ``overall`` has exactly one row.
-    joined = measured.join(by_lang, "lang", "left").join(F.broadcast(overall))
+    joined = measured.join(references(measured, s), "lang", "left")
     distances = joined.select(
         "doc_id",
         "n_words",
@@ -273,7 +280,9 @@ def quality_rules(docs: DataFrame, settings: RuleSettings = RuleSettings()) -> D
         "n_dup_lines",
         "n_repeat_words",
         "base_failed",
-        distance(F.col("classes"), F.coalesce("all_classes", "any_classes")).alias("class_distance"),
+        distance(F.col("classes"), F.coalesce("all_classes", overall_classes(measured, s))).alias(
+            "class_distance"
+        ),
         distance(F.col("common"), F.col("all_common")).alias("word_distance"),
     )
     limit = s.most_words + s.spread / F.sqrt(F.greatest("n_words", F.lit(1)))

@@ -256,3 +256,19 @@ def test_pipeline_of_no_documents(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SMALL)
         assert docs.count() == 0
+
+
+@pytest.mark.parametrize("texts", [["short"], ["too few words", "", None], ["same same " * 40, "x"]])
+def test_rules_keep_rows_where_no_document_passes(spark, texts):
+    rows = [(i, t, "en" if i % 2 else None) for i, t in enumerate(texts)]
+    found = quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert sorted(r.doc_id for r in found) == list(range(len(texts)))
+    assert all(r.base_failed and not r.kept and r.class_distance == r.word_distance == 0 for r in found)
+
+
+def test_rules_compare_with_all_documents_where_a_language_has_none(spark):
+    prose = " ".join(f"word{i} and so on" for i in range(60))
+    signs = " ".join("#%& 12 !?" for _ in range(130)) + " ".join(str(i) for i in range(50))
+    rows = [(i, prose + f" end{i}", "en") for i in range(6)] + [(9, signs, "xx"), (10, prose, None)]
+    found = {r.doc_id: r for r in quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert len(found) == 8 and found[0].kept and found[10].class_distance < 0.05
