@@ -125,8 +125,9 @@ def build_insights(
     generated_at=None,
     settings: TopicSettings = TopicSettings(),
     trending: DataFrame | None = None,
+    folder: str | None = None,
 ) -> DataFrame:
-    """All insight rows of one run, to be appended with a single write."""
+    """All insight rows of one run, to be stored with a single write. Words are staged in ``folder``."""
     return ranked_insights(unified, as_of, generated_at, trending).unionByName(
-        topic_insights(discover_topics(unified, settings), generated_at)
+        topic_insights(discover_topics(unified, settings, folder), generated_at)
     )

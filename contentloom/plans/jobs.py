@@ -134,7 +134,7 @@ def insights(
     else:
         ranked = trending_topics(unified, as_of)
     with staged(ranked, store.staging_folder()) as trending:
-        rows = build_insights(unified, as_of, generated_at, settings, trending)
+        rows = build_insights(unified, as_of, generated_at, settings, trending, store.staging_folder())
         counted = Observation()
         store.replace_parts(
             "content_insights",

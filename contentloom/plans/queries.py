@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from contentloom.functions import dates, rules
 from contentloom.functions.text import clean_text, strip, tokenize, truncate
 from contentloom.operators import insights, ranking, serving, topics
+from contentloom.operators.frequent import frequent_vocabulary
 from contentloom.operators.quality import duplicate_keys, reason_counts, with_reason
 from contentloom.operators.transform import transform_news, transform_posts, transform_scholarly
 from contentloom.operators.unify import unify
@@ -21,7 +22,7 @@ from contentloom.schemas import conform, ensure_column
 from contentloom.session import pin_session, scratch_folder
 from contentloom.sources import feeds, pages, stories
 from contentloom.sources.ledger import Ledger
-from contentloom.sources.storage import FolderStore
+from contentloom.sources.storage import FolderStore, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -474,26 +475,24 @@ def _discovered_topics(spark, folder):
 def _category_topics(spark: SparkSession, folder: str) -> DataFrame:
     """A topic per category: its ten most frequent words with their shares of its words.
 
-    Topics are numbered by category; the indices point into the vocabulary of all words found.
+    Topics are numbered by category; ten words of a few categories, kept as a table of their own.
     """
-    unified = _unified(spark, folder)
-    categories = unified.select("unified_id", "category")
-    words = topics.corpus_words(unified, CLEANED).join(categories, "unified_id")
-    counted = words.select("category", F.explode("words").alias("term")).groupBy("category", "term").count()
-    own = Window.partitionBy("category")
-    ranked = counted.withColumns(
-        {
-            "rank": F.row_number().over(own.orderBy(F.desc("count"), "term")),
-            "share": F.col("count") / F.sum("count").over(own),
-        }
-    ).filter("rank <= 10")
-    # At most ten words per category are left.
-    return (
-        ranked.groupBy("category")
-        .agg(F.sort_array(F.collect_list(F.struct("rank", "term", "share"))).alias("top"))
-        .withColumn("topic", F.rank().over(Window.orderBy("category")) - 1)
-        .select("topic", F.col("top.term").alias("terms"), F.col("top.share").alias("weights"))
-    )
+    words = topics.corpus_words(_unified(spark, folder), CLEANED, ("category",))
+    terms = words.select("category", F.explode("words").alias("term"))
+    counted = terms.groupBy("category", "term").count()
+    # Tasks cut to ten words before rows meet by category.
+    rank = F.row_number().over(Window.partitionBy("category").orderBy(F.desc("count"), "term"))
+    ranked = counted.withColumn("rank", rank).filter("rank <= 10")
+    totals = terms.groupBy(F.col("category").alias("of")).agg(F.count(F.lit(1)).alias("total"))
+    best = ranked.join(totals, F.col("category").eqNullSafe(F.col("of")))
+    listed = (
+        best.groupBy("category")
+        .agg(F.sort_array(F.collect_list(F.struct("rank", "term", F.col("count") / F.col("total")))).alias("top"))
+        .orderBy("category")
+        .collect()
+    )
+    rows = [(i, [x[1] for x in row.top], [x[2] for x in row.top]) for i, row in enumerate(listed)]
+    return spark.createDataFrame(rows, "topic int, terms array<string>, weights array<double>")
 
 
 @query("q_topic_insights", "J1, A2, W2, T9, X26, I3")
@@ -520,12 +519,53 @@ def _topic_insights(spark, folder):
     )
 
 
+@query("q_frequent_words", "A3 from summaries")
+def _frequent_words(spark, folder):
+    """The vocabulary by summaries of the tasks and an exact recount."""
+    with staged(topics.corpus_words(_unified(spark, folder), CLEANED), scratch_folder(spark)) as corpus:
+        found = frequent_vocabulary(corpus, CLEANED)
+        # A thousand rows at most.
+        return spark.createDataFrame(found.collect(), found.schema)
+
+
+@query("q_topic_coherence", "M5, A3: how far the words of a topic occur together")
+def _topic_coherence(spark, folder):
+    """Coherence of the topics by category, over the documents of all categories."""
+    found = _category_topics(spark, folder)
+    corpus = topics.corpus_words(_unified(spark, folder), CLEANED)
+    return topics.coherence(corpus, found).withColumn("coherence", F.round("coherence", 6))
+
+
+@query("q_topic_fit", "M4, M5: held-out bound and coherence of fitted models")
+def _topic_fit(spark, folder):
+    """For two seeds: does the model foresee held-out words better than a single topic, and are there
+    values for all topics? Every fifth document is held out."""
+    words = topics.corpus_words(_unified(spark, folder), CLEANED).select("unified_id", "words")
+    with staged(words, scratch_folder(spark)) as corpus:
+        held_out = F.pmod(F.crc32(F.col("unified_id").cast("binary")), F.lit(5)) == 0
+        held, learned = corpus.filter(held_out), corpus.filter(~held_out)
+        known = frequent_vocabulary(learned, CLEANED).collect()
+        terms = [row.term for row in known]
+        plain = topics.one_topic_bound(spark.createDataFrame(known), held)
+        rows = []
+        for seed in (42, 7):
+            settings = topics.TopicSettings(partitions=8, seed=seed, sampling=0.3)
+            model = topics.fitted_model(learned, terms, settings)
+            bound = model.logPerplexity(topics.count_vectors(held, terms).select("features"))
+            found = topics.name_terms(model.describeTopics(10), terms)
+            values = [r.coherence for r in topics.coherence(corpus, found).collect()]
+            rows.append((seed, bound < plain, len(values), all(v is not None and v <= 0.7 for v in values)))
+    return spark.createDataFrame(rows, "seed int, better_than_one_topic boolean, topics int, coherent boolean")
+
+
 @query("q_topic_properties", "M4, M5, T8")
 def _topic_properties(spark, folder):
     """What holds for every fitted model, whatever its topics are."""
-    unified = _unified(spark, folder)
-    found = topics.discover_topics(unified, topics.TopicSettings(partitions=8, cleaned=True))
-    known = topics.vocabulary(topics.corpus_words(unified, CLEANED))
+    words = topics.corpus_words(_unified(spark, folder), CLEANED).select("unified_id", "words")
+    with staged(words, scratch_folder(spark)) as corpus:
+        found = topics.topics_of_words(corpus, topics.TopicSettings(partitions=8, cleaned=True))
+        vocabulary = frequent_vocabulary(corpus, CLEANED)
+        known = spark.createDataFrame(vocabulary.collect(), vocabulary.schema)
     listed = found.select("topic", F.explode("terms").alias("term")).join(known, "term")
     in_vocabulary = listed.groupBy("topic").agg(F.count_distinct("term").alias("known"))
     falling = F.forall(

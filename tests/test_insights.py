@@ -1,6 +1,8 @@
 """Topics, insights, serving."""
 
 import datetime as dt
+import math
+import random
 from collections import Counter
 
 import pytest
@@ -8,7 +10,7 @@ from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import functions as F
 
 from contentloom.catalog import ENGLISH_STOP_WORDS
-from contentloom.operators import insights, serving, topics
+from contentloom.operators import frequent, insights, serving, topics
 from contentloom.schemas import schema
 
 AS_OF = "2024-01-30"
@@ -186,3 +188,103 @@ def test_list_messages(stored):
     assert serving.briefing_message(nothing, AS_OF).collect()[0].message is None
     briefing = serving.briefing_message(stored, AS_OF, heading="H\n", closing="E").first().message
     assert briefing == "H\n• *a*: da\n\n• *c*: dc\n\nE"
+
+
+# --- frequent words and the quality of topics ---------------------------------------------------
+
+
+def zipf_corpus(spark, documents=300, words=60, rare=4000, parts=5, seed=3):
+    pick = random.Random(seed)
+    rows = []
+    for i in range(documents):
+        own = [f"w{min(int(pick.paretovariate(1.1)), rare)}" for _ in range(words)] + [f"only{i}"] * 3
+        rows.append((f"news_{i}", own))
+    return spark.createDataFrame(rows, "unified_id string, words array<string>").repartition(parts)
+
+
+@pytest.mark.parametrize("counters", [40, 200, 100_000])
+@pytest.mark.parametrize("size", [5, 30, 2000])
+def test_frequent_vocabulary_is_the_vocabulary(spark, counters, size):
+    corpus = zipf_corpus(spark)
+    settings = topics.TopicSettings(vocabulary_size=size)
+    expected = topics.vocabulary(corpus, settings).collect()
+    assert frequent.frequent_vocabulary(corpus, settings, counters).collect() == expected
+
+
+def test_summaries_bound_every_count(spark):
+    corpus = zipf_corpus(spark)
+    true = Counter(w for row in corpus.collect() for w in row.words)
+    rows = frequent.summaries(corpus, 50).collect()
+    kept, error = Counter(), sum(r.error for r in rows)
+    for r in rows:
+        if r.term is not None:
+            kept[r.term] += r.n
+    assert len(rows) <= 5 * 51 and 0 < error <= sum(true.values()) / 51
+    for word, n in true.items():
+        assert kept[word] <= n <= kept[word] + error
+
+
+def test_all_words_are_counted_only_where_summaries_do_not_decide(spark, monkeypatch):
+    corpus = zipf_corpus(spark)
+    asked = []
+    plain = topics.vocabulary
+    monkeypatch.setattr(frequent, "vocabulary", lambda *a: asked.append(1) or plain(*a))
+    few = topics.TopicSettings(vocabulary_size=5)
+    frequent.frequent_vocabulary(corpus, few, 400)
+    assert not asked
+    frequent.frequent_vocabulary(corpus, topics.TopicSettings(vocabulary_size=30), 8)
+    frequent.frequent_vocabulary(corpus, topics.TopicSettings(vocabulary_size=5000), 100_000)
+    assert len(asked) == 2
+    empty = corpus.limit(0)
+    assert frequent.frequent_vocabulary(empty).count() == 0
+
+
+def test_ties_at_the_cut_of_a_frequent_vocabulary(spark):
+    rows = [(f"d{i}", ["b", "a", "c", "d"]) for i in range(10)] + [("x", ["z"] * 50)]
+    corpus = spark.createDataFrame(rows, "unified_id string, words array<string>")
+    for size in (1, 2, 3):
+        settings = topics.TopicSettings(vocabulary_size=size)
+        found = [r.term for r in frequent.frequent_vocabulary(corpus, settings).collect()]
+        assert found == ["a", "b", "c"][:size]
+
+
+def test_coherence_by_plain_counting(spark):
+    corpus = zipf_corpus(spark, documents=80, words=8)
+    rows = [(0, ["w1", "w2", "w3", "nobody"]), (1, ["w4", "w1"]), (2, ["w7"])]
+    found = spark.createDataFrame(rows, "topic int, terms array<string>")
+    docs = [set(row.words) for row in corpus.collect()]
+    values = {r.topic: (r.pairs, r.coherence) for r in topics.coherence(corpus, found).collect()}
+    for topic, terms in rows:
+        pairs = [(a, b) for i, a in enumerate(terms) for b in terms[i + 1 :]]
+        logs = [
+            math.log((sum({a, b} <= d for d in docs) + 1) / max(1, sum(a in d for d in docs))) for a, b in pairs
+        ]
+        assert values[topic][0] == len(pairs)
+        assert values[topic][1] == (pytest.approx(sum(logs) / len(logs)) if logs else None)
+
+
+@pytest.mark.parametrize("seed", [42, 7])
+def test_a_model_foresees_words_better_than_one_topic(spark, seed):
+    pick = random.Random(5)
+    themes = [[f"t{t}x{i}" for i in range(12)] for t in range(3)]
+    rows = []
+    for i in range(240):
+        theme = themes[i % 3]
+        rows.append((f"d{i}", [f"{pick.choice(theme)}" for _ in range(30)]))
+    corpus = spark.createDataFrame(rows, "unified_id string, words array<string>")
+    learned, held = corpus.filter("unified_id < 'd2'"), corpus.filter("unified_id >= 'd2'")
+    settings = topics.TopicSettings(topics=3, seed=seed, partitions=4, sampling=0.5, iterations=30)
+    known = topics.vocabulary(learned, settings).collect()
+    terms = [r.term for r in known]
+    model = topics.fitted_model(learned, terms, settings)
+    plain = topics.one_topic_bound(spark.createDataFrame(known), held)
+    counts = Counter(w for r in held.collect() for w in r.words)
+    total = sum(r.term_count for r in known) + len(known)
+    by_hand = -sum(counts[r.term] * math.log((r.term_count + 1) / total) for r in known)
+    assert plain == pytest.approx(by_hand / sum(counts[t] for t in terms))
+    assert model.logPerplexity(topics.count_vectors(held, terms).select("features")) < plain
+    found = topics.name_terms(model.describeTopics(6), terms)
+    mixed = spark.createDataFrame([(9, [themes[i % 3][i] for i in range(6)])], "topic int, terms array<string>")
+    values = [r.coherence for r in topics.coherence(corpus, found).collect()]
+    (low,) = [r.coherence for r in topics.coherence(corpus, mixed).collect()]
+    assert max(values) > low
