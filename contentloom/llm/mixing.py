@@ -190,13 +190,23 @@ def laid_out(rows: DataFrame) -> DataFrame:
     """``rows`` (source_no, key, doc_id, size, more) with bucket, row and start: the place of each
     document in its source's line, in the order of the key.
 
-    Repeated ids follow each other by size. Buckets are beginnings of the key; their sums give the
-    offsets, so that no task sorts a whole source.
+    Repeated ids follow each other by size. Buckets are beginnings of the key, and shorter beginnings
+    are buckets of those; their sums give the offsets, so that no task sorts a whole source.
     """
     placed = rows.withColumn("bucket", F.substring("key", 1, BUCKET_DIGITS))
     sums = placed.groupBy("source_no", "bucket").agg(F.sum("size").alias("n"))
-    before = Window.partitionBy("source_no").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    first = sums.select("source_no", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    sums = sums.withColumn("outer", F.substring("bucket", 1, BUCKET_DIGITS // 2))
+
+    def before(sizes: DataFrame, of: tuple[str, ...], by: str, name: str) -> DataFrame:
+        above = Window.partitionBy(*of).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+        return sizes.select(*of, by, F.coalesce(F.sum("n").over(above), F.lit(0)).alias(name))
+
+    outer = sums.groupBy("source_no", "outer").agg(F.sum("n").alias("n"))
+    first = (
+        before(sums, ("source_no", "outer"), "bucket", "inside")
+        .join(before(outer, ("source_no",), "outer", "first"), ["source_no", "outer"])
+        .select("source_no", "bucket", (F.col("first") + F.col("inside")).alias("first"))
+    )
     ties = [c for c in ("text",) if c in rows.columns]
     inside = Window.partitionBy("source_no", "bucket").orderBy("key", "doc_id", "size", *ties)
     return (
