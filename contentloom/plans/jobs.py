@@ -51,7 +51,9 @@ class Batch:
     batch_id: str | None = None
 
     def payloads(self, store: TableStore, table: str) -> DataFrame:
-        found = store.read(table)
+        return self.within(store.read(table))
+
+    def within(self, found: DataFrame) -> DataFrame:
         if self.since is not None:
             found = found.filter(F.col("fetched_at") >= F.lit(self.since).cast("timestamp"))
         if self.until is not None:
@@ -280,6 +282,13 @@ def extract_stories(store: TableStore, batch: Batch = EVERYTHING) -> dict[str, i
         )
 
 
+def store_pages(store: TableStore, fetched: DataFrame) -> None:
+    """Keep fetched pages (url, status, html, fetched_at, perhaps profile) with the profile of their
+    address, by which they are laid out."""
+    known = pages.with_profiles(fetched, pages.all_profiles())
+    store.append("page_payloads", conform(known, "page_payloads"))
+
+
 def _extract_pages(
     store: TableStore,
     batch: Batch,
@@ -290,9 +299,14 @@ def _extract_pages(
     rules: Mapping[str, Column] | None = None,
     strays: bool = False,
 ) -> dict[str, int]:
-    """Read the pages of some profiles once; ``strays`` also rejects pages that no profile reads."""
-    everyone = [*pages.forum_profiles(), *pages.news_profiles(), *pages.scholarly_profiles()]
-    payloads = pages.with_profiles(batch.payloads(store, "page_payloads"), everyone)
+    """Read the pages of some profiles once; ``strays`` also rejects pages that no profile reads.
+
+    Pages are kept by profile, so the scan opens the folders of these profiles and of pages that were
+    stored without one, and for strays those of profiles that nobody has.
+    """
+    everyone = pages.all_profiles()
+    stored = batch.within(store.read_laid_out("page_payloads"))
+    payloads = pages.with_profiles(pages.of_profiles(stored, profiles, everyone if strays else ()), everyone)
     with staged(pages.page_blocks(payloads, profiles), store.staging_folder()) as blocks:
         failed = pages.failed_payloads(payloads, profiles, everyone if strays else ())
         failed = failed.unionByName(pages.unreadable_pages(blocks))

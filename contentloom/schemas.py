@@ -75,12 +75,13 @@ _DDL = {
 
 
 #: Columns by which stored tables are laid out in folders: their types and what they are made of. Each
-#: run of the insights job has a folder of its own inside its day.
+#: run of the insights job has a folder of its own inside its day, each kind of page has one.
 LAYOUT: dict[str, dict[str, tuple[str, str]]] = {
     "content_insights": {
         "generated_day": ("date", "to_date(generated_at)"),
         "generated_run": ("string", "date_format(generated_at, 'yyyyMMddHHmmssSSSSSS')"),
-    }
+    },
+    "page_payloads": {"page_profile": ("string", "profile")},
 }
 
 # The declared widths of text columns, and the default of the column added later.
@@ -124,14 +125,14 @@ def defaults(table: str) -> dict[str, str]:
     return _DEFAULTS.get(table, {})
 
 
-def read_schema(table: str) -> T.StructType:
+def read_schema(table: str, with_layout: bool = True) -> T.StructType:
     """``schema`` for readers of files, with the layout's columns; files written before a column existed
     show its default."""
     kept = {
         name: {"CURRENT_DEFAULT": value, "EXISTS_DEFAULT": value} for name, value in defaults(table).items()
     }
     fields = [T.StructField(f.name, f.dataType, f.nullable, kept.get(f.name)) for f in schema(table).fields]
-    return T.StructType(fields + _layout_fields(table))
+    return T.StructType(fields + (_layout_fields(table) if with_layout else []))
 
 
 def _layout_fields(table: str) -> list[T.StructField]:

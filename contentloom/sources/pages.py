@@ -119,6 +119,23 @@ def scholarly_profiles() -> list[PageProfile]:
     return [scholarly_profile(site) for site in catalog.SCHOLARLY_SITES]
 
 
+def all_profiles() -> list[PageProfile]:
+    return [*forum_profiles(), *news_profiles(), *scholarly_profiles()]
+
+
+def of_profiles(
+    stored: DataFrame, profiles: Iterable[PageProfile], known: Iterable[PageProfile] = ()
+) -> DataFrame:
+    """Stored pages of some profiles, and those stored without a profile, which an address may give.
+
+    With ``known`` also pages whose profile is none of these. A filter on the column pages are laid out
+    by, so the scan skips the folders of all other profiles.
+    """
+    own, others = F.col("page_profile"), [p.name for p in known]
+    wanted = own.isNull() | own.isin(*[p.name for p in profiles])
+    return stored.filter(wanted | ~own.isin(*others) if others else wanted)
+
+
 def with_profiles(pages: DataFrame, profiles: Iterable[PageProfile]) -> DataFrame:
     """Give pages without a profile the one made for their address."""
     entries = [F.lit(text) for p in profiles if p.url for text in (p.url, p.name)]

@@ -40,6 +40,11 @@ class TableStore(ABC):
         """The table with the columns it is laid out by, whose filters choose folders."""
         return laid_out(self.read(table), table)
 
+    def _lay_out(self, table: str) -> None:
+        """Give a table from before its layout that layout, as a refresh of itself."""
+        rows = laid_out(self.read(table), table)
+        self.overwrite(table, rows.hint("rebalance", *map(F.col, _layout(table))), _layout(table))
+
     @abstractmethod
     def _save(self, table: str, writer: DataFrameWriter) -> None: ...
 
@@ -162,15 +167,25 @@ class FolderStore(TableStore):
             return found.drop(*_layout(table))
         return found.select(*schema(table).fieldNames())
 
+    def _is_flat(self, table: str) -> bool:
+        """Whether a table that has a layout was stored without it."""
+        if table not in LAYOUT:
+            return False
+        names = SharedFiles(self.spark).names(self.path(table))
+        return any(not name.startswith(("_", ".")) and "=" not in name for name in names)
+
     def read_laid_out(self, table: str) -> DataFrame:
-        reader = self.spark.read.format(self.file_format)
+        reader, flat = self.spark.read.format(self.file_format), self._is_flat(table)
         if self.merge_schema:
             reader = reader.option("mergeSchema", "true")
         elif is_known(table):
-            reader = reader.schema(read_schema(table))
-        return reader.load(self.path(table))
+            reader = reader.schema(read_schema(table, with_layout=not flat))
+        found = reader.load(self.path(table))
+        return laid_out(found, table) if flat else found
 
     def append(self, table: str, df: DataFrame) -> None:
+        if self._is_flat(table):
+            self._lay_out(table)
         self._save(table, _partitioned(laid_out(df, table).write.mode("append"), _layout(table)))
 
     def overwrite(self, table: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
@@ -190,6 +205,8 @@ class FolderStore(TableStore):
             files.delete(self._below(old))
 
     def replace_parts(self, table: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
+        if self._is_flat(table):
+            self._lay_out(table)
         writer = laid_out(df, table).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         self._save(table, writer.partitionBy(*(partition_by or _layout(table))))
 
@@ -232,10 +249,18 @@ class CatalogStore(TableStore):
     def read(self, table: str) -> DataFrame:
         return self.read_laid_out(table).drop(*_layout(table))
 
+    def _is_flat(self, table: str) -> bool:
+        """Whether a table that has a layout was stored without it."""
+        names = self.spark.table(self._named(table)).columns if table in LAYOUT and self.exists(table) else None
+        return names is not None and not set(_layout(table)) <= set(names)
+
     def read_laid_out(self, table: str) -> DataFrame:
-        return self.spark.table(self._named(table))
+        found = self.spark.table(self._named(table))
+        return laid_out(found, table) if self._is_flat(table) else found
 
     def append(self, table: str, df: DataFrame) -> None:
+        if self._is_flat(table):
+            self._lay_out(table)
         self._save(table, _partitioned(laid_out(df, table).write.mode("append"), _layout(table)))
 
     def create_if_absent(self, table: str, columns: T.StructType | None = None) -> None:
@@ -283,6 +308,8 @@ class CatalogStore(TableStore):
             self.spark.sql(f"DROP TABLE IF EXISTS {self._named(old)}")
 
     def replace_parts(self, table: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
+        if self._is_flat(table):
+            self._lay_out(table)
         rows = laid_out(df, table)
         if not self.exists(table):
             self._save(table, rows.write.partitionBy(*(partition_by or _layout(table))))

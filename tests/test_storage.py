@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from contentloom.operators import serving
 from contentloom.plans import jobs
 from contentloom.schemas import conform, schema
+from contentloom.sources import pages
 from contentloom.sources.ledger import ID_RANGES, Ledger, RangeTaken, not_yet_stored
 from contentloom.sources.storage import CatalogStore, FolderStore
-from tests.test_extraction import feed, item, rss
+from tests.test_extraction import feed, item, page, rss
 from tests.test_jobs import stories_of, titles
 
 DAY = dt.datetime(2024, 1, 1, 6)
@@ -341,3 +342,45 @@ def test_a_repeated_run_replaces_its_own_rows(store, spark):
     write("2024-01-30 12:00:00", "fg")
     write("2024-01-31 12:00:00", "h")
     assert sorted(r.title for r in store.read("content_insights").collect()) == list("abfgh")
+
+
+# --- pages by profile, layouts given later ------------------------------------------------------
+
+
+def test_pages_are_read_by_profile(store, spark):
+    forum, site, paper = pages.forum_profile("science"), pages.news_profiles()[0], pages.scholarly_profiles()[0]
+    block = '<article><h3><a href="/n">Robots walk around</a></h3><p>robots learn</p></article>'
+    for profile in (forum, site, paper):
+        # One page with its profile, one that is known by its address only.
+        jobs.store_pages(store, page(spark, profile, block))
+        fetched = page(spark, profile, block).withColumns({"profile": F.lit(None).cast("string"), "url": F.lit(profile.url)})
+        jobs.store_pages(store, fetched)
+        store.append("page_payloads", fetched)
+    lost = page(spark, forum, block).withColumns({"profile": F.lit("forum:gone"), "url": F.lit("http://gone")})
+    store.append("page_payloads", lost)
+    stored = store.read_laid_out("page_payloads")
+    for own, known, read in (([forum], [], 2 + 3), ([site], pages.all_profiles(), 2 + 3 + 1)):
+        found = pages.of_profiles(stored, own, known)
+        assert found.count() == read
+        (scan,) = scans(found)
+        filters = scan.split("PartitionFilters: [", 1)[1].split("PushedFilters", 1)[0]
+        assert "page_profile" in filters and "DataFilters: []" in scan
+    assert jobs.run("extract_news_pages", store) == {"stored": 3, "unknown profile": 1}
+    assert jobs.run("extract_scholarly_pages", store) == {"stored": 3}
+    assert jobs.run("extract_forum_pages", store).get("unknown profile") is None
+
+
+def test_a_table_from_before_its_layout(store, spark):
+    """Rows stored flat are read as they are, and get the layout with the next write."""
+    flat = insight(spark, "2024-01-30 06:00:00", "ab").unionByName(insight(spark, "2024-01-20 06:00:00", "c"))
+    if isinstance(store, FolderStore):
+        flat.write.parquet(store.path("content_insights"))
+    else:
+        flat.write.format("parquet").saveAsTable(f"{store.database}.content_insights")
+    stored = store.read_laid_out("content_insights")
+    assert serving.digest(stored, "2024-01-30").count() == 2
+    store.replace_parts("content_insights", insight(spark, "2024-01-30 12:00:00", "d"))
+    store.append("content_insights", insight(spark, "2024-01-31 12:00:00", "e"))
+    assert sorted(r.title for r in store.read("content_insights").collect()) == list("abcde")
+    found = serving.digest(store.read_laid_out("content_insights"), "2024-01-30")
+    assert found.count() == 4 and "generated_day" in scans(found)[0].split("PartitionFilters: [", 1)[1]
