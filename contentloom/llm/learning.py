@@ -6,21 +6,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import remainder
+from .common import cut_lineage, remainder
 
 FOLDS = 5
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, most: int, seed: int) -> DataFrame:
-    """At most about ``most`` rows (columns of ``docs`` and ``label`` 0 or 1) to learn from.
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, target: str, most_rows: int, most_bytes: int, seed: int
+) -> DataFrame:
+    """A bounded number of rows (columns of ``docs`` and ``label`` 0 or 1) to learn from.
 
-    Rows with a NULL id or label, or whose id has remainder 0, are left out. Each of the two
-    labels gives about half of the sample, chosen by a hash of the id, or all its rows if there
-    are fewer; so the table of chosen ids is bounded by ``most`` and is broadcast. An id counts
-    once for each of its labels, however often either table repeats it.
+    Rows with a NULL id or label, or whose id has remainder 0, are left out. Each of the two labels
+    gives about half of the sample, or all its rows if there are fewer, in the order of a hash of the
+    id, until they have half of ``most_bytes`` of text; texts above a sixteenth of that are passed
+    over. An id counts once for each of its labels, however often either table repeats it; of
+    several texts one is chosen by a hash of the text, so the same tables give the same sample.
     """
     known = labels.select("doc_id", F.col(target).cast("int").alias("label")).where(
         F.col("label").isin(0, 1) & (remainder(F.col("doc_id"), FOLDS) != 0)
@@ -29,10 +32,18 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, most: int,
     counts = {r.label: r["count"] for r in known.groupBy("label").count().collect()}
     share = F.lit(0.0)
     for label, n in counts.items():
-        share = F.when(F.col("label") == label, min(1.0, most / 2 / n)).otherwise(share)
+        share = F.when(F.col("label") == label, min(1.0, most_rows / 2 / n)).otherwise(share)
     draw = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 20)) / float(1 << 20)
-    chosen = docs.join(F.broadcast(known.where(draw < share)), "doc_id")
-    return chosen.dropDuplicates(["doc_id", "label"])
+    names = docs.columns
+    one = F.min_by(F.struct(*names), F.struct(F.xxhash64("text"), F.xxhash64(F.lit(seed), "text")))
+    drawn = docs.join(F.broadcast(known.where(draw < share)), "doc_id").groupBy("doc_id", "label")
+    drawn = cut_lineage(drawn.agg(one.alias("row")).select("label", "row.*"))
+    # A row for each of the few drawn, without its text.
+    sizes = drawn.select("doc_id", "label", F.coalesce(F.octet_length("text"), F.lit(0)).alias("size"))
+    upto = F.sum("size").over(Window.partitionBy("label").orderBy(draw, "doc_id"))
+    fits = sizes.where(F.col("size") <= most_bytes // 32).withColumn("upto", upto)
+    kept = fits.where(F.col("upto") <= most_bytes // 2).select("doc_id", "label")
+    return drawn.join(F.broadcast(kept), ["doc_id", "label"])
 
 
 def gathered(features: DataFrame, *columns: str) -> list[list]:

@@ -21,13 +21,14 @@ from .learning import FOLDS, Adagrad, batches_of, binary_lists, calibrated, gath
 
 @dataclass(frozen=True)
 class QualitySettings:
-    """``most_rows`` bounds the labelled rows that are learned from (all texts are scored).
+    """``most_rows`` and ``most_bytes`` of text bound what is learned from (all texts are scored).
 
     ``buckets`` hash places for words, ``levels`` places for each structure statistic, ``dims``
     numbers in a feature's vector, ``passing`` the score from which a document is predicted good.
     """
 
     most_rows: int = 6000
+    most_bytes: int = 24 << 20
     buckets: int = 1 << 16
     levels: int = 24
     dims: int = 6
@@ -36,7 +37,6 @@ class QualitySettings:
     rate: float = 0.1
     decay: float = 2e-4
     tested: float = 0.25
-    few: int = 2000
     passing: float = 0.3
     seed: int = 23
 
@@ -190,7 +190,7 @@ def fit_quality(
     """
     frame = _described(docs)
     sample = labelled_sample(
-        frame.select("doc_id", "text", "chars"), labels, "quality", settings.most_rows, settings.seed
+        frame.select("doc_id", "text", "chars"), labels, "quality", settings.most_rows, settings.most_bytes, settings.seed
     )
     kind = frame.schema["doc_id"].dataType.simpleString()
 
@@ -223,8 +223,6 @@ def fit_quality(
     check = np.flatnonzero(tested) if tested.any() else np.arange(len(rows))
     raw = np.array([model.sums(*rows[i], np.array([0, len(rows[i][0])]))[0][0] for i in check], float)
     model.curve = calibrated(raw, label[check], np.ones(len(check)))
-    if len(rows) < settings.few:
-        model.fit(rows, label)
     return model
 
 

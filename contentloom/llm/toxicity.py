@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,15 +22,16 @@ from .learning import FOLDS, Adagrad, batches_of, binary_lists, calibrated, gath
 
 @dataclass(frozen=True)
 class ToxicitySettings:
-    """``most_rows`` bounds the labelled rows that are learned from (all texts are scored).
+    """``most_rows`` and ``most_bytes`` of text bound what is learned from (all texts are scored).
 
     ``buckets`` hash places for words and for their beginnings of ``stems`` bytes, ``dims``
     numbers each; ``filters`` of every width in ``widths``. ``lessons``: documents shown to the
-    network, over 6 to 60 rounds. A sample of fewer than ``few`` rows is learned from again as a
-    whole after the curve and the thresholds are set.
+    network, over 6 to 60 rounds. ``tested``: part of the sample that is kept from it, for the curve
+    and the thresholds.
     """
 
     most_rows: int = 8000
+    most_bytes: int = 24 << 20
     buckets: int = 1 << 16
     dims: int = 8
     widths: tuple[int, ...] = (1, 2, 3)
@@ -37,10 +39,9 @@ class ToxicitySettings:
     stems: tuple[int, ...] = (4, 5, 6)
     lessons: int = 36_000
     batch: int = 32
-    rate: float = 0.05
+    rate: float = 0.1
     decay: float = 1e-4
     tested: float = 0.25
-    few: int = 2000
     seed: int = 17
 
 
@@ -54,6 +55,23 @@ def word_codes(texts: Texts, settings: ToxicitySettings) -> tuple[np.ndarray, np
     return np.stack(codes, 1).astype(np.int32), words.first
 
 
+class Sample:
+    """Coded texts of a sample: places of their words in the table of the batch they came in."""
+
+    def __init__(self, tables: list[np.ndarray], places: list[np.ndarray]):
+        self.tables, self.places = tables, places
+
+    def __len__(self) -> int:
+        return len(self.places)
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        return self.tables[i][self.places[i]]
+
+    def some(self, chosen: np.ndarray) -> Sample:
+        at = np.flatnonzero(chosen).tolist()
+        return Sample([self.tables[i] for i in at], [self.places[i] for i in at])
+
+
 class Convolution:
     """The network: embeddings, filters by width, and the logistic layer."""
 
@@ -71,9 +89,6 @@ class Convolution:
         self.kernels = [
             random.normal(0, 0.3, (w, s.dims, s.filters)).astype(np.float32) for w in s.widths
         ]
-        for kernel in self.kernels:
-            # The first dimension starts as the log-odds of a word; half of the filters look for it.
-            kernel[:, 0, : s.filters // 2] = np.abs(kernel[:, 0, : s.filters // 2]) + 0.5
         self.shift = np.zeros(len(s.widths) * s.filters, np.float32)
         self.weights = np.full(len(self.shift), 0.2, np.float32)
         self.bias = np.float32(-1.0)
@@ -138,70 +153,71 @@ class Convolution:
 
     # --- training
 
-    def fit(self, docs: list[np.ndarray], labels: np.ndarray, weights: np.ndarray) -> None:
+    def fit(self, docs: Sample, labels: np.ndarray) -> None:
         """Learns from the start; the curve and the thresholds stay."""
         s = self.settings
         self._start()
-        self._prime(docs, labels)
         random = np.random.Generator(np.random.PCG64(s.seed + 1))
         table = Adagrad(self.table.shape, s.rate)
         kernels = [Adagrad(k.shape, s.rate) for k in self.kernels]
         tops = [Adagrad(x.shape, s.rate) for x in (self.shift, self.weights, self.bias)]
-        for _ in range(min(60, max(6, s.lessons // len(docs)))):
+        for _ in range(min(60, max(6, s.lessons // max(1, len(docs))))):
             for chosen in batches_of(random.permutation(len(docs)), s.batch):
-                self._step([docs[i] for i in chosen], labels[chosen], weights[chosen], table, kernels, tops)
-
-    def _prime(self, docs: list[np.ndarray], labels: np.ndarray) -> None:
-        """Starts the first dimension at each place's smoothed log-odds of toxic documents."""
-        counts = np.zeros((2, self.settings.buckets))
-        for codes, label in zip(docs, labels):
-            counts[label, np.unique(codes)] += 1
-        sizes = np.bincount(labels, minlength=2) + 1.0
-        odds = np.log((counts[1] + 0.5) / sizes[1]) - np.log((counts[0] + 0.5) / sizes[0])
-        seen = counts.sum(axis=0)
-        self.table[:, 0] = np.clip(odds, -2, 4) * np.where(odds > 0, seen / (seen + 4), 0.25)
-        self.table[seen == 0, 0] = 0
-
-    def _step(self, docs, labels, weights, table, kernels, tops) -> None:
+                self._step([docs[i] for i in chosen], labels[chosen], table, kernels, tops)
+
+    def gradients(self, docs: list[np.ndarray], labels: np.ndarray) -> tuple:
+        """Of the mean loss of some texts: shift, weights, bias, kernels, and places and moves of the
+        embeddings. The texts are laid out with an overhang of empty words; texts without words teach
+        nothing."""
         s = self.settings
+        kept = [i for i, codes in enumerate(docs) if len(codes)]
+        on_kernels = [np.zeros_like(k) for k in self.kernels]
+        if not kept:
+            nothing = np.zeros(0, np.int64), np.zeros((0, s.dims), np.float32)
+            return np.zeros_like(self.shift), np.zeros_like(self.weights), 0.0, on_kernels, *nothing
         pads = max(s.widths) - 1
-        gradients = [np.zeros_like(k) for k in self.kernels]
-        on_shift, on_weights, on_bias = np.zeros_like(self.shift), np.zeros_like(self.weights), 0.0
+        sizes = np.array([len(docs[i]) for i in kept])
+        starts = np.cumsum(sizes + pads) - (sizes + pads)
+        inside = np.ones(int((sizes + pads).sum()), bool)
+        for j in range(pads):
+            inside[starts + sizes + j] = False
+        codes = np.zeros((len(inside), docs[kept[0]].shape[1]), np.int64)
+        codes[inside] = np.concatenate([docs[i] for i in kept])
+        embedded = np.zeros((len(inside), s.dims), np.float32)
+        embedded[inside] = sum(self.table[codes[inside, k]] for k in range(codes.shape[1]))
+        found = self._slide(embedded)
+        at = np.stack([a + found[a : a + n].argmax(axis=0) for a, n in zip(starts.tolist(), sizes.tolist())])
+        every = np.arange(found.shape[1])
+        pooled = np.maximum(found[at, every] + self.shift, 0)
+        error = (sigmoid(pooled @ self.weights + self.bias) - labels[kept]).astype(np.float32)
+        back = np.where(pooled > 0, error[:, None] * self.weights, 0).astype(np.float32)
         places, moves = [], []
-        for codes, label, weight in zip(docs, labels, weights):
-            if not len(codes):
-                continue
-            embedded = self.table[codes].sum(axis=1)
-            found = self._slide(embedded)
-            at = found.argmax(axis=0)
-            pooled = np.maximum(found[at, np.arange(found.shape[1])] + self.shift, 0)
-            error = weight * (sigmoid(pooled @ self.weights + self.bias) - label)
-            on_weights += error * pooled
-            on_bias += error
-            back = np.where(pooled > 0, error * self.weights, 0).astype(np.float32)
-            on_shift += back
-            padded = np.r_[embedded, np.zeros((pads, s.dims), np.float32)]
-            for k, kernel in enumerate(self.kernels):
-                of = slice(k * s.filters, (k + 1) * s.filters)
-                for j in range(len(kernel)):
-                    gradients[k][j] += padded[at[of] + j].T * back[of]
-                    inside = at[of] + j < len(codes)
-                    moved = (kernel[j] * back[of]).T[inside]
-                    places.append(codes[at[of] + j if inside.all() else (at[of] + j)[inside]])
-                    moves.append(moved)
+        for k, kernel in enumerate(self.kernels):
+            of = slice(k * s.filters, (k + 1) * s.filters)
+            for j in range(len(kernel)):
+                here = at[:, of] + j
+                on_kernels[k][j] = np.einsum("bfd,bf->df", embedded[here], back[:, of]) / len(docs)
+                real = inside[here] & (back[:, of] != 0)
+                places.append(codes[here[real]])
+                moves.append((kernel[j].T[None] * back[:, of, None])[real])
+        places, moves = np.concatenate(places), np.concatenate(moves) / len(docs)
+        spread = np.repeat(moves, places.shape[1], axis=0)
         n = len(docs)
-        for step, values, gradient in zip(tops[:2], (self.shift, self.weights), (on_shift, on_weights)):
-            step.step(values, gradient / n + s.decay * values)
-        tops[2].seen += (on_bias / n) ** 2
-        self.bias -= np.float32(s.rate * (on_bias / n) / np.sqrt(tops[2].seen))
-        for step, kernel, gradient in zip(kernels, self.kernels, gradients):
-            step.step(kernel, gradient / n + s.decay * kernel)
-        if places:
-            rows, back = np.unique(np.concatenate(places).ravel(), return_inverse=True)
-            sums = np.zeros((len(rows), s.dims), np.float32)
-            spread = np.repeat(np.concatenate(moves), docs[0].shape[1], axis=0)
-            np.add.at(sums, back, spread)
-            table.step(self.table, sums / n + s.decay * self.table[rows], rows)
+        return back.sum(0) / n, (error[:, None] * pooled).sum(0) / n, float(error.sum()) / n, on_kernels, places.ravel(), spread
+
+    def _step(self, docs, labels, table, kernels, tops) -> None:
+        s = self.settings
+        on_shift, on_weights, on_bias, on_kernels, places, moves = self.gradients(docs, labels)
+        tops[0].step(self.shift, on_shift + s.decay * self.shift)
+        tops[1].step(self.weights, on_weights + s.decay * self.weights)
+        tops[2].seen += on_bias**2
+        self.bias -= np.float32(s.rate * on_bias / np.sqrt(tops[2].seen))
+        for step, kernel, gradient in zip(kernels, self.kernels, on_kernels):
+            step.step(kernel, gradient + s.decay * kernel)
+        if len(places):
+            rows, back = np.unique(places, return_inverse=True)
+            sums = np.stack([np.bincount(back, moves[:, d], len(rows)) for d in range(s.dims)], 1)
+            table.step(self.table, sums.astype(np.float32) + s.decay * self.table[rows], rows)
 
 
 def fit_toxicity(
@@ -220,34 +236,46 @@ def fit_toxicity(
     else:
         lang = F.lit(None).cast("string")
     sample = labelled_sample(
-        frame.select("doc_id", "text", lang.alias("lang")), labels, "toxic", settings.most_rows, settings.seed
+        frame.select("doc_id", "text", lang.alias("lang")), labels, "toxic", settings.most_rows, settings.most_bytes, settings.seed
     )
     kind = frame.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in text_batches(batches, "text"):
+        part = TaskContext.get().partitionId() << 32
+        for number, (batch, texts) in enumerate(text_batches(batches, "text")):
             codes, first = word_codes(texts, settings)
-            rows = [codes[a:b] for a, b in zip(first[:-1], first[1:])]
+            table, places = np.unique(codes, axis=0, return_inverse=True)
+            places = places.astype(np.int32).ravel()
+            rows = [places[a:b] for a, b in zip(first[:-1], first[1:])]
+            # The batch's different words go with its first row.
+            tables = [table.tobytes()] + [b""] * (len(rows) - 1)
             columns = {c: batch.column(c) for c in ("doc_id", "label", "lang")}
-            yield pa.RecordBatch.from_pydict(columns | {"codes": binary_lists(rows)})
+            columns["part"] = pa.array([part | number] * len(rows), pa.int64())
+            yield pa.RecordBatch.from_pydict(
+                columns | {"places": binary_lists(rows), "codes": pa.array(tables, pa.binary())}
+            )
 
     found = sample.select("doc_id", "text", "label", "lang").mapInArrow(
-        run, f"doc_id {kind}, label int, lang string, codes binary"
+        run, f"doc_id {kind}, label int, lang string, part long, places binary, codes binary"
     )
-    codes, label, lang = gathered(found, "codes", "label", "lang")
+    places, codes, part, label, lang = gathered(found, "places", "codes", "part", "label", "lang")
     width = 1 + len(settings.stems)
-    rows = [np.frombuffer(c, np.int32).reshape(-1, width) for c in codes]
+    tables = {p: np.frombuffer(c, np.int32).reshape(-1, width) for p, c in zip(part, codes) if c}
+    rows = Sample(
+        [tables.get(p, np.empty((0, width), np.int32)) for p in part], [np.frombuffer(x, np.int32) for x in places]
+    )
     label = np.array(label, np.int64)
     model = Convolution(settings)
     if len(set(label.tolist())) < 2:
         return model
     random = np.random.Generator(np.random.PCG64(settings.seed + 2))
     tested = random.random(len(rows)) < settings.tested
-    weights = np.ones(len(rows))
-    model.fit([r for r, t in zip(rows, tested) if not t], label[~tested], weights[~tested])
-    check = [i for i in np.flatnonzero(tested)] or list(range(len(rows)))
+    if len(set(label[~tested].tolist())) < 2 or not tested.any():
+        tested[:] = False
+    model.fit(rows.some(~tested), label[~tested])
+    check = np.flatnonzero(tested) if tested.any() else np.arange(len(rows))
     raw = np.array([model.raw(rows[i], np.array([0, len(rows[i])]))[0] for i in check], np.float64)
-    model.curve = calibrated(raw, label[check], weights[check])
+    model.curve = calibrated(raw, label[check], np.ones(len(check)))
     scores = sigmoid(model.curve[0] * raw + model.curve[1])
     model.default = best_threshold(scores, label[check])
     names = np.array([lang[i] or "" for i in check])
@@ -255,8 +283,6 @@ def fit_toxicity(
         own = names == name
         if own.sum() >= 20 and len(set(label[check][own].tolist())) == 2:
             model.thresholds[name] = best_threshold(scores[own], label[check][own])
-    if len(rows) < settings.few:
-        model.fit(rows, label, weights)
     return model
 
 

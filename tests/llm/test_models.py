@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from contentloom.llm.common import Texts
 from contentloom.llm.language import LanguageSettings, NGrams, Profiles, identify_language, ranked
+from contentloom.llm.learning import labelled_sample
 from contentloom.llm.quality import FactorisationMachine, QualitySettings, fit_quality, quality, score_quality
 from contentloom.llm.toxicity import (
     Convolution,
@@ -138,6 +139,68 @@ def test_pooling_by_blocks_and_alone():
         assert np.allclose(together[i], expected, atol=1e-5)
 
 
+def test_gradients_are_those_of_the_loss():
+    settings = ToxicitySettings(buckets=64, dims=3, filters=2, stems=(2,))
+    model = Convolution(settings)
+    random_ = np.random.default_rng(3)
+    model.table = random_.normal(size=model.table.shape)
+    model.kernels = [random_.normal(size=k.shape) for k in model.kernels]
+    model.shift, model.weights = random_.normal(size=(2, len(model.shift))).astype(float)
+    docs = [random_.integers(0, 64, (n, 2)) for n in (5, 1, 0, 9)]
+    labels = np.array([1, 0, 1, 0])
+
+    def loss():
+        total = 0.0
+        for codes, label in zip(docs, labels):
+            if len(codes):
+                first = np.array([0, len(codes)])
+                pooled = np.maximum(model._slide(model.table[codes].sum(axis=1)).max(axis=0) + model.shift, 0)
+                p = 1 / (1 + np.exp(-(pooled @ model.weights + model.bias)))
+                total -= np.log(p if label else 1 - p)
+                assert np.allclose(model.raw(codes, first), pooled @ model.weights + model.bias, atol=1e-3)
+        return total / len(docs)
+
+    def slope(values, at):
+        old = values[at]
+        values[at] = old + 1e-6
+        up = loss()
+        values[at] = old - 1e-6
+        down = loss()
+        values[at] = old
+        return (up - down) / 2e-6
+
+    on_shift, on_weights, _, on_kernels, places, moves = model.gradients(docs, labels)
+    on_table = np.zeros_like(model.table)
+    np.add.at(on_table, places, moves)
+    for values, gradient in ((model.shift, on_shift), (model.weights, on_weights), (model.table, on_table)):
+        for at in [tuple(x) for x in random_.integers(0, values.shape, (40, values.ndim))]:
+            assert gradient[at] == pytest.approx(slope(values, at), abs=2e-4)
+    for kernel, gradient in zip(model.kernels, on_kernels):
+        for at in np.ndindex(kernel.shape):
+            assert gradient[at] == pytest.approx(slope(kernel, at), abs=2e-4)
+
+
+def test_samples_are_bounded_in_rows_and_bytes(spark):
+    texts = ["x" * 1000, "y" * 3000, "long " * 2000]
+    rows = [(i, texts[i % 3], "en") for i in range(600)] + [(7, "another", "en"), (7, texts[1], "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(600)] * 2, "doc_id long, toxic int")
+
+    def sample(frame, rows, size):
+        return labelled_sample(frame, labels, "toxic", rows, size, 3).collect()
+
+    few = sample(docs, 100, 1 << 30)
+    assert 60 < len(few) < 140 and len({r.doc_id for r in few}) == len(few)
+    small = sample(docs, 10_000, 64_000)
+    for label in (0, 1):
+        sizes = [len(r.text) for r in small if r.label == label]
+        assert 28_000 <= sum(sizes) <= 32_000 and max(sizes) < 2_000
+    assert all(fold(r.doc_id, 5) for r in small)
+    again = sample(docs.repartition(7).unionByName(docs.limit(50)), 10_000, 1 << 30)
+    first = sample(docs, 10_000, 1 << 30)
+    assert sorted((r.doc_id, r.label, r.text) for r in again) == sorted((r.doc_id, r.label, r.text) for r in first)
+
+
 def test_interactions_by_the_identity():
     settings = QualitySettings(buckets=64)
     model = FactorisationMachine(settings)
