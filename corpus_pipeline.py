@@ -16,6 +16,7 @@ from contentloom.llm.near_dedup import one_of_each
 from contentloom.llm.packing import pack
 from contentloom.llm.queries import public_vocabulary
 from contentloom.llm.toxicity import without_toxic
+from contentloom.sources.files import SharedFiles
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,11 +60,16 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of a folder, each written as Parquet and read again.
 
     The tables go below the folder that ``spark.checkpoint.dir`` names; whoever runs the pipeline
-    for good passes the stages a place of their own.
+    for good passes the stages a place of their own. A stage's table goes when the next one is
+    written; the last one stays for the reader.
     """
     folder = f"{shared_folder(spark)}/corpus-{uuid4().hex}"
-    docs = table(spark, sf_dir, "documents")
+    files = SharedFiles(spark)
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            files.delete(before)
+        before = f"{folder}/{name}"
     return docs
