@@ -22,13 +22,17 @@ class LanguageSettings:
     """Profiles hold the ``ranks`` most frequent n-grams of 1 to ``longest`` bytes.
 
     n-grams are counted in ``places`` hash places. ``most_rows`` bounds the documents of one
-    language that its profile is learned from; all texts are classified, whole.
+    language that its profile is learned from, ``most_languages`` the profiles: those of the languages
+    with the most documents, and no value of more than ``longest_name`` bytes is taken for a language.
+    All texts are classified, whole.
     """
 
     longest: int = 3
     ranks: int = 400
     places: int = 1 << 14
     most_rows: int = 1500
+    most_languages: int = 1000
+    longest_name: int = 200
     seed: int = 31
 
 
@@ -105,46 +109,77 @@ def language_profiles(docs: DataFrame, settings: LanguageSettings = LanguageSett
     """The ranked n-gram places of every value of ``lang``.
 
     Learned from at most about ``most_rows`` documents of each language, chosen by a hash of the
-    id, none of them NULL in id, lang or text or held out; a repeated id counts once.
+    id, none of them NULL in id, lang or text or held out; a repeated id counts once, with a text
+    chosen by its hash. Tasks add up the counts of their own texts; what meets by language is one
+    row of counts for each task.
     """
     frame = set_aside(docs)
     lang = F.col(f"rest.c{docs.columns.index('lang')}").cast("string").alias("lang")
     known = frame.select("doc_id", "text", lang).where(
         F.col("lang").isNotNull()
+        & (F.octet_length("lang") <= settings.longest_name)
         & F.col("text").isNotNull()
         & (remainder(F.col("doc_id"), FOLDS) != HELD_OUT)
     )
-    sizes = cut_lineage(known.groupBy("lang").count())
-    # A table of languages is small; of anything else in that column it goes by shuffle.
-    sizes = F.broadcast(sizes) if sizes.count() <= 100_000 else sizes
+    sizes = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(settings.most_languages)
     share = F.least(F.lit(1.0), F.lit(float(settings.most_rows)) / F.col("count"))
     draw = F.pmod(F.xxhash64("doc_id", F.lit(settings.seed)), F.lit(1 << 20)) / float(1 << 20)
-    sample = known.join(sizes, "lang").where(draw < share).dropDuplicates(["doc_id", "lang"])
-    sample = sample.select("lang", "text")
+    drawn = known.join(F.broadcast(cut_lineage(sizes)), "lang").where(draw < share)
+    one = F.min_by("text", F.struct(F.xxhash64("text"), F.xxhash64(F.lit(settings.seed), "text")))
+    sample = drawn.groupBy("doc_id", "lang").agg(one.alias("text")).select("lang", "text")
 
-    def run(key: tuple[pa.Scalar], rows: pa.Table) -> pa.Table:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[str, np.ndarray] = {}
+
+        def given() -> pa.RecordBatch:
+            rows = [pa.array(list(sums), pa.string()), pa.array([c.tobytes() for c in sums.values()], pa.binary())]
+            return pa.RecordBatch.from_arrays(rows, ["lang", "counts"])
+
+        for batch, texts in text_batches(batches, "text"):
+            grams = NGrams(texts, settings)
+            for i, name in enumerate(batch.column("lang").to_pylist()):
+                own = sums.setdefault(name, np.zeros(settings.places, np.int64))
+                own += grams.counts(i)
+            if len(sums) > 100:
+                yield given()
+                sums.clear()
+        yield given()
+
+    def rank(key: tuple[pa.Scalar], rows: pa.Table) -> pa.Table:
         counts = np.zeros(settings.places, np.int64)
-        for batch in rows.combine_chunks().to_batches():
-            for _, texts in text_batches([batch], "text"):
-                grams = NGrams(texts, settings)
-                for i in range(len(texts)):
-                    counts += grams.counts(i)
+        for part in rows.column("counts"):
+            counts += np.frombuffer(part.as_buffer(), np.int64)
         best = ranked(counts, settings.ranks).tolist()
         return pa.table({"lang": [key[0].as_py()], "places": pa.array([best], pa.list_(pa.int32()))})
 
-    found = sample.groupBy("lang").applyInArrow(run, "lang string, places array<int>").toArrow()
+    counted = sample.mapInArrow(count, "lang string, counts binary")
+    found = counted.groupBy("lang").applyInArrow(rank, "lang string, places array<int>").toArrow()
     return dict(sorted(zip(found.column("lang").to_pylist(), found.column("places").to_pylist())))
 
 
 class Profiles:
-    """Ranks by place, one row per language; an absent n-gram is as far away as can be."""
+    """Ranks by place, one row per language; an absent n-gram is as far away as can be.
+
+    Only the ranked places travel to the tasks.
+    """
 
     def __init__(self, profiles: dict[str, list[int]], settings: LanguageSettings):
         self.settings = settings
         self.names = sorted(profiles)
-        self.ranks = np.full((len(self.names), settings.places), -1, np.int32)
-        for row, name in enumerate(self.names):
-            self.ranks[row, profiles[name]] = np.arange(len(profiles[name]))
+        self.places = [np.array(profiles[name], np.int32) for name in self.names]
+        self._fill()
+
+    def _fill(self) -> None:
+        self.ranks = np.full((len(self.names), self.settings.places), -1, np.int32)
+        for row, places in enumerate(self.places):
+            self.ranks[row, places] = np.arange(len(places))
+
+    def __getstate__(self) -> dict:
+        return {name: value for name, value in vars(self).items() if name != "ranks"}
+
+    def __setstate__(self, state: dict) -> None:
+        vars(self).update(state)
+        self._fill()
 
     def nearest(self, counts: np.ndarray) -> tuple[str, float]:
         """The language of the least out-of-place distance, the first by name among equals.

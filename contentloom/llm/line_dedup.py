@@ -183,7 +183,12 @@ def _drops(docs: DataFrame, settings: LineSettings) -> DataFrame:
 
     # A key that a third of all documents hold is joined in as many parts as there are salts.
     salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
-    rows = marked.mapInArrow(suspects, f"doc_id {kind}, key binary").withColumn("salt", salt)
+    # A document counts once for a key, in however many rows it comes.
+    rows = (
+        marked.mapInArrow(suspects, f"doc_id {kind}, key binary")
+        .withColumn("salt", salt)
+        .dropDuplicates(["doc_id", "key", "salt"])
+    )
     common = (
         rows.groupBy("key")
         .agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper"))
@@ -202,13 +207,13 @@ def dedup_lines(docs: DataFrame, settings: LineSettings = LineSettings()) -> Dat
     """(doc_id, text, rest, n_lines, n_dropped) per row: the text without its repeated lines.
 
     A line's key is the line without ASCII white space at its ends, A-Z lowered. Keys of at least
-    ``least_chars`` code points that at least ``least_docs`` rows hold lose all their lines except
-    in the largest doc_id that holds them; a document that keeps a key keeps all its lines. Keys
+    ``least_chars`` code points that at least ``least_docs`` documents hold lose all their lines
+    except in the largest doc_id that holds them; a document that keeps a key keeps all its lines. Keys
     are compared by 128-bit hashes. Lines end at \\n only.
 
     A NULL or empty text is one empty line; NULL stays NULL. Rows with a NULL doc_id keep all
-    lines and do not count. Each row of a repeated doc_id counts, and all of them keep their lines
-    where that doc_id is the largest. ``rest`` holds the other columns (see ``common.set_aside``);
+    lines and do not count. The rows of a repeated doc_id are one document with all their lines: it
+    counts once for a key, and where it is the largest all its rows keep theirs. ``rest`` holds the other columns (see ``common.set_aside``);
     an empty table gives no rows.
     """
     whole = set_aside(docs)

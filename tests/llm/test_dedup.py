@@ -170,6 +170,16 @@ def test_repeated_lines(spark, bits):
     assert sum(r.n_dropped for r in found) > 50
 
 
+def test_a_repeated_document_counts_once(spark):
+    line = "this line is long enough to be compared with others of its kind"
+    rows = [(1, line), (1, line), (1, line + "\nx"), (2, line), (2, line)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert dedup_lines(docs).agg(F.sum("n_dropped")).first()[0] == 0
+    more = docs.unionByName(spark.createDataFrame([(i, line) for i in (3, 4, 5)], "doc_id long, text string"))
+    lost = {(r.doc_id, r.n_dropped) for r in dedup_lines(more).collect()}
+    assert lost == {(1, 1), (2, 1), (3, 1), (4, 1), (5, 0)}
+
+
 def test_repeated_lines_of_odd_rows(odd_docs, no_docs):
     found = dedup_lines(odd_docs).collect()
     assert len(found) == odd_docs.count() and not any(r.n_dropped for r in found)

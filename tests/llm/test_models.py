@@ -1,5 +1,6 @@
 """Classifiers: held-out accuracy, what scores may depend on, and odd rows."""
 
+import pickle
 import random
 import zlib
 
@@ -9,7 +10,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from contentloom.llm.common import Texts
-from contentloom.llm.language import LanguageSettings, NGrams, Profiles, identify_language, ranked
+from contentloom.llm.language import (
+    LanguageSettings,
+    NGrams,
+    Profiles,
+    identify_language,
+    language_profiles,
+    ranked,
+)
 from contentloom.llm.learning import labelled_sample
 from contentloom.llm.quality import FactorisationMachine, QualitySettings, fit_quality, quality, score_quality
 from contentloom.llm.toxicity import (
@@ -247,6 +255,21 @@ def test_languages_of_odd_rows(spark, tables):
     assert identify_language(odd.limit(0)).count() == 0
 
 
+def test_profiles_are_bounded_and_repeatable(spark):
+    pick = random.Random(8)
+    rows = [(i, " ".join(pick.choices(["alpha", "beta", "gamma"], k=9)), f"l{i % 40}") for i in range(800)]
+    rows += [(i, "delta epsilon zeta", "big") for i in range(1000, 1200)] + [(1, "y " * 50, "x" * 300)] * 500
+    rows += [(1003, "another text", "big"), (1003, "third text", "big")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    few = LanguageSettings(most_languages=5)
+    found = language_profiles(docs.repartition(5), few)
+    assert len(found) == 5 and "big" in found and set(found) <= {"big", *(f"l{i}" for i in range(40))}
+    assert language_profiles(docs.coalesce(1).orderBy(F.rand(3)), few) == found
+    profiles = Profiles(found, few)
+    sent = pickle.dumps(profiles)
+    assert len(sent) < 20_000 and (pickle.loads(sent).ranks == profiles.ranks).all()
+
+
 def test_ranks_and_distances_by_hand():
     settings = LanguageSettings(places=1 << 10, ranks=20)
     texts = ["The cat sat on the mat.", "Der Hund und die Katze", "the mat, the hat"]
