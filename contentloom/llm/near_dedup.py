@@ -1,14 +1,18 @@
 """Near-duplicate documents by an LSH forest over MinHash signatures.
 
-Documents whose signatures share a prefix in a tree form a region, a hash bucket of that prefix; no
-order is sorted and no neighbours by longest common prefix are taken. Documents that share fewer
-than the first hashes of every tree are no candidates. A region that holds too many documents goes
-deeper, hash by hash, until it is small enough. Inside a region the
-estimated similarities propose links, likeliest first, and every proposed link between documents
-that are not connected yet is confirmed on full shingle sets.
+A tree of the forest is an order: all signatures, sorted by the hashes of that tree. Neighbours in an
+order have their longest common prefixes with each other. A run of neighbours that agree in the first
+hashes is a region; one that holds too many goes deeper, hash by hash, as far as its own crowding
+asks. Signatures that a crowded run leaves alone, or still together at the last hash, are candidates
+with their nearest neighbours in the order, in windows that overlap.
 
-Going deeper only finds most links early. Pairs that it separates, and that are not connected by
-then, are compared block by block (see ``_separated``), so crowding loses no candidates.
+All orders are one sorted table, cut by ranges wherever rows are many, also inside a run. The sizes
+of runs that a cut separates go over it, so depths do not depend on where the cuts are.
+
+In a region the estimated similarities propose links, likeliest first, and every proposed link
+between documents that are not connected yet is confirmed on full shingle sets. Documents of crowded
+runs are also joined by a prefix filter: of each set the rarest shingles, as many as a similar set
+cannot all miss, so that no pair is lost by crowding and shared passages bring nobody together.
 
 Copies are one class from the start: documents with equal sets share a node of the link graph.
 """
@@ -24,16 +28,20 @@ from operator import itemgetter
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import (
     SPACED,
+    Shared,
+    Texts,
     Words,
     binaries,
     cut_lineage,
     keyed_only,
     mixed,
+    parts_of,
     restored,
     set_aside,
     shingle_sets,
@@ -46,13 +54,14 @@ from .graph import components
 class ForestSettings:
     """``percent``: 100 times the least similarity of linked documents.
 
-    Two documents of similarity s share the first region of a tree with probability
-    s ** first_depth. There are as many trees as it takes to miss a pair at the threshold once in
-    ``missed`` times, 17 for 80 and 12 for 85 percent; going deeper does not add to that. ``crowd``
-    is the most documents a region may hold before it goes deeper; it bounds the work per region and
-    drops nobody (see ``_regions`` and ``_separated``). ``block`` is about how many of the nodes
-    that this separates a task compares with as many others. ``slack`` is how far, in standard
-    deviations, an estimate may fall below the threshold and still be confirmed.
+    Two documents of similarity s agree in the first hashes of an order with probability
+    s ** first_depth. There are as many orders as it takes to miss a pair at the threshold once in
+    ``missed`` times, 17 for 80 and 12 for 85 percent; crowding does not add to that. ``crowd`` is the
+    most documents a region may hold before it goes deeper; it bounds the work per region and drops
+    nobody (see ``_regions`` and ``_postings``). Documents of a crowded run that share a rare shingle
+    with more than ``crowd`` others are compared by blocks of about ``block``. ``slack`` is how far, in
+    standard deviations, an estimate may fall below the threshold and still be confirmed. ``per_part``:
+    rows of the orders in a task.
     """
 
     words: int = 5
@@ -63,6 +72,7 @@ class ForestSettings:
     crowd: int = 200
     block: int = 1000
     slack: float = 4.0
+    per_part: int = 400_000
     seed: int = 11
 
     @property
@@ -132,65 +142,170 @@ def signatures(docs: DataFrame, settings: ForestSettings) -> DataFrame:
     )
 
 
-def _key(tree: Column, depth: int, settings: ForestSettings) -> Column:
-    """Names the prefix of ``depth`` hashes in the order of a tree."""
-    prefix = F.substring(F.col("sig"), tree * (2 * settings.last_depth) + 1, F.lit(2 * depth))
-    return F.xxhash64(tree, F.lit(depth), prefix)
+def common_prefix(trees: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Of each row but the first, how many leading hashes it has in common with the row before."""
+    same = (keys[1:] == keys[:-1]) & (trees[1:] == trees[:-1])[:, None]
+    return np.logical_and.accumulate(same, axis=1).sum(axis=1)
+
 
+def run_sizes(prefix: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each row the number of its run of neighbours that agree in ``depth`` hashes, and the sizes
+    of the runs."""
+    run = np.r_[0, np.cumsum(prefix < depth)]
+    return run, np.bincount(run)
 
-def _regions(classes: DataFrame, settings: ForestSettings) -> tuple[DataFrame, DataFrame | None]:
-    """(region, node) for all regions of two to ``crowd`` nodes or so, over all trees.
 
-    The second table has (region, tree, node) of the first regions above ``crowd``, if any: what
-    follows keeps only some of their pairs together.
+@dataclass(frozen=True)
+class _Edge:
+    """The ends of a part of the orders: first and last row, and sizes of the first and the last run at
+    each depth."""
+
+    rows: int
+    first: tuple[int, bytes]
+    last: tuple[int, bytes]
+    lead: list[int]
+    trail: list[int]
+
+
+def carried(edges: dict[int, _Edge], depths: range) -> dict[int, tuple[list[int], list[int]]]:
+    """For each part, by depth: how many rows before it belong to its first run, and how many behind
+    it to its last one."""
+    order = sorted(edges)
+    before = {p: [0] * len(depths) for p in order}
+    behind = {p: [0] * len(depths) for p in order}
+
+    def agree(p: int, q: int) -> int:
+        (tree, x), (other, y) = edges[p].last, edges[q].first
+        equal = [x[i : i + 2] == y[i : i + 2] for i in range(0, len(x), 2)]
+        return 0 if tree != other else (equal + [False]).index(False)
+
+    for p, q in zip(order, order[1:]):
+        for k, depth in enumerate(depths):
+            if agree(p, q) >= depth:
+                whole = edges[p].trail[k] == edges[p].rows
+                before[q][k] = edges[p].trail[k] + (before[p][k] if whole else 0)
+    for p, q in reversed(list(zip(order, order[1:]))):
+        for k, depth in enumerate(depths):
+            if agree(p, q) >= depth:
+                whole = edges[q].lead[k] == edges[q].rows
+                behind[p][k] = edges[q].lead[k] + (behind[q][k] if whole else 0)
+    return {p: (before[p], behind[p]) for p in order}
+
+
+def _named(trees: np.ndarray, keys: np.ndarray, depth: np.ndarray) -> np.ndarray:
+    """64 bits that name a prefix of an order."""
+    kept = np.where(np.arange(keys.shape[1]) < depth[:, None], keys, 0).astype(np.uint64)
+    out = mixed(trees.astype(np.uint64) * np.uint64(64) + depth.astype(np.uint64) + np.uint64(1))
+    for column in kept.T:
+        out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + column)
+    return out
 
-    Every node starts in the region of its first ``first_depth`` hashes. Regions above ``crowd``
-    split by the next hash; what the split leaves alone stays together as the region's rest. A
-    region still above ``crowd`` at the last depth holds near-equal sets: it is cut into parts of
-    about half of ``crowd``, and each part also gets the region's least node, through which parts
-    of copies of one text are linked.
+
+def candidates(
+    trees: np.ndarray, keys: np.ndarray, before: list[int], behind: list[int], part: int, settings: ForestSettings
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, region) of a sorted part of the orders, and which rows stand in a crowded first run.
+
+    A row is in the region of its run at the least depth at which that holds ``crowd`` rows or fewer.
+    Rows that are alone there although their first run is crowded, and rows of runs that are crowded
+    at every depth, are in windows of ``crowd`` neighbours that overlap by half.
     """
     s = settings
-    tree = F.explode(F.sequence(F.lit(0), F.lit(s.trees - 1)))
-    rows = classes.select("node", "sig", tree.alias("tree")).select(
-        "node", "tree", _key(F.col("tree"), s.first_depth, s).alias("region")
-    )
-    found = wide = None
-    for depth in range(s.first_depth, s.last_depth + 1):
-        size = rows.groupBy("region").agg(F.count("*").alias("n")).where("n > 1")
-        members = cut_lineage(rows.join(size, "region"))
-        small = members.where(F.col("n") <= s.crowd).select("region", "node")
-        found = small if found is None else found.unionByName(small)
-        crowded = members.where(F.col("n") > s.crowd)
-        if crowded.isEmpty():
-            break
-        if wide is None:
-            wide = crowded.select("region", "tree", "node")
-            order = F.substring(F.col("sig"), F.col("tree") * (2 * s.last_depth) + 1, F.lit(2 * s.last_depth))
-            crowded = crowded.join(classes.select("node", "sig"), "node").withColumn("order", order).drop("sig")
-        if depth == s.last_depth:
-            parts = F.ceil(F.col("n") / (s.crowd // 2))
-            cut = crowded.select(
-                F.xxhash64("region", F.pmod(F.xxhash64("node"), parts)).alias("region"), "node"
-            )
-            anchors = crowded.groupBy("region", "n").agg(F.min("node").alias("node"))
-            anchors = anchors.select(
-                "node", "region", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)).alias("part")
-            ).select(F.xxhash64("region", "part").alias("region"), "node")
-            found = found.unionByName(cut.unionByName(anchors).distinct())
-            break
-        prefix = F.substring("order", 1, 2 * (depth + 1))
-        deeper = crowded.select(
-            "node", "tree", "region", "order", F.xxhash64("tree", F.lit(depth + 1), prefix).alias("next")
-        )
-        together = deeper.groupBy("next").agg(F.count("*").alias("n")).where("n > 1").select(
-            "next", F.lit(True).alias("together")
-        )
-        rest = F.xxhash64("region", F.lit("rest"))
-        rows = deeper.join(together, "next", "left").select(
-            "node", "tree", F.when(F.col("together"), F.col("next")).otherwise(rest).alias("region"), "order"
-        )
-    return found, wide
+    prefix = common_prefix(trees, keys)
+    depth, size = np.zeros(len(trees), np.int64), np.zeros(len(trees), np.int64)
+    wide = np.zeros(len(trees), bool)
+    for k, d in enumerate(range(s.first_depth, s.last_depth + 1)):
+        run, sizes = run_sizes(prefix, d)
+        sizes[0] += before[k]
+        sizes[-1] += behind[k]
+        own = sizes[run]
+        if d == s.first_depth:
+            wide = own > s.crowd
+        fits = (depth == 0) & (own <= s.crowd)
+        depth[fits], size[fits] = d, own[fits]
+    regions = np.flatnonzero((depth > 0) & (size > 1))
+    left = np.flatnonzero(wide & (size <= 1))
+    half = max(1, s.crowd // 2)
+    # Windows do not reach from one first run into another.
+    run, _ = run_sizes(prefix, s.first_depth)
+    starts = np.r_[0, np.flatnonzero(np.diff(run[left])) + 1] if len(left) else np.zeros(0, np.int64)
+    place = np.arange(len(left)) - np.repeat(starts, np.diff(np.r_[starts, len(left)])) if len(left) else left
+    window = place // half
+    base = mixed(run[left].astype(np.uint64) + np.uint64(part << 32) + np.uint64(1 << 62))
+    names = [mixed(base + np.uint64(7) * (window + j).astype(np.uint64)) for j in (0, 1)]
+    rows = np.r_[regions, left, left]
+    found = np.r_[_named(trees[regions], keys[regions], depth[regions]), *names]
+    return rows, found.view(np.int64), wide
+
+
+def _orders(classes: DataFrame, settings: ForestSettings) -> DataFrame:
+    """(tree, key, node): every order of the forest, sorted, in parts of bounded size."""
+    s = settings
+    width = 2 * s.last_depth
+    key = F.substring(F.col("sig"), F.col("tree") * width + 1, F.lit(width))
+    rows = classes.select("node", "sig", F.explode(F.sequence(F.lit(0), F.lit(s.trees - 1))).alias("tree"))
+    rows = rows.select("tree", key.alias("key"), "node")
+    parts = parts_of(classes.count() * s.trees, s.per_part)
+    order = ["tree", "key", "node"]
+    return cut_lineage(rows.repartitionByRange(parts, *order).sortWithinPartitions(*order))
+
+
+def _part(batches: Iterator[pa.RecordBatch], settings: ForestSettings) -> tuple | None:
+    """Trees, keys and nodes of a sorted part, None if it is empty."""
+    found = [b for b in batches if b.num_rows]
+    if not found:
+        return None
+    table = pa.Table.from_batches(found).combine_chunks()
+    keys = Texts(table.column("key")).data.tobytes()
+    keys = np.frombuffer(keys, np.uint16).reshape(-1, settings.last_depth)
+    return np.asarray(table.column("tree")), keys, np.asarray(table.column("node"))
+
+
+def _regions(classes: DataFrame, settings: ForestSettings) -> tuple[DataFrame, DataFrame]:
+    """(region, node) of all orders, and the nodes that stand in a crowded first run of some order."""
+    s = settings
+    orders = _orders(classes, s)
+    depths = range(s.first_depth, s.last_depth + 1)
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = _part(batches, s)
+        if found is None:
+            return
+        trees, keys, _ = found
+        prefix = common_prefix(trees, keys)
+        sizes = [run_sizes(prefix, d)[1] for d in depths]
+        row = {
+            "part": TaskContext.get().partitionId(),
+            "rows": len(trees),
+            "trees": [int(trees[0]), int(trees[-1])],
+            "keys": [keys[0].tobytes(), keys[-1].tobytes()],
+            "lead": [int(x[0]) for x in sizes],
+            "trail": [int(x[-1]) for x in sizes],
+        }
+        yield pa.RecordBatch.from_pylist([row])
+
+    form = "part long, rows long, trees array<long>, keys array<binary>, lead array<long>, trail array<long>"
+    # One row for each part.
+    edges = {
+        r.part: _Edge(r["rows"], (r.trees[0], bytes(r["keys"][0])), (r.trees[1], bytes(r["keys"][1])), r.lead, r.trail)
+        for r in orders.mapInArrow(ends, form).collect()
+    }
+    over = carried(edges, depths)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = _part(batches, s)
+        if found is None:
+            return
+        trees, keys, nodes = found
+        part = TaskContext.get().partitionId()
+        rows, regions, wide = candidates(trees, keys, *over[part], part, s)
+        crowded = np.unique(nodes[wide])
+        # A crowded node is told once by each part, in a row without a region.
+        region = pa.array(np.r_[regions, np.zeros(len(crowded), np.int64)], mask=np.arange(len(rows) + len(crowded)) >= len(rows))
+        yield pa.RecordBatch.from_arrays([region, pa.array(np.r_[nodes[rows], crowded])], ["region", "node"])
+
+    found = cut_lineage(orders.mapInArrow(run, "region long, node long"))
+    return found.where("region IS NOT NULL"), found.where("region IS NULL").select("node").distinct()
 
 
 def _groups(regions: DataFrame) -> DataFrame:
@@ -398,7 +513,7 @@ def _joining(
 def _separated(
     docs: DataFrame, wide: DataFrame, roots: DataFrame, classes: DataFrame, settings: ForestSettings
 ) -> DataFrame:
-    """(a, b): links between roots, from all pairs of first regions above ``crowd``.
+    """(a, b): links between roots, from all open pairs of the lists in ``wide``.
 
     Signatures are compared first. Texts move only for nodes with a likely partner that is not
     connected yet, once for each block that has one; links are confirmed on full sets.
@@ -447,18 +562,117 @@ def _separated(
     return members.repartition(*task).sortWithinPartitions(*task).mapInArrow(confirm, "a long, b long")
 
 
-def _rooted(
-    docs: DataFrame, roots: DataFrame, wide: DataFrame, classes: DataFrame, settings: ForestSettings
-) -> DataFrame:
-    """``roots`` (node, root) with the links of ``_separated`` as well."""
-    roots = cut_lineage(roots)
-    joined = components(_separated(docs, wide, roots, classes, settings))
+#: Counters of shingles by hash, and those that one row carries.
+_COUNTERS, _CARRIED = 1 << 20, 1 << 14
+
+
+def _shingle_counts(sets: DataFrame) -> np.ndarray:
+    """About how many of the sets hold each shingle, by hash: a table of fixed size."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(_COUNTERS, np.int64)
+        for batch in batches:
+            data = np.frombuffer(Texts(batch.column("shingles")).data.tobytes(), np.uint64)
+            counts += np.bincount((data & np.uint64(_COUNTERS - 1)).astype(np.int64), minlength=_COUNTERS)
+        parts = counts.reshape(-1, _CARRIED)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(range(len(parts)), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], ["i", "n"]
+        )
+
+    def add(table: pa.Table) -> pa.Table:
+        whole = sum(np.frombuffer(x.as_py(), np.int64) for x in table.column("n"))
+        return pa.table({"i": table.column("i")[:1], "n": pa.array([whole.tobytes()], pa.binary())})
+
+    out = np.zeros(_COUNTERS, np.int64)
+    for row in sets.mapInArrow(run, "i int, n binary").groupBy("i").applyInArrow(add, "i int, n binary").collect():
+        out[row.i * _CARRIED : (row.i + 1) * _CARRIED] = np.frombuffer(row.n, np.int64)
+    return np.minimum(out, np.iinfo(np.int32).max).astype(np.int32)
+
+
+def rarest(shingles: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
+    """So many of a set's rarest shingles that a set of the wanted similarity has one of them among its
+    own: a similar set has at least ``percent`` of the shingles, so it cannot miss all of these."""
+    kept = len(shingles) - -(-percent * len(shingles) // 100) + 1
+    order = np.lexsort((shingles, counts[(shingles & np.uint64(_COUNTERS - 1)).astype(np.int64)]))
+    return shingles[order[:kept]]
+
+
+def _postings(docs: DataFrame, crowded: DataFrame, classes: DataFrame, settings: ForestSettings) -> DataFrame:
+    """(region, node): the rarest shingles of the crowded nodes, each with the nodes that have it."""
+    named = classes.select("node", "doc_id", "text_hash").join(crowded, "node", "left_semi")
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in text_batches(batches, "text"):
+            sets = shingle_sets(Words(texts, SPACED), settings.words)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), pa.array([x.tobytes() for x in sets], pa.binary())], ["node", "shingles"]
+            )
+
+    sets = cut_lineage(_texts(docs, named).mapInArrow(listed, "node long, shingles binary"))
+    shared = Shared(docs.sparkSession, _shingle_counts(sets))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = shared.load()
+        for batch in batches:
+            texts = Texts(batch.column("shingles"))
+            data = texts.data.tobytes()
+            own = [
+                rarest(np.frombuffer(data[a:b], np.uint64), counts, settings.percent)
+                for a, b in zip(texts.bounds[:-1], texts.bounds[1:])
+            ]
+            nodes = np.repeat(np.asarray(batch.column("node")), [len(x) for x in own])
+            found = np.concatenate(own) if own else np.zeros(0, np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(nodes)], ["region", "node"])
+
+    return sets.mapInArrow(run, "region long, node long")
+
+
+def _moved(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` (node, root) with links between roots, or nodes without one, as well."""
+    joined = components(links)
     joined = cut_lineage(joined.select(F.col("node").alias("old"), F.col("root").alias("new")))
     moved = roots.join(joined, F.col("root") == F.col("old"), "left").select(
         "node", F.coalesce("new", "root").alias("root")
     )
     alone = joined.select(F.col("old").alias("node"), F.col("new").alias("root"))
-    return moved.unionByName(alone.join(roots, "node", "left_anti"))
+    return cut_lineage(moved.unionByName(alone.join(roots, "node", "left_anti")))
+
+
+def _open_lists(postings: DataFrame, roots: DataFrame) -> DataFrame:
+    """(region, node, n) of the lists whose nodes are not all connected yet, n of them."""
+    known = postings.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    lists = known.groupBy("region").agg(
+        F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("most")
+    )
+    return cut_lineage(known.join(lists.where("least < most").select("region", "n"), "region").select("region", "node", "n"))
+
+
+def _with_crowded(
+    docs: DataFrame, roots: DataFrame, crowded: DataFrame, classes: DataFrame, settings: ForestSettings
+) -> DataFrame:
+    """``roots`` with all links between crowded nodes: those of short lists first, then what is open in
+    long ones, block by block."""
+    roots = cut_lineage(roots)
+    postings = cut_lineage(_postings(docs, crowded, classes, settings))
+    lists = _open_lists(postings, roots)
+    short = _group_links(docs, lists.where(F.col("n") <= settings.crowd).select("region", "node"), classes, settings)
+    top = short.join(roots.withColumnRenamed("node", "a").withColumnRenamed("root", "ra"), "a", "left")
+    top = top.join(roots.withColumnRenamed("node", "b").withColumnRenamed("root", "rb"), "b", "left")
+    roots = _moved(roots, top.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")))
+    long = _open_lists(lists.where(F.col("n") > settings.crowd).select("region", "node"), roots)
+    if not long.isEmpty():
+        wide = long.select("region", F.lit(0).alias("tree"), "node")
+        roots = _moved(roots, _separated(docs, wide, roots, classes, settings))
+    return roots
+
+
+def _group_links(docs: DataFrame, regions: DataFrame, classes: DataFrame, settings: ForestSettings) -> DataFrame:
+    """(a, b): confirmed links inside regions of bounded size."""
+    members = _groups(regions)
+    signed = members.join(classes.select("node", "sig"), "node")
+    named = classes.select("node", "doc_id", "text_hash")
+    texts = _texts(docs, named.join(members.select("node").distinct(), "node", "left_semi"))
+    return _links(signed.join(texts, "node"), settings)
 
 
 def _judged(docs: DataFrame, settings: ForestSettings) -> DataFrame:
@@ -471,14 +685,11 @@ def _judged(docs: DataFrame, settings: ForestSettings) -> DataFrame:
         .select("set", "first.*", "sig", "n_shingles", F.monotonically_increasing_id().alias("node"))
     )
     classes = cut_lineage(classes)
-    regions, wide = _regions(classes, settings)
-    members = _groups(regions)
-    signed = members.join(classes.select("node", "sig"), "node")
-    named = classes.select("node", "doc_id", "text_hash")
-    texts = _texts(docs, named.join(members.select("node").distinct(), "node", "left_semi"))
-    roots = components(_links(signed.join(texts, "node"), settings))
-    if wide is not None:
-        roots = _rooted(docs, roots, wide, classes, settings)
+    regions, crowded = _regions(classes, settings)
+    roots = components(_group_links(docs, regions, classes, settings))
+    crowded = cut_lineage(crowded)
+    if not crowded.isEmpty():
+        roots = _with_crowded(docs, roots, crowded, classes, settings)
 
     named = classes.select("set", "node", "doc_id").join(roots, "node", "left")
     named = named.select("set", "doc_id", F.coalesce("root", "node").alias("root"))

@@ -5,9 +5,11 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from contentloom.llm import near_dedup
 from contentloom.llm.decontaminate import find_contamination, without_contaminated, without_spans
 from contentloom.llm.graph import components
 from contentloom.llm.line_dedup import LineSettings, dedup_lines, without_repeats
@@ -108,6 +110,106 @@ def test_pairs_near_the_threshold_in_crowded_regions(spark):
     assert {r.doc_id: r.component_id for r in found} == {i: i - i % 2 for i in texts}
 
 
+def sorted_order(seed, rows=600, s=ForestSettings(percent=85)):
+    """Rows of an order with runs of all sizes, as trees and keys."""
+    pick = np.random.default_rng(seed)
+    keys = pick.integers(0, 2, (rows, s.last_depth)).astype(np.uint16)
+    keys[: rows // 3] = keys[0]
+    trees = pick.integers(0, 3, rows).astype(np.int32)
+    order = sorted(range(rows), key=lambda i: (trees[i], keys[i].tobytes()))
+    return trees[order], keys[order]
+
+
+@pytest.mark.parametrize("cuts", [[], [1], [300], [10, 11, 12, 400], list(range(1, 600)), [150, 160, 590]])
+@pytest.mark.parametrize("crowd", [4, 30, 200])
+def test_regions_do_not_depend_on_cuts(cuts, crowd):
+    s = ForestSettings(percent=85, crowd=crowd)
+    trees, keys = sorted_order(crowd)
+    depths = range(s.first_depth, s.last_depth + 1)
+    zero = [0] * len(depths)
+
+    def regions(rows, names, wide, start):
+        """Members of regions; windows are those whose rows all share a crowded run."""
+        return {(int(n), int(r) + start) for r, n in zip(rows, names)}, {start + int(i) for i in np.flatnonzero(wide)}
+
+    whole, wide = regions(*near_dedup.candidates(trees, keys, zero, zero, 0, s), 0)
+    parts = [slice(a, b) for a, b in zip([0, *cuts], [*cuts, len(trees)])]
+    edges = {}
+    for p, c in enumerate(parts):
+        prefix = near_dedup.common_prefix(trees[c], keys[c])
+        sizes = [near_dedup.run_sizes(prefix, d)[1] for d in depths]
+        ends = [(int(trees[c][i]), keys[c][i].tobytes()) for i in (0, -1)]
+        edges[p] = near_dedup._Edge(len(trees[c]), *ends, [int(x[0]) for x in sizes], [int(x[-1]) for x in sizes])
+    over = near_dedup.carried(edges, depths)
+    found, crowded = set(), set()
+    for p, c in enumerate(parts):
+        own, far = regions(*near_dedup.candidates(trees[c], keys[c], *over[p], p, s), c.start)
+        found |= own
+        crowded |= far
+    assert crowded == wide
+    # Regions by hand: the least depth at which a row's run has few enough rows.
+    names = collections.defaultdict(set)
+    for name, row in found:
+        names[name].add(row)
+    groups = {frozenset(rows) for rows in names.values()}
+    for i in range(len(trees)):
+        for d in depths:
+            run = [j for j in range(len(trees)) if trees[j] == trees[i] and (keys[j][:d] == keys[i][:d]).all()]
+            if len(run) <= crowd:
+                assert len(run) == 1 or frozenset(run) in groups
+                break
+        else:
+            assert i in crowded and any(i in rows for rows in names.values())
+    assert all(len(rows) <= max(crowd, 2) for rows in names.values())
+
+
+@pytest.mark.parametrize("percent", [80, 85, 90])
+def test_similar_sets_share_a_rarest_shingle(percent):
+    pick = np.random.default_rng(percent)
+    for _ in range(300):
+        n = int(pick.integers(1, 60))
+        x = np.unique(pick.integers(0, 1 << 20, n, np.uint64))
+        gone = int(pick.integers(0, max(1, len(x) // 4) + 1))
+        y = np.unique(np.r_[x[gone:], pick.integers(0, 1 << 20, gone // 2, np.uint64)])
+        counts = pick.integers(0, 50, near_dedup._COUNTERS).astype(np.int32)
+        both = len(np.intersect1d(x, y))
+        if both and 100 * both >= percent * (len(x) + len(y) - both):
+            shared = np.intersect1d(near_dedup.rarest(x, counts, percent), near_dedup.rarest(y, counts, percent))
+            assert len(shared)
+
+
+def test_a_shared_passage_brings_nobody_together(spark, monkeypatch):
+    """Work on documents that only share a passage does not grow with their pairs."""
+    passage = " ".join(f"p{n}" for n in range(150))
+    rows = [(i, passage + " " + " ".join(f"d{i}w{n}" for n in range(60))) for i in range(3000)]
+    rows += [(5000 + i, rows[i][1].replace(f"d{i}w30", "new")) for i in range(0, 3000, 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    monkeypatch.setattr(near_dedup, "_separated", None)
+    seen = []
+    plain = near_dedup._open_lists
+    monkeypatch.setattr(near_dedup, "_open_lists", lambda *a: seen.append(plain(*a)) or seen[-1])
+    found = near_duplicates(docs, ForestSettings(words=3, percent=85, crowd=50)).collect()
+    assert {r.doc_id: r.component_id for r in found} == {i: i - 5000 if i >= 5000 else i for i, _ in rows}
+    assert seen and sum(x.count() for x in seen) <= 60 * 300
+
+
+@pytest.mark.parametrize("crowded", [True, False])
+@pytest.mark.parametrize("percent, changed", [(80, 7), (85, 5), (90, 3)])
+def test_recall_near_the_threshold(spark, crowded, percent, changed):
+    texts = {}
+    for i in range(150):
+        text = [f"p{n}" if crowded and n < 120 else f"d{i}w{n}" for n in range(200)]
+        texts[2 * i] = " ".join(text)
+        for k in range(125, 125 + 10 * changed, 10):
+            text[k] = f"x{i}y{k}"
+        texts[2 * i + 1] = " ".join(text)
+    a, b = (shingles(texts[i], 3) for i in (0, 1))
+    assert percent <= 100 * len(a & b) / len(a | b) < percent + 3
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    found = near_duplicates(docs, ForestSettings(words=3, percent=percent, crowd=20)).collect()
+    assert sum(r.component_id == r.doc_id - r.doc_id % 2 for r in found) >= len(texts) - (0 if crowded else 1)
+
+
 def test_near_duplicates_of_odd_rows(odd_docs, no_docs):
     found = near_duplicates(odd_docs, ForestSettings(words=3, percent=85)).collect()
     by_id = collections.defaultdict(list)
