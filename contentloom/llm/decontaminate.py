@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,13 +34,15 @@ class Limits:
     """A window is ``window`` consecutive words of an item, or all words of a shorter one.
 
     A document is contaminated if ``100 * hit words >= percent * words`` and any word is hit.
-    ``block_words`` bounds the items of one automaton (about 80 MB in a worker): a larger
-    benchmark is split into blocks by item, and the documents pass each block in turn.
+    ``block_words`` bounds the items of one automaton (about 40 MB in a worker): a larger benchmark
+    is split into blocks by item, a longer item into parts that overlap by a window. Tasks build the
+    automata; the documents pass ``per_pass`` of them at a time.
     """
 
     window: int = 13
     percent: int = 5
-    block_words: int = 200_000
+    block_words: int = 100_000
+    per_pass: int = 4
 
 
 class SuffixAutomaton:
@@ -169,21 +172,50 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _blocks(benchmark: DataFrame, limits: Limits) -> Iterator[list[tuple[str, np.ndarray]]]:
-    """Items with their word hashes, block by block; a block's items come to the driver."""
+def _item_words(benchmark: DataFrame, limits: Limits) -> DataFrame:
+    """(item_id, words): the word hashes of each item, long items in overlapping parts, so that every
+    window is whole in some part."""
     items = (
         keyed_items(benchmark)
         .where("item_id IS NOT NULL AND text IS NOT NULL")
         .select(F.col("item_id").cast("string").alias("item_id"), "text")
     )
-    words = items.select(F.sum(F.size(F.split("text", r"[\x00-/:-@\[-`{-\x7f]+")))).first()[0] or 0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in text_batches(batches, "text"):
+            words = Words(texts, LETTERED)
+            ids, parts = [], []
+            for item, a, b in zip(batch.column("item_id").to_pylist(), words.first[:-1], words.first[1:]):
+                for start in range(a, b, limits.block_words):
+                    end = min(b, start + limits.block_words + limits.window - 1)
+                    # The words that only follow the last window of a part are its successor's alone.
+                    if start == a or end - start >= limits.window:
+                        ids.append(item)
+                        parts.append(words.hashes[start:end].tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.string()), pa.array(parts, pa.binary())], ["item_id", "words"]
+            )
+
+    return items.mapInArrow(run, "item_id string, words binary")
+
+
+def _matchers(benchmark: DataFrame, limits: Limits) -> DataFrame:
+    """(block, matcher): the automata of all blocks, built by tasks and kept in the shared folder."""
+    items = cut_lineage(_item_words(benchmark, limits))
+    words = (items.select(F.sum(F.length("words"))).first()[0] or 0) // 8
     blocks = parts_of(words, limits.block_words)
-    for i in range(blocks):
-        block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == i).toArrow()
-        found = Words(Texts(block.column("text")), LETTERED)
-        first = found.first
-        named = zip(block.column("item_id").to_pylist(), first[:-1], first[1:])
-        yield [(item, found.hashes[a:b]) for item, a, b in named if b > a]
+
+    def build(key: tuple[pa.Scalar], rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("item_id", "ascending"), ("words", "ascending")])
+        found = [
+            (item, np.frombuffer(words, np.uint64))
+            for item, words in zip(rows.column("item_id").to_pylist(), rows.column("words").to_pylist())
+        ]
+        matcher = cloudpickle.dumps(_Matcher(found, limits.window))
+        return pa.table({"block": pa.array([key[0].as_py()], pa.int64()), "matcher": pa.array([matcher], pa.binary())})
+
+    dealt = items.withColumn("block", F.pmod(F.xxhash64("item_id", "words"), F.lit(blocks)))
+    return cut_lineage(dealt.groupBy("block").applyInArrow(build, "block long, matcher binary"))
 
 
 def keyed_items(benchmark: DataFrame) -> DataFrame:
@@ -209,13 +241,16 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, limits: Limits = L
     fields |= {"items": "array<string>", "spans": "array<array<int>>"}
     none = [F.expr(f"cast(array() as {fields[c]})").alias(c) for c in ("items", "spans")]
     whole = frame.select("*", *none)
-    waiting = None
-    for number, block in enumerate(_blocks(benchmark, limits)):
-        if waiting is not None:
-            whole = whole.mapInArrow(_search(waiting, None), _ddl(fields))
-            if number % 4 == 0:
-                whole = cut_lineage(whole)
-        waiting = Shared(docs.sparkSession, _Matcher(block, limits.window))
+    matchers = _matchers(benchmark, limits)
+    blocks = sorted(row.block for row in matchers.select("block").collect())
+    passes = [blocks[i : i + limits.per_pass] for i in range(0, len(blocks), limits.per_pass)]
+    waiting = Shared(docs.sparkSession, [])
+    for number, some in enumerate(passes):
+        if number:
+            # The files end the work of a pass, so that no task holds the automata of two.
+            whole = cut_lineage(whole.mapInArrow(_search(waiting, None), _ddl(fields)))
+        wanted = matchers.where(F.col("block").isin(some)).select("matcher").collect()
+        waiting = Shared(docs.sparkSession, [bytes(row.matcher) for row in wanted])
     fields |= {"n_words": "long", "n_hit": "long", "contaminated": "boolean", "cleaned": "string"}
     return whole.mapInArrow(_search(waiting, limits.percent), _ddl(fields))
 
@@ -224,17 +259,19 @@ def _ddl(fields: dict[str, str]) -> str:
     return ", ".join(f"{name} {kind}" for name, kind in fields.items())
 
 
-def _search(matcher: Shared, percent: int | None):
-    """Adds the spans and items of one block of the benchmark; after the last one, judges by ``percent``."""
+def _search(matchers: Shared, percent: int | None):
+    """Adds the spans and items of some blocks of the benchmark; after the last ones, judges by ``percent``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        search = matcher.load()
+        searches = [cloudpickle.loads(matcher) for matcher in matchers.load()]
         for batch, texts in text_batches(batches, "text"):
             words = Words(texts, LETTERED)
             spans, items = (batch.column(c).to_pylist() for c in ("spans", "items"))
             for i, (a, b) in enumerate(zip(words.first[:-1], words.first[1:])):
-                more, found = search.hits(words.hashes[a:b])
-                if more:
+                for search in searches:
+                    more, found = search.hits(words.hashes[a:b])
+                    if not more:
+                        continue
                     spans[i] = [list(s) for s in _merged([tuple(s) for s in spans[i]] + more)]
                     items[i] = sorted(found.union(items[i]))
             columns = {c: batch.column(c) for c in ("doc_id", "text", "rest")}

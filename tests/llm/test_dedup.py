@@ -318,7 +318,7 @@ def hit_rule(texts, items, window=13):
     return out
 
 
-@pytest.mark.parametrize("block_words", [10**6, 60])
+@pytest.mark.parametrize("block_words", [10**6, 60, 15])
 def test_hits_of_items(spark, block_words):
     from contentloom.llm.decontaminate import Limits
 
