@@ -14,15 +14,16 @@ from .common import cut_lineage, keyed_only, parts_of
 
 @dataclass(frozen=True)
 class ShardSettings:
-    """``per_task``: groups that one task places; each task fills its own equal share of all shards.
-
-    A group of equal texts above 1 / ``pieces`` of a task's share of a shard, in bytes, tokens or
-    rows, is split at random into pieces of about that size, which may go to different shards.
+    """Groups of equal texts above 1 / ``heavy`` of a shard's share, in bytes, tokens or rows, are placed
+    first and together; there are at most 3 * ``shards`` * ``heavy`` of them. ``per_task``: other
+    groups that one task places. Only a group above a shard's whole share is split, at random
+    into pieces of about 1 / ``pieces`` of a share.
     """
 
     shards: int = 16
-    per_task: int = 20_000
+    heavy: int = 1000
     pieces: int = 4
+    per_task: int = 20_000
     per_block: int = 50_000
     seed: int = 5
 
@@ -32,16 +33,20 @@ def words_of(text: Column) -> Column:
     return F.size(F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "")).cast("bigint")
 
 
-def place(vectors: np.ndarray, shards: int, first: int) -> np.ndarray:
+def place(vectors: np.ndarray, shards: int, first: int, room: np.ndarray | None = None) -> np.ndarray:
     """The shard of each group, largest groups first.
 
-    A shard's capacity is an equal share of every dimension; a group goes where the dot product of
-    its vector with the residual capacity is highest, both measured in shares. Ties go to the
-    first shard from ``first`` on.
+    A shard's capacity is its part of every dimension, equal parts or those of ``room`` (shards by
+    dimensions); a group goes where the dot product of its vector with the residual capacity is
+    highest, both measured in equal parts. Ties go to the first shard from ``first`` on.
     """
     total = vectors.sum(axis=0)
     scaled = vectors * (shards / np.where(total > 0, total, 1))
     residual = np.ones((shards, vectors.shape[1]))
+    if room is not None:
+        whole = room.sum(axis=0)
+        residual = np.where(whole > 0, room * shards / np.where(whole > 0, whole, 1), 1.0)
+        residual = np.roll(residual, -first, axis=0)
     out = np.zeros(len(vectors), np.int64)
     for i in np.lexsort((np.arange(len(vectors)), -scaled.max(axis=1))).tolist():
         best = int(np.argmax(residual @ scaled[i]))
@@ -57,9 +62,10 @@ def shard(
 
     size is the UTF-8 bytes of the text and one for its end; tokens are ``tokens`` of the column
     ``text``, by default its words. Equal texts (NULL is empty) are a group and share a shard,
-    unless the group is too large (see ``ShardSettings``). Groups are dealt to tasks at random;
-    each task places its groups by ``place``, starting at another shard. slot numbers the rows of
-    a shard from 0 without gaps, in random order.
+    unless the group is larger than a shard's whole share. The heaviest groups are placed together by
+    ``place``; the others are dealt to tasks at random, and each task fills its part of the room that
+    is left, starting at another shard. slot numbers the rows of a shard from 0 without gaps, in
+    random order.
 
     Rows with a NULL or a repeated doc_id are rows like others. Other columns are ignored; an
     empty table gives no rows.
@@ -82,29 +88,52 @@ def shard(
             "doc_id", "size", "tokens", "text_crc32", F.lit(0).alias("shard"), F.col("row").alias("slot")
         )
     groups = cut_lineage(rows.groupBy("key").agg(*sums))
-    tasks = parts_of(groups.count(), s.per_task)
-    totals = {c: whole[c] / (s.shards * tasks * s.pieces) for c in ("size", "tokens", "rows")}
-    parts = F.ceil(F.greatest(*(F.col(c) / max(1.0, share) for c, share in totals.items())))
+    names = ("size", "tokens", "rows")
+    shares = {c: max(1.0, whole[c] / s.shards) for c in names}
+    # Groups above a part of a share: their number is bounded, and so is what is sent to all tasks.
+    most = F.greatest(*(F.col(c) / share for c, share in shares.items()))
+    parts = F.when(most > 1, F.ceil(most * s.pieces)).otherwise(1)
+    is_heavy = F.greatest(*(F.col(c) * s.heavy / share for c, share in shares.items())) > 1
     # A row cannot be split, so a group has as many pieces as rows at most.
-    large = groups.select("key", F.least(parts, "rows").cast("int").alias("n")).where("n > 1")
-    piece = F.when(F.col("n").isNull(), 0).otherwise(F.pmod(F.xxhash64("row"), F.col("n")))
-    split = rows.join(large, "key", "left").withColumn("piece", piece.cast("int")).drop("n")
-
-    dealt = (
-        split.groupBy("key", "piece")
-        .agg(*sums)
-        .withColumn("task", F.pmod(F.xxhash64("key", "piece", F.lit(s.seed)), F.lit(tasks)))
-    )
+    heavy = groups.where(is_heavy).select("key", F.least(parts, "rows").cast("int").alias("n"))
+    marked = rows.join(F.broadcast(heavy), "key", "left")
+    piece = F.pmod(F.xxhash64("row"), F.col("n")).cast("int")
+    first = cut_lineage(marked.where("n IS NOT NULL").withColumn("piece", piece).drop("n"))
+    rest = marked.where("n IS NULL").drop("n")
 
-    def run(key: tuple[pa.Scalar], table: pa.Table) -> pa.Table:
+    def arrays(table: pa.Table) -> np.ndarray:
+        return np.stack([np.asarray(table.column(c), float) for c in names], 1)
+
+    def together(key: tuple[pa.Scalar], table: pa.Table) -> pa.Table:
         table = table.sort_by([("key", "ascending"), ("piece", "ascending")])
-        vectors = np.stack([np.asarray(table.column(c), float) for c in ("size", "tokens", "rows")], 1)
-        found = place(vectors, s.shards, key[0].as_py() % s.shards)
-        return table.select(["key", "piece"]).append_column("shard", pa.array(found, pa.int32()))
+        found = place(arrays(table), s.shards, 0)
+        return table.append_column("shard", pa.array(found, pa.int32())).drop_columns(["one"])
+
+    pieces = first.groupBy("key", "piece").agg(*sums)
+    form = "key string, piece int, size long, tokens long, rows long, shard int"
+    settled = cut_lineage(pieces.withColumn("one", F.lit(1)).groupBy("one").applyInArrow(together, form))
+    room = np.array([[shares[c] for c in names]] * s.shards)
+    for row in settled.groupBy("shard").agg(*(F.sum(c).alias(c) for c in names)).collect():
+        room[row["shard"]] -= [row[c] for c in names]
+    room = np.maximum(room, 0)
+
+    light = groups.where(~is_heavy)
+    tasks = parts_of(light.count(), s.per_task)
+    dealt = light.withColumn("task", F.pmod(F.xxhash64("key", F.lit(s.seed)), F.lit(tasks)))
 
-    placed = dealt.groupBy("task").applyInArrow(run, "key string, piece int, shard int")
-    done = split.join(placed, ["key", "piece"]).withColumn(
-        "block", F.pmod(F.xxhash64("row", F.lit(s.seed)), F.lit(parts_of(whole["rows"], s.per_block)))
+    def run(key: tuple[pa.Scalar], table: pa.Table) -> pa.Table:
+        table = table.sort_by("key")
+        found = place(arrays(table), s.shards, key[0].as_py() % s.shards, room)
+        return table.select(["key"]).append_column("shard", pa.array(found, pa.int32()))
+
+    placed = dealt.groupBy("task").applyInArrow(run, "key string, shard int")
+    done = (
+        first.join(F.broadcast(settled.select("key", "piece", "shard")), ["key", "piece"])
+        .drop("piece")
+        .unionByName(rest.join(placed, "key"))
+        .withColumn(
+            "block", F.pmod(F.xxhash64("row", F.lit(s.seed)), F.lit(parts_of(whole["rows"], s.per_block)))
+        )
     )
     done = cut_lineage(done.select("doc_id", "size", "tokens", "text_crc32", "row", "shard", "block"))
     counts = done.groupBy("shard", "block").agg(F.count("*").alias("n"))
