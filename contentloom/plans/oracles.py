@@ -322,6 +322,11 @@ UNION ALL SELECT doc_id, text, NULL, lang FROM documents""",
 WITH {_RAW}
 SELECT id, title, CASE id % 3 WHEN 0 THEN 'en' WHEN 1 THEN 'he' END AS language FROM raw_papers""",
     "q_window_refresh": f"WITH {_unified()} SELECT * FROM unified",
+    "q_load_stamps": f"""
+WITH {_unified()}
+SELECT content_type AS loaded, id, '2024-01-30 18:00:00' AS stamp FROM unified
+UNION ALL
+SELECT 'unified ' || content_type, id, '2024-01-30 19:00:00' FROM unified""",
     "q_trending_of_days": f"WITH {_unified()} {_TOP_TRENDING}",
     "q_trending_topics": f"WITH {_unified()} {_TOP_TRENDING}",
     "q_trending_by_sentiment": f"""

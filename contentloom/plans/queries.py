@@ -251,6 +251,29 @@ def _unify(spark, folder):
     return _unified(spark, folder)
 
 
+@query("q_load_stamps", "P8")
+def _load_stamps(spark, folder):
+    """The load stamps of every transformed and unified row, from an injected clock."""
+    clock = F.lit("2024-01-30 18:00:00").cast("timestamp")
+    later = F.lit("2024-01-30 19:00:00").cast("timestamp")
+    transformed = (
+        transform_news(given.raw_news(spark, folder), stamp=clock),
+        transform_posts(given.raw_posts(spark, folder), stamp=clock),
+        transform_scholarly(given.raw_scholarly(spark, folder), stamp=clock),
+    )
+    loads = [
+        rows.select(F.lit(name).alias("loaded"), F.col("id").cast("bigint").alias("id"), _clock("transformation_date"))
+        for name, rows in zip(("news", "social_media", "academic"), transformed)
+    ]
+    merged = unify(*transformed, stamp=later).select(
+        F.concat(F.lit("unified "), "content_type").alias("loaded"),
+        F.col("id").cast("bigint").alias("id"),
+        _clock("processed_timestamp").alias("transformation_date"),
+    )
+    every = loads[0].unionByName(loads[1]).unionByName(loads[2]).unionByName(merged)
+    return every.withColumnRenamed("transformation_date", "stamp")
+
+
 @query("q_duplicate_ids", "P7, U1")
 def _duplicate_ids(spark, folder):
     """Every row twice, as two runs would store it."""
