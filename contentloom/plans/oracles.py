@@ -392,8 +392,6 @@ SELECT CAST(p.topic AS INTEGER) AS topic, count(*) AS pairs,
 FROM best p JOIN best q ON q.topic = p.topic AND q.rank > p.rank
 LEFT JOIN alone o ON o.term = p.term LEFT JOIN together t ON t.a = p.term AND t.b = q.term
 GROUP BY p.topic""",
-    "q_topic_fit": """
-SELECT unnest([42, 7])::INTEGER AS seed, true AS better_than_one_topic, 5 AS topics, true AS coherent""",
     "q_count_vectors": f"""
 WITH {_TERMS},
 ranks AS (

@@ -559,28 +559,6 @@ def _topic_coherence(spark, folder):
     return topics.coherence(corpus, found).withColumn("coherence", F.round("coherence", 6))
 
 
-@query("q_topic_fit", "M4, M5: held-out bound and coherence of fitted models")
-def _topic_fit(spark, folder):
-    """For two seeds: does the model foresee held-out words better than a single topic, and are there
-    values for all topics? Every fifth document is held out."""
-    words = topics.corpus_words(_unified(spark, folder), CLEANED).select("unified_id", "words")
-    with staged(words, scratch_folder(spark)) as corpus:
-        held_out = F.pmod(F.crc32(F.col("unified_id").cast("binary")), F.lit(5)) == 0
-        held, learned = corpus.filter(held_out), corpus.filter(~held_out)
-        known = frequent_vocabulary(learned, CLEANED).collect()
-        terms = [row.term for row in known]
-        plain = topics.one_topic_bound(spark.createDataFrame(known), held)
-        rows = []
-        for seed in (42, 7):
-            settings = topics.TopicSettings(partitions=8, seed=seed, sampling=0.3)
-            model = topics.fitted_model(learned, terms, settings)
-            bound = model.logPerplexity(topics.count_vectors(held, terms).select("features"))
-            found = topics.name_terms(model.describeTopics(10), terms)
-            values = [r.coherence for r in topics.coherence(corpus, found).collect()]
-            rows.append((seed, bound < plain, len(values), all(v is not None and v <= 0.7 for v in values)))
-    return spark.createDataFrame(rows, "seed int, better_than_one_topic boolean, topics int, coherent boolean")
-
-
 @query("q_topic_properties", "M4, M5, T8")
 def _topic_properties(spark, folder):
     """What holds for every fitted model, whatever its topics are."""
