@@ -19,7 +19,7 @@ IN_PYTHON = {
 }
 #: Written by jobs and checked in test_jobs.
 KNOWN_GAPS = {"I": {7}, "F": set()}
-JOINED = {"q_topic_insights", "q_topic_properties"}
+JOINED = {"q_topic_coherence", "q_topic_insights", "q_topic_properties"}
 TOP_K = (
     "q_trending_topics",
     "q_positive_content",
