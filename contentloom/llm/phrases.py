@@ -453,5 +453,6 @@ def collocations(docs: DataFrame, settings: PhraseSettings = PhraseSettings()) -
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     some = Window.partitionBy("lang", F.floor(F.col("part") / s.per_merge)).orderBy(*order)
     first = found.withColumn("rank", F.row_number().over(some)).where(F.col("rank") <= s.top)
-    ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
+    whole = Window.partitionBy("lang").orderBy(*order)
+    ranked = first.withColumn("rank", F.row_number().over(whole).cast("bigint"))
     return ranked.where(F.col("rank") <= s.top).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
