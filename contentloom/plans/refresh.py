@@ -77,13 +77,13 @@ def refresh_unified(store: TableStore, since: str, until: str) -> dict[str, int]
     """
     store.finish_swap(UNIFIED)
     store.finish_swap(DAYS)
-    new = unify(
+    # Stored columns under other names, so reading them again costs less than another copy of the texts.
+    fresh = unify(
         within(store.read("transformed_news_articles"), since, until),
         within(store.read("transformed_reddit_posts"), since, until),
         within(store.read("transformed_scholarly_articles"), since, until),
     )
-    folder = store.staging_folder()
-    with staged(new, folder) as fresh, staged(fresh.select(*PARTS).distinct(), folder) as touched:
+    with staged(fresh.select(*PARTS).distinct(), store.staging_folder()) as touched:
         counts = {"rows": fresh.count(), "folders": touched.count()}
         if counts["folders"]:
             unified = store.read(UNIFIED)
