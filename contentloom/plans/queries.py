@@ -495,18 +495,24 @@ def _discovered_topics(spark, folder):
     )
 
 
-def _category_topics(spark: SparkSession, folder: str) -> DataFrame:
+def _stored_words(spark: SparkSession, folder: str):
+    """The words of all content by category, stored once for what is counted more than once."""
+    words = topics.corpus_words(_unified(spark, folder), CLEANED, ("category",))
+    return staged(words.drop("unified_id"), scratch_folder(spark))
+
+
+def _category_topics(words: DataFrame) -> DataFrame:
     """A topic per category: its ten most frequent words with their shares of its words.
 
     Topics are numbered by category; ten words of a few categories, kept as a table of their own.
     """
-    words = topics.corpus_words(_unified(spark, folder), CLEANED, ("category",))
+    spark = words.sparkSession
     terms = words.select("category", F.explode("words").alias("term"))
     counted = terms.groupBy("category", "term").count()
     # Tasks cut to ten words before rows meet by category.
     rank = F.row_number().over(Window.partitionBy("category").orderBy(F.desc("count"), "term"))
     ranked = counted.withColumn("rank", rank).filter("rank <= 10")
-    totals = terms.groupBy(F.col("category").alias("of")).agg(F.count(F.lit(1)).alias("total"))
+    totals = words.groupBy(F.col("category").alias("of")).agg(F.sum(F.size("words")).alias("total"))
     best = ranked.join(totals, F.col("category").eqNullSafe(F.col("of")))
     listed = (
         best.groupBy("category")
@@ -521,7 +527,8 @@ def _category_topics(spark: SparkSession, folder: str) -> DataFrame:
 @query("q_topic_insights", "J1, A2, W2, T9, X26, I3")
 def _topic_insights(spark, folder):
     """Topics by category through the steps that follow a fitted model."""
-    found = _category_topics(spark, folder)
+    with _stored_words(spark, folder) as words:
+        found = _category_topics(words)
     names = sorted({t for row in found.select("terms").collect() for t in row.terms})
     places = {name: i for i, name in enumerate(names)}
     listed = F.create_map(*[F.lit(x) for pair in places.items() for x in pair])
@@ -554,9 +561,10 @@ def _frequent_words(spark, folder):
 @query("q_topic_coherence", "M5, A3: how far the words of a topic occur together")
 def _topic_coherence(spark, folder):
     """Coherence of the topics by category, over the documents of all categories."""
-    found = _category_topics(spark, folder)
-    corpus = topics.corpus_words(_unified(spark, folder), CLEANED)
-    return topics.coherence(corpus, found).withColumn("coherence", F.round("coherence", 6))
+    with _stored_words(spark, folder) as words:
+        values = topics.coherence(words, _category_topics(words)).withColumn("coherence", F.round("coherence", 6))
+        # A row for each of a few categories.
+        return spark.createDataFrame(values.collect(), values.schema)
 
 
 @query("q_topic_properties", "M4, M5, T8")
