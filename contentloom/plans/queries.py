@@ -572,9 +572,11 @@ def _topic_properties(spark, folder):
     """What holds for every fitted model, whatever its topics are."""
     words = topics.corpus_words(_unified(spark, folder), CLEANED).select("unified_id", "words")
     with staged(words, scratch_folder(spark)) as corpus:
-        found = topics.topics_of_words(corpus, topics.TopicSettings(partitions=8, cleaned=True))
         vocabulary = frequent_vocabulary(corpus, CLEANED)
         known = spark.createDataFrame(vocabulary.collect(), vocabulary.schema)
+        terms = [row.term for row in known.collect()]
+        settings = topics.TopicSettings(partitions=8, cleaned=True)
+        found = topics.name_terms(topics.fit_topics(corpus, terms, settings), terms)
     listed = found.select("topic", F.explode("terms").alias("term")).join(known, "term")
     in_vocabulary = listed.groupBy("topic").agg(F.count_distinct("term").alias("known"))
     falling = F.forall(
