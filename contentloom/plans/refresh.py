@@ -9,7 +9,9 @@ rows are taken out before they are put in.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import ExitStack, contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +23,8 @@ from contentloom.sources.storage import TableStore, staged
 UNIFIED, DAYS = "unified_content", "category_days"
 #: The folders of both tables.
 PARTS = ("content_type", "published_date")
+#: Keys that a join may send to every task; where there are more, the rows are shuffled by their keys.
+HELD_KEYS = 1_000_000
 
 
 def within(df: DataFrame, since: str, until: str) -> DataFrame:
@@ -29,6 +33,34 @@ def within(df: DataFrame, since: str, until: str) -> DataFrame:
     return df.filter((at >= F.lit(since).cast("timestamp")) & (at < F.lit(until).cast("timestamp")))
 
 
+@contextmanager
+def without(rows: DataFrame, gone: DataFrame, key: str, folder: str | None) -> Iterator[DataFrame]:
+    """``rows`` but for those whose key ``gone`` has, as a left anti-join gives them, while the block runs.
+
+    Rows hold whole texts, so the keys are compared by themselves. Then the rows are filtered where the
+    scan put them, by the keys to drop or the keys to keep, whichever are fewer. Rows without a key stay.
+    """
+    if gone.isEmpty():
+        yield rows
+        return
+    dropped = gone.select(key).distinct().withColumn("dropped", F.lit(True))
+    keys = rows.select(key).distinct().join(dropped, key, "left")
+    with staged(keys.select(key, F.col("dropped").isNotNull().alias("dropped")), folder) as marked:
+        counts = {row.dropped: row["count"] for row in marked.groupBy("dropped").count().collect()}
+        drop, keep = counts.get(True, 0), counts.get(False, 0)
+        if not drop:
+            yield rows
+        elif not keep:
+            yield rows.filter(F.lit(False))
+        elif min(drop, keep) > HELD_KEYS:
+            yield rows.join(gone.select(key), key, "left_anti")
+        elif drop <= keep:
+            yield rows.join(F.broadcast(marked.filter("dropped").select(key)), key, "left_anti")
+        else:
+            kept = marked.filter("NOT dropped").select(F.col(key).alias("kept_key"))
+            yield rows.join(F.broadcast(kept), F.col(key).eqNullSafe(F.col("kept_key")), "left_semi")
+
+
 def append_transformed(
     store: TableStore,
     raw: DataFrame,
@@ -39,7 +71,8 @@ def append_transformed(
 ) -> None:
     """Append the window's rows that the transformed table does not have, known by their ids."""
     there = within(store.read(table), since, until).select("id")
-    store.append(table, transform(within(raw, since, until).join(there, "id", "left_anti")))
+    with without(within(raw, since, until), there, "id", store.staging_folder()) as new:
+        store.append(table, transform(new))
 
 
 def by_day(unified: DataFrame) -> DataFrame:
@@ -83,12 +116,20 @@ def refresh_unified(store: TableStore, since: str, until: str) -> dict[str, int]
         within(store.read("transformed_reddit_posts"), since, until),
         within(store.read("transformed_scholarly_articles"), since, until),
     )
-    with staged(fresh.select(*PARTS).distinct(), store.staging_folder()) as touched:
+    folder = store.staging_folder()
+    with ExitStack() as opened:
+        touched = opened.enter_context(staged(fresh.select(*PARTS).distinct(), folder))
         counts = {"rows": fresh.count(), "folders": touched.count()}
         if counts["folders"]:
             unified = store.read(UNIFIED)
-            kept = touched_rows(unified, touched).join(fresh.select("unified_id"), "unified_id", "left_anti")
-            whole = kept.unionByName(fresh).select(*unified.columns)
+            parts = [fresh]
+            # By type: long texts of one need not move because short rows of another are many.
+            for row in touched.select("content_type").distinct().collect():
+                own = F.col("content_type") == row.content_type
+                there = touched_rows(unified.filter(own), touched.filter(own))
+                again = fresh.filter(own).select("unified_id")
+                parts.append(opened.enter_context(without(there, again, "unified_id", folder)))
+            whole = reduce(DataFrame.unionByName, parts).select(*unified.columns)
             store.swap_parts(UNIFIED, by_day(whole), PARTS)
             store.swap_parts(DAYS, daily_categories(touched_rows(store.read(UNIFIED), touched)), PARTS)
     return counts

@@ -234,3 +234,66 @@ def test_insights_rank_categories_without_the_content_table(spark, tmp_path):
     assert all("/category_days/" in file for file in ranked.inputFiles())
     expected = ranking.trending_topics(store.read("unified_content"), "2024-01-01").collect()
     assert ranked.collect() == expected and expected
+
+
+@pytest.mark.parametrize("held", [1_000_000, 0])
+def test_rows_without_the_keys_of_others(spark, tmp_path, monkeypatch, held):
+    """As a left anti-join: repeated rows and rows without a key, few keys to drop, few to keep, none."""
+    monkeypatch.setattr(refresh, "HELD_KEYS", held)
+    keys = [None, None, 1, 1, 2, 3, 4, 5]
+    rows = spark.createDataFrame([(k, f"text {i}") for i, k in enumerate(keys)], "id long, text string")
+    for gone in ([], [None], [9, 9], [1, 1, None], [1, 2, 3, 4], [1, 2, 3, 4, 5], [2, 3, 4, 5, 6, 7]):
+        others = spark.createDataFrame([(g,) for g in gone], "id long")
+        expected = sorted(map(repr, rows.join(others, "id", "left_anti").collect()))
+        with refresh.without(rows, others, "id", str(tmp_path)) as left:
+            assert sorted(map(repr, left.collect())) == expected, gone
+            assert left.columns == rows.columns
+    keyed = rows.filter("id IS NOT NULL")
+    with refresh.without(keyed, keyed.select("id"), "id", str(tmp_path)) as left:
+        assert left.collect() == []
+
+
+def test_texts_do_not_move_to_compare_keys(spark, tmp_path, monkeypatch):
+    store = FolderStore(spark, str(tmp_path))
+    pick = random.Random(12)
+    last = 0
+    for day in (0, 1):
+        last = fill(store, spark, pick, day, last)
+    run_all(store)
+    fill(store, spark, pick, 1, last)
+    plans = {}
+    append, swap = store.append, store.swap_parts
+    planned = lambda df: df._jdf.queryExecution().executedPlan().toString()
+
+    def appends(table, df):
+        plans[table] = planned(df)
+        append(table, df)
+
+    def swaps(table, df, partition_by):
+        plans[table] = planned(df)
+        swap(table, df, partition_by)
+
+    monkeypatch.setattr(store, "append", appends)
+    monkeypatch.setattr(store, "swap_parts", swaps)
+    # As for large tables, whose ids Spark does not broadcast by itself.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        run_all(store, window(1))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    transformed = [f"transformed_{t}" for t in ("news_articles", "reddit_posts", "scholarly_articles")]
+    for table in transformed:
+        assert "SortMergeJoin [id" not in plans[table] and "Exchange hashpartitioning(id" not in plans[table]
+    assert "clean_content" in plans[refresh.UNIFIED]
+    assert "hashpartitioning(unified_id" not in plans[refresh.UNIFIED]
+
+
+def test_stored_files_are_packed_with_zstd(spark, tmp_path):
+    store = FolderStore(spark, str(tmp_path))
+    pick = random.Random(13)
+    last = fill(store, spark, pick, 0)
+    run_all(store)
+    fill(store, spark, pick, 1, last)
+    run_all(store, window(1))
+    files = files_below(tmp_path)
+    assert files and all(name.endswith(".zstd.parquet") for name in files)
