@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass
 
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -200,39 +200,32 @@ def page_blocks(pages: DataFrame, profiles: Iterable[PageProfile]) -> DataFrame:
     known = {profile.name: profile for profile in profiles}
     columns = _BLOCK_COLUMNS.replace("\n", " ")
     names = [part.split()[0] for part in columns.split(",")]
-    kinds = [pa.int32(), *[pa.string()] * (len(names) - 4)]
 
-    def rows_of(html: str, profile: PageProfile) -> Iterator[tuple]:
+    def rows_of(page) -> Iterator[tuple]:
+        start = (page.url, page.profile, page.fetched_at)
         try:
-            blocks = list(read_page(html, profile))
+            blocks = list(read_page(page.html.decode(), known[page.profile]))
         except Exception as problem:  # whatever one page raises must not fail the others
-            yield (*[None] * 7, f"{type(problem).__name__}: {problem}"[:200])
+            yield (*start, *[None] * 7, f"{type(problem).__name__}: {problem}"[:200])
         else:
             for block in blocks:
-                yield (*block, None)
-
-    def found(part: pa.RecordBatch) -> pa.RecordBatch:
-        rows = []
-        for page in range(part.num_rows):
-            # One page at a time is a Python string; its batch stays in Arrow's form.
-            html, profile = part.column("html")[page].as_py(), part.column("profile")[page].as_py()
-            rows.extend((page, *row) for row in rows_of(html, known[profile]))
-        origins, *fields = zip(*rows) if rows else [()] * (len(kinds) + 1)
-        start = part.select(names[:3]).take(pa.array(origins, pa.int64()))
-        made = [pa.array(values, kind) for values, kind in zip(fields, kinds)]
-        return pa.RecordBatch.from_arrays([*start.columns, *made], names)
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                yield (*start, *block, None)
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for start in range(0, batch.num_rows, PAGES_AT_A_TIME):
-                yield found(batch.slice(start, PAGES_AT_A_TIME))
+            for first in range(0, len(batch), PAGES_AT_A_TIME):
+                part = batch.iloc[first : first + PAGES_AT_A_TIME]
+                rows = [row for page in part.itertuples(index=False) for row in rows_of(page)]
+                found = pd.DataFrame(rows, columns=names)
+                yield found.astype({"position": "Int32"})
 
     return (
         pages.filter(
             (F.col("status") == 200) & F.col("profile").isin(*known) & F.col("html").isNotNull()
         )
-        .select(F.col("url").alias("page_url"), "profile", "fetched_at", "html")
-        .mapInArrow(read, columns)
+        # As bytes: a batch of Python strings takes up to four times its size, and one page is read at a time.
+        .select("url", "profile", F.col("html").cast("binary").alias("html"), "fetched_at")
+        .mapInPandas(read, columns)
     )
 
 
